@@ -3,10 +3,29 @@
 from __future__ import annotations
 
 from seqloom.llm import mixing
+from seqloom.llm.crf_toxicity import op9_crf_toxicity
+from seqloom.llm.hilbert_shards import op1_hilbert_shards
+from seqloom.llm.jpeg_media import op10_jpeg_media
+from seqloom.llm.line_blocks import op3_line_blocks
 from seqloom.llm.mixing import op4_source_mixing
 from seqloom.llm.simhash_segments import op7_simhash_segments
+from seqloom.llm.srs_neighbours import op5_srs_neighbours
 from seqloom.llm.swap_packing import op8_swap_packing
+from seqloom.llm.url_markov import op2_url_markov
 
-QUERIES = {f.__name__: f for f in (op4_source_mixing, op7_simhash_segments, op8_swap_packing)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_hilbert_shards,
+        op2_url_markov,
+        op3_line_blocks,
+        op4_source_mixing,
+        op5_srs_neighbours,
+        op7_simhash_segments,
+        op8_swap_packing,
+        op9_crf_toxicity,
+        op10_jpeg_media,
+    )
+}
 
 ORACLES = {"op4_source_mixing": mixing.SQL}
