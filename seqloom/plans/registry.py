@@ -2,5 +2,31 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from seqloom.plans.fixtures import FIXTURES, frame, with_fixtures
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, *fixtures: str, sql: str | None = None):
+    """Register a function of the named fixtures' DataFrames, with the SQL that it is held against.
+
+    ``sql`` may start with further common table expressions (``name AS (...), ... SELECT``), which
+    join the WITH clause of the fixtures.
+    """
+
+    def register(f):
+        QUERIES[name] = lambda spark, sf_dir: f(*[frame(spark, sf_dir, n) for n in fixtures])
+        if sql is not None:
+            body, shared = sql.strip(), [n for n in fixtures if n in FIXTURES]
+            parts = [with_fixtures(*shared)] if shared else []
+            if not body.upper().startswith("SELECT"):
+                body = f"{', ' if shared else 'WITH '}{body}"
+            ORACLES[name] = "\n".join([*parts, body])
+        return f
+
+    return register
