@@ -32,7 +32,9 @@ GROUP_ROWS = 4096
 #: Bins filled less than this are pooled for the second round.
 POOL_BELOW = 2000
 #: Steps of the local search in a group, at most.
-STEPS = 400
+STEPS = 1000
+#: Smallest pieces of a bin that two-for-one exchanges may pair.
+PAIRED = 12
 #: Words whose ids a Python worker remembers, at most.
 CACHE_WORDS = 1_000_000
 
@@ -128,50 +130,57 @@ def best_fit(lengths: list[int], seq: int = SEQ) -> list[list[int]]:
     return bins
 
 
+def _pairs(items: list[int], lengths: list[int]) -> list[tuple[int, int, int]]:
+    """(sum, i, j) of the pairs among a bin's ``PAIRED`` smallest pieces."""
+    small = sorted(items, key=lambda i: lengths[i])[:PAIRED]
+    return [(lengths[i] + lengths[j], i, j) for k, i in enumerate(small) for j in small[k + 1 :]]
+
+
 def local_search(bins: list[list[int]], lengths: list[int], seq: int = SEQ, steps: int = STEPS) -> list[list[int]]:
     """Empty underfull bins by moves, one-for-one and two-for-one exchanges.
 
     Each step takes the emptiest bin that is not given up yet and makes the change that carries
-    most tokens over to a fuller bin, so the sum of squared fills grows with each.
+    most tokens over to a fuller bin, so the sum of squared fills grows with each. It ends when no
+    bin can empty any more: when the room of all others is less than the emptiest bin holds.
     """
-    fill = [sum(lengths[i] for i in b) for b in bins]
-    given_up: set[int] = set()
+    bins = [list(b) for b in bins]
+    fill = np.array([sum(lengths[i] for i in b) for b in bins], np.int64)
+    if len(bins) <= -(-int(fill.sum()) // seq):
+        return bins
+    # what may be given back, as (size, bin, pieces); entries of changed bins are replaced
+    entries: list[tuple[int, int, tuple[int, ...]]] = []
+    for b, items in enumerate(bins):
+        entries += [(lengths[i], b, (i,)) for i in items] + [(n, b, (i, j)) for n, i, j in _pairs(items, lengths)]
+    size, owner = np.array([e[0] for e in entries]), np.array([e[1] for e in entries])
+    given_up = np.zeros(len(bins), bool)
     for _ in range(steps):
-        under = [b for b in range(len(bins)) if bins[b] and fill[b] < seq]
-        source = min((b for b in under if b not in given_up), key=lambda b: fill[b], default=None)
-        others = [b for b in under if b != source and source is not None and fill[b] >= fill[source]]
-        if source is None or not others:
+        open_bins = (fill > 0) & (fill < seq)
+        candidates = np.nonzero(open_bins & ~given_up)[0]
+        if not candidates.size:
+            break
+        source = int(candidates[np.argmin(fill[candidates])])
+        room = np.where(open_bins & (fill >= fill[source]), seq - fill, 0)
+        room[source] = 0
+        if room.sum() < fill[source]:
             break
-        room = np.array([seq - fill[b] for b in others])
-        owner = np.array([k for k, b in enumerate(others) for _ in bins[b]])
-        item = np.array([i for b in others for i in bins[b]])
-        size = np.array([lengths[i] for i in item])
         best: tuple[int, int, int, tuple[int, ...]] = (0, -1, -1, ())
         for i in sorted(bins[source], key=lambda i: -lengths[i]):
             x = lengths[i]
             if x <= best[0]:
                 break
-            if (fits := np.nonzero(room >= x)[0]).size:  # a move carries all of x
-                best = (x, i, others[fits[np.argmin(room[fits])]], ())
+            fits = np.nonzero(room >= x)[0]
+            if fits.size:  # a move carries all of x
+                best = (x, i, int(fits[np.argmin(room[fits])]), ())
                 break
             gain = x - size
             gain[gain > room[owner]] = 0
-            if (k := int(np.argmax(gain))) >= 0 and gain[k] > best[0]:
-                best = (int(gain[k]), i, others[owner[k]], (int(item[k]),))
-            for k, b in enumerate(others):  # two small ones for a larger one
-                own = np.array(sorted(bins[b], key=lambda j: -lengths[j])[:64])
-                if len(own) < 2:
-                    continue
-                pair = np.array([lengths[j] for j in own])
-                got = x - (pair[:, None] + pair[None, :])
-                got[(got > room[k]) | (got <= best[0]) | np.eye(len(own), dtype=bool)] = 0
-                if (at := int(np.argmax(got))) or got.flat[0]:
-                    if got.flat[at] > best[0]:
-                        best = (int(got.flat[at]), i, b, (int(own[at // len(own)]), int(own[at % len(own)])))
-        if not best[0]:
-            given_up.add(source)
-            continue
+            k = int(np.argmax(gain))
+            if gain[k] > best[0]:
+                best = (int(gain[k]), i, int(owner[k]), entries[k][2])
         carried, i, to, back = best
+        if not carried:
+            given_up[source] = True
+            continue
         bins[source].remove(i)
         bins[to].append(i)
         for j in back:
@@ -179,7 +188,11 @@ def local_search(bins: list[list[int]], lengths: list[int], seq: int = SEQ, step
             bins[source].append(j)
         fill[source] -= carried
         fill[to] += carried
-        given_up.discard(source)
+        keep = (owner != source) & (owner != to)
+        entries = [e for e, k in zip(entries, keep.tolist(), strict=True) if k]
+        for b in (source, to):
+            entries += [(lengths[i], b, (i,)) for i in bins[b]] + [(n, b, (i, j)) for n, i, j in _pairs(bins[b], lengths)]
+        size, owner = np.array([e[0] for e in entries]), np.array([e[1] for e in entries])
     return [b for b in bins if b]
 
 
