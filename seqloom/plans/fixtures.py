@@ -97,6 +97,31 @@ FROM {{pairs}} WHERE d < 13
 """
 
 
+# a sample sheet: suppliers are samples, their nations pools; some rows list several indexes or barcodes
+FIXTURES["key_table"] = """
+SELECT concat('PRJ', s_nationkey % 4) AS Project_ID, concat('S', s_suppkey) AS Sample_ID,
+  CASE WHEN s_suppkey % 5 = 0 THEN concat('X', s_suppkey % 3, '; X', 3 + s_suppkey % 3) ELSE concat('X', s_suppkey % 6) END AS P7,
+  CASE WHEN s_suppkey % 3 = 0 THEN concat(substr(b.bc_seq,1,8), 'A|', substr(b.bc_seq,1,8), 'C') ELSE b.bc_seq END AS Inline_Seq,
+  CASE s_suppkey % 5 WHEN 0 THEN 'NC_1;NC_2' WHEN 1 THEN 'NC_2' WHEN 2 THEN 'Unknown' WHEN 3 THEN '' ELSE 'NC_3|NC_1' END AS Bacterial_reference,
+  concat('CG', s_suppkey % 4) AS CG_ID, CASE WHEN s_suppkey % 2 = 0 THEN 'CG0,CG1;CG2:CG3,CG0' ELSE '' END AS CG_Pairs,
+  concat('/seq/', s_suppkey % 7, '/lane', s_suppkey % 4, '_x,/seq/old/lane', (s_suppkey + 1) % 4, '_y') AS Path_to_SeqFile,
+  concat('pool', s_nationkey) AS Pool_ID, concat('idx', s_nationkey % 6) AS Pool_index, CASE WHEN s_suppkey % 2 = 0 THEN 'lane1,lane3' ELSE '' END AS Lane, s_suppkey AS sample_no
+FROM {supplier} AS s JOIN {barcodes} AS b ON s.s_nationkey = b.bc_no
+"""
+
+FIXTURES["prefixes"] = "SELECT concat('lane', n_nationkey % 4, '_', CASE WHEN n_nationkey < 12 THEN 'x' ELSE 'y' END, '_X', n_nationkey % 6) AS prefix FROM {nation}"
+
+FIXTURES["bc_log"] = """
+SELECT concat('idx', n_nationkey % 6) AS index, bc_seq AS barcode, CAST((n_nationkey * 7) % 100 AS DOUBLE) AS pcnt, CAST(100000 + n_nationkey * 13 AS BIGINT) AS total
+FROM {nation} AS n JOIN {barcodes} AS b ON (n.n_nationkey + 1) % 25 = b.bc_no
+"""
+
+FIXTURES["sample_metrics"] = """
+SELECT concat('S', s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN '_combined' ELSE '' END, '_NC_', 1 + r_regionkey % 3) AS Sample, CASE WHEN r_regionkey < 3 THEN concat('NC_00', r_regionkey) WHEN s_suppkey % 2 = 0 THEN 'ALL' ELSE 'NC_009' END AS For_replicon,
+  CAST(s_suppkey * 1000 + r_regionkey AS BIGINT) AS Total_reads FROM {supplier}, {region}
+"""
+
+
 def _needs(name: str, found: list[str]) -> list[str]:
     for other in re.findall(r"\{(\w+)\}", FIXTURES[name]):
         if other in FIXTURES:

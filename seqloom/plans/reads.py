@@ -87,7 +87,7 @@ def p10_reverse_complement(seqs):
     return seqs.select("read_id", bases.reverse_complement(F.col("seq")).alias("rc"))
 
 
-@query("p11_cigar_ref_len", "alignments", sql=r"SELECT cigar, count(*) AS n, CAST(coalesce(list_sum(list_transform(regexp_extract_all(cigar, '(\d+)[MD]', 1), x -> CAST(x AS BIGINT))), 0) AS BIGINT) AS ref_len FROM alignments GROUP BY cigar")
+@query("p11_cigar_ref_len", "alignments", sql=r"SELECT cigar, count(*) AS n, CAST(coalesce(list_sum(list_transform(regexp_extract_all(cigar, '(\d+)[MD]', 1), lambda x: CAST(x AS BIGINT))), 0) AS BIGINT) AS ref_len FROM alignments GROUP BY cigar")
 def p11_cigar_ref_len(alignments):
     return alignments.groupBy("cigar").agg(F.count(F.lit(1)).alias("n")).withColumn("ref_len", bases.cigar_ref_len(F.col("cigar")))
 
