@@ -80,7 +80,7 @@ SELECT sample_id, qname, CASE WHEN d < 8 THEN 0 WHEN d < 13 THEN 16 ELSE 4 END A
        CASE WHEN d < 13 THEN pos1 ELSE 0 END AS pos, CASE WHEN d < 13 THEN cigar ELSE '*' END AS cigar, seq, qual FROM {pairs}
 """
 
-FIXTURES["references"] = "SELECT DISTINCT concat('chr', p_partkey % 6) AS rname FROM {part}"
+FIXTURES["refs"] = "SELECT DISTINCT concat('chr', p_partkey % 6) AS rname FROM {part}"
 
 FIXTURES["features"] = """
 SELECT concat('chr', p_partkey % 5) AS acc, CAST((p_partkey * 41) % 20000 + 1 AS INT) AS start_pos, CAST((p_partkey * 41) % 20000 + 1 + p_size * 12 AS INT) AS end_pos,
