@@ -30,3 +30,11 @@ def query(name: str, *fixtures: str, sql: str | None = None):
         return f
 
     return register
+
+
+def load() -> None:
+    """Import every module of queries, which registers them."""
+    import importlib
+
+    for name in ("reads", "keys", "align", "intervals", "qc", "sampling", "norm", "io"):
+        importlib.import_module(f"seqloom.plans.{name}")
