@@ -65,7 +65,7 @@ def g2_pool_matrix(reads):
     "bc_log",
     sql="""combined AS (SELECT index, barcode, pcnt AS pcnt_of_pool, total AS reads, pcnt / 2 AS pcnt_perfect FROM bc_log WHERE index <> 'idx3'),
 grid AS (SELECT * FROM (SELECT DISTINCT Project_ID AS project, Pool_index AS pool FROM key_table) CROSS JOIN (SELECT DISTINCT bc_seq AS barcode, bc_name FROM barcodes)),
-joined AS (SELECT g.project, coalesce(k.Sample_ID, '-') AS sample, g.barcode, g.pool, c.pcnt_of_pool, c.reads, c.pcnt_perfect, g.bc_name,
+joined AS (SELECT g.project, coalesce(k.Sample_ID, '-') AS sample, g.barcode, g.pool, c.pcnt_of_pool, coalesce(c.reads, -1) AS reads, c.pcnt_perfect, g.bc_name,
  CASE WHEN k.Sample_ID IS NULL THEN 'unkeyed' WHEN g.pool NOT IN (SELECT index FROM combined) THEN 'DATA_MISSING!' ELSE 'ok' END AS status
  FROM grid g LEFT JOIN key_table k ON k.Project_ID = g.project AND k.Pool_index = g.pool AND k.Inline_Seq = g.barcode LEFT JOIN combined c ON c.index = g.pool AND c.barcode = g.barcode)
 SELECT *, CAST(row_number() OVER (PARTITION BY project ORDER BY CASE status WHEN 'ok' THEN 0 WHEN 'DATA_MISSING!' THEN 1 ELSE 2 END, pcnt_of_pool DESC NULLS LAST, pool, barcode, bc_name, sample) AS INT) AS place FROM joined""",
@@ -73,7 +73,7 @@ SELECT *, CAST(row_number() OVER (PARTITION BY project ORDER BY CASE status WHEN
 def g3_inline_distribution(key_table, barcodes, bc_log):
     key = key_table.select(F.col("Project_ID").alias("project"), F.col("Pool_index").alias("pool"), F.col("Inline_Seq").alias("bc"), F.col("Sample_ID").alias("sample"))
     combined = bc_log.filter("index <> 'idx3'").select("index", "barcode", F.col("pcnt").alias("pcnt_of_pool"), F.col("total").alias("reads"), (F.col("pcnt") / 2).alias("pcnt_perfect"))
-    return Q.inline_distribution(key, combined, barcodes)
+    return Q.inline_distribution(key, combined, barcodes).withColumn("reads", F.coalesce("reads", F.lit(-1)))
 
 
 @query(

@@ -26,9 +26,9 @@ def assigned(reads, barcodes):
     return R.assign_barcode(reads, barcodes, RTS)
 
 
-@query("p1_assign_barcode", "reads", "barcodes", sql=ASSIGNED + "SELECT read_id, barcode, distance FROM assigned")
+@query("p1_assign_barcode", "reads", "barcodes", sql=ASSIGNED + "SELECT read_id, barcode, coalesce(distance, -1) AS distance FROM assigned")
 def p1_assign_barcode(reads, barcodes):
-    return assigned(reads, barcodes).select("read_id", "barcode", "distance")
+    return assigned(reads, barcodes).select("read_id", "barcode", F.coalesce("distance", F.lit(-1)).alias("distance"))
 
 
 @query("p2_trim_barcode", "reads", sql="SELECT read_id, substr(r1_seq,10) AS r1_seq, substr(r1_qual,10) AS r1_qual FROM reads")
