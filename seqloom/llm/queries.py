@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from seqloom.llm import mixing
+from seqloom.llm import licence_digests, mixing
 from seqloom.llm.crf_toxicity import op9_crf_toxicity
 from seqloom.llm.hilbert_shards import op1_hilbert_shards
 from seqloom.llm.jpeg_media import op10_jpeg_media
+from seqloom.llm.licence_digests import op6_licence_digests
 from seqloom.llm.line_blocks import op3_line_blocks
 from seqloom.llm.mixing import op4_source_mixing
 from seqloom.llm.simhash_segments import op7_simhash_segments
@@ -21,6 +22,7 @@ QUERIES = {
         op3_line_blocks,
         op4_source_mixing,
         op5_srs_neighbours,
+        op6_licence_digests,
         op7_simhash_segments,
         op8_swap_packing,
         op9_crf_toxicity,
@@ -28,4 +30,4 @@ QUERIES = {
     )
 }
 
-ORACLES = {"op4_source_mixing": mixing.SQL}
+ORACLES = {"op4_source_mixing": mixing.SQL, "op6_licence_digests": licence_digests.SQL}
