@@ -160,7 +160,7 @@ def write_shards(docs: DataFrame, path: str, count: int = SHARDS, files: int = 8
     Rows need distinct doc_ids here, by which texts are joined to their places.
     """
     places = shards(docs, count).select("doc_id", "shard", "slot", "curve")
-    joined = docs.join(places, "doc_id")
+    joined = docs.drop("shard", "slot", "curve").join(places, "doc_id")
     joined.repartitionByRange(count * files, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
 
