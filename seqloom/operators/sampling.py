@@ -56,7 +56,7 @@ def depth_ladder(start_pct: float, end_pct: float, steps: int, repeats: int) ->
     out = []
     for j in range(steps):
         pct = start_pct if steps == 1 else end_pct if j == steps - 1 else 2 ** (low + j * (high - low) / (steps - 1))
-        out += [(j, r, pct) for r in range(1 if pct >= 100 - 1e-9 else repeats)]
+        out += [(j, r, float(pct)) for r in range(1 if pct >= 100 - 1e-9 else repeats)]
     return out
 
 
