@@ -15,7 +15,9 @@ empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,11 +50,23 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that byte-level vocabularies write for each byte: printable ones stand
+    for themselves, the rest take the code points from 256 on, in order."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = (b for b in range(256) if b not in printable)
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 def encoder(path: str):
     """text -> its ids as little-endian 32-bit bytes, by the tokenizer file at ``path``.
 
-    That tokenizer splits at white space and lower-cases, so words are looked up one by one: the
-    ids of a text are those of its words, in order.
+    That tokenizer normalises, lower-cases and splits at white space, so words are looked up one by
+    one: the ids of a text are those of its words, in order. Words of letters up to U+00FF alone are
+    one piece that normalisation leaves as it is, and go straight to the merges.
     """
     if path not in _known:
         import os
@@ -60,11 +74,15 @@ def encoder(path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        _known[path] = (Tokenizer.from_file(path), {})
-    tokenizer, cache = _known[path]
+        tokenizer = Tokenizer.from_file(path)
+        _known[path] = (tokenizer, tokenizer.model, {})
+    tokenizer, merges, cache = _known[path]
+    combining = re.compile("[\u0300-\U0010ffff]")
 
     def encode(text: str) -> bytes:
-        words = text.encode("utf-8", "surrogatepass").lower().split()
+        raw = text.encode("utf-8", "surrogatepass")
+        # marks that combine with letters may do so in one case only, so such texts keep their case here
+        words = (raw.lower() if combining.search(text) is None else raw).split()
         found = list(map(cache.get, words))
         if None in found:
             for i, ids in enumerate(found):
@@ -75,10 +93,15 @@ def encoder(path: str):
     def word_ids(word: bytes) -> bytes:
         ids = cache.get(word)
         if ids is None:
-            if word[-1:] in (b".", b",") and word[-2:-1].isalpha():  # a mark after a letter is a token of its own
+            w = word.decode("utf-8", "surrogatepass")
+            if w.isalpha() and max(w) <= "\xff":
+                w = w.lower()
+                got = merges.tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_LETTERS))
+                ids = array("I", [t.id for t in got]).tobytes()
+            elif w[-1] in ".," and w[-2:-1].isalpha():  # a mark after a letter is a piece of its own
                 ids = word_ids(word[:-1]) + word_ids(word[-1:])
             else:
-                ids = np.array(tokenizer.encode(word.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids, "<u4").tobytes()
+                ids = array("I", tokenizer.encode(w, add_special_tokens=False).ids).tobytes()
             if len(cache) < CACHE_WORDS:
                 cache[word] = ids
         return ids
@@ -141,7 +164,7 @@ def local_search(bins: list[list[int]], lengths: list[int], seq: int = SEQ, step
 
     Each step takes the emptiest bin that is not given up yet and makes the change that carries
     most tokens over to a fuller bin, so the sum of squared fills grows with each. It ends when no
-    bin can empty any more: when the room of all others is less than the emptiest bin holds.
+    change is left, or when all the room together is less than a bin, so that none can empty any more.
     """
     bins = [list(b) for b in bins]
     fill = np.array([sum(lengths[i] for i in b) for b in bins], np.int64)
@@ -156,13 +179,11 @@ def local_search(bins: list[list[int]], lengths: list[int], seq: int = SEQ, step
     for _ in range(steps):
         open_bins = (fill > 0) & (fill < seq)
         candidates = np.nonzero(open_bins & ~given_up)[0]
-        if not candidates.size:
+        if not candidates.size or (seq - fill)[open_bins].sum() < seq:
             break
         source = int(candidates[np.argmin(fill[candidates])])
         room = np.where(open_bins & (fill >= fill[source]), seq - fill, 0)
         room[source] = 0
-        if room.sum() < fill[source]:
-            break
         best: tuple[int, int, int, tuple[int, ...]] = (0, -1, -1, ())
         for i in sorted(bins[source], key=lambda i: -lengths[i]):
             x = lengths[i]
@@ -188,6 +209,7 @@ def local_search(bins: list[list[int]], lengths: list[int], seq: int = SEQ, step
             bins[source].append(j)
         fill[source] -= carried
         fill[to] += carried
+        given_up[:] = False
         keep = (owner != source) & (owner != to)
         entries = [e for e, k in zip(entries, keep.tolist(), strict=True) if k]
         for b in (source, to):
