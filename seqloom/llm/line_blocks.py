@@ -53,7 +53,7 @@ FURNITURE_WORDS = (
 
 _HIDDEN, _FURNITURE, _ARTICLE, _BLOCKS, _VOID, _ROLES = (frozenset(x.split()) for x in (HIDDEN, FURNITURE, ARTICLE, BLOCKS, VOID, ROLES))
 _WORDS = frozenset(FURNITURE_WORDS.split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)>?", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'=]+|=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|[=\"'])*)>?", re.S)
 _ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|itemprop|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _SPACE = re.compile(r"\s+")
 _RAW_ENDS = {name: re.compile(rf"</{name}[\s/>]", re.I) for name in ("script", "style", "noscript", "template", "iframe", "textarea", "title", "svg", "math", "object", "canvas", "select")}

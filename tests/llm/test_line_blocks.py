@@ -26,6 +26,7 @@ def test_odd_pages():
     assert main_text("<script>" + LONG) == ""
     assert main_text("<article>a < b and <b>unclosed") == "a < b and unclosed"
     assert main_text("<article><p>x</div></span></p>y</article>") == "x y"
+    assert main_text("<article><p don't>it's</p><p title='a>b' x=\"c>d\">ok</p></article>") == "it's ok"
     assert main_text("<ARTICLE CLASS='post'><P>Up</P></ARTICLE>") == "Up"
     assert main_text("<article>a<span class='ad'>no</span>b<i>c</i></article>") == "a bc"
     assert main_text("<article><p>" + "word " * 100_000 + "</p></article>") == ("word " * 100_000).strip()
