@@ -22,6 +22,8 @@ toxic if any says so; null labels count as none; other columns are left alone.
 from __future__ import annotations
 
 import re
+import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -29,7 +31,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType, ArrayType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from seqloom.llm.common import table
 
@@ -41,10 +43,13 @@ ROUNDS = 80
 #: A marker occurs in so many toxic training documents at least, and is so much likelier there.
 MIN_DOCS, MIN_RATIO = 3, 10.0
 #: Words whose emission a Python worker remembers, at most.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 300_000
 SPAN_AT = 0.5
+#: Marginals below this are no evidence, and texts count as this many words longer where evidence is put per word.
+NOTICED, SHORT = 0.02, 50
 
 _MARK = re.compile(rb"^[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+|[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+$")
+_W, _P, _S = (zlib.crc32(x) for x in (b"w=", b"p=", b"s="))
 _SPAN = StructType([StructField("start", IntegerType()), StructField("end", IntegerType())])
 _SCORED = StructType([StructField("score", DoubleType()), StructField("spans", ArrayType(_SPAN))])
 
@@ -69,9 +74,23 @@ def names(word: bytes) -> list[str]:
     return [f"w={w}", *(f"p={w[:k]}" for k in range(3, 9) if len(w) >= k), f"s={w[-3:]}"]
 
 
-def slots(found: list[str]) -> list[int]:
-    import zlib
+def word_slots(word: bytes) -> list[int]:
+    """The slots of a word's names; those of beginnings go on from one another."""
+    w = core(word)
+    if not w.isascii():
+        return slots(names(word))
+    raw, crc = w.encode(), zlib.crc32
+    out = [crc(raw, _W) % SLOTS, crc(raw[-3:], _S) % SLOTS]
+    if len(raw) >= 3:
+        at = crc(raw[:3], _P)
+        out.append(at % SLOTS)
+        for k in range(3, min(8, len(raw))):
+            at = crc(raw[k : k + 1], at)
+            out.append(at % SLOTS)
+    return out
 
+
+def slots(found: list[str]) -> list[int]:
     return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % SLOTS for x in found]
 
 
@@ -85,14 +104,16 @@ class Tagger:
     curve: np.ndarray
     prior: float | None = None
     _cache: dict = field(default_factory=dict)
+    _weights: list = field(default_factory=list)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_cache": {}}
+        return self.__dict__ | {"_cache": {}, "_weights": []}
 
     def emission(self, word: bytes) -> float:
         found = self._cache.get(word)
         if found is None:
-            found = float(self.weights[slots(names(word))].sum())
+            self._weights = self._weights or self.weights.tolist()
+            found = sum(map(self._weights.__getitem__, word_slots(word)))
             if len(self._cache) < CACHE_WORDS:
                 self._cache[word] = found
         return found
@@ -153,17 +174,21 @@ def marginals(emit: np.ndarray, first: np.ndarray, trans: np.ndarray, start: np.
     return (both[:, 1] / np.maximum(both.sum(axis=1), 1e-300))[:n]
 
 
-def evidence(p: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Per document: a constant, the greatest marginal, the log of their sum and of it per token."""
-    out = np.zeros((len(bounds) - 1, 4))
+def evidence(p: np.ndarray, bounds: np.ndarray, found: list[list[bytes]]) -> np.ndarray:
+    """Per document: a constant, the greatest log odds of a token, the log of the sum of different words'
+    greatest marginals, the same per word of the text, the log of the sum of those words' positive log
+    odds, and the log of the sum of all marginals."""
+    out = np.zeros((len(found), 6))
     out[:, 0] = 1
-    some = np.diff(bounds) > 0
-    if some.any():
-        at = bounds[:-1][some]
-        total = np.add.reduceat(p, at)
-        out[some, 1] = np.maximum.reduceat(p, at)
-        out[some, 2] = np.log1p(total)
-        out[some, 3] = np.log1p(1000 * total / np.diff(bounds)[some])
+    for k in np.unique(np.searchsorted(bounds, np.nonzero(p > NOTICED)[0], "right") - 1).tolist():
+        own = p[bounds[k] : bounds[k + 1]]
+        best: dict[bytes, float] = {}
+        for i in np.nonzero(own > NOTICED)[0].tolist():
+            w = _MARK.sub(b"", found[k][i])
+            best[w] = max(best.get(w, 0.0), float(own[i]))
+        each = np.clip(np.array(list(best.values())), 1e-6, 1 - 1e-6)
+        odds = np.log(each / (1 - each))
+        out[k, 1:] = max(0.0, odds.max()), np.log1p(each.sum()), np.log1p(1000 * each.sum() / (len(own) + SHORT)), np.log1p(odds[odds > 0].sum()), np.log1p(own.sum())
     return out
 
 
@@ -175,7 +200,7 @@ def tag(tagger: Tagger, texts: list[str | None]) -> tuple[np.ndarray, list[list[
     first = np.zeros(len(emit), bool)
     first[bounds[:-1][np.diff(bounds) > 0]] = True
     p = marginals(emit, first, tagger.trans, tagger.start)
-    return evidence(p, bounds), found, p, bounds
+    return evidence(p, bounds, found), found, p, bounds
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -213,38 +238,46 @@ def _train_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def markers(docs: list[list[bytes]], toxic: np.ndarray) -> set[str]:
     """Words and beginnings that set toxic documents apart."""
-    counts: tuple[dict, dict] = ({}, {})
-    for own, y in zip(docs, toxic, strict=True):
-        c = counts[int(y)]
-        seen: set[str] = set()
-        for w in set(own):
-            seen.update(x for x in names(w) if x[0] == "w" or x[0] == "p" and len(x) >= 6)
-        for x in seen:
-            c[x] = c.get(x, 0) + 1
     n = np.bincount(toxic, minlength=2)
-    clean, bad = counts
-    return {x for x, k in bad.items() if k >= MIN_DOCS and k / n[1] >= MIN_RATIO * (clean.get(x, 0) + 0.5) / n[0] and x not in ("w=", "p=")}
+
+    def count(kind: int, only: set[str] | None) -> dict[str, int]:
+        found: dict[str, int] = {}
+        for own, y in zip(docs, toxic, strict=True):
+            if y == kind:
+                seen = {x for w in set(own) for x in names(w) if x[0] == "w" or x[0] == "p" and len(x) >= 6}
+                for x in seen if only is None else seen & only:
+                    found[x] = found.get(x, 0) + 1
+        return found
+
+    bad = {x: k for x, k in count(1, None).items() if k >= MIN_DOCS and x not in ("w=", "p=")}
+    clean = count(0, set(bad))
+    return {x for x, k in bad.items() if k / n[1] >= MIN_RATIO * (clean.get(x, 0) + 0.5) / n[0]}
 
 
 def _chain(docs: list[list[bytes]], toxic: np.ndarray) -> Tagger:
     """Weights of the chain by full-batch gradient ascent on the windows' log likelihood."""
     marks = markers(docs, toxic)
     index: dict[bytes, int] = {}
-    ids = [np.array([index.setdefault(w, len(index)) for w in d], np.int64) for d in docs]
+    ids = [np.array([index.setdefault(w, len(index)) for w in d], np.int32) for d in docs]
     vocabulary = list(index)
-    marked = np.array([any(x in marks for x in names(w)) for w in vocabulary], bool)
-    feats = [slots(names(w)) for w in vocabulary]
-    owner = np.repeat(np.arange(len(feats)), [len(f) for f in feats])
-    slot = np.array([s for f in feats for s in f], np.int64)
+    marked = np.zeros(len(vocabulary), bool)
+    slot, ends = array("i"), array("q")
+    for k, w in enumerate(vocabulary):
+        found = names(w)
+        marked[k] = not marks.isdisjoint(found)
+        slot.extend(word_slots(w))
+        ends.append(len(slot))
+    slot = np.frombuffer(slot, np.int32)
+    owner = np.repeat(np.arange(len(vocabulary), dtype=np.int32), np.diff(np.frombuffer(ends, np.int64), prepend=0))
     rows, labels = [], []
     for d, y in zip(ids, toxic, strict=True):
         for at in range(0, len(d), WINDOW):
             own = d[at : at + WINDOW]
             hot = marked[own]
             if hot.any() or (at // WINDOW) % 4 == 0:  # windows without markers are plenty: one in four
-                rows.append(np.pad(own, (0, WINDOW - len(own)), constant_values=-1))
-                labels.append(np.pad((hot & bool(y)).astype(np.int64), (0, WINDOW - len(own))))
-    x, y = np.array(rows), np.array(labels)
+                rows.append(np.pad(own, (0, WINDOW - len(own)), constant_values=np.int32(-1)))
+                labels.append(np.pad((hot & bool(y)).astype(np.int8), (0, WINDOW - len(own))))
+    x, y = np.array(rows, np.int32), np.array(labels, np.int8)
     real = x >= 0
     weights, trans, start = np.zeros(SLOTS), np.zeros((2, 2)), np.zeros(2)
     params = [weights, trans, start]
@@ -281,13 +314,13 @@ def _chain(docs: list[list[bytes]], toxic: np.ndarray) -> Tagger:
             mq += 0.1 * (g - mq)
             vq += 0.01 * (g * g - vq)
             q += 0.15 * (mq / (1 - 0.9**step)) / (np.sqrt(vq / (1 - 0.99**step)) + 1e-12) * (g != 0)
-    return Tagger(weights.astype(np.float32), trans, start, np.zeros(4))
+    return Tagger(weights.astype(np.float32), trans, start, np.zeros(6))
 
 
 def _curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Logistic regression by Newton steps with a weak ridge."""
     b = np.zeros(x.shape[1])
-    ridge = np.diag([1e-3, 1e-1, 1e-1, 1e-1])
+    ridge = np.diag([1e-3] + [1e-1] * 5)
     for _ in range(30):
         p = sigmoid(x @ b)
         h = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge
@@ -298,7 +331,7 @@ def _curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame) -> Tagger:
     """Train on the labelled rows of ``docs`` (doc_id, text) that are not held out."""
     spark = docs.sparkSession
-    flat = Tagger(np.zeros(SLOTS, np.float32), np.zeros((2, 2)), np.zeros(2), np.zeros(4), 0.0)
+    flat = Tagger(np.zeros(SLOTS, np.float32), np.zeros((2, 2)), np.zeros(2), np.zeros(6), 0.0)
     known = labels.filter("toxic in (0, 1) and doc_id is not null").filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     shares = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(shares) < 2:
@@ -315,8 +348,6 @@ def fit(docs: DataFrame, labels: DataFrame) -> Tagger:
         return flat
     tokens = [bytes(w).split() for w in own["words"]]
     y = own["toxic"].to_numpy(np.int64)
-    import zlib
-
     aside = np.array([zlib.crc32(f"aside:{d}".encode()) % 3 == 0 for d in own["doc_id"]])
     if len(set(y[aside])) < 2 or len(set(y[~aside])) < 2:
         aside = ~np.zeros(len(y), bool)
@@ -346,7 +377,7 @@ def scorer(tagger: Tagger, spark):
                 continue
             x, _, p, bounds = tag(t, own)
             scores += sigmoid(x @ t.curve).tolist()
-            high = x[:, 1] > SPAN_AT
+            high = x[:, 1] > 0  # some token is likelier toxic than not
             spans += [spans_of(text, p[a:b]) if h else [] for text, a, b, h in zip(own, bounds[:-1], bounds[1:], high.tolist(), strict=True)]
         return pd.DataFrame({"score": scores, "spans": spans})
 
