@@ -346,7 +346,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Tagger:
     if own["toxic"].nunique() < 2:
         flat.prior = shares[1] / sum(shares.values())
         return flat
-    tokens = [bytes(w).split() for w in own["words"]]
+    once: dict[bytes, bytes] = {}
+    tokens = [[once.setdefault(w, w) for w in bytes(x).split()] for x in own.pop("words")]
     y = own["toxic"].to_numpy(np.int64)
     aside = np.array([zlib.crc32(f"aside:{d}".encode()) % 3 == 0 for d in own["doc_id"]])
     if len(set(y[aside])) < 2 or len(set(y[~aside])) < 2:
