@@ -58,7 +58,7 @@ SELECT read_id, file_prefix, ord, r2_seq AS seq, substr(concat(r1_qual, r1_qual)
 FIXTURES["pairs"] = f"""
 SELECT concat(id, ':umi_', substr({bases_of("concat(id,'u')")},1,6)) AS qname, concat('S', l_suppkey % 8) AS sample_id, d, e, f,
   concat('chr', l_partkey % 5) AS acc1, CASE WHEN f = 0 THEN concat('chr', (l_partkey + 1) % 5) ELSE concat('chr', l_partkey % 5) END AS acc2,
-  CAST((l_partkey * 37) % 20000 + 1 AS INT) AS pos1, CAST((l_partkey * 37) % 20000 + 1 + e * 10 AS INT) AS pos2,
+  CAST(l_partkey * 37 + 1 AS INT) AS pos1, CAST(l_partkey * 37 + 1 + e * 10 AS INT) AS pos2,
   CASE WHEN d < 6 THEN 99 WHEN d < 10 THEN 83 WHEN d = 10 THEN 97 WHEN d = 11 THEN 65 WHEN d = 12 THEN 73 WHEN d = 13 THEN 69 WHEN d = 14 THEN 77 ELSE 113 END AS flag1,
   CASE WHEN d < 6 THEN 147 WHEN d < 10 THEN 163 WHEN d = 10 THEN 145 WHEN d = 11 THEN 129 WHEN d = 12 THEN 133 WHEN d = 13 THEN 137 WHEN d = 14 THEN 141 ELSE 177 END AS flag2,
   CASE WHEN e < 12 THEN '48M' WHEN e < 14 THEN '10M2I5M3D' ELSE '5S20M' END AS cigar, CASE WHEN e = 3 THEN 1024 ELSE 0 END AS dup,
@@ -83,7 +83,7 @@ SELECT sample_id, qname, CASE WHEN d < 8 THEN 0 WHEN d < 13 THEN 16 ELSE 4 END A
 FIXTURES["refs"] = "SELECT DISTINCT concat('chr', p_partkey % 6) AS rname FROM {part}"
 
 FIXTURES["features"] = """
-SELECT concat('chr', p_partkey % 5) AS acc, CAST((p_partkey * 41) % 20000 + 1 AS INT) AS start_pos, CAST((p_partkey * 41) % 20000 + 1 + p_size * 12 AS INT) AS end_pos,
+SELECT concat('chr', p_partkey % 5) AS acc, CAST(p_partkey * 41 + 1 AS INT) AS start_pos, CAST(p_partkey * 41 + 1 + p_size * 12 AS INT) AS end_pos,
   CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS strand,
   CASE p_partkey % 7 WHEN 0 THEN 'rRNA' WHEN 1 THEN 'tRNA' WHEN 2 THEN 'ncRNA' WHEN 3 THEN 'misc_RNA' ELSE 'CDS' END AS type,
   concat('F', p_partkey) AS name
