@@ -38,7 +38,7 @@ STEPS = 1000
 #: Smallest pieces of a bin that two-for-one exchanges may pair.
 PAIRED = 12
 #: Words whose ids a Python worker remembers, at most.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 600_000
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _known: dict[str, tuple] = {}
