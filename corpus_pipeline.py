@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqloom.llm import crf_toxicity, mixing, simhash_segments, swap_packing
+from seqloom.llm import crf_toxicity, mixing, shingle_copies, simhash_segments, swap_packing
 from seqloom.llm.common import shared_folder, table
 
 
@@ -26,10 +26,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that of the smallest doc_id.
 
+    Near copies are texts whose five-word shingles have a Jaccard similarity of 0.8 or more.
+
     Null, empty and blank texts are copies of each other; rows that repeat a doc_id are one document,
     of which one row stays; rows without doc_id stay.
     """
-    return simhash_segments.keep_one(docs)
+    return simhash_segments.keep_one(docs, shingle_copies.near_copies)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

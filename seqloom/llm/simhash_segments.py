@@ -20,7 +20,7 @@ with one doc_id are one document; rows without doc_id get a null component; colu
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -184,12 +184,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return base.join(named, "fp", "left").select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with the document of the smallest doc_id of each component; other columns stay.
+def keep_one(docs: DataFrame, linked: Callable[[DataFrame], DataFrame] = near_duplicates) -> DataFrame:
+    """``docs`` with the document of the smallest doc_id of each component of ``linked``; other columns stay.
 
     Rows without doc_id stay; of rows that repeat a doc_id one stays.
     """
-    found = durable(near_duplicates(docs))
+    found = durable(linked(docs))
     gone = durable(found.filter("doc_id <> component_id").select("doc_id").distinct())
     kept = docs.join(sized_broadcast(gone), "doc_id", "left_anti").select(*docs.columns)
     repeated = found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").limit(1).count()
