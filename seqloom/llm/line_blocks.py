@@ -9,8 +9,10 @@ summed along the page: a surge is where the sum rises above ``SURGE`` after an e
 is where it falls to nothing, and the lines between the two are kept, short ones included. Inside an
 article element any text is enough for a surge, and a stretch is not ended by furniture within it.
 
-If a page names its article (``article``, ``main`` or an articleBody), only stretches there are kept;
-else the stretches with at least ``SHARE`` of the longest one's text.
+If a page names its article (``article``, ``main`` or an articleBody), only stretches there are kept.
+Else, if no stretch surges, the longest one is the text; and stretches that do not surge are kept, too,
+between kept ones and where they have a line in the same container as one (the innermost block that is
+not itself a kind of paragraph).
 
 Rules: null and empty pages give an empty text; unclosed and stray tags are put up with; text of any
 length is worked through once, from start to end; repeated rows are extracted each; an empty table
@@ -32,7 +34,6 @@ from seqloom.llm.common import table
 
 WINDOW = 3
 SURGE = 60
-SHARE = 0.25
 LINKED = 0.6
 
 # Element names and the words of classes and ids that mark page furniture.
@@ -43,6 +44,7 @@ BLOCKS = (
     "address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul video"
 )
+PARAGRAPHS = "p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre address br hr"
 VOID = "area base br col embed hr img input link meta param source track wbr"
 ROLES = "navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog"
 FURNITURE_WORDS = (
@@ -53,6 +55,7 @@ FURNITURE_WORDS = (
 
 _HIDDEN, _FURNITURE, _ARTICLE, _BLOCKS, _VOID, _ROLES = (frozenset(x.split()) for x in (HIDDEN, FURNITURE, ARTICLE, BLOCKS, VOID, ROLES))
 _WORDS = frozenset(FURNITURE_WORDS.split())
+_CONTAINERS = _BLOCKS - frozenset(PARAGRAPHS.split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'=]+|=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|[=\"'])*)>?", re.S)
 _ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|itemprop|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _SPACE = re.compile(r"\s+")
@@ -77,10 +80,11 @@ def _marks(attributes: str, within: bool) -> tuple[bool, bool]:
     return furniture, article
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
-    """(text, characters in links, furniture, article) of every line of the page, empty ones left out."""
-    out: list[tuple[str, int, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, furniture, article
+def lines_of(page: str) -> list[tuple[str, int, bool, bool, int]]:
+    """(text, characters in links, furniture, article, container) of every line of the page, empty ones left out."""
+    out: list[tuple[str, int, bool, bool, int]] = []
+    stack: list[tuple[str, bool, bool, int]] = []  # name, furniture, article, container around it
+    container = opened = 0
     parts: list[str] = []
     linked = links = 0
     furniture = article = 0
@@ -90,7 +94,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
         nonlocal linked
         text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
         if text:
-            out.append((text, linked, furniture > 0, article > 0))
+            out.append((text, linked, furniture > 0, article > 0, container))
         parts.clear()
         linked = 0
 
@@ -118,16 +122,22 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
                 links = 0
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
-                    if any(f or a for _, f, a in stack[k:]):
+                    if any(f or a for _, f, a, _ in stack[k:]):
                         close()
-                    for _, f, a in stack[k:]:
+                    container = stack[k][3]
+                    for _, f, a, _ in stack[k:]:
                         furniture -= f
                         article -= a
                     del stack[k:]
                     break
             continue
         if name in _RAW_ENDS:
+            closed = found[3].endswith("/")
+            if closed and name in ("svg", "math"):
+                continue
             stop = _RAW_ENDS[name].search(page, at)
+            if closed and not stop:  # written as closed, and nothing else closes it
+                continue
             at = page.find(">", stop.start()) + 1 or end if stop else end
             continue
         if name == "a":
@@ -146,7 +156,9 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
                 stack.pop()
         if f or a:
             close()
-        stack.append((name, f, a))
+        stack.append((name, f, a, container))
+        if name in _CONTAINERS:
+            container = opened = opened + 1
         furniture += f
         article += a
     close()
@@ -158,18 +170,28 @@ def main_text(page: str | None) -> str:
     lines = lines_of(page or "")
     if not lines:
         return ""
-    named = any(a and not f for _, _, f, a in lines)
-    surge, share = (0, 0.0) if named else (SURGE, SHARE)
+    named = any(a and not f for _, _, f, a, _ in lines)
     size = np.zeros(len(lines) + 2 * WINDOW, np.int64)  # empty lines around the page, so that its ends are dives
-    for k, (text, linked, furniture, article) in enumerate(lines):
+    for k, (text, linked, furniture, article, _) in enumerate(lines):
         if not (furniture or named and not article or not named and linked > LINKED * len(text)):
             size[k + WINDOW] = len(text)
     sums = np.convolve(size, np.ones(WINDOW, np.int64), "valid")  # sums[k]: lines k to k + WINDOW - 1
     up = np.nonzero((sums[1:] > 0) & (sums[:-1] == 0))[0] + 1
     down = np.nonzero((sums[1:] == 0) & (sums[:-1] > 0))[0] + 1
-    kept = [(a, b + WINDOW - 1, int(size[a : b + WINDOW - 1].sum())) for a, b in zip(up.tolist(), down.tolist(), strict=True) if sums[a:b].max() > surge]
-    most = max((n for _, _, n in kept), default=0)
-    return " ".join(lines[k - WINDOW][0] for a, b, n in kept if n >= share * most for k in range(a, b) if size[k])
+    found = [(a, b + WINDOW - 1, int(sums[a:b].max())) for a, b in zip(up.tolist(), down.tolist(), strict=True)]
+    kept = found if named else _kept(found, size, [line[4] for line in lines])
+    return " ".join(lines[k - WINDOW][0] for a, b, _ in kept for k in range(a, b) if size[k])
+
+
+def _kept(found: list[tuple[int, int, int]], size: np.ndarray, containers: list[int]) -> list[tuple[int, int, int]]:
+    """The stretches (start, end, surge) of a page without an article element that are its text."""
+    sure = [k for k, (_, _, most) in enumerate(found) if most > SURGE]
+    if not sure and found:
+        sure = [max(range(len(found)), key=lambda k: int(size[found[k][0] : found[k][1]].sum()))]
+    own = [{containers[k - WINDOW] for k in range(a, b) if size[k]} for a, b, _ in found]
+    shared = set().union(*(own[k] for k in sure))
+    near = [k for k in range(len(found)) if own[k] & shared]
+    return found[near[0] : near[-1] + 1] if near else []
 
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

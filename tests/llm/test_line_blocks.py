@@ -40,3 +40,18 @@ def test_rows(spark):
     got = extracted(df).collect()
     assert [(r["page_id"], r["url"], r["text"], r["n_chars"]) for r in got] == [(1, "u", WANT, len(WANT))] * 2 + [(2, None, "", 0), (None, "v", "", 0)]
     assert extracted(df.limit(0)).count() == 0
+
+
+def test_short_and_parted_text_without_an_article_element():
+    assert main_text("<body><p>One paragraph of a page, and short.</p></body>") == "One paragraph of a page, and short."
+    adverts = "<div class=ad>Buy</div>" * 3
+    assert main_text(f"<div><p>{'word ' * 200}</p>{adverts}<p>{'end ' * 50}</p></div>") == ("word " * 200 + "end " * 50).strip()
+    assert main_text(f"<div><p>{LONG}</p>{adverts}<p>Short.</p>{adverts}<p>{LONG}</p></div>") == f"{LONG} Short. {LONG}"
+    assert main_text(f"<div><p>{LONG}</p></div>{adverts}<div>(c)</div>") == LONG
+
+
+def test_self_closed_elements_end_at_once():
+    for name in ("svg", "math", "iframe src='x'"):
+        assert main_text(f"<article><p>one</p><{name}/><p>two</p></article>") == "one two"
+    assert main_text("<article><svg/><p>two</p><svg><title>no</title></svg></article>") == "two"
+    assert main_text("<article><iframe/>no</iframe><p>two</p></article>") == "two"
