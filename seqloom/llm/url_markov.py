@@ -7,12 +7,13 @@ rest of the mass goes to the shorter context. A URL's score is the difference of
 likelihoods per byte. The threshold is calibrated on ruled URLs that the models were not counted
 on, where it makes the mean of the two error rates least.
 
-Counts cover all ruled URLs. Contexts are hashed to ``BUCKETS`` slots per order, so the tables that
-the executors get have a fixed size; each batch is counted in numpy and only its sums are shuffled,
-so no host or repeated URL gathers in a task.
+Counts cover all ruled URLs, whole, with query and fragment; host and path are for the rules only.
+Counts are kept by the true context (order, bytes before, next byte), so the tables that the driver
+collects and the executors get grow with the different contexts (16 bytes each); each batch is counted
+in numpy and only its sums are shuffled, so no host or repeated URL gathers in a task.
 
-Rules: null URLs and those without ``://`` have empty host and path and fit no rule; their verdict
-compares the score of the empty string, zero, with the threshold. Without ruled URLs of both kinds
+Rules: null URLs and those without ``://`` have empty host and path and fit no rule; a null URL is
+scored as the empty string, zero. Without ruled URLs of both kinds
 the threshold is zero and everything unruled is allowed. Repeated rows are judged each; an empty
 table gives no rows; other columns are not read.
 """
@@ -32,8 +33,7 @@ from seqloom.llm.common import table
 #: (verdict, host, path): a rule fits its host and all subdomains if the path starts with its path.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 ORDER = 4
-BUCKETS = 1 << 12
-SYMBOLS = 128
+SYMBOLS = 256
 #: One ruled URL in so many is kept from the models for calibration, by hash.
 ASIDE = 5
 #: Score steps of the calibration histogram.
@@ -64,15 +64,15 @@ def _bytes(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     pad = b"\x00" * ORDER
     flat = np.frombuffer(b"".join(pad + r for r in raw), np.uint8)
-    return np.minimum(flat, SYMBOLS - 1).astype(np.int64), np.array([len(r) for r in raw], np.int64)
+    return flat.astype(np.int64), np.array([len(r) for r in raw], np.int64)
 
 
 def _contexts(symbols: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
-    """Slot of the context of each order 0..ORDER at the positions ``at``."""
+    """The context of each order 0..ORDER at the positions ``at``: the order and the bytes before, as one number."""
     out, h = [np.zeros(len(at), np.int64)], np.zeros(len(at), np.int64)
     for k in range(1, ORDER + 1):
-        h = (h * 1_000_003 + symbols[at - k] + 1) & 0x7FFFFFFF
-        out.append(((h * 2_654_435_761) >> 13) % BUCKETS)
+        h = h | symbols[at - k] << 8 * (k - 1)
+        out.append(k << 8 * ORDER | h)
     return out
 
 
@@ -88,23 +88,32 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             symbols, lengths = _bytes(own["url"].tolist())
             at, _ = _positions(lengths)
             found = []
-            for order, slot in enumerate(_contexts(symbols, at)):
-                keys, n = np.unique((order * BUCKETS + slot) * SYMBOLS + symbols[at], return_counts=True)
+            for context in _contexts(symbols, at):
+                keys, n = np.unique(context * SYMBOLS + symbols[at], return_counts=True)
                 found.append(pd.DataFrame({"kind": np.int32(kind), "key": keys, "n": n}))
             yield pd.concat(found)
 
 
+def _at(known: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """The values of the ``asked`` keys among the sorted ``known`` ones, zero for others."""
+    if not len(known):
+        return np.zeros((len(asked), *values.shape[1:]))
+    place = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+    hit = known[place] == asked
+    return values[place] * hit.reshape(-1, *[1] * (values.ndim - 1))
+
+
 class Models:
-    """Byte counts of both kinds of URLs, dense and of fixed size."""
+    """Byte counts of both kinds of URLs: sorted keys with counts, contexts with totals and different bytes."""
 
     def __init__(self, rows: pd.DataFrame):
-        self.n = np.zeros((2, (ORDER + 1) * BUCKETS, SYMBOLS), np.float32)
-        flat = self.n.reshape(2, -1)
+        self.of = []
         for kind in (0, 1):
-            own = rows[rows["kind"] == kind]
-            flat[kind, own["key"].to_numpy(np.int64)] = own["n"].to_numpy(np.float32)
-        self.total = self.n.sum(axis=2)
-        self.kinds = (self.n > 0).sum(axis=2).astype(np.float32)
+            own = rows[rows["kind"] == kind].sort_values("key")
+            keys, n = own["key"].to_numpy(np.int64), own["n"].to_numpy(np.float64)
+            contexts, first, kinds = np.unique(keys // SYMBOLS, return_index=True, return_counts=True)
+            total = np.add.reduceat(n, first) if len(n) else n
+            self.of.append((keys, n, contexts, np.column_stack([total, kinds]).astype(np.float64)))
 
     def scores(self, texts: Sequence[str]) -> np.ndarray:
         """Per text the log likelihood under allowed minus that under blocked URLs, per byte."""
@@ -114,10 +123,10 @@ class Models:
         contexts = _contexts(symbols, at)
         for kind, sign in ((1, 1.0), (0, -1.0)):
             p = np.full(len(at), 1.0 / SYMBOLS)
-            for order, slot in enumerate(contexts):
-                slot = order * BUCKETS + slot
-                total, kinds = self.total[kind, slot], self.kinds[kind, slot]
-                p = np.where(total > 0, (self.n[kind, slot, here] + kinds * p) / np.maximum(total + kinds, 1), p)
+            keys, n, known, seen = self.of[kind]
+            for context in contexts:
+                total, kinds = _at(known, seen, context).T
+                p = np.where(total > 0, (_at(keys, n, context * SYMBOLS + here) + kinds * p) / np.maximum(total + kinds, 1), p)
             diff += sign * np.log(p)
         return np.bincount(owner, diff, len(texts)) / np.maximum(lengths, 1)
 
@@ -142,10 +151,10 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> Da
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     parts = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
     rule, ruled = rule_of(F.col("host"), F.col("path"), rules)
-    seen = parts.withColumn("rule", rule).withColumn("ruled", ruled).withColumn("text", F.concat("host", "path"))
+    seen = parts.withColumn("rule", rule).withColumn("ruled", ruled).withColumn("text", F.coalesce("url", F.lit("")))
     known = seen.filter("ruled is not null").select(F.when(F.col("ruled") == "allow", 1).otherwise(0).alias("kind"), F.col("text").alias("url"), (F.pmod(F.xxhash64("text"), F.lit(ASIDE)) == 0).alias("aside"))
     counts = known.filter("not aside").select("kind", "url").mapInPandas(_count, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
-    rows = pd.DataFrame([(r[0], r[1], r[2]) for r in counts.collect()], columns=["kind", "key", "n"])  # at most 2 * (ORDER + 1) * BUCKETS * SYMBOLS, mostly far fewer
+    rows = counts.toArrow().to_pandas()  # a row for each different context and next byte
     shared = spark.sparkContext.broadcast(Models(rows))
 
     @F.pandas_udf(DoubleType())

@@ -68,3 +68,22 @@ def test_witten_bell_by_hand():
     for text in ("a", "ab", "ba", "bb"):
         assert abs(models.scores([text])[0] - (p(1, text) - p(0, text)) / len(text)) < 1e-5
     assert models.scores([""])[0] == 0
+
+
+def test_whole_urls_of_all_bytes_are_scored(spark):
+    ruled = [f"http://w.org/fr/?q=story-é{i}" for i in range(40)] + [f"http://z.net/?q=casino-ü{i}" for i in range(40)]
+    asked = ["http://o.biz/?q=story", "http://o.biz/?q=casino", "story-1", "casino-1", "http://o.biz/é", "http://o.biz/ü"]
+    df = spark.createDataFrame(list(enumerate(ruled + asked)), "page_id long, url string")
+    score = {r["page_id"]: r["score"] for r in U.judge(df).collect()}
+    for k in range(len(ruled), len(ruled) + len(asked), 2):
+        assert score[k] > score[k + 1]
+
+
+def test_contexts_are_not_shared():
+    import numpy as np
+
+    r = np.random.default_rng(1)
+    symbols = r.integers(0, 256, 200_004)
+    at = np.arange(4, len(symbols))
+    for order, found in enumerate(U._contexts(symbols, at)):
+        assert len(np.unique(found)) == len({tuple(symbols[k - order : k].tolist()) for k in at.tolist()})
