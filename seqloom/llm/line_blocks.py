@@ -2,17 +2,16 @@
 
 Markup is stripped so that every block element is a line: scripts, styles, comments and the like
 vanish, block tags and ``br`` end a line, other tags leave no trace, character references are
-decoded, and white space inside a line becomes one space. Lines of page furniture (menus, headers,
-footers, sidebars, notices, adverts, forms and reader comments, told by element, role, class or id,
-or by being almost all links) count as empty. The text lengths of ``WINDOW`` lines in a row are then
-summed along the page: a surge is where the sum rises above ``SURGE`` after an empty stretch, a dive
-is where it falls to nothing, and the lines between the two are kept, short ones included. Inside an
-article element any text is enough for a surge, and a stretch is not ended by furniture within it.
-
-If a page names its article (``article``, ``main`` or an articleBody), only stretches there are kept.
-Else, if no stretch surges, the longest one is the text; and stretches that do not surge are kept, too,
-between kept ones and where they have a line in the same container as one (the innermost block that is
-not itself a kind of paragraph).
+decoded, and white space inside a line becomes one space. Markup then weighs the lines: those of page
+furniture (menus, headers, footers, sidebars, notices, adverts, forms and reader comments, told by
+element, role, class or id, or by being almost all links) and, where a page names its article
+(``article``, ``main`` or an articleBody), those outside of it count nothing; others count their length.
+
+On every page the weights of ``WINDOW`` lines in a row are summed. A stretch of lines runs from where
+the sums leave zero to where they dive back to it. It surges if one of its sums is more than ``SURGE``
+of the page's largest, and the lines of stretches that surge are the text. A stretch that does not surge
+is kept only between kept ones, or where it has a line in the same container as one (the innermost block
+that is not itself a kind of paragraph); so short paragraphs stay and stray lines go.
 
 Rules: null and empty pages give an empty text; unclosed and stray tags are put up with; text of any
 length is worked through once, from start to end; repeated rows are extracted each; an empty table
@@ -23,17 +22,17 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from seqloom.llm.common import table
 
 WINDOW = 3
-SURGE = 60
+#: A stretch surges above this part of the page's largest sum.
+SURGE = 0.05
 LINKED = 0.6
 
 # Element names and the words of classes and ids that mark page furniture.
@@ -165,33 +164,33 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool, int]]:
     return out
 
 
+def stretches(size: Sequence[int]) -> list[tuple[int, int, int]]:
+    """(first line, line after the last, largest sum) between each rise of the sums of ``WINDOW`` lines from zero and the dive back to it."""
+    edge = np.zeros(WINDOW, np.int64)  # empty lines around the page, so that its ends are dives
+    sums = np.convolve(np.concatenate([edge, np.asarray(size, np.int64), edge]), np.ones(WINDOW, np.int64), "valid")
+    up = np.nonzero((sums[1:] > 0) & (sums[:-1] == 0))[0] + 1
+    down = np.nonzero((sums[1:] == 0) & (sums[:-1] > 0))[0] + 1
+    # the line that a rising block took in is its last one; the one that a diving block lost is that before it
+    return [(a - 1, b - WINDOW, int(sums[a:b].max())) for a, b in zip(up.tolist(), down.tolist(), strict=True)]
+
+
+def kept_stretches(size: Sequence[int], containers: Sequence[int]) -> list[tuple[int, int]]:
+    """(first line, line after the last) of the stretches that are text."""
+    found = stretches(size)
+    top = max((most for _, _, most in found), default=0)
+    own = [{containers[k] for k in range(a, b) if size[k]} for a, b, _ in found]
+    shared = set().union(*(c for c, (_, _, most) in zip(own, found, strict=True) if most > SURGE * top))
+    near = [k for k, c in enumerate(own) if c & shared]
+    return [(a, b) for a, b, _ in found[near[0] : near[-1] + 1]] if near else []
+
+
 def main_text(page: str | None) -> str:
     """The page's lines between surges and dives of the line-block distribution."""
     lines = lines_of(page or "")
-    if not lines:
-        return ""
     named = any(a and not f for _, _, f, a, _ in lines)
-    size = np.zeros(len(lines) + 2 * WINDOW, np.int64)  # empty lines around the page, so that its ends are dives
-    for k, (text, linked, furniture, article, _) in enumerate(lines):
-        if not (furniture or named and not article or not named and linked > LINKED * len(text)):
-            size[k + WINDOW] = len(text)
-    sums = np.convolve(size, np.ones(WINDOW, np.int64), "valid")  # sums[k]: lines k to k + WINDOW - 1
-    up = np.nonzero((sums[1:] > 0) & (sums[:-1] == 0))[0] + 1
-    down = np.nonzero((sums[1:] == 0) & (sums[:-1] > 0))[0] + 1
-    found = [(a, b + WINDOW - 1, int(sums[a:b].max())) for a, b in zip(up.tolist(), down.tolist(), strict=True)]
-    kept = found if named else _kept(found, size, [line[4] for line in lines])
-    return " ".join(lines[k - WINDOW][0] for a, b, _ in kept for k in range(a, b) if size[k])
-
-
-def _kept(found: list[tuple[int, int, int]], size: np.ndarray, containers: list[int]) -> list[tuple[int, int, int]]:
-    """The stretches (start, end, surge) of a page without an article element that are its text."""
-    sure = [k for k, (_, _, most) in enumerate(found) if most > SURGE]
-    if not sure and found:
-        sure = [max(range(len(found)), key=lambda k: int(size[found[k][0] : found[k][1]].sum()))]
-    own = [{containers[k - WINDOW] for k in range(a, b) if size[k]} for a, b, _ in found]
-    shared = set().union(*(own[k] for k in sure))
-    near = [k for k in range(len(found)) if own[k] & shared]
-    return found[near[0] : near[-1] + 1] if near else []
+    size = [0 if furniture or (not article if named else linked > LINKED * len(text)) else len(text) for text, linked, furniture, article, _ in lines]
+    kept = kept_stretches(size, [line[4] for line in lines])
+    return " ".join(lines[k][0] for a, b in kept for k in range(a, b) if size[k])
 
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -1,4 +1,8 @@
-from seqloom.llm.line_blocks import extracted, lines_of, main_text
+from hypothesis import given
+from hypothesis import strategies as st
+
+from seqloom.llm import line_blocks
+from seqloom.llm.line_blocks import extracted, kept_stretches, lines_of, main_text, stretches
 
 LONG = "This is a paragraph of some length that a reader would come here to read, and it goes on for a while."
 PAGE = f"""<!DOCTYPE html><html lang="en"><head><title>T &amp; t</title><style>p{{margin:0}}</style><script>var t="</p><article>no</article>";</script></head><body class="header-page">
@@ -55,3 +59,37 @@ def test_self_closed_elements_end_at_once():
         assert main_text(f"<article><p>one</p><{name}/><p>two</p></article>") == "one two"
     assert main_text("<article><svg/><p>two</p><svg><title>no</title></svg></article>") == "two"
     assert main_text("<article><iframe/>no</iframe><p>two</p></article>") == "two"
+
+
+@given(st.lists(st.sampled_from([0, 0, 1, 5, 30, 400]), max_size=40), st.data())
+def test_stretches_and_choice_by_brute_force(size, data):
+    w = line_blocks.WINDOW
+    containers = data.draw(st.lists(st.integers(0, 3), min_size=len(size), max_size=len(size)))
+    runs, gap = [], w  # a run ends when w empty lines in a row make a block's sum zero
+    for k, n in enumerate(size):
+        if n and gap >= w:
+            runs.append([k, k + 1])
+        elif n:
+            runs[-1][1] = k + 1
+        gap = 0 if n else gap + 1
+    block = [sum(size[max(0, k) : k + w]) for k in range(1 - w, len(size))]
+    want = [(a, b, max(block[k + w - 1] for k in range(a - w + 1, b))) for a, b in runs]
+    assert stretches(size) == want
+    sure = [r for r in want if r[2] > line_blocks.SURGE * max(block)]
+    at = {containers[k] for a, b, _ in sure for k in range(a, b) if size[k]}
+    near = [i for i, (a, b, _) in enumerate(want) if any(size[k] and containers[k] in at for k in range(a, b))]
+    assert kept_stretches(size, containers) == ([r[:2] for r in want[near[0] : near[-1] + 1]] if near else [])
+
+
+def test_window_and_surge_decide_on_pages_that_name_their_article(monkeypatch):
+    advert = "<div class=ad>Buy</div>"
+    near, far = (f"<article><p>{LONG}</p>{advert * n}<div><p>End.</p></div></article>" for n in (2, 3))
+    assert main_text(near) == f"{LONG} End."
+    assert main_text(far) == LONG  # the sums dive, and do not surge again
+    monkeypatch.setattr(line_blocks, "WINDOW", 2)
+    assert main_text(near) == LONG
+    monkeypatch.setattr(line_blocks, "WINDOW", 4)
+    assert main_text(far) == f"{LONG} End."
+    monkeypatch.setattr(line_blocks, "WINDOW", 3)
+    monkeypatch.setattr(line_blocks, "SURGE", 0.01)
+    assert main_text(far) == f"{LONG} End."
