@@ -1,4 +1,4 @@
-"""Approximate nearest neighbours through a few stable projections and kd-trees.
+"""Approximate nearest neighbours through a few stable projections and a kd-tree.
 
 Unit vectors are projected to ``DIMS`` Gaussian (2-stable) coordinates: the squared projected
 distance of two vectors, divided by their squared true distance, follows a chi-square law with
@@ -7,18 +7,21 @@ verified on the original vectors; once nothing left is nearer in projection than
 a query ends if r^2 >= chi2_quantile(CONFIDENCE) * d_k^2, as each true neighbour would have come by
 then with that probability.
 
-The index has two levels. A kd-tree fitted on a bounded sample of the projections (``SAMPLE``
-vectors) cuts the space into cells of about ``CELL_ROWS`` vectors; every vector is indexed in its
-cell, and an overfull cell is split by hash into blocks. Each block is one group with a kd-tree of
-its own. A query first visits its own cell; the distances found there decide which other cells
-the same chi-square test leaves open, and only those are visited.
+A kd-tree fitted on a bounded sample of the projections (``SAMPLE`` vectors) cuts the space into
+cells of about ``CELL_ROWS`` vectors; every vector is indexed in its cell, and an overfull cell is
+split by hash into blocks. A query first visits its own cell; the distances found there decide
+which other cells the same chi-square test leaves open, and only those are visited. A visited cell's
+queries are dealt by hash into chunks, so a group is one block of data and one chunk of queries,
+both of bounded rows and values. In a group, only projected neighbours within the test's limit are
+verified, nearest first, and the limit shrinks with each better neighbour.
 
 Equal vectors are kept once, with as many of their smallest ids as can ever be returned, so a
 vector that a third of all rows share costs one candidate. Nothing grows on the driver: the sample,
 the cells and their counts are bounded.
 
-Rules: null, zero and non-finite vectors, and those of another length than most, take no part; so
-do rows without vec_id; rows that repeat a vec_id count as one id; ties go to the smaller vec_id;
+Rules: null, zero and non-finite vectors take no part; so do rows without vec_id; vectors of
+different lengths have no cosine, so each meets those of its own length, and lengths other than the
+commonest have one cell; rows that repeat a vec_id count as one id; ties go to the smaller vec_id;
 an empty table gives no rows.
 """
 
@@ -36,12 +39,15 @@ from pyspark.sql import functions as F
 from seqloom.llm.common import durable, sized_broadcast, table
 
 K = 5
-DIMS = 8
-CONFIDENCE = 0.98
+DIMS = 24
+CONFIDENCE = 0.95
 SAMPLE = 20_000
-CELL_ROWS = 4096
+CELL_ROWS = 8192
 MAX_CELLS = 4096
-LEAF_ROWS = 64
+#: Most queries of a group, and most numbers of its data, of its queries and of a table of projected distances.
+QUERY_ROWS, VALUES = 4096, 1 << 21
+#: Projected neighbours that are verified before the first stopping test; each further step takes twice as many.
+FIRST = 64
 SEED = 20
 
 
@@ -66,6 +72,11 @@ def projection(length: int) -> np.ndarray:
     return np.random.default_rng(SEED).standard_normal((length, DIMS))
 
 
+def _rows(length: int, most: int) -> int:
+    """Rows of vectors of ``length`` numbers in a group, at most."""
+    return max(1, min(most, VALUES // length))
+
+
 def _matrix(vectors) -> np.ndarray:
     return np.array([np.asarray(v, np.float64) for v in vectors]).reshape(len(vectors), -1)
 
@@ -123,141 +134,174 @@ class Cells:
         return (below**2 + above**2).sum(axis=2)
 
 
-def _leaves(points: np.ndarray) -> list[np.ndarray]:
-    """Rows of each leaf of a kd-tree with at most LEAF_ROWS points in a leaf."""
-    out, todo = [], [np.arange(len(points))]
-    while todo:
-        own = todo.pop()
-        if len(own) <= LEAF_ROWS:
-            out.append(own)
-            continue
-        d = int(np.argmax(np.ptp(points[own], axis=0)))
-        order = np.argsort(points[own, d], kind="stable")
-        half = len(own) // 2
-        todo += [own[order[:half]], own[order[half:]]]
-    return out
+def _nearest(gap: np.ndarray, similarity, k: int, worst: float) -> tuple[np.ndarray, int]:
+    """The rows of a query's nearest vectors, and how many were verified.
 
-
-def search_block(data: pd.DataFrame, queries: pd.DataFrame, k: int) -> list[tuple]:
-    """(qkey, ids, score) of each query's nearest verified vectors in one block."""
+    gap: squared projected distances (used up); similarity: cosines of given rows; worst: squared
+    distance that the k-th nearest is known not to exceed.
+    """
+    limit = chi2_quantile(CONFIDENCE, DIMS)
+    rows, score, seen, step = np.zeros(0, np.int64), np.zeros(0), 0, FIRST
+    order = np.argpartition(gap, FIRST)[:FIRST] if len(gap) > FIRST else np.arange(len(gap))
+    while True:
+        own = order[:step]
+        own = own[gap[own] <= limit * worst]
+        if not own.size:  # nothing left is near enough in projection
+            return rows, seen
+        seen += own.size
+        rows, score = np.concatenate([rows, own]), np.concatenate([score, similarity(own)])
+        best = np.lexsort((rows, -score))[:k]
+        rows, score = rows[best], score[best]
+        if len(rows) == k:
+            worst = min(worst, max(0.0, 2 - 2 * float(score[-1])))
+        if step == FIRST:  # those that the nearest ones leave open, in order
+            gap[order] = np.inf
+            order = np.nonzero(gap <= limit * worst)[0]
+            order = order[np.argsort(gap[order], kind="stable")]
+        else:
+            order = order[step:]
+        step *= 2
+
+
+def search_block(data: pd.DataFrame, queries: pd.DataFrame, k: int, verified: list[int] | None = None) -> list[tuple]:
+    """(qkey, ids, score) of each query's nearest verified vectors in one block.
+
+    ``verified`` gets the number of vectors that were verified for each query.
+    """
     if data.empty or queries.empty:
         return []
     data = data.sort_values("node", ignore_index=True)
     raw, asked = _matrix(data["vec"]), _matrix(queries["vec"])
-    norm = np.sqrt((raw * raw).sum(axis=1))
+    norm, q_norm = (np.sqrt((x * x).sum(axis=1)) for x in (raw, asked))
     g = projection(raw.shape[1])
-    points = (raw / norm[:, None]) @ g
-    leaves = _leaves(points)
-    lows = np.array([points[own].min(axis=0) for own in leaves])
-    highs = np.array([points[own].max(axis=0) for own in leaves])
-    limit = chi2_quantile(CONFIDENCE, DIMS)
+    points, places = (raw / norm[:, None]) @ g, (asked / q_norm[:, None]) @ g
+    square = (points * points).sum(axis=1)
     out: list[tuple] = []
-    for q, qkey, bound in zip(asked, queries["qkey"], queries["bound"], strict=True):
-        q_norm = math.sqrt((q * q).sum())
-        p = (q / q_norm) @ g
-        gap2 = (np.maximum(lows - p, 0) ** 2 + np.maximum(p - highs, 0) ** 2).sum(axis=1)
-        order = np.argsort(gap2, kind="stable")
-        score, rows = np.zeros(0), np.zeros(0, np.int64)
-        at, step, worst = 0, 1, float(bound)
-        while at < len(order) and gap2[order[at]] <= limit * worst:
-            own = np.concatenate([leaves[n] for n in order[at : at + step]])
-            rows = np.concatenate([rows, own])
-            score = np.concatenate([score, (raw[own] * q).sum(axis=1) / (norm[own] * q_norm)])
-            if len(rows) > k:
-                best = np.lexsort((rows, -score))[:k]
-                rows, score = rows[best], score[best]
-            if len(rows) >= k:
-                worst = min(worst, max(0.0, 2 - 2 * float(score[-1])))
-            at, step = at + step, step * 2
-        order = np.lexsort((rows, -score))[:k]
-        out += [(qkey, data["ids"].iat[rows[j]], float(score[j])) for j in order]
+    stride = max(1, VALUES // len(raw))
+    for start in range(0, len(asked), stride):
+        p = places[start : start + stride]
+        gaps = (p * p).sum(axis=1)[:, None] + square[None] - 2 * (p @ points.T)
+        for j, gap in enumerate(gaps, start):
+            rows, seen = _nearest(gap, lambda own, j=j: (raw[own] @ asked[j]) / (norm[own] * q_norm[j]), k, float(queries["bound"].iat[j]))
+            exact = (raw[rows] * asked[j]).sum(axis=1) / (norm[rows] * q_norm[j])
+            out += [(queries["qkey"].iat[j], data["ids"].iat[rows[i]], float(exact[i])) for i in np.lexsort((rows, -exact))]
+            if verified is not None:
+                verified.append(seen)
     return out
 
 
-def _distinct(batches: Iterator[pd.DataFrame], length: int, k: int) -> Iterator[pd.DataFrame]:
+def _vector(values) -> np.ndarray | None:
+    """The vector, if it takes part."""
+    v = np.asarray(values, np.float64) if values is not None else np.zeros(0)
+    return v + 0.0 if len(v) and np.isfinite(v).all() and v.any() else None
+
+
+def _key(v: np.ndarray) -> bytes:
+    return hashlib.blake2b(v.tobytes(), digest_size=16).digest()
+
+
+def _distinct(batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
     """Vectors that take part, once per batch, with their ``k`` smallest ids and whether one asks."""
     for batch in batches:
         found: dict[bytes, list] = {}
         for vec_id, vec, asks in zip(batch["vec_id"], batch["vec"], batch["asks"], strict=True):
-            v = np.asarray(vec, np.float64) if vec is not None else np.zeros(0)
-            if len(v) != length or not np.isfinite(v).all() or not v.any():
-                continue
-            key = hashlib.blake2b((v + 0.0).tobytes(), digest_size=16).digest()
-            own = found.setdefault(key, [set(), v, False])
-            own[0].add(int(vec_id))
-            own[2] |= bool(asks)
-        yield pd.DataFrame([(key, v.tolist(), sorted(ids)[:k], asks) for key, (ids, v, asks) in found.items()], columns=["key", "vec", "ids", "asks"])
+            if (v := _vector(vec)) is not None:
+                own = found.setdefault(_key(v), [set(), v, False])
+                own[0].add(int(vec_id))
+                own[2] |= bool(asks)
+        yield pd.DataFrame([(key, v, sorted(ids)[:k], asks) for key, (ids, v, asks) in found.items()], columns=["key", "vec", "ids", "asks"])
 
 
 def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = [(int(i), hashlib.blake2b((np.asarray(v, np.float64) + 0.0).tobytes(), digest_size=16).digest()) for i, v in zip(batch["vec_id"], batch["vec"], strict=True) if v is not None]
+        rows = [(int(i), _key(v)) for i, values in zip(batch["vec_id"], batch["vec"], strict=True) if (v := _vector(values)) is not None]
         yield pd.DataFrame(rows, columns=["query_id", "key"])
 
 
+def _least(df: DataFrame, by: str, *order, keep: int) -> DataFrame:
+    """The first ``keep`` rows of each ``by``, numbered r; tasks limit theirs before the shuffle, and sorts may spill."""
+    return df.withColumn("r", F.row_number().over(Window.partitionBy(by).orderBy(*order))).filter(F.col("r") <= keep)
+
+
+def once(rows: DataFrame, keep: int) -> DataFrame:
+    """(key, vec, asks, ids, node, n): each different vector of ``rows`` with its ``keep`` smallest ids."""
+    found = durable(rows.mapInPandas(lambda it: _distinct(it, keep), "key binary, vec array<double>, ids array<long>, asks boolean"))
+    vectors = found.groupBy("key").agg(F.first("vec").alias("vec"), F.max("asks").alias("asks"))
+    named = _least(found.select("key", F.explode("ids").alias("id")).distinct(), "key", "id", keep=keep)
+    ids = named.groupBy("key").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    return durable(vectors.join(ids, "key").withColumn("node", F.col("ids")[0]).withColumn("n", F.size("vec")))
+
+
 def neighbours(vectors: DataFrame, asks, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score) of the rows of ``vectors`` (vec_id, vec) where ``asks`` holds."""
     spark = vectors.sparkSession
     rows = vectors.filter("vec_id is not null and vec is not null").select("vec_id", "vec", asks.alias("asks"))
-    lengths = rows.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).limit(1).collect()
-    schema = "query_id long, rank int, vec_id long, score double"
-    length = lengths[0]["n"] if lengths else 0
     keep = k + 1  # a query passes over itself
-    once = rows.mapInPandas(lambda it: _distinct(it, length, keep), "key binary, vec array<double>, ids array<long>, asks boolean")
-    smallest = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, keep)
-    merged = durable(once.groupBy("key").agg(F.first("vec").alias("vec"), smallest.alias("ids"), F.max("asks").alias("asks")).withColumn("node", F.col("ids")[0]))
-    count = merged.count()
-    if not count:
-        return spark.createDataFrame([], schema)
-    share = min(1.0, 1.2 * SAMPLE / count)
-    sample = merged.filter(F.pmod(F.xxhash64("node"), F.lit(1_000_000)) < int(share * 1_000_000) + 1).select("vec").limit(SAMPLE)
-    g = projection(length)
-    points = _matrix([r["vec"] for r in sample.collect()] or [np.ones(length)])
-    cells = Cells(_unit(points) @ g, min(MAX_CELLS, max(1, round(count / CELL_ROWS))))
+    merged = once(rows, keep)
+    lengths = {r["n"]: r["count"] for r in merged.groupBy("n").count().collect()}
+    if not lengths:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    common = max(lengths, key=lambda n: (lengths[n], n))
+    share = min(1.0, 1.2 * SAMPLE / lengths[common])
+    sample = merged.filter((F.col("n") == common) & (F.pmod(F.xxhash64("node"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)).select("vec").limit(SAMPLE)
+    points = _matrix([r["vec"] for r in sample.collect()] or [np.ones(common)])
+    cells = Cells(_unit(points) @ projection(common), min(MAX_CELLS, max(1, round(lengths[common] / CELL_ROWS))))
     shared = spark.sparkContext.broadcast(cells)
+    limit = chi2_quantile(CONFIDENCE, DIMS)
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        g = projection(common)
         for batch in batches:
-            if len(batch):
-                yield batch.assign(cell=shared.value.find(_unit(_matrix(batch["vec"])) @ g))
-
-    placed = durable(merged.mapInPandas(place, "key binary, vec array<double>, ids array<long>, asks boolean, node long, cell long"))
-    sizes = {r["cell"]: r["count"] for r in placed.groupBy("cell").count().collect()}
-    parts = np.array([max(1, -(-sizes.get(c, 0) // (2 * CELL_ROWS))) for c in range(len(cells))])
-    parts_of = F.element_at(F.array(*[F.lit(int(p)) for p in parts]), (F.col("cell") + 1).cast("int")) if parts.max() > 1 else F.lit(1)
-    blocks = placed.select("vec", "ids", "node", "cell", F.pmod(F.xxhash64("node"), parts_of).cast("long").alias("part"))
-    asked = placed.filter("asks").select(F.col("node").alias("qkey"), "vec", "cell")
-    limit = chi2_quantile(CONFIDENCE, DIMS)
-
-    def visit(home: bool):
-        def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                out = []
-                gaps = None if home else shared.value.gap2(_unit(_matrix(batch["vec"])) @ g) if len(batch) else None
-                for j, (qkey, vec, cell, bound) in enumerate(zip(batch["qkey"], batch["vec"], batch["cell"], batch["bound"], strict=True)):
-                    to = [cell] if home else [c for c in np.nonzero(gaps[j] <= limit * bound)[0].tolist() if c != cell and sizes.get(c)]
-                    out += [(qkey, vec, bound, c, p) for c in to for p in range(parts[c])]
-                yield pd.DataFrame(out, columns=["qkey", "vec", "bound", "cell", "part"])
+            cell, own = np.zeros(len(batch), np.int64), np.nonzero(batch["n"] == common)[0]
+            if own.size:
+                cell[own] = shared.value.find(_unit(_matrix(batch["vec"].iloc[own])) @ g)
+            yield batch.assign(cell=cell)
 
-        return work
+    placed = durable(merged.mapInPandas(place, "key binary, vec array<double>, asks boolean, ids array<long>, node long, n int, cell long"))
+    sizes = {(r["n"], r["cell"]): r["count"] for r in placed.groupBy("n", "cell").count().collect()}
 
-    visits = "qkey long, vec array<double>, bound double, cell long, part long"
-    hits = "qkey long, ids array<long>, score double"
+    def open_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The other cells that the bound leaves open to each query."""
+        g = projection(common)
+        for batch in batches:
+            found: list[list[int]] = [[] for _ in range(len(batch))]
+            own = np.nonzero(batch["n"] == common)[0]
+            for a in range(0, len(own), 64):
+                at = own[a : a + 64]
+                near = shared.value.gap2(_unit(_matrix(batch["vec"].iloc[at])) @ g) <= limit * batch["bound"].to_numpy()[at, None]
+                for j, row in zip(at.tolist(), near, strict=True):
+                    found[j] = [c for c in np.nonzero(row)[0].tolist() if c != batch["cell"].iat[j] and (common, c) in sizes]
+            yield batch.drop(columns="cell").assign(cells=found)
 
     def block(_, data: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(search_block(data, queries, keep), columns=["qkey", "ids", "score"])
 
-    def search(queries: DataFrame, home: bool) -> DataFrame:
-        sent = queries.mapInPandas(visit(home), visits)
-        return durable(blocks.groupBy("cell", "part").cogroup(sent.groupBy("cell", "part")).applyInPandas(block, hits))
-
-    near = search(asked.withColumn("bound", F.lit(4.0)), True)
-    nth = near.withColumn("r", F.row_number().over(Window.partitionBy("qkey").orderBy(F.desc("score")))).filter(F.col("r") == keep)
+    def search(visits: DataFrame) -> DataFrame:
+        """The nearest in each cell of ``visits`` (qkey, vec, bound, n, cells), block by block and chunk by chunk."""
+        visits = durable(visits).toDF(*visits.columns)  # columns apart from those of the data
+        asked = visits.select("qkey", "vec", "bound", "n", F.explode("cells").alias("cell"))
+        counts = asked.groupBy("n", "cell").count().collect()
+        dealt = [(r["n"], r["cell"], -(-sizes[r["n"], r["cell"]] // _rows(r["n"], 2 * CELL_ROWS)), -(-r["count"] // _rows(r["n"], QUERY_ROWS))) for r in counts]
+        plan = F.broadcast(spark.createDataFrame(dealt, "n int, cell long, parts int, chunks int"))  # a row for each cell
+
+        def every(most: str):
+            return F.explode(F.sequence(F.lit(0), F.col(most) - 1))
+
+        data = placed.join(plan, ["n", "cell"]).select("vec", "ids", "node", "n", "cell", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), every("chunks").alias("chunk"))
+        queries = asked.join(plan, ["n", "cell"]).select("qkey", "vec", "bound", "n", "cell", F.pmod(F.xxhash64("qkey"), F.col("chunks")).cast("int").alias("chunk"), every("parts").alias("part"))
+        group = ["n", "cell", "part", "chunk"]
+        return durable(data.groupBy(*group).cogroup(queries.groupBy(*group)).applyInPandas(block, "qkey long, ids array<long>, score double"))
+
+    asked = placed.filter("asks").select(F.col("node").alias("qkey"), "vec", "n", "cell")
+    near = search(asked.select("qkey", "vec", F.lit(4.0).alias("bound"), "n", F.array("cell").alias("cells")))
+    nth = _least(near, "qkey", F.desc("score"), keep=keep).filter(F.col("r") == keep)
     bounds = nth.select("qkey", F.greatest(F.lit(0.0), 2 - 2 * F.col("score")).alias("bound"))
-    rest = search(asked.join(bounds, "qkey", "left").select("qkey", "vec", "cell", F.coalesce("bound", F.lit(4.0)).alias("bound")), False)
+    bounded = asked.join(bounds, "qkey", "left").select("qkey", "vec", F.coalesce("bound", F.lit(4.0)).alias("bound"), "n", "cell")
+    rest = search(bounded.mapInPandas(open_cells, "qkey long, vec array<double>, bound double, n int, cells array<long>"))
     every = near.unionByName(rest).select("qkey", "score", F.explode("ids").alias("vec_id"))
-    best = every.withColumn("r", F.row_number().over(Window.partitionBy("qkey").orderBy(F.desc("score"), "vec_id"))).filter(F.col("r") <= keep)
-    lists = durable(best.groupBy("qkey").agg(F.array_sort(F.collect_list(F.struct("r", "vec_id", "score"))).alias("found")).join(placed.filter("asks").select(F.col("node").alias("qkey"), "key"), "qkey").select("key", "found"))
+    best = _least(every, "qkey", F.desc("score"), "vec_id", keep=keep)
+    lists = best.groupBy("qkey").agg(F.array_sort(F.collect_list(F.struct("r", "vec_id", "score"))).alias("found"))
+    lists = durable(lists.join(placed.filter("asks").select(F.col("node").alias("qkey"), "key"), "qkey").select("key", "found"))
     queries = rows.filter("asks").mapInPandas(_keys, "query_id long, key binary").distinct()
     own = queries.join(sized_broadcast(lists), "key")
     others = F.slice(F.filter("found", lambda x: x["vec_id"] != F.col("query_id")), 1, k)

@@ -25,9 +25,10 @@ def test_chi2_quantile():
     assert abs(N.chi2_quantile(0.95, 2) - 5.991) < 1e-3 and abs(N.chi2_quantile(0.95, 8) - 15.507) < 1e-3 and abs(N.chi2_quantile(0.99, 8) - 20.090) < 1e-3
 
 
-@pytest.mark.parametrize("cell_rows", [4096, 100])
-def test_recall_and_scores(spark, monkeypatch, cell_rows):
+@pytest.mark.parametrize("cell_rows, query_rows", [(8192, 4096), (100, 7)])
+def test_recall_and_scores(spark, monkeypatch, cell_rows, query_rows):
     monkeypatch.setattr(N, "CELL_ROWS", cell_rows)
+    monkeypatch.setattr(N, "QUERY_ROWS", query_rows)
     r = np.random.default_rng(3)
     centres = r.normal(size=(12, 32))
     x = (centres[r.integers(0, 12, 3000)] + 0.4 * r.normal(size=(3000, 32))).astype(np.float32)
@@ -65,3 +66,50 @@ def test_ties_copies_and_unfit_rows(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0], 0, 0.0), (7, [1.0, 1.0], 0, 0.0)], SCHEMA)
     assert [(r["rank"], r["vec_id"]) for r in N.neighbours(few, F.col("vec_id") % 50 == 0).collect()] == [(1, 7)]
     assert N.neighbours(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_lengths_meet_their_own_and_may_be_great(spark):
+    r = np.random.default_rng(5)
+    rows = [(i, r.normal(size=n).tolist(), 0, 0.0) for i, n in enumerate([3] * 40 + [2] * 20 + [200_000] * 3)]
+    rows[50] = (50, [1.0, 0.0], 0, 0.0)
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {}
+    for row in N.neighbours(df, F.col("vec_id").isin(0, 50, 60)).collect():
+        got.setdefault(row["query_id"], []).append(row["vec_id"])
+    for q, own in got.items():
+        like = [x for x in rows if len(x[1]) == len(rows[q][1])]
+        want = brute([x[0] for x in like], np.array([x[1] for x in like], np.float32).astype(np.float64), lambda i, q=q: i == q)
+        assert own == [v for v, _ in want[q]]
+    assert set(got) == {0, 50, 60} and sorted(got[60]) == [61, 62]
+
+
+def test_one_vector_on_many_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10)
+    try:
+        df = spark.range(0, 3000, 1, 16).select(F.col("id").alias("vec_id"), F.when(F.col("id") % 3 == 0, F.array(F.lit(1.0), F.lit(2.0))).otherwise(F.array(F.col("id").cast("double"), F.lit(1.0))).alias("vec"))
+        kept = {r["node"]: r["ids"] for r in N.once(df.withColumn("asks", F.lit(True)), 6).collect()}
+        assert kept[0] == [0, 3, 6, 9, 12, 15] and len(kept) == 2001 and kept[2999] == [2999]
+        got = [r["vec_id"] for r in N.neighbours(df, F.col("vec_id") == 2400).orderBy("rank").collect()]
+        assert got == [0, 3, 6, 9, 12]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_the_search_of_a_block_verifies_a_part(spark):
+    import pandas as pd
+
+    r = np.random.default_rng(9)
+    x = r.normal(size=(6000, 64))
+    data = pd.DataFrame({"vec": list(x), "ids": [[i] for i in range(len(x))], "node": range(len(x))})
+    queries = pd.DataFrame({"qkey": range(100), "vec": list(x[:100]), "bound": 4.0})
+    verified = []
+    found = N.search_block(data, queries, 6, verified)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = np.argsort(-(unit[:100] @ unit.T), axis=1)[:, :6]
+    hits = sum(ids[0] in want[q] for q, ids, _ in found)
+    assert hits >= 0.9 * want.size and sum(verified) < 0.6 * 100 * len(x)
+    near = r.normal(size=(60, 64))[r.integers(0, 60, 6000)] + 0.3 * x  # groups of near vectors stop far sooner
+    queries = pd.DataFrame({"qkey": range(100), "vec": list(near[:100]), "bound": 4.0})
+    verified.clear()
+    assert len(N.search_block(data.assign(vec=list(near)), queries, 6, verified)) == 600
+    assert sum(verified) < 0.05 * 100 * len(x)
