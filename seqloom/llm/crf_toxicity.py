@@ -2,20 +2,22 @@
 
 Token labels come from document labels: a word, or a word beginning, that occurs in several toxic
 training documents and far more often there than in clean ones marks its tokens in toxic
-documents as toxic; all other tokens are clean. On windows of those tokens a two-state linear
+documents as toxic; all other tokens are clean. On all windows of those tokens a two-state linear
 chain is trained (hashed features of the word, its beginnings and endings; learned transitions).
 Scoring runs forward-backward over every whole text; the marginals give the spans (character
 offsets) and, through a logistic curve fitted on training documents that the chain was not trained
 on, the document's score.
 
-The tagger is fitted on a bounded sample: at most ``DOCS_PER_CLASS`` labelled documents of each
-class, chosen by hash, and of each at most ``TRAIN_TOKENS`` tokens in evenly spaced windows.
-Class shares that the score is fitted to are counted over all labelled documents. Weights have a
-fixed size, so what is sent to the executors does not grow.
+The tagger is fitted on a bounded sample of whole documents: at most ``DOCS_PER_CLASS`` labelled ones
+of each class, in the order of a hash, passing over those with which a class would take more than
+``CLASS_BYTES``. Class shares that the score is fitted to are counted over all labelled documents.
+Weights have a fixed size, so what is sent to the executors does not grow. Texts are scored in
+groups of about ``CHUNK`` bytes, longer ones in slices with what the chain hands on from one to the next.
 
 Rules: null and empty texts have no tokens and are scored by the logistic curve at zero evidence;
 without labelled documents of both classes every document gets the share of toxic labels (0 if
-there are none); rows that repeat a doc_id are scored alike; labels that repeat count once, as
+there are none); rows that repeat a doc_id are scored each, and
+one of their texts (that of least hash) may be learned from; labels that repeat count once, as
 toxic if any says so; null labels count as none; other columns are left alone.
 """
 
@@ -24,7 +26,7 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -33,21 +35,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from seqloom.llm.common import table
+from seqloom.llm.common import durable, table
 
-DOCS_PER_CLASS = 3000
-TRAIN_TOKENS = 2000
+DOCS_PER_CLASS = 1500
+CLASS_BYTES = 16 << 20
 SLOTS = 1 << 18
 WINDOW = 32
-ROUNDS = 80
+#: Rounds of training, at most; it ends when the log likelihood of a token gains less than GAIN in five rounds.
+ROUNDS, GAIN = 80, 1e-6
+#: Windows whose tables are in memory at once.
+BATCH = 8192
 #: A marker occurs in so many toxic training documents at least, and is so much likelier there.
 MIN_DOCS, MIN_RATIO = 3, 10.0
 #: Words whose emission a Python worker remembers, at most.
-CACHE_WORDS = 300_000
+CACHE_WORDS, CACHE_LENGTH = 300_000, 64
+#: Bytes of texts that are tagged together, and tokens whose matrices are in memory at once.
+CHUNK, SEGMENT = 1 << 20, 1 << 18
 SPAN_AT = 0.5
 #: Marginals below this are no evidence, and texts count as this many words longer where evidence is put per word.
 NOTICED, SHORT = 0.02, 50
 
+_SPACE = re.compile(rb"[\x20\x09-\x0d]")
 _MARK = re.compile(rb"^[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+|[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+$")
 _W, _P, _S = (zlib.crc32(x) for x in (b"w=", b"p=", b"s="))
 _SPAN = StructType([StructField("start", IntegerType()), StructField("end", IntegerType())])
@@ -114,7 +122,7 @@ class Tagger:
         if found is None:
             self._weights = self._weights or self.weights.tolist()
             found = sum(map(self._weights.__getitem__, word_slots(word)))
-            if len(self._cache) < CACHE_WORDS:
+            if len(self._cache) < CACHE_WORDS and len(word) <= CACHE_LENGTH:
                 self._cache[word] = found
         return found
 
@@ -125,82 +133,136 @@ class Tagger:
         return np.array(got, np.float64)
 
 
-def marginals(emit: np.ndarray, first: np.ndarray, trans: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """P(toxic) of each token of a row of sequences laid end to end; ``first`` marks their starts.
+def _filled(steps: np.ndarray, entry: np.ndarray) -> np.ndarray:
+    """The row vectors after each of ``steps`` (n, 2, 2), from ``entry`` on, each with sum one.
 
-    Each step multiplies a 2 x 2 matrix. The matrices of blocks of tokens are multiplied for all
-    blocks at once, the blocks are chained, and the tokens are then filled in for all blocks at
-    once; a sequence of any length costs the same per token.
+    The matrices of blocks of steps are multiplied for all blocks at once, the blocks are chained,
+    and the steps are then filled in for all blocks at once.
     """
-    n = len(emit)
-    if not n:
-        return np.zeros(0)
+    n = len(steps)
     width = max(8, int(np.sqrt(n)))
     blocks = -(-n // width)
-    pad = blocks * width - n
-    e = np.exp(np.clip(np.concatenate([emit, np.zeros(pad)]), -30, 30)).reshape(blocks, width)
-    f = np.concatenate([first, np.ones(pad, bool)]).reshape(blocks, width)
+    steps = np.concatenate([steps, np.broadcast_to(np.eye(2), (blocks * width - n, 2, 2))]).reshape(blocks, width, 2, 2)
+    whole = steps[:, 0]
+    for k in range(1, width):
+        whole = whole @ steps[:, k]
+        if k % 16 == 0:
+            whole = whole / np.maximum(whole.max(axis=(1, 2), keepdims=True), 1e-300)
+    entries = np.empty((blocks, 2))
+    at = tuple(entry)
+    for b, m in enumerate(whole.tolist()):
+        entries[b] = at
+        x, y = at[0] * m[0][0] + at[1] * m[1][0], at[0] * m[0][1] + at[1] * m[1][1]
+        at = (x / (x + y), y / (x + y)) if x + y > 0 else (0.5, 0.5)
+    out, v = np.empty((blocks, width, 2)), entries
+    for k in range(width):
+        v = v[:, :1] * steps[:, k, 0] + v[:, 1:] * steps[:, k, 1]
+        v = v / np.maximum(v.sum(axis=1, keepdims=True), 1e-300)
+        out[:, k] = v
+    return out.reshape(-1, 2)[:n]
+
+
+def marginals(emit: np.ndarray, first: np.ndarray, trans: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """P(toxic) of each token of a row of sequences laid end to end; ``first`` marks their starts.
+
+    Each step multiplies a 2 x 2 matrix. Forward vectors are handed on from one segment of
+    ``SEGMENT`` tokens to the next, backward vectors from the last segment to the first, so a sequence
+    of any length costs the same per token and the matrices of one segment are in memory at once.
+    """
+    n, p = len(emit), np.empty(len(emit))
     t, s = np.exp(trans), np.exp(start)
-    step = np.where(f[:, :, None, None], s[None, None, None, :], t[None, None])  # from, to
-    step = step * np.stack([np.ones_like(e), e], axis=-1)[:, :, None, :]
-    step /= step.max(axis=(2, 3), keepdims=True)
-
-    def chained(steps: np.ndarray) -> np.ndarray:
-        """Row vectors after each step of the whole row: (blocks, width, 2)."""
-        whole = steps[:, 0]
-        for k in range(1, width):
-            whole = whole @ steps[:, k]
-            if k % 16 == 0:
-                whole = whole / np.maximum(whole.max(axis=(1, 2), keepdims=True), 1e-300)
-        entry = np.empty((blocks, 2))
-        at = (0.5, 0.5)
-        for b, m in enumerate(whole.tolist()):
-            entry[b] = at
-            x, y = at[0] * m[0][0] + at[1] * m[1][0], at[0] * m[0][1] + at[1] * m[1][1]
-            at = (x / (x + y), y / (x + y)) if x + y > 0 else (0.5, 0.5)
-        out, v = np.empty((blocks, width, 2)), entry
-        for k in range(width):
-            v = v[:, :1] * steps[:, k, 0] + v[:, 1:] * steps[:, k, 1]
-            v = v / np.maximum(v.sum(axis=1, keepdims=True), 1e-300)
-            out[:, k] = v
-        return out
-
-    alpha = chained(step).reshape(-1, 2)
-    # beta[i] = step[i + 1] @ beta[i + 1]: the same chain, backwards, with transposed matrices
-    ahead = np.concatenate([step.reshape(-1, 2, 2)[1:], np.ones((1, 2, 2))])
-    back = ahead[::-1].transpose(0, 2, 1).reshape(blocks, width, 2, 2)
-    beta = chained(back).reshape(-1, 2)[::-1]
-    both = alpha * beta
-    return (both[:, 1] / np.maximum(both.sum(axis=1), 1e-300))[:n]
-
-
-def evidence(p: np.ndarray, bounds: np.ndarray, found: list[list[bytes]]) -> np.ndarray:
-    """Per document: a constant, the greatest log odds of a token, the log of the sum of different words'
+
+    def steps(a: int) -> np.ndarray:
+        e = np.exp(np.clip(emit[a : a + SEGMENT], -30, 30))
+        out = np.where(first[a : a + SEGMENT, None, None], s[None, None], t[None])  # from, to
+        out = out * np.stack([np.ones_like(e), e], axis=-1)[:, None, :]
+        return out / out.max(axis=(1, 2), keepdims=True)
+
+    starts = range(0, n, SEGMENT)
+    entries = [np.array([0.5, 0.5])]
+    for a in starts[:-1]:
+        entries.append(_filled(steps(a), entries[-1])[-1])
+    end = np.array([0.5, 0.5])
+    for a, entry in zip(reversed(starts), reversed(entries), strict=False):
+        own = steps(a)
+        alpha = _filled(own, entry)
+        # beta[i] = step[i + 1] @ beta[i + 1]: the same chain, backwards, with transposed matrices
+        beta = np.concatenate([end[None], _filled(own[:0:-1].transpose(0, 2, 1), end)] if len(own) > 1 else [end[None]])[::-1]
+        both = alpha * beta
+        p[a : a + SEGMENT] = both[:, 1] / np.maximum(both.sum(axis=1), 1e-300)
+        end = own[0] @ beta[0]
+        end = end / max(end.sum(), 1e-300)
+    return p
+
+
+def notice(best: dict[bytes, float], p: np.ndarray, found: list[bytes]) -> None:
+    """Enter the noticed words' greatest marginals."""
+    for i in np.nonzero(p > NOTICED)[0].tolist():
+        w = _MARK.sub(b"", found[i])
+        best[w] = max(best.get(w, 0.0), float(p[i]))
+
+
+def evidence(best: dict[bytes, float], p: np.ndarray) -> tuple[float, ...]:
+    """Of a document: a constant, the greatest log odds of a token, the log of the sum of different words'
     greatest marginals, the same per word of the text, the log of the sum of those words' positive log
     odds, and the log of the sum of all marginals."""
-    out = np.zeros((len(found), 6))
-    out[:, 0] = 1
-    for k in np.unique(np.searchsorted(bounds, np.nonzero(p > NOTICED)[0], "right") - 1).tolist():
-        own = p[bounds[k] : bounds[k + 1]]
-        best: dict[bytes, float] = {}
-        for i in np.nonzero(own > NOTICED)[0].tolist():
-            w = _MARK.sub(b"", found[k][i])
-            best[w] = max(best.get(w, 0.0), float(own[i]))
-        each = np.clip(np.array(list(best.values())), 1e-6, 1 - 1e-6)
-        odds = np.log(each / (1 - each))
-        out[k, 1:] = max(0.0, odds.max()), np.log1p(each.sum()), np.log1p(1000 * each.sum() / (len(own) + SHORT)), np.log1p(odds[odds > 0].sum()), np.log1p(own.sum())
-    return out
+    if not best:
+        return 1.0, 0.0, 0.0, 0.0, 0.0, 0.0
+    each = np.clip(np.array(list(best.values())), 1e-6, 1 - 1e-6)
+    odds = np.log(each / (1 - each))
+    return 1.0, max(0.0, odds.max()), np.log1p(each.sum()), np.log1p(1000 * each.sum() / (len(p) + SHORT)), np.log1p(odds[odds > 0].sum()), np.log1p(p.sum())
 
 
-def tag(tagger: Tagger, texts: list[str | None]) -> tuple[np.ndarray, list[list[bytes]], np.ndarray, np.ndarray]:
-    """Evidence, words, marginals and document bounds of the texts."""
+def _tag_together(tagger: Tagger, texts: list[str | None]) -> list[tuple]:
     found = [words(t) for t in texts]
     bounds = np.concatenate([[0], np.cumsum([len(w) for w in found])]).astype(np.int64)
-    emit = np.concatenate([tagger.emissions(w) for w in found]) if found else np.zeros(0)
+    emit = np.concatenate([tagger.emissions(w) for w in found])
     first = np.zeros(len(emit), bool)
     first[bounds[:-1][np.diff(bounds) > 0]] = True
     p = marginals(emit, first, tagger.trans, tagger.start)
-    return evidence(p, bounds, found), found, p, bounds
+    best: list[dict[bytes, float]] = [{} for _ in found]
+    for k in np.unique(np.searchsorted(bounds, np.nonzero(p > NOTICED)[0], "right") - 1).tolist():
+        notice(best[k], p[bounds[k] : bounds[k + 1]], found[k])
+    return [(evidence(b, own), own) for b, own in zip(best, np.split(p, bounds[1:-1]), strict=True)]
+
+
+def _tag_slices(tagger: Tagger, text: str) -> tuple:
+    """What ``_tag_together`` gives for one text, with the words of one slice in memory at once."""
+    raw = text.encode("utf-8", "surrogatepass").lower()
+    cuts = [0]
+    while cuts[-1] < len(raw):
+        space = _SPACE.search(raw, cuts[-1] + CHUNK)
+        cuts.append(space.end() if space else len(raw))
+    spans = list(zip(cuts[:-1], cuts[1:], strict=True))
+    emit = np.concatenate([tagger.emissions(raw[a:b].split()) for a, b in spans])
+    first = np.zeros(len(emit), bool)
+    first[:1] = True
+    p = marginals(emit, first, tagger.trans, tagger.start)
+    best: dict[bytes, float] = {}
+    at = 0
+    for a, b in spans:
+        found = raw[a:b].split()
+        notice(best, p[at : at + len(found)], found)
+        at += len(found)
+    return evidence(best, p), p
+
+
+def tag(tagger: Tagger, texts: Sequence[str | None]) -> Iterator[tuple]:
+    """(evidence, marginals of the words) of each text, in order."""
+    together: list[str | None] = []
+    held = 0
+    for text in texts:
+        size = len(text or "")
+        if together and held + size > CHUNK:
+            yield from _tag_together(tagger, together)
+            together, held = [], 0
+        if size > CHUNK:
+            yield _tag_slices(tagger, text)
+        else:
+            together.append(text)
+            held += size
+    if together:
+        yield from _tag_together(tagger, together)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -224,18 +286,6 @@ def spans_of(text: str, p: np.ndarray) -> list[dict]:
 # --- training ---------------------------------------------------------------------------------
 
 
-def _train_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        kept = []
-        for text in batch["text"]:
-            w = words(text)
-            if len(w) > TRAIN_TOKENS:
-                parts, size = 4, TRAIN_TOKENS // 4
-                w = [x for k in range(parts) for x in w[k * (len(w) - size) // (parts - 1) :][:size]]
-            kept.append(b" ".join(w))
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "words": kept})
-
-
 def markers(docs: list[list[bytes]], toxic: np.ndarray) -> set[str]:
     """Words and beginnings that set toxic documents apart."""
     n = np.bincount(toxic, minlength=2)
@@ -254,6 +304,40 @@ def markers(docs: list[list[bytes]], toxic: np.ndarray) -> set[str]:
     return {x for x, k in bad.items() if k / n[1] >= MIN_RATIO * (clean.get(x, 0) + 0.5) / n[0]}
 
 
+def _gradient(x: np.ndarray, y: np.ndarray, word_score: np.ndarray, trans: np.ndarray, start: np.ndarray) -> tuple:
+    """Gradients by word, of transitions and of starts, and the log likelihood, of windows (words ``x``, -1 past the end).
+
+    Forward and backward vectors are kept as odds of toxic against clean.
+    """
+    x, y = x.T, y.T
+    real = x >= 0
+    pairs = real[1:]
+    e = np.where(real, word_score[x], 0.0)
+    grow = np.exp(np.clip(e, -30, 30))
+    t = np.exp(trans)
+    ahead, behind = np.empty_like(e), np.ones_like(e)
+    ahead[0] = np.exp(start[1] - start[0]) * grow[0]
+    whole = np.full(x.shape[1], start[0])
+    for k in range(1, WINDOW):
+        clean = t[0, 0] + ahead[k - 1] * t[1, 0]
+        ahead[k] = np.where(real[k], grow[k] * (t[0, 1] + ahead[k - 1] * t[1, 1]) / clean, ahead[k - 1])
+        whole += np.where(real[k], np.log(clean), 0.0)
+    whole += np.log1p(ahead[-1])
+    for k in range(WINDOW - 2, -1, -1):
+        onward = grow[k + 1] * behind[k + 1]
+        behind[k] = np.where(real[k + 1], (t[1, 0] + t[1, 1] * onward) / (t[0, 0] + t[0, 1] * onward), 1.0)
+    both = ahead * behind
+    p = both / (1 + both)
+    by_word = np.bincount(x[real], (y - p)[real], len(word_score))
+    onward = (grow * behind)[1:]
+    joint = np.array([[t[0, 0] + 0 * onward, t[0, 1] * onward], [t[1, 0] * ahead[:-1], t[1, 1] * ahead[:-1] * onward]])
+    expected = (joint * (pairs / joint.sum(axis=(0, 1)))).sum(axis=(2, 3))
+    held = np.array([[((y[:-1] == a) & (y[1:] == b) & pairs).sum() for b in (0, 1)] for a in (0, 1)])
+    first = np.array([(y[0] == 0).sum(), y[0].sum()])
+    likelihood = (e * y).sum() + (held * trans).sum() + (first * start).sum() - whole.sum()
+    return by_word, held - expected, first - np.array([(1 - p[0]).sum(), p[0].sum()]), float(likelihood)
+
+
 def _chain(docs: list[list[bytes]], toxic: np.ndarray) -> Tagger:
     """Weights of the chain by full-batch gradient ascent on the windows' log likelihood."""
     marks = markers(docs, toxic)
@@ -271,46 +355,30 @@ def _chain(docs: list[list[bytes]], toxic: np.ndarray) -> Tagger:
     owner = np.repeat(np.arange(len(vocabulary), dtype=np.int32), np.diff(np.frombuffer(ends, np.int64), prepend=0))
     rows, labels = [], []
     for d, y in zip(ids, toxic, strict=True):
-        for at in range(0, len(d), WINDOW):
-            own = d[at : at + WINDOW]
-            hot = marked[own]
-            if hot.any() or (at // WINDOW) % 4 == 0:  # windows without markers are plenty: one in four
-                rows.append(np.pad(own, (0, WINDOW - len(own)), constant_values=np.int32(-1)))
-                labels.append(np.pad((hot & bool(y)).astype(np.int8), (0, WINDOW - len(own))))
-    x, y = np.array(rows, np.int32), np.array(labels, np.int8)
-    real = x >= 0
+        fill = -len(d) % WINDOW
+        rows.append(np.pad(d, (0, fill), constant_values=np.int32(-1)).reshape(-1, WINDOW))
+        labels.append(np.pad((marked[d] & bool(y)).astype(np.int8), (0, fill)).reshape(-1, WINDOW))
+    x, y = np.concatenate(rows), np.concatenate(labels)
+    n = int((x >= 0).sum())
     weights, trans, start = np.zeros(SLOTS), np.zeros((2, 2)), np.zeros(2)
     params = [weights, trans, start]
     m = [np.zeros_like(p) for p in params]
     v = [np.zeros_like(p) for p in params]
-    pairs = real[:, 1:]
-    seen_pairs = np.zeros((2, 2))
-    for a in (0, 1):
-        for b in (0, 1):
-            seen_pairs[a, b] = ((y[:, :-1] == a) & (y[:, 1:] == b) & pairs).sum()
-    n = real.sum()
+    seen: list[float] = []
     for step in range(1, ROUNDS + 1):
         word_score = np.bincount(owner, weights[slot], len(vocabulary))
-        e = np.where(real, word_score[x], 0.0)
-        emit = np.stack([np.zeros_like(e), e], axis=-1)
-        alpha = np.empty_like(emit)
-        alpha[:, 0] = start + emit[:, 0]
-        for k in range(1, WINDOW):
-            nxt = np.logaddexp(alpha[:, k - 1, :1] + trans[0], alpha[:, k - 1, 1:] + trans[1]) + emit[:, k]
-            alpha[:, k] = np.where(real[:, k, None], nxt, alpha[:, k - 1])
-        beta = np.zeros_like(emit)
-        for k in range(WINDOW - 2, -1, -1):
-            ahead = emit[:, k + 1] + beta[:, k + 1]
-            prev = np.stack([np.logaddexp(trans[a, 0] + ahead[:, 0], trans[a, 1] + ahead[:, 1]) for a in (0, 1)], axis=-1)
-            beta[:, k] = np.where(real[:, k + 1, None], prev, 0.0)
-        norm = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])
-        p = np.exp(alpha + beta - norm[:, None, None])[..., 1]
-        by_word = np.bincount(x[real], (y - p)[real], len(vocabulary))
+        by_word, g_trans, g_start, likelihood = np.zeros(len(vocabulary)), np.zeros((2, 2)), np.zeros(2), 0.0
+        for at in range(0, len(x), BATCH):
+            own = _gradient(x[at : at + BATCH], y[at : at + BATCH], word_score, trans, start)
+            by_word += own[0]
+            g_trans += own[1]
+            g_start += own[2]
+            likelihood += own[3]
+        seen.append(likelihood / n)
+        if len(seen) > 5 and seen[-1] - seen[-6] < GAIN:
+            break
         g_weights = np.bincount(slot, by_word[owner], SLOTS) / n - 1e-7 * weights
-        expected = np.array([[(np.exp(alpha[:, :-1, a] + trans[a, b] + emit[:, 1:, b] + beta[:, 1:, b] - norm[:, None]) * pairs).sum() for b in (0, 1)] for a in (0, 1)])
-        g_trans = (seen_pairs - expected) / n
-        g_start = np.array([(y[:, 0] == 0).sum() - (1 - p[:, 0]).sum(), y[:, 0].sum() - p[:, 0].sum()]) / n
-        for q, g, mq, vq in zip(params, (g_weights, g_trans, g_start), m, v, strict=True):
+        for q, g, mq, vq in zip(params, (g_weights, g_trans / n, g_start / n), m, v, strict=True):
             mq += 0.1 * (g - mq)
             vq += 0.01 * (g * g - vq)
             q += 0.15 * (mq / (1 - 0.9**step)) / (np.sqrt(vq / (1 - 0.99**step)) + 1e-12) * (g != 0)
@@ -340,21 +408,29 @@ def fit(docs: DataFrame, labels: DataFrame) -> Tagger:
     order = F.xxhash64(F.col("doc_id").cast("string"), F.lit("toxicity"))
     chosen = [known.filter(F.col("toxic") == y).orderBy(order, "doc_id").limit(DOCS_PER_CLASS) for y in (0, 1)]
     sample = F.broadcast(chosen[0].unionByName(chosen[1]))  # at most 2 * DOCS_PER_CLASS rows
-    texts = docs.select("doc_id", "text").join(sample, "doc_id").mapInPandas(_train_words, "doc_id long, toxic int, words binary")
-    own = pd.DataFrame([r.asDict() for r in texts.limit(4 * DOCS_PER_CLASS).collect()], columns=["doc_id", "toxic", "words"])
-    own = own.drop_duplicates("doc_id").sort_values("doc_id", ignore_index=True)
+    text = F.coalesce("text", F.lit(""))
+    texts = docs.select("doc_id", text.alias("text")).join(sample, "doc_id").groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
+    texts = durable(texts.withColumn("order", order))
+    room, take = [CLASS_BYTES, CLASS_BYTES], []
+    for r in texts.select("doc_id", "toxic", "order", F.octet_length("text").alias("size")).orderBy("order", "doc_id").collect():
+        if r["size"] <= room[r["toxic"]]:
+            room[r["toxic"]] -= r["size"]
+            take.append((r["doc_id"],))
+    fitting = F.broadcast(spark.createDataFrame(take, "doc_id long"))
+    own = texts.join(fitting, "doc_id").select("doc_id", "toxic", F.col("text").cast("binary").alias("words")).toArrow().to_pandas()
+    own = own.sort_values("doc_id", ignore_index=True)
     if own["toxic"].nunique() < 2:
         flat.prior = shares[1] / sum(shares.values())
         return flat
     once: dict[bytes, bytes] = {}
-    tokens = [[once.setdefault(w, w) for w in bytes(x).split()] for x in own.pop("words")]
+    tokens = [[once.setdefault(w, w) for w in bytes(x).lower().split()] for x in own.pop("words")]
     y = own["toxic"].to_numpy(np.int64)
     aside = np.array([zlib.crc32(f"aside:{d}".encode()) % 3 == 0 for d in own["doc_id"]])
     if len(set(y[aside])) < 2 or len(set(y[~aside])) < 2:
         aside = ~np.zeros(len(y), bool)
     train = ~aside if not aside.all() else aside
     tagger = _chain([t for t, k in zip(tokens, train, strict=True) if k], y[train])
-    x, _, _, _ = tag(tagger, [b" ".join(t).decode("utf-8", "replace") for t, k in zip(tokens, aside, strict=True) if k])
+    x = np.array([e for e, _ in tag(tagger, (b" ".join(t).decode("utf-8", "replace") for t, k in zip(tokens, aside, strict=True) if k))])
     share = np.array([shares[0], shares[1]]) / sum(shares.values())
     have = np.bincount(y[aside], minlength=2) / aside.sum()
     tagger.curve = _curve(x, y[aside].astype(float), (share / have)[y[aside]])
@@ -370,16 +446,12 @@ def scorer(tagger: Tagger, spark):
     def score(texts: pd.Series) -> pd.DataFrame:
         t = shared.value
         scores, spans = [], []
-        for at in range(0, len(texts), 256):
-            own = [x if isinstance(x, str) else None for x in texts.iloc[at : at + 256]]
-            if t.prior is not None:
-                scores += [t.prior] * len(own)
-                spans += [[] for _ in own]
-                continue
-            x, _, p, bounds = tag(t, own)
-            scores += sigmoid(x @ t.curve).tolist()
-            high = x[:, 1] > 0  # some token is likelier toxic than not
-            spans += [spans_of(text, p[a:b]) if h else [] for text, a, b, h in zip(own, bounds[:-1], bounds[1:], high.tolist(), strict=True)]
+        if t.prior is not None:
+            return pd.DataFrame({"score": [t.prior] * len(texts), "spans": [[]] * len(texts)})
+        kept = [x if isinstance(x, str) else None for x in texts]
+        for text, (found, p) in zip(kept, tag(t, kept), strict=True):
+            scores.append(float(sigmoid(np.array(found) @ t.curve)))
+            spans.append(spans_of(text, p) if found[1] > 0 else [])  # some token is likelier toxic than not
         return pd.DataFrame({"score": scores, "spans": spans})
 
     return score

@@ -1,8 +1,11 @@
 import itertools
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
+import pytest
 
 from seqloom.llm import crf_toxicity as C
 from tests.llm.conftest import EDGE_ROWS, make_docs, prose
@@ -86,3 +89,67 @@ def test_edge_rows(spark, edge_docs, no_docs):
         flat = C.scorer(C.fit(edge_docs, spark.createDataFrame(known, "doc_id long, toxic int")), spark)
         assert {r[0]["score"] for r in edge_docs.select(flat("text")).collect()} == {want}
     assert C.keep_clean(no_docs, spark.createDataFrame(labels, "doc_id long, toxic int")).count() == 0
+
+
+def test_segments_and_slices_change_nothing(monkeypatch):
+    r = np.random.default_rng(4)
+    trans, start, emit = r.normal(size=(2, 2)), r.normal(size=2), 3 * r.normal(size=5000)
+    first = r.random(5000) < 0.01
+    want = C.marginals(emit, first, trans, start)
+    monkeypatch.setattr(C, "SEGMENT", 333)
+    assert np.allclose(C.marginals(emit, first, trans, start), want, atol=1e-9)
+    tagger = C.Tagger(r.normal(size=C.SLOTS).astype(np.float32), trans, start, np.ones(6))
+    texts = [None, "", "  ", "Eins  zwei\tdrei!", prose(3, 400), prose(4, 30) + " \x0b", "w" * 300, prose(5, 900)]
+    whole = list(C.tag(tagger, texts))
+    monkeypatch.setattr(C, "CHUNK", 100)
+    for (a, p), (b, q) in zip(whole, C.tag(tagger, texts), strict=True):
+        assert np.allclose(a, b) and np.allclose(p, q, atol=1e-9)
+
+
+def test_likelihood_grows_and_gradient_is_its_slope():
+    r = np.random.default_rng(2)
+    x = r.integers(0, 20, (6, C.WINDOW)).astype(np.int32)
+    x[0, 5:] = -1
+    y = ((r.random(x.shape) < 0.3) & (x >= 0)).astype(np.int8)
+    score, trans, start = r.normal(size=20), r.normal(size=(2, 2)), r.normal(size=2)
+    by_word, by_trans, by_start, base = C._gradient(x, y, score, trans, start)
+    d = 1e-6
+    for k in range(20):
+        up = score.copy()
+        up[k] += d
+        assert abs((C._gradient(x, y, up, trans, start)[3] - base) / d - by_word[k]) < 1e-3
+    for at in np.ndindex(2, 2):
+        up = trans.copy()
+        up[at] += d
+        assert abs((C._gradient(x, y, score, up, start)[3] - base) / d - by_trans[at]) < 1e-3
+    up = start + [0, d]
+    assert abs((C._gradient(x, y, score, trans, up)[3] - base) / d - by_start[1]) < 1e-3
+
+
+def test_repeated_ids_and_labels_that_disagree(spark, monkeypatch):
+    rows, labels = labelled(200)
+    once = C.fit(make_docs(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    again = C.fit(make_docs(spark, rows + rows[::2]).repartition(7), spark.createDataFrame(labels + [(d, 0) for d, _ in labels], "doc_id long, toxic int"))
+    assert np.array_equal(once.weights, again.weights) and np.array_equal(once.curve, again.curve)  # toxic, if any label says so
+    texts = make_docs(spark, rows + [(d, "other " + t, a, b) for d, t, a, b in rows])
+    x, y = (C.fit(t, spark.createDataFrame(labels, "doc_id long, toxic int")) for t in (texts, texts.repartition(5)))
+    assert np.array_equal(x.weights, y.weights)
+    monkeypatch.setattr(C, "CLASS_BYTES", 2000)  # documents that do not fit are passed over whole
+    assert np.isfinite(C.fit(make_docs(spark, [*rows, (1000, "x" * 5000, "en", "s")]), spark.createDataFrame([*labels, (1000, 1)], "doc_id long, toxic int")).curve).all()
+
+
+PEAK = """
+import resource, sys, numpy as np
+from seqloom.llm import crf_toxicity as C
+tagger = C.Tagger(np.random.default_rng(0).normal(size=C.SLOTS).astype(np.float32), np.eye(2), np.zeros(2), np.ones(6))
+text = ("the quick brown fox jumps over it " * (int(sys.argv[1]) * 31000))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+[(found, p)] = C.tag(tagger, [text])
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) >> 10)
+"""
+
+
+@pytest.mark.parametrize("mb, most", [(16, 250), (64, 600)])
+def test_peak_memory_of_long_texts(mb, most):
+    said = subprocess.run([sys.executable, "-c", PEAK, str(mb)], capture_output=True, text=True, check=True)
+    assert int(said.stdout) < most
