@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,17 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Cut lineage with a Parquet table in the shared folder.
+
+    For loops: a checkpoint hands on the size that was estimated for its plan, and that of a chain of
+    joins grows with each until planning takes longer than the work.
+    """
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def sized_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` (already durable, so counting is cheap) with a broadcast hint if it is small enough."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df

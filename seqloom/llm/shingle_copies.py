@@ -1,17 +1,23 @@
 """Near copies by the Jaccard similarity of word shingles: every pair at ``SIMILARITY`` or more.
 
 A text is the set of its shingles of ``SHINGLE`` lower-case words (a shorter text is one shingle),
-each a 64-bit hash. Sets A and B at similarity s differ in at most (1 - s) / (1 + s) * (|A| + |B|)
-shingles. Shingles are dealt by hash to more parts than that, so that some part holds the same
-shingles in both: the contents of a part are a key, and near copies share one. No pair at the
-similarity is missed: the number of parts follows a size class (``GROWTH``), a set that may have
-partners in the next class gives keys for both, and a set with too few filled parts also gives its
-smallest hashes (prefix filter), as do all others like it.
-
-Sets that share a key are candidates. Each key's members are first compared to its smallest one;
-then those that are still in different components are compared to each other, both only where
-their parity sketches allow the similarity (a sketch bit flips for each shingle that only one set has, so the sketches never
-differ in more bits than the sets differ in shingles). Comparisons are exact on the shingle sets.
+each a 64-bit hash; equal sets are one node. Nodes whose SimHash fingerprints are within the radius of
+``simhash_segments`` are linked first, through its popcount grid. A fingerprint can't tell all pairs
+at the similarity (most differ in 3 to 16 bits), so the rest comes through keys of the sets.
+
+Sets A and B at similarity s differ in at most (1 - s) / (1 + s) * (|A| + |B|) shingles. Shingles are
+dealt by hash to more parts than that, so that some part holds the same shingles in both: the
+contents of a part are a key, and near copies share one. No pair at the similarity is missed: the
+number of parts follows a size class (``GROWTH``), a set that may have partners in the next class
+gives keys for both, and a set with too few filled parts also gives its smallest hashes (prefix
+filter), as do all others like it.
+
+Sets that share a key are candidates. In a few rounds (``HUBS``), each key's members are compared to
+one of them, chosen by hash so that keys of like members choose the same. Members that are still in
+different components are then compared to each other, in blocks of bounded size: each member first
+to its nearest by sketch, then to twice as many in each round, until none is left. A parity
+sketch has a bit that flips for each shingle that only one set has, so sketches never differ in more bits
+than the sets differ in shingles; pairs whose sketches allow the similarity are compared exactly.
 
 Rules: null, empty and blank texts are copies of each other; rows that repeat a doc_id are one
 document; rows without doc_id get a null component.
@@ -27,7 +33,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.llm.common import durable, sized_broadcast
+from seqloom.llm import simhash_segments
+from seqloom.llm.common import written, sized_broadcast
 from seqloom.llm.simhash_segments import components
 
 SHINGLE = 5
@@ -35,8 +42,12 @@ SHINGLE = 5
 SIMILARITY = (4, 5)
 GROWTH = 1.6
 SEED = 7
-#: Sketch bits per shingle, at least; most rows of a block of compared sketches.
-SKETCH, _ROWS = 1, 512
+#: Sketch bits per shingle, at least, and most bits of a sketch.
+SKETCH, SKETCH_BITS = 1, 1 << 15
+#: Rounds in which the members of a key are compared to one of them.
+HUBS = 2
+#: Members of a key that are compared to each other in one group, and pairs in memory at once.
+BLOCK, _PAIRS = 1024, 1 << 17
 #: Most shared keys (16 bytes each) that are broadcast; more are joined by shuffle.
 SHARED_KEYS = 2_000_000
 
@@ -114,20 +125,31 @@ def sketch(found: np.ndarray, bits: int) -> np.ndarray:
 def wide_sketch(found: np.ndarray) -> bytes:
     """The sketch of twice the bits that the set's size asks for; its halves fold to that of as many."""
     bits = 8
-    while bits < SKETCH * len(found):
+    while bits < min(SKETCH * len(found), SKETCH_BITS):
         bits *= 2
     return sketch(found, 2 * bits).tobytes()
 
 
-def _folded(wide: bytes, length: int) -> np.ndarray:
+def fold(wide: bytes, length: int) -> np.ndarray:
+    """The sketch of ``length`` bytes, as one or more 64-bit words."""
     out = np.frombuffer(wide, np.uint8)
-    return out if len(out) == length else out[:length] ^ out[length:]
+    out = out if len(out) == length else out[:length] ^ out[length:]
+    return np.pad(out, (0, -length % 8)).view(np.uint64)
+
+
+def fingerprint(found: np.ndarray) -> int:
+    """The signed SimHash of the set: the bits that over half of its hashes have."""
+    votes = np.zeros(64, np.int64)
+    for at in range(0, len(found), _PAIRS):
+        votes += np.unpackbits(found[at : at + _PAIRS].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(votes * 2 > len(found)).tobytes(), "big", signed=True)
 
 
 def _keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         sets = [shingles(t) for t in batch["text"]]
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "node": [set_id(s) for s in sets], "n": [len(s) for s in sets], "wide": [wide_sketch(s) for s in sets], "keys": [keys(s) for s in sets]})
+        columns = {"node": [set_id(s) for s in sets], "n": [len(s) for s in sets], "fp": [fingerprint(s) for s in sets], "wide": [wide_sketch(s) for s in sets], "keys": [keys(s) for s in sets]}
+        yield pd.DataFrame({"doc_id": batch["doc_id"], **columns})
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -143,75 +165,145 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.loc[near, ["a", "b"]]
 
 
+def allowed(n: np.ndarray, wide: list[bytes], i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs (i, j) of sets of ``n`` shingles may be similar by sizes and sketches, and the bits that those differ in."""
+    top, bottom = SIMILARITY
+    apart = (bottom - top) * (n[i] + n[j]) // (bottom + top)
+    lengths = np.array([len(w) for w in wide], np.int64)
+    small = np.minimum(lengths[i], lengths[j])
+    fit = (np.abs(n[i] - n[j]) <= apart) & (np.maximum(lengths[i], lengths[j]) <= 2 * small)
+    differ = np.zeros(len(i), np.int64)
+    for length in np.unique(small[fit]).tolist():
+        own = np.nonzero(fit & (small == length))[0]
+        rows, at = np.unique(np.concatenate([i[own], j[own]]), return_inverse=True)
+        bits = np.array([fold(wide[r], length) for r in rows.tolist()])
+        x, y = at[: len(own)], at[len(own) :]
+        step = max(1, 8 * _PAIRS // bits.shape[1])
+        for a in range(0, len(own), step):
+            differ[own[a : a + step]] = np.bitwise_count(bits[x[a : a + step]] ^ bits[y[a : a + step]]).sum(axis=1)
+    return fit & (differ <= apart), differ
+
+
 def _allowed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Pairs whose sizes and sketches allow the similarity."""
     for batch in batches:
-        near = []
-        for m, n, x, y in zip(batch["m"], batch["n"], batch["x"], batch["y"], strict=True):
-            length = min(len(x), len(y))
-            fit = max(len(x), len(y)) <= 2 * length and abs(m - n) <= most_apart(m + n)
-            near.append(fit and int(np.bitwise_count(_folded(x, length) ^ _folded(y, length)).sum()) <= most_apart(m + n))
+        k = np.arange(len(batch))
+        near, _ = allowed(np.concatenate([batch["m"], batch["n"]]).astype(np.int64), [*batch["x"], *batch["y"]], k, k + len(batch))
         yield batch.loc[near, ["a", "b"]]
 
 
-def _apart(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs of a key's members in different components whose sketches allow the similarity."""
-    top, bottom = SIMILARITY
+def _groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The batches of sorted rows, cut where a (key, i, j) ends."""
+    held = []
     for batch in batches:
-        for members in batch["members"]:
-            node = np.array([m["node"] for m in members], np.int64)
-            root = np.array([m["root"] for m in members], np.int64)
-            n = np.array([m["n"] for m in members], np.int64)
-            size = np.array([len(m["wide"]) for m in members], np.int64)
-            for length in np.unique(size).tolist():
-                own = np.nonzero((size == length) | (size == 2 * length))[0]
-                bitmap = np.array([_folded(members[j]["wide"], length) for j in own])
-                for at in range(0, len(own), _ROWS):
-                    i = own[at : at + _ROWS]
-                    differ = np.zeros((len(i), len(own)), np.int32)
-                    for k in range(length):
-                        differ += np.bitwise_count(bitmap[at : at + _ROWS, None, k] ^ bitmap[None, :, k])
-                    near = differ * (bottom + top) <= (bottom - top) * (n[i][:, None] + n[own][None])
-                    near &= (root[i][:, None] != root[own][None]) & (node[i][:, None] < node[own][None])
-                    x, y = np.nonzero(near)
-                    if len(x):
-                        yield pd.DataFrame({"a": node[i[x]], "b": node[own[y]]})
+        if not len(batch):
+            continue
+        last = batch.iloc[-1]
+        open_from = int(((batch["key"] != last["key"]) | (batch["i"] != last["i"]) | (batch["j"] != last["j"])).to_numpy().nonzero()[0].max(initial=-1)) + 1
+        if open_from or held and tuple(held[-1][["key", "i", "j"]].iloc[-1]) != tuple(last[["key", "i", "j"]]):
+            yield pd.concat([*held, batch.iloc[:open_from]], ignore_index=True)
+            held = []
+        held.append(batch.iloc[open_from:])
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def nearest_pairs(rows: pd.DataFrame, most: int) -> pd.DataFrame:
+    """(key, i, j, a, b, more): for each row of each (key, i, j) its ``most`` nearest of those in other components
+    that the sketches allow; more: whether some of the group's pairs were left out."""
+    n, wide, node, root, h = rows["n"].to_numpy(np.int64), rows["wide"].tolist(), rows["node"].to_numpy(), rows["root"].to_numpy(), rows["h"].to_numpy()
+    where = rows[["key", "i", "j"]].to_numpy()
+    starts = np.concatenate([[0], np.nonzero((where[1:] != where[:-1]).any(axis=1))[0] + 1, [len(rows)]])
+    group = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    ahead = starts[group + 1] - np.arange(len(rows)) - 1  # rows of the group after each
+    within = rows["i"].to_numpy() == rows["j"].to_numpy()
+    found: list[np.ndarray] = []
+    ends = np.cumsum(ahead)
+    at = 0
+    while at < len(rows):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _PAIRS, "right")))
+        i = np.repeat(np.arange(at, to), ahead[at:to])
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(ahead[at:to]) - ahead[at:to], ahead[at:to])
+        open_ = (root[i] != root[j]) & (within[i] | (h[i] != h[j]))
+        i, j = i[open_], j[open_]
+        near, differ = allowed(n, wide, i, j)
+        found.append(np.stack([i[near], j[near], differ[near]]))
+        at = to
+    i, j, differ = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
+    source, other = np.concatenate([i, j]), np.concatenate([j, i])
+    order = np.lexsort((other, np.concatenate([differ, differ]), source))
+    source, other = source[order], other[order]
+    first = np.concatenate([[True], source[1:] != source[:-1]]) if len(source) else np.zeros(0, bool)
+    rank = np.arange(len(source)) - np.maximum.accumulate(np.where(first, np.arange(len(source)), 0)) if len(source) else source
+    more = np.zeros(len(starts) - 1, bool)
+    more[group[source[rank >= most]]] = True
+    source, other = source[rank < most], other[rank < most]
+    return pd.DataFrame({**{c: rows[c].to_numpy()[source] for c in ("key", "i", "j")}, "a": np.minimum(node[source], node[other]), "b": np.maximum(node[source], node[other]), "more": more[group[source]]})
 
 
 def links(base: DataFrame, docs: DataFrame) -> DataFrame:
     """(a, b): links of sets whose closure is that of all pairs at the similarity.
 
-    ``base`` has (doc_id, node, n, wide, keys) of ``docs`` (doc_id, text); node names a set.
+    ``base`` has (doc_id, node, n, fp, wide, keys) of ``docs`` (doc_id, text); node names a set.
     """
     keyed = base.select("node", F.explode("keys").alias("key"))
-    shared = durable(keyed.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first <> last").select("key", "first"))
-    met = durable(keyed.join(sized_broadcast(shared, SHARED_KEYS), "key").select("key", "node", "first").distinct())
-    used = durable(met.select("node").distinct())
-    drawn = durable(base.join(sized_broadcast(used), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("wide").alias("wide")))
+    half = F.shiftright("node", 32).cast("int")  # enough to tell that a key's sets differ
+    shared = written(keyed.groupBy("key").agg(F.min(half).alias("low"), F.max(half).alias("high")).filter("low <> high").select("key"))
+    met = written(keyed.join(sized_broadcast(shared, SHARED_KEYS), "key").distinct())
+    used = written(met.select("node").distinct())
+    drawn = written(base.join(sized_broadcast(used), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("wide").alias("wide")))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        ends = durable(pairs.select("a").union(pairs.select("b")).toDF("node").distinct())
-        holders = durable(drawn.select("node", "doc_id").join(sized_broadcast(ends), "node"))
-        sets = durable(docs.join(sized_broadcast(holders), "doc_id").select("node", "text").mapInPandas(_sets, "node long, held array<long>").dropDuplicates(["node"]))
+        """Those of ``pairs`` (a, b) at the similarity."""
+        x, y = drawn.select(F.col("node").alias("a"), F.col("n").alias("m"), F.col("wide").alias("x")), drawn.select(F.col("node").alias("b"), "n", F.col("wide").alias("y"))
+        pairs = written(pairs.join(x, "a").join(y, "b").mapInPandas(_allowed, "a long, b long"))
+        ends = written(pairs.select("a").union(pairs.select("b")).toDF("node").distinct())
+        holders = written(drawn.select("node", "doc_id").join(sized_broadcast(ends), "node"))
+        sets = docs.join(sized_broadcast(holders), "doc_id").select("node", "text").mapInPandas(_sets, "node long, held array<long>").dropDuplicates(["node"])
+        sets = written(sets)
         x, y = sets.select(F.col("node").alias("a"), F.col("held").alias("x")), sets.select(F.col("node").alias("b"), F.col("held").alias("y"))
-        return durable(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInPandas(_verified, "a long, b long"))
-
-    x, y = drawn.select(F.col("node").alias("a"), F.col("n").alias("m"), F.col("wide").alias("x")), drawn.select(F.col("node").alias("b"), "n", F.col("wide").alias("y"))
-    firsts = met.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    stars = verify(durable(firsts.join(x, "a").join(y, "b").mapInPandas(_allowed, "a long, b long")))
-    roots = durable(components(stars))
-    placed = met.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    split = durable(placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")).filter("low <> high and n > 2").select("key"))
-    listed = placed.join(sized_broadcast(split), "key").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("node", "root"))).alias("members"))
-    # keys with the same members are worked through once
-    once = listed.groupBy("members").agg(F.min("key").alias("key")).select("key", F.explode("members").alias("at")).select("key", "at.node", "at.root")
-    groups = once.join(drawn, "node").groupBy("key").agg(F.collect_list(F.struct("node", "root", "n", "wide")).alias("members"))
-    return stars.unionByName(verify(durable(groups.select("members").mapInPandas(_apart, "a long, b long").distinct())))
+        return written(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInPandas(_verified, "a long, b long"))
+
+    def split(rows: DataFrame, edges: DataFrame, *by: str) -> DataFrame:
+        """``rows`` (with node) whose group ``by`` lies in more than one component, with root."""
+        placed = rows.join(written(components(edges)), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        several = placed.groupBy(*by).agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select(*by)
+        return written(placed.join(several, [*by]))
+
+    one_fp = written(drawn.groupBy("fp").agg(F.min("node").alias("node")))
+    same_fp = drawn.select("fp", F.col("node").alias("b")).join(one_fp.withColumnRenamed("node", "a"), "fp").filter("a <> b").select("a", "b")
+    edges = verify(simhash_segments.links(one_fp).unionByName(same_fp))
+    open_keys = met
+    for k in range(HUBS):
+        open_keys = split(open_keys.select("key", "node"), edges, "key")
+        hub = open_keys.groupBy("key").agg(F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(k))).alias("hub"))
+        stars = open_keys.join(hub, "key").filter("root <> hub.root").select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
+        edges = written(edges.unionByName(verify(written(stars.distinct()))))
+
+    open_keys = split(open_keys.select("key", "node"), edges, "key")
+    alike = open_keys.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.struct(F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64("node", F.lit(1)))).alias("mark"))
+    once = alike.groupBy("members", "mark").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+    dealt = open_keys.join(once, "key").select("key", "node", "blocks", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int").alias("h")).withColumn("g", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    groups = written(dealt.select("key", F.least("h", "g").alias("i"), F.greatest("h", "g").alias("j"), "h", "node"))
+    tried, most = None, 1
+    while True:
+        rows = split(groups, edges, "key", "i", "j").join(drawn.select("node", "n", "wide"), "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
+        found = written(rows.mapInPandas(lambda it, most=most: (nearest_pairs(own, most) for own in _groups(it)), "key long, i int, j int, a long, b long, more boolean"))
+        pairs = found.select("a", "b").distinct()
+        new = written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        if not new.limit(1).count():
+            if not found.filter("more").limit(1).count():
+                return edges
+        else:
+            edges = written(edges.unionByName(verify(new)))
+            tried = new if tried is None else written(tried.unionByName(new))
+        groups = written(groups.join(found.filter("more").select("key", "i", "j").distinct(), ["key", "i", "j"], "left_semi"))
+        most *= 2
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id and component_id, the smallest doc_id of its near copies."""
-    base = durable(docs.select("doc_id", "text").mapInPandas(_keyed, "doc_id long, node long, n int, wide binary, keys array<long>"))
+    base = written(docs.select("doc_id", "text").mapInPandas(_keyed, "doc_id long, node long, n int, fp long, wide binary, keys array<long>"))
     named = base.filter("doc_id is not null")
     edges = links(named, docs.filter("doc_id is not null").select("doc_id", "text"))
     repeated = named.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("doc_id", "a")
@@ -219,7 +311,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
         edges = edges.unionByName(named.join(repeated, "doc_id").select("a", F.col("node").alias("b")).filter("a <> b"))
     roots = components(edges)
     nodes = named.groupBy("node").agg(F.min("doc_id").alias("least")).join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    nodes = durable(nodes)
+    nodes = written(nodes)
     least = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_node = durable(nodes.join(least, "root").select("node", "component_id"))
+    of_node = written(nodes.join(least, "root").select("node", "component_id"))
     return base.select("doc_id", "node").join(of_node, "node", "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from seqloom.llm.common import durable, sized_broadcast
+from seqloom.llm.common import durable, sized_broadcast, written
 
 RADIUS = 2
 SHINGLE = 3
@@ -157,16 +157,16 @@ def components(edges: DataFrame) -> DataFrame:
         return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
     big, small = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
-    edges = durable(edges.filter("a <> b").select(big, small).distinct())
+    edges = written(edges.filter("a <> b").select(big, small).distinct())
     before = None
     while (now := mark(edges)) != before:
         before = now
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = durable(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
-        large = durable(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
-        least = durable(large.groupBy("u").agg(F.min("v").alias("m")))
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = written(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")))
         stars = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = durable(stars.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        edges = written(stars.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
