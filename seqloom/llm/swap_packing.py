@@ -4,7 +4,8 @@ Documents become token ids plus an end id; longer ones are cut into pieces of ``
 Pieces are dealt by hash into groups of about ``GROUP_ROWS`` rows. Each group is packed best fit
 decreasing, then a local search works on its underfull bins: it moves a piece, exchanges one for
 one or two for one between the emptiest bin and another, always increasing the sum of squared
-fills, until bins empty and no exchange is left. Bins that stay clearly underfull are pooled from
+fills, until no change is left or the room of all bins together is less than one. Pieces of one size
+are alike, and a bin holds at most 63 different sizes, so all pairs of a bin are looked at by size. Bins that stay clearly underfull are pooled from
 all groups and packed once more, in fewer groups of the same size, so that waste stays at about one
 bin for each ``GROUP_ROWS`` pooled pieces. No group depends on a key of the data, so hot sources or
 copies do not gather, and a group's memory does not grow with the input.
@@ -33,10 +34,6 @@ END = 0
 GROUP_ROWS = 4096
 #: Bins filled less than this are pooled for the second round.
 POOL_BELOW = 2000
-#: Steps of the local search in a group, at most.
-STEPS = 1000
-#: Smallest pieces of a bin that two-for-one exchanges may pair.
-PAIRED = 12
 #: Words whose ids a Python worker remembers, at most.
 CACHE_WORDS = 600_000
 
@@ -153,13 +150,23 @@ def best_fit(lengths: list[int], seq: int = SEQ) -> list[list[int]]:
     return bins
 
 
-def _pairs(items: list[int], lengths: list[int]) -> list[tuple[int, int, int]]:
-    """(sum, i, j) of the pairs among a bin's ``PAIRED`` smallest pieces."""
-    small = sorted(items, key=lambda i: lengths[i])[:PAIRED]
-    return [(lengths[i] + lengths[j], i, j) for k, i in enumerate(small) for j in small[k + 1 :]]
+def _given_back(items: list[int], lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes that a bin may give back, ascending, and the one or two pieces (j is -1) of each; pieces of one size are alike."""
+    of_size: dict[int, list[int]] = {}
+    for i in items:
+        of_size.setdefault(lengths[i], []).append(i)
+    found: dict[int, tuple[int, int]] = {n: (own[0], -1) for n, own in of_size.items()}
+    sizes = sorted(of_size)
+    for k, m in enumerate(sizes):
+        if len(of_size[m]) > 1:
+            found.setdefault(2 * m, (of_size[m][0], of_size[m][1]))
+        for n in sizes[k + 1 :]:
+            found.setdefault(m + n, (of_size[m][0], of_size[n][0]))
+    order = sorted(found)
+    return np.array(order, np.int64), np.array([found[n] for n in order], np.int64).reshape(-1, 2)
 
 
-def local_search(bins: list[list[int]], lengths: list[int], seq: int = SEQ, steps: int = STEPS) -> list[list[int]]:
+def local_search(bins: list[list[int]], lengths: list[int], seq: int = SEQ) -> list[list[int]]:
     """Empty underfull bins by moves, one-for-one and two-for-one exchanges.
 
     Each step takes the emptiest bin that is not given up yet and makes the change that carries
@@ -170,52 +177,54 @@ def local_search(bins: list[list[int]], lengths: list[int], seq: int = SEQ, step
     fill = np.array([sum(lengths[i] for i in b) for b in bins], np.int64)
     if len(bins) <= -(-int(fill.sum()) // seq):
         return bins
-    # what may be given back, as (size, bin, pieces); entries of changed bins are replaced
-    entries: list[tuple[int, int, tuple[int, ...]]] = []
-    for b, items in enumerate(bins):
-        entries += [(lengths[i], b, (i,)) for i in items] + [(n, b, (i, j)) for n, i, j in _pairs(items, lengths)]
-    size, owner = np.array([e[0] for e in entries]), np.array([e[1] for e in entries])
+    backs = [_given_back(b, lengths) for b in bins]
+    size, pieces_of = np.concatenate([b[0] for b in backs]), np.concatenate([b[1] for b in backs])
+    owner = np.repeat(np.arange(len(bins)), [len(b[0]) for b in backs])
     given_up = np.zeros(len(bins), bool)
-    for _ in range(steps):
+    while True:
         open_bins = (fill > 0) & (fill < seq)
         candidates = np.nonzero(open_bins & ~given_up)[0]
         if not candidates.size or (seq - fill)[open_bins].sum() < seq:
-            break
+            return [b for b in bins if b]
         source = int(candidates[np.argmin(fill[candidates])])
         room = np.where(open_bins & (fill >= fill[source]), seq - fill, 0)
         room[source] = 0
-        best: tuple[int, int, int, tuple[int, ...]] = (0, -1, -1, ())
+        carried, moved, to, back = 0, -1, -1, (-1, -1)
+        limits = room[owner]
+        tried = set()
         for i in sorted(bins[source], key=lambda i: -lengths[i]):
             x = lengths[i]
-            if x <= best[0]:
+            if x <= carried:
                 break
+            if x in tried:
+                continue
+            tried.add(x)
             fits = np.nonzero(room >= x)[0]
             if fits.size:  # a move carries all of x
-                best = (x, i, int(fits[np.argmin(room[fits])]), ())
+                carried, moved, to, back = x, i, int(fits[np.argmin(room[fits])]), (-1, -1)
                 break
             gain = x - size
-            gain[gain > room[owner]] = 0
+            gain[gain > limits] = 0
             k = int(np.argmax(gain))
-            if gain[k] > best[0]:
-                best = (int(gain[k]), i, int(owner[k]), entries[k][2])
-        carried, i, to, back = best
+            if gain[k] > carried:
+                carried, moved, to, back = int(gain[k]), i, int(owner[k]), tuple(pieces_of[k].tolist())
         if not carried:
             given_up[source] = True
             continue
-        bins[source].remove(i)
-        bins[to].append(i)
+        bins[source].remove(moved)
+        bins[to].append(moved)
         for j in back:
-            bins[to].remove(j)
-            bins[source].append(j)
+            if j >= 0:
+                bins[to].remove(j)
+                bins[source].append(j)
         fill[source] -= carried
         fill[to] += carried
         given_up[:] = False
         keep = (owner != source) & (owner != to)
-        entries = [e for e, k in zip(entries, keep.tolist(), strict=True) if k]
-        for b in (source, to):
-            entries += [(lengths[i], b, (i,)) for i in bins[b]] + [(n, b, (i, j)) for n, i, j in _pairs(bins[b], lengths)]
-        size, owner = np.array([e[0] for e in entries]), np.array([e[1] for e in entries])
-    return [b for b in bins if b]
+        new = [(b, *_given_back(bins[b], lengths)) for b in (source, to)]
+        size = np.concatenate([size[keep], *[n for _, n, _ in new]])
+        pieces_of = np.concatenate([pieces_of[keep], *[p for _, _, p in new]])
+        owner = np.concatenate([owner[keep], *[np.full(len(n), b) for b, n, _ in new]])
 
 
 def _packer(seq: int, round_no: int):

@@ -1,3 +1,4 @@
+import itertools
 import random
 import zlib
 
@@ -65,6 +66,36 @@ def test_packing_is_a_partition_within_bounds(lengths):
     assert len(searched) <= len(bins)
 
 
+def slow_best_fit(lengths, seq):
+    rooms = []
+    for n in sorted(lengths, reverse=True):
+        fits = [k for k, room in enumerate(rooms) if room >= n]
+        if fits:
+            rooms[min(fits, key=lambda k: rooms[k])] -= n
+        else:
+            rooms.append(seq - n)
+    return sorted(rooms)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 100), max_size=60))
+def test_best_fit_and_the_end_of_the_search_by_brute_force(lengths):
+    bins = P.best_fit(lengths, 100)
+    assert sorted(100 - sum(lengths[i] for i in b) for b in bins) == slow_best_fit(lengths, 100)
+    done = P.local_search(bins, lengths, 100)
+    fill = [sum(lengths[i] for i in b) for b in done]
+    if len(done) == -(-sum(lengths) // 100) or sum(100 - f for f in fill if f < 100) < 100:
+        return
+    for source, own in enumerate(done):  # no move or exchange to a bin that is as full or fuller is left
+        for to, other in enumerate(done):
+            if source == to or fill[source] == 100 or fill[to] < fill[source]:
+                continue
+            for i in own:
+                for back in [(), *((j,) for j in other), *itertools.combinations(other, 2)]:
+                    carried = lengths[i] - sum(lengths[j] for j in back)
+                    assert carried <= 0 or carried > 100 - fill[to]
+
+
 def test_local_search_empties_bins_by_every_change():
     # a move, a one-for-one and a two-for-one exchange each save a bin
     move = ([[0], [1]], [60, 40])
