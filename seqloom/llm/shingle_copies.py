@@ -5,12 +5,11 @@ each a 64-bit hash; equal sets are one node. Nodes whose SimHash fingerprints ar
 ``simhash_segments`` are linked first, through its popcount grid. A fingerprint can't tell all pairs
 at the similarity (most differ in 3 to 16 bits), so the rest comes through keys of the sets.
 
-Sets A and B at similarity s differ in at most (1 - s) / (1 + s) * (|A| + |B|) shingles. Shingles are
-dealt by hash to more parts than that, so that some part holds the same shingles in both: the
-contents of a part are a key, and near copies share one. No pair at the similarity is missed: the
-number of parts follows a size class (``GROWTH``), a set that may have partners in the next class
-gives keys for both, and a set with too few filled parts also gives its smallest hashes (prefix
-filter), as do all others like it.
+Of two sets at similarity s, the first (1 - s) * n + 1 of the n shingles of each, in any one order of
+all shingles, have one in common (prefix filter), so these are a set's keys and no pair at the
+similarity is missed. The order puts shingles first that are rare in a sample of documents
+(``SAMPLE_DOCS``), so that passages that many documents share are keys of few; the sample changes
+the order alone, never the result.
 
 Sets that share a key are candidates. In a few rounds (``HUBS``), each key's members are compared to
 one of them, chosen by hash so that keys of like members choose the same. Members that are still in
@@ -40,16 +39,16 @@ from seqloom.llm.simhash_segments import components
 SHINGLE = 5
 #: The similarity as a fraction, so that bounds are whole numbers.
 SIMILARITY = (4, 5)
-GROWTH = 1.6
+#: About so many documents are sampled for the order of shingles; at most so many shingles are known as frequent,
+#: being in at least so many of the sampled documents.
+SAMPLE_DOCS, FREQUENT, FREQUENT_DOCS = 20_000, 200_000, 3
 SEED = 7
 #: Sketch bits per shingle, at least, and most bits of a sketch.
 SKETCH, SKETCH_BITS = 1, 1 << 15
 #: Rounds in which the members of a key are compared to one of them.
-HUBS = 2
+HUBS = 1
 #: Members of a key that are compared to each other in one group, and pairs in memory at once.
 BLOCK, _PAIRS = 1024, 1 << 17
-#: Most shared keys (16 bytes each) that are broadcast; more are joined by shuffle.
-SHARED_KEYS = 2_000_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -75,39 +74,19 @@ def set_id(found: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(found.tobytes(), SEED) - (1 << 63)
 
 
-def most_apart(sizes: int) -> int:
-    """The most shingles that sets of ``sizes`` shingles in all can differ in at the similarity."""
-    top, bottom = SIMILARITY
-    return (bottom - top) * sizes // (bottom + top)
-
+def keys(found: np.ndarray, frequent: np.ndarray | None = None, times: np.ndarray | None = None) -> np.ndarray:
+    """The shingles of which two sets at the similarity share at least one.
 
-def size_caps(n: int) -> list[int]:
-    """The largest sizes of the classes in which a set of ``n`` shingles can meet its near copies."""
+    frequent, times: sorted shingles known as frequent, and in how many sampled documents they are.
+    """
+    n = len(found)
     top, bottom = SIMILARITY
-    cap = 1
-    while cap < n:
-        cap = int(cap * GROWTH) + 1
-    return [cap, int(cap * GROWTH) + 1] if n * bottom >= top * (cap + 1) else [cap]
-
-
-def keys(found: np.ndarray) -> np.ndarray:
-    """Keys of which two sets at the similarity share at least one."""
-    n, out = len(found), []
-    mixed = _mix(found + np.uint64(1))
-    for cap in size_caps(n):
-        apart = most_apart(2 * cap)
-        parts = apart + apart // 8 + (3 if apart else 1)
-        part = (found % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        filled, first = np.unique(part[order], return_index=True)
-        held = np.add.reduceat(mixed[order], first)
-        place = _mix(filled.astype(np.uint64) + (np.uint64(cap) << np.uint64(32)))
-        out.append(_mix(held ^ place))
-        if len(filled) <= apart:
-            top, bottom = SIMILARITY
-            prefix = found[: n - -(-n * top // bottom) + 1]
-            out.append(_mix(prefix ^ _mix(np.array([cap], np.uint64))))
-    return np.unique(np.concatenate(out)).view(np.int64)
+    most = n - -(-n * top // bottom) + 1
+    if frequent is None or not len(frequent):
+        return found[:most].view(np.int64)
+    at = np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)
+    weight = np.where(frequent[at] == found, times[at], 0)
+    return found[np.argsort(weight, kind="stable")[:most]].view(np.int64)  # found is sorted, so ties go by hash
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -145,11 +124,32 @@ def fingerprint(found: np.ndarray) -> int:
     return int.from_bytes(np.packbits(votes * 2 > len(found)).tobytes(), "big", signed=True)
 
 
-def _keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        sets = [shingles(t) for t in batch["text"]]
-        columns = {"node": [set_id(s) for s in sets], "n": [len(s) for s in sets], "fp": [fingerprint(s) for s in sets], "wide": [wide_sketch(s) for s in sets], "keys": [keys(s) for s in sets]}
-        yield pd.DataFrame({"doc_id": batch["doc_id"], **columns})
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, node, n, fp, wide, keys) of each row of ``docs`` (doc_id, text)."""
+    share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
+    sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000) + 1).select("text")
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 1000):
+                found = [shingles(text).view(np.int64) for text in batch["text"].iloc[at : at + 1000]]
+                yield pd.DataFrame({"shingle": np.concatenate(found)})
+
+    seen = sample.mapInPandas(each, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") >= FREQUENT_DOCS)
+    known = seen.orderBy(F.desc("times"), "shingle").limit(FREQUENT).toArrow().to_pandas()
+    frequent = known["shingle"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(frequent)
+    shared = docs.sparkSession.sparkContext.broadcast((frequent[order], known["times"].to_numpy(np.int64)[order]))
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 1000):
+                own = batch.iloc[at : at + 1000]
+                sets = [shingles(t) for t in own["text"]]
+                columns = {"node": [set_id(s) for s in sets], "n": [len(s) for s in sets], "fp": [fingerprint(s) for s in sets], "wide": [wide_sketch(s) for s in sets], "keys": [keys(s, *shared.value) for s in sets]}
+                yield pd.DataFrame({"doc_id": own["doc_id"].to_numpy(), **columns})
+
+    return docs.select("doc_id", "text").mapInPandas(work, "doc_id long, node long, n int, fp long, wide binary, keys array<long>")
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -217,27 +217,26 @@ def nearest_pairs(rows: pd.DataFrame, most: int) -> pd.DataFrame:
     group = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
     ahead = starts[group + 1] - np.arange(len(rows)) - 1  # rows of the group after each
     within = rows["i"].to_numpy() == rows["j"].to_numpy()
-    found: list[np.ndarray] = []
+    best = np.zeros((3, 0), np.int64)  # row, other row, bits apart
+    more = np.zeros(len(starts) - 1, bool)
     ends = np.cumsum(ahead)
     at = 0
     while at < len(rows):
         to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _PAIRS, "right")))
         i = np.repeat(np.arange(at, to), ahead[at:to])
         j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(ahead[at:to]) - ahead[at:to], ahead[at:to])
-        open_ = (root[i] != root[j]) & (within[i] | (h[i] != h[j]))
-        i, j = i[open_], j[open_]
+        apart = (root[i] != root[j]) & (within[i] | (h[i] != h[j]))
+        i, j = i[apart], j[apart]
         near, differ = allowed(n, wide, i, j)
-        found.append(np.stack([i[near], j[near], differ[near]]))
+        i, j, differ = i[near], j[near], differ[near]
+        best = np.concatenate([best, [i, j, differ], [j, i, differ]], axis=1)
+        best = best[:, np.lexsort((best[1], best[2], best[0]))]
+        place = np.arange(best.shape[1])
+        rank = place - np.maximum.accumulate(np.where(np.diff(best[0], prepend=-1) != 0, place, 0)) if best.shape[1] else place
+        more[group[best[0, rank >= most]]] = True
+        best = best[:, rank < most]
         at = to
-    i, j, differ = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
-    source, other = np.concatenate([i, j]), np.concatenate([j, i])
-    order = np.lexsort((other, np.concatenate([differ, differ]), source))
-    source, other = source[order], other[order]
-    first = np.concatenate([[True], source[1:] != source[:-1]]) if len(source) else np.zeros(0, bool)
-    rank = np.arange(len(source)) - np.maximum.accumulate(np.where(first, np.arange(len(source)), 0)) if len(source) else source
-    more = np.zeros(len(starts) - 1, bool)
-    more[group[source[rank >= most]]] = True
-    source, other = source[rank < most], other[rank < most]
+    source, other, _ = best
     return pd.DataFrame({**{c: rows[c].to_numpy()[source] for c in ("key", "i", "j")}, "a": np.minimum(node[source], node[other]), "b": np.maximum(node[source], node[other]), "more": more[group[source]]})
 
 
@@ -246,10 +245,10 @@ def links(base: DataFrame, docs: DataFrame) -> DataFrame:
 
     ``base`` has (doc_id, node, n, fp, wide, keys) of ``docs`` (doc_id, text); node names a set.
     """
-    keyed = base.select("node", F.explode("keys").alias("key"))
+    of_key = base.select("node", F.explode("keys").alias("key"))
     half = F.shiftright("node", 32).cast("int")  # enough to tell that a key's sets differ
-    shared = written(keyed.groupBy("key").agg(F.min(half).alias("low"), F.max(half).alias("high")).filter("low <> high").select("key"))
-    met = written(keyed.join(sized_broadcast(shared, SHARED_KEYS), "key").distinct())
+    shared = written(of_key.groupBy("key").agg(F.min(half).alias("low"), F.max(half).alias("high")).filter("low <> high").select("key"))
+    met = written(of_key.join(sized_broadcast(shared), "key").distinct())
     used = written(met.select("node").distinct())
     drawn = written(base.join(sized_broadcast(used), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("wide").alias("wide")))
 
@@ -303,7 +302,7 @@ def links(base: DataFrame, docs: DataFrame) -> DataFrame:
 
 def near_copies(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id and component_id, the smallest doc_id of its near copies."""
-    base = written(docs.select("doc_id", "text").mapInPandas(_keyed, "doc_id long, node long, n int, fp long, wide binary, keys array<long>"))
+    base = written(keyed(docs))
     named = base.filter("doc_id is not null")
     edges = links(named, docs.filter("doc_id is not null").select("doc_id", "text"))
     repeated = named.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("doc_id", "a")

@@ -66,9 +66,12 @@ def test_similar_sets_share_a_key():
         a = np.unique(r.integers(0, 1 << 63, n).astype(np.uint64))
         gone = int(r.integers(0, n // 5 + 1))
         b = np.unique(np.concatenate([a[r.permutation(n)[gone:]], r.integers(0, 1 << 63, int(r.integers(0, n // 4 + 1))).astype(np.uint64)]))
+        frequent = np.unique(r.choice(a, len(a) // 2))
+        times = r.integers(1, 9, len(frequent))
         if C.similar(a, b):
             tried += 1
             assert np.intersect1d(C.keys(a), C.keys(b)).size
+            assert np.intersect1d(C.keys(a, frequent, times), C.keys(b, frequent, times)).size
     assert tried > 500
 
 
@@ -77,3 +80,13 @@ def test_edge_rows(spark, edge_docs, no_docs):
     assert got.count() == len(EDGE_ROWS)
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 6, 7: 6, 8: 8, None: None}
     assert C.near_copies(no_docs).count() == 0
+
+
+def test_blocks_and_rounds_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(C, "HUBS", 0)
+    monkeypatch.setattr(C, "BLOCK", 3)
+    monkeypatch.setattr(C, "_PAIRS", 8)
+    texts = near_texts(3)[::2]
+    docs = make_docs(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
+    got = {r["doc_id"]: r["component_id"] for r in C.near_copies(docs).collect()}
+    assert got == dict(enumerate(slow_components(texts)))
