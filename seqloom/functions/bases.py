@@ -16,7 +16,9 @@ def reverse_complement(seq: Column) -> Column:
 def cigar_ref_len(cigar: Column) -> Column:
     """Sum of the lengths of M and D; ``*`` has none."""
     lengths = F.regexp_extract_all(cigar, F.lit(r"(\d+)[MD]"), F.lit(1))
-    return F.coalesce(F.aggregate(lengths, F.lit(0).cast("long"), lambda total, n: total + n.cast("long")), F.lit(0).cast("long"))
+    summed = F.coalesce(F.aggregate(lengths, F.lit(0).cast("long"), lambda total, n: total + n.cast("long")), F.lit(0).cast("long"))
+    plain = F.translate(cigar, "0123456789", "") == "M"  # most alignments are one match
+    return F.when(plain, F.rtrim(cigar, F.lit("M")).try_cast("long")).otherwise(summed)
 
 
 def extract_umi(name: Column) -> Column:

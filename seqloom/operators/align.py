@@ -6,8 +6,11 @@ grouping on (sample_id, qname) of the few columns that are needed; sequences are
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from seqloom.functions.bases import cigar_ref_len, extract_umi, has_bit
 
@@ -22,7 +25,8 @@ def mates(aln: DataFrame, *columns: str) -> DataFrame:
     """(sample_id, qname, r1, r2): the mates' flag and ``columns`` as structs, null where one is missing."""
     row = F.struct("flag", *columns)
     of = [F.max(F.when(has_bit(F.col("flag"), bit), row)).alias(name) for bit, name in ((64, "r1"), (128, "r2"))]
-    return primary(aln).groupBy(*KEYS).agg(*of)
+    # a name has two rows, so nothing combines before the shuffle: rows are sorted once, after it
+    return primary(aln).select(*KEYS, "flag", *columns).repartition(*KEYS).groupBy(*KEYS).agg(*of)
 
 
 def classify_pairs(aln: DataFrame) -> DataFrame:
@@ -212,25 +216,35 @@ def fragments(aln: DataFrame, strand_rev: bool = False, min_len: int = 0, ref_fi
 
     A properly paired couple is one fragment from the smaller start, placed by its second mate; any
     other mapped read is one of its own. Ends are starts plus the reference length of the alignment.
+    The input is read once, and sorted once by read name.
     """
     kept = primary(aln).filter(F.length("qual") >= min_len)
     if ref_filter is not None:
         kept = kept.filter(F.col("rname") == ref_filter)
     placed = kept.withColumn("start_pos", F.col("pos").cast("long")).withColumn("end_pos", F.col("start_pos") + cigar_ref_len(F.col("cigar")))
-    proper = has_bit(F.col("flag"), 2)
-    alone = placed.filter(~proper & ~has_bit(F.col("flag"), 4)).select("sample_id", F.col("rname").alias("acc"), "start_pos", "end_pos", strand_of(F.col("flag"), strand_rev).alias("strand"), F.lit(False).alias("paired"), F.col("qname").alias("name"))
-    couples = mates(placed.filter(proper), "rname", "start_pos", "end_pos").filter("r2 is not null")
-    before = F.col("r1.start_pos") <= F.col("r2.start_pos")
-    joined = couples.select(
+    proper, flag = has_bit(F.col("flag"), 2), F.col("flag")
+    rows = placed.filter(proper | ~has_bit(flag, 4)).select(*KEYS, "flag", "rname", "start_pos", "end_pos", proper.alias("proper"))
+    couple = Window.partitionBy(*KEYS, "proper").orderBy("flag")
+    mate = F.when(F.col("proper"), F.struct("flag", "rname", "start_pos", "end_pos"))
+    whole = couple.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    r1, r2 = (F.max(F.when(has_bit(flag, bit), mate)).over(whole) for bit in (64, 128))
+    met = rows.withColumn("r1", r1).withColumn("r2", r2).withColumn("nth", F.row_number().over(couple))
+    met = met.filter("not proper or nth = 1 and r2 is not null")
+    before = F.coalesce(F.col("r1.start_pos") <= F.col("r2.start_pos"), F.lit(True))
+
+    def either(alone: Column, together: Column) -> Column:
+        return F.when(F.col("proper"), together).otherwise(alone)
+
+    first = F.when(F.col("r1.start_pos") <= F.col("r2.start_pos"), F.col("r1.start_pos")).otherwise(F.col("r2.start_pos"))
+    return met.select(
         "sample_id",
-        F.col("r2.rname").alias("acc"),
-        F.when(before, F.col("r1.start_pos")).otherwise(F.col("r2.start_pos")).alias("start_pos"),
-        F.when(F.coalesce(before, F.lit(True)), F.col("r2.end_pos")).otherwise(F.col("r1.end_pos")).alias("end_pos"),
-        strand_of(F.col("r2.flag"), strand_rev).alias("strand"),
-        F.lit(True).alias("paired"),
+        either(F.col("rname"), F.col("r2.rname")).alias("acc"),
+        either(F.col("start_pos"), first).alias("start_pos"),
+        either(F.col("end_pos"), F.when(before, F.col("r2.end_pos")).otherwise(F.col("r1.end_pos"))).alias("end_pos"),
+        strand_of(either(flag, F.col("r2.flag")), strand_rev).alias("strand"),
+        F.col("proper").alias("paired"),
         F.col("qname").alias("name"),
     )
-    return alone.unionByName(joined)
 
 
 def alignment_summary(aln: DataFrame, min_len: int = 0) -> DataFrame:
@@ -257,24 +271,37 @@ def distinct_fragments(frags: DataFrame) -> DataFrame:
 
 
 def quality_sum(qual: Column) -> Column:
-    return F.aggregate(F.split(qual, ""), F.lit(0), lambda total, c: total + F.when(c == "", 0).otherwise(F.ascii(c) - 33))
+    """The sum of base qualities, added up in numpy a batch at a time; 0 for null."""
 
+    @F.pandas_udf(LongType())
+    def total(quals: pd.Series) -> pd.Series:
+        raw = [(q or "").encode() for q in quals]
+        ends = np.cumsum([len(q) for q in raw], dtype=np.int64)
+        sums = np.concatenate([[0], np.cumsum(np.frombuffer(b"".join(raw), np.uint8).astype(np.int64) - 33)])
+        return pd.Series(np.diff(sums[ends], prepend=0), dtype="int64")
 
-def mark_duplicates(aln: DataFrame) -> DataFrame:
+    return total(qual)
+
+
+def mark_duplicates(aln: DataFrame, salts: int = 32) -> DataFrame:
     """(sample_id, qname, duplicate) of pairs with both mates mapped.
 
     Pairs of one sample with the same 5' positions and orientations of both mates are copies; all
     but the one with the best sum of base qualities (then the first name) are duplicates. The best
-    of a place is a grouped minimum, joined back, so piled-up places are not sorted in one task.
+    of each place with more than one pair is a grouped minimum, joined back in ``salts`` parts of the
+    place, so piled-up places neither are sorted nor meet in one task.
     """
     mapped = primary(aln).filter(~has_bit(F.col("flag"), 4))
     rev = has_bit(F.col("flag"), 16)
     five = F.when(rev, F.col("pos") + cigar_ref_len(F.col("cigar"))).otherwise(F.col("pos").cast("long"))
     sized = mapped.select(*KEYS, "flag", F.struct("rname", five.alias("at"), rev.alias("rev")).alias("end"), quality_sum(F.col("qual")).alias("q"))
     pairs = mates(sized, "end", "q").filter("r1 is not null and r2 is not null")
+    place = ["sample_id", "e1", "e2"]
     keyed = pairs.select(*KEYS, F.col("r1.end").alias("e1"), F.col("r2.end").alias("e2"), (F.col("r1.q") + F.col("r2.q")).alias("q"))
-    best = keyed.groupBy("sample_id", "e1", "e2").agg(F.min(F.struct((-F.col("q")).alias("q"), "qname")).alias("best"))
-    return keyed.join(best, ["sample_id", "e1", "e2"]).select(*KEYS, (F.col("qname") != F.col("best.qname")).alias("duplicate"))
+    best = keyed.groupBy(*place).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct((-F.col("q")).alias("q"), "qname"))["qname"].alias("best")).filter("n > 1")
+    spread = best.select(*place, "best", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    salted = keyed.select(*KEYS, "e1", "e2", F.pmod(F.xxhash64("qname"), F.lit(salts)).cast("int").alias("salt"))
+    return salted.join(spread, [*place, "salt"], "left").select(*KEYS, F.coalesce(F.col("qname") != F.col("best"), F.lit(False)).alias("duplicate"))
 
 
 def umi_collapse(aln: DataFrame, by: str = "coordinate", features: Column | None = None) -> DataFrame:
@@ -312,13 +339,17 @@ def insert_size_metrics(aln: DataFrame) -> DataFrame:
     return first.groupBy("sample_id").agg(F.count(F.lit(1)).alias("pairs"), F.round(F.avg(size), 4).alias("mean"), F.percentile(size, 0.5).alias("median"))
 
 
+def insert_size_histogram(aln: DataFrame) -> DataFrame:
+    """Proper pairs by template length, per sample."""
+    first = primary(aln).filter(has_bit(F.col("flag"), 2) & has_bit(F.col("flag"), 64))
+    return first.groupBy("sample_id", F.abs("tlen").alias("size")).agg(F.count(F.lit(1)).alias("pairs"))
+
+
 def quality_by_cycle(aln: DataFrame) -> DataFrame:
     """Mean base quality at each position, per sample.
 
     Every batch is summed by position in numpy before anything is shuffled.
     """
-    import numpy as np
-    import pandas as pd
 
     def sums(batches):
         for batch in batches:

@@ -5,11 +5,15 @@ Intervals are (acc, start_pos, end_pos) with inclusive ends, 1-based.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Genome bins of range joins: an interval meets others in the bins that it covers.
 BIN = 1 << 14
+#: Parts that a bin of a range join is spread over.
+SALTS = 8
 
 # Types that win over others at one place, by what they are called there.
 PRIORITY = {"CDS": "CDS", "tRNA": "tRNA", "rRNA": "rRNA", "miscRNA": "ncRNA", "misc_RNA": "ncRNA", "ncRNA": "ncRNA", "tmRNA": "ncRNA"}
@@ -86,12 +90,18 @@ def with_bins(df: DataFrame, start: str = "start_pos", end: str = "end_pos", siz
     return df.withColumn("bin", F.explode(F.sequence(F.floor(F.col(start) / size), F.floor(F.col(end) / size))))
 
 
-def overlapping(left: DataFrame, right: DataFrame, size: int = BIN) -> DataFrame:
+def overlapping(left: DataFrame, right: DataFrame, size: int = BIN, salts: int = SALTS) -> DataFrame:
     """Pairs of rows of ``left`` (acc, start_pos, end_pos, ...) and ``right`` (acc, f_start, f_end, ...)
-    that overlap, met by equi-join on (acc, bin) and kept in the first bin that they share."""
-    met = with_bins(left, size=size).join(with_bins(right, "f_start", "f_end", size), ["acc", "bin"])
+    that overlap, met by equi-join on (acc, bin) and kept in the first bin that they share.
+
+    Rows of the left side are dealt to ``salts`` parts of each bin, to each of which the right side, an
+    annotation, is sent, so that all samples' piles on one gene do not meet in one task.
+    """
+    salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int").alias("_salt")
+    each = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
+    met = with_bins(left.select("*", salt), size=size).join(with_bins(right, "f_start", "f_end", size).select("*", each), ["acc", "bin", "_salt"])
     first = F.floor(F.greatest("start_pos", "f_start") / size) == F.col("bin")
-    return met.filter(first & (F.least("end_pos", "f_end") >= F.greatest("start_pos", "f_start"))).drop("bin")
+    return met.filter(first & (F.least("end_pos", "f_end") >= F.greatest("start_pos", "f_start"))).drop("bin", "_salt")
 
 
 def count_features(frags: DataFrame, features: DataFrame, min_frag_len: int = 10, paired_only: bool = False) -> DataFrame:
@@ -158,16 +168,35 @@ def dense_coverage(runs: DataFrame) -> DataFrame:
 def smoothed_coverage(runs: DataFrame, window: int, stranded: bool = True, size: int = BIN) -> DataFrame:
     """I8: the mean depth of the ``window`` positions around each position with coverage in reach.
 
-    Bins carry copies of the positions within reach of their edges, so each is smoothed on its own.
-    The minus strand is shown negative, or added to the plus strand if not ``stranded``.
+    Runs are cut at bins, which carry copies of what lies within reach of their edges, so each bin is
+    smoothed on its own, in numpy, by differences of running sums. The minus strand is shown negative,
+    or added to the plus strand if not ``stranded``.
     """
     half = window // 2
-    dense = dense_coverage(runs)
-    spread = dense.select("sample_id", "acc", "plus", "minus", F.col("pos").alias("at"), F.explode(F.sequence(F.col("pos") - half + 1, F.col("pos") + half)).alias("pos")) if window > 1 else dense.withColumn("at", F.col("pos"))
-    mean = spread.groupBy("sample_id", "acc", "pos").agg((F.sum("plus") / max(1, 2 * half)).alias("plus"), (F.sum("minus") / max(1, 2 * half)).alias("minus")) if window > 1 else dense
+    before, after = (half, half - 1) if window > 1 else (0, 0)  # positions in reach of each
+
+    def smooth(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
+        sample, acc, at = key
+        low = at * size - before
+        places = size + before + after
+        a, b = np.clip(own["start_pos"].to_numpy() - low, 0, places), np.clip(own["end_pos"].to_numpy() + 1 - low, 0, places)
+
+        def around(depth) -> np.ndarray:
+            steps = np.zeros(places + 1, np.int64)
+            np.add.at(steps, a, depth)
+            np.add.at(steps, b, -np.asarray(depth))
+            sums = np.concatenate([[0], np.cumsum(np.cumsum(steps[:-1]))])
+            return sums[before + after + 1 :] - sums[: len(sums) - before - after - 1]
+
+        reached = np.nonzero(around(np.ones(len(own), np.int64)))[0]
+        means = {c: around(own[c].to_numpy(np.int64))[reached] / (before + after + 1) for c in ("plus", "minus")}
+        return pd.DataFrame({"sample_id": sample, "acc": acc, "pos": at * size + reached, **means})
+
+    reach = F.explode(F.sequence(F.floor((F.col("start_pos") - after) / size), F.floor((F.col("end_pos") + before) / size))).alias("bin")
+    mean = runs.select("sample_id", "acc", "start_pos", "end_pos", "plus", "minus", reach).groupBy("sample_id", "acc", "bin").applyInPandas(smooth, "sample_id string, acc string, pos long, plus double, minus double")
     if stranded:
-        return mean.select("sample_id", "acc", "pos", F.col("plus").cast("double").alias("plus"), (-F.col("minus")).cast("double").alias("minus"))
-    return mean.select("sample_id", "acc", "pos", (F.col("plus") + F.col("minus")).cast("double").alias("depth"))
+        return mean.select("sample_id", "acc", "pos", "plus", (0 - F.col("minus")).alias("minus"))
+    return mean.select("sample_id", "acc", "pos", (F.col("plus") + F.col("minus")).alias("depth"))
 
 
 def gene_body_coverage(runs: DataFrame, genes: DataFrame, bins: int = 20, add5: int = 0, add3: int = 0) -> DataFrame:
@@ -178,12 +207,18 @@ def gene_body_coverage(runs: DataFrame, genes: DataFrame, bins: int = 20, add5:
     end = F.col("end_pos") + F.when(plus, add3).otherwise(add5)
     spans = genes.select("acc", start.alias("f_start"), end.alias("f_end"), F.col("strand").alias("f_strand"), "name")
     met = overlapping(runs, spans).withColumn("depth", F.when(F.col("f_strand") == "+", F.col("plus")).otherwise(F.col("minus"))).filter("depth > 0")
-    n = (F.col("f_end") - F.col("f_start") + 1).alias("len")
-    pos = F.explode(F.sequence(F.greatest("start_pos", "f_start"), F.least("end_pos", "f_end")))
-    each = met.select("sample_id", "name", "f_strand", "f_start", "f_end", "depth", n, pos.alias("pos"))
-    rank0 = F.when(F.col("f_strand") == "+", F.col("pos") - F.col("f_start")).otherwise(F.col("f_end") - F.col("pos"))
-    part = F.least(F.floor(rank0 * bins / F.col("len")), F.lit(bins - 1)).cast("int")
-    sums = each.groupBy("sample_id", "name", "len", part.alias("bin")).agg(F.sum("depth").alias("depth"))
+    n = (F.col("f_end") - F.col("f_start") + 1).cast("long").alias("len")
+    a, b = F.greatest("start_pos", "f_start"), F.least("end_pos", "f_end")
+    forward = F.col("f_strand") == "+"
+    low, high = F.when(forward, a - F.col("f_start")).otherwise(F.col("f_end") - b), F.when(forward, b - F.col("f_start")).otherwise(F.col("f_end") - a)
+    ranked = met.select("sample_id", "name", "depth", n, low.alias("low"), high.alias("high"))
+    part = F.explode(F.sequence(F.floor(F.col("low") * bins / F.col("len")), F.floor(F.col("high") * bins / F.col("len"))))
+    cut = ranked.select("*", part.alias("bin")).withColumn("bin", F.col("bin").cast("int"))
+    # a part holds the ranks from ceil(bin * len / bins) on
+    first, following = (F.ceil((F.col("bin") + k) * F.col("len") / bins) for k in (0, 1))
+    held = F.least("high", following - 1) - F.greatest("low", first) + 1
+    cut = cut.withColumn("held", held).filter("held > 0")  # genes shorter than the parts leave some empty
+    sums = cut.groupBy("sample_id", "name", "len", "bin").agg(F.sum(F.col("depth") * F.col("held")).alias("depth"))
     total = F.sum("depth").over(Window.partitionBy("sample_id", "name", "len"))
     return sums.withColumn("total", total).select("sample_id", "name", "len", "total", "bin", F.round(F.col("depth") / F.col("total") * 100, 6).alias("pcnt"))
 

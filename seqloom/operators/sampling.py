@@ -64,18 +64,56 @@ def ladder_frame(spark, rungs: list[tuple[int, int, float]]) -> DataFrame:
     return spark.createDataFrame(rungs, "step int, repeat int, pct double")
 
 
-def saturation_curve(frags: DataFrame, ladder: DataFrame, features: DataFrame, seed: int = 1, min_count: float = 0.5) -> DataFrame:
-    """M4: (sample_id, step, repeat, frags, genes): fragments taken at each rung of the ladder and the
-    genes that they show, in one pass: a fragment is in every rung whose threshold is above its hash.
+def ladder_reads(sizes: DataFrame, rungs: list[tuple[int, int, float]]) -> DataFrame:
+    """M3: (sample_id, step, repeat, pct, reads): the reads of each sample of ``sizes`` (sample_id, n) at each rung."""
+    each = F.explode(F.array(*[F.struct(F.lit(s).alias("step"), F.lit(r).alias("repeat"), F.lit(p).alias("pct")) for s, r, p in rungs]))
+    out = sizes.select("sample_id", "n", each.alias("rung")).select("sample_id", "n", "rung.step", "rung.repeat", "rung.pct")
+    return out.select("sample_id", "step", "repeat", "pct", F.floor(F.col("n") * F.col("pct") / 100).cast("long").alias("reads"))
+
+
+def _first_rungs(frags: DataFrame, ladder: list, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Fragments once for each repeat, with the lowest rung that takes them, and the rungs at or above each rung.
 
-    The ladder is a handful of rungs and is broadcast; each repeat has a seed of its own.
+    A repeat's rungs are nested: a fragment is in each whose threshold is above its hash.
     """
-    seeded = ladder.withColumn("_cut", F.col("pct") / 100 * float(1 << 32))
-    met = frags.crossJoin(F.broadcast(seeded))
-    draw = F.conv(F.substring(F.md5(F.concat("name", F.lit(f":{seed}:"), F.col("repeat").cast("string"))), 1, 8), 16, 10).cast("long")
-    taken = met.filter(draw < F.col("_cut")).withColumn("rung", F.concat_ws("|", "sample_id", "step", "repeat"))
-    sizes = taken.groupBy("rung").agg(F.count(F.lit(1)).alias("frags"))
-    counts = count_features(taken.drop("sample_id").withColumnRenamed("rung", "sample_id"), features)
-    genes = counts.filter(F.col("sense") + F.col("antisense") >= min_count).groupBy(F.col("sample_id").alias("rung")).agg(F.count(F.lit(1)).alias("genes"))
+    cuts: dict[int, list[tuple[float, int]]] = {}
+    for r in ladder:
+        cuts.setdefault(r["repeat"], []).append((r["pct"] / 100 * float(1 << 32), r["step"]))
+    firsts, reach = [], []
+    for repeat, own in cuts.items():
+        draw = F.conv(F.substring(F.md5(F.concat("name", F.lit(f":{seed}:{repeat}"))), 1, 8), 16, 10).cast("long")
+        first = None
+        for edge, step in sorted(own):
+            first = F.when(draw < edge, step) if first is None else first.when(draw < edge, step)
+        firsts.append(F.when(first.isNotNull(), F.concat(F.lit(f"|{repeat}|"), first.cast("string"))))
+        reach += [(repeat, low, step) for edge, low in own for above, step in own if above >= edge]
+    taken = frags.withColumn("_at", F.explode(F.array(*firsts))).filter("_at is not null")
+    taken = taken.withColumn("rung", F.concat("sample_id", "_at")).drop("_at")
+    return taken, frags.sparkSession.createDataFrame(reach, "repeat int, low int, step int")
+
+
+def _at_rungs(sums: DataFrame, reach: DataFrame) -> DataFrame:
+    """``sums`` by rung (``sample|repeat|lowest step``), on each step at or above it."""
     parts = F.split("rung", r"\|")
-    return sizes.join(genes, "rung", "left").select(parts[0].alias("sample_id"), parts[1].cast("int").alias("step"), parts[2].cast("int").alias("repeat"), "frags", F.coalesce("genes", F.lit(0)).alias("genes"))
+    named = sums.select("*", parts[0].alias("of_sample"), parts[1].cast("int").alias("repeat"), parts[2].cast("int").alias("low"))
+    return named.join(F.broadcast(reach), ["repeat", "low"])  # a ladder's handful of rungs
+
+
+def saturation_counts(frags: DataFrame, ladder: DataFrame, features: DataFrame, seed: int = 1) -> DataFrame:
+    """M4: (sample_id, step, repeat, acc, name, n): fragments of each gene at each rung of the ladder.
+
+    Each fragment is counted at the lowest rung that takes it, and those counts are added up along
+    the ladder; each repeat has a seed of its own.
+    """
+    taken, reach = _first_rungs(frags, ladder.collect(), seed)
+    counts = count_features(taken.drop("sample_id").withColumnRenamed("rung", "sample_id"), features).withColumnRenamed("sample_id", "rung")
+    return _at_rungs(counts, reach).groupBy(F.col("of_sample").alias("sample_id"), "step", "repeat", "acc", "name").agg(F.sum(F.col("sense") + F.col("antisense")).alias("n"))
+
+
+def saturation_curve(frags: DataFrame, ladder: DataFrame, features: DataFrame, seed: int = 1, min_count: float = 0.5) -> DataFrame:
+    """M4: (sample_id, step, repeat, frags, genes): fragments taken at each rung of the ladder and the genes that they show."""
+    taken, reach = _first_rungs(frags, ladder.collect(), seed)
+    key = ["sample_id", "step", "repeat"]
+    sizes = _at_rungs(taken.groupBy("rung").agg(F.count(F.lit(1)).alias("n")), reach).groupBy(F.col("of_sample").alias("sample_id"), "step", "repeat").agg(F.sum("n").alias("frags"))
+    counts = saturation_counts(frags, ladder, features, seed).filter(F.round("n", 9) >= min_count)
+    return sizes.join(counts.groupBy(*key).agg(F.count(F.lit(1)).alias("genes")), key, "left").select(*key, "frags", F.coalesce("genes", F.lit(0)).alias("genes"))

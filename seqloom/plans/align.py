@@ -242,6 +242,11 @@ def a15_insert_size_metrics(alignments):
     return A.insert_size_metrics(alignments)
 
 
+@query("a15_insert_size_histogram", "alignments", sql="SELECT sample_id, abs(tlen) AS size, count(*) AS pairs FROM alignments WHERE flag & 2 > 0 AND flag & 64 > 0 GROUP BY ALL")
+def a15_insert_size_histogram(alignments):
+    return A.insert_size_histogram(alignments)
+
+
 @query("a15_quality_by_cycle", "alignments", sql="SELECT sample_id, CAST(i AS INT) AS cycle, round(sum(ascii(substr(qual, i, 1)) - 33)::DOUBLE / count(*), 4) AS mean_quality FROM alignments, (SELECT unnest(range(1, 200)) AS i) WHERE i <= length(qual) GROUP BY ALL")
 def a15_quality_by_cycle(alignments):
     return A.quality_by_cycle(alignments)

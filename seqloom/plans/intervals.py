@@ -102,12 +102,12 @@ def i8_coverage(frags):
     "i8_smoothed_coverage",
     "frags",
     sql=EVENTS
-    + """, dense AS (SELECT sample_id, acc, unnest(range(start_pos, end_pos + 1)) AS pos, plus, minus FROM covered WHERE sample_id = 'S1'),
+    + """, dense AS (SELECT sample_id, acc, unnest(range(start_pos, end_pos + 1)) AS pos, plus, minus FROM covered),
 near AS (SELECT sample_id, acc, pos + k AS pos, plus, minus FROM dense, (SELECT unnest(range(-4, 6)) AS k))
 SELECT sample_id, acc, pos, round(sum(plus) / 10, 6) AS plus, round(-sum(minus) / 10, 6) AS minus FROM near GROUP BY ALL""",
 )
 def i8_smoothed_coverage(frags):
-    out = I.smoothed_coverage(I.coverage(frags.filter("sample_id = 'S1'")), 10)
+    out = I.smoothed_coverage(I.coverage(frags), 10)
     return out.withColumns({c: F.round(c, 6) for c in ("plus", "minus")})
 
 

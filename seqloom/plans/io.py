@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
+from seqloom.plans.qc import GCOUNTS, gcounts
 from seqloom.plans.registry import query
 from seqloom.sources import io as S
+from seqloom.sources.scratch import scratch
 
 
 @query("s2_pair_reads", "reads", sql="SELECT a.file_prefix, a.ord, a.r1_name, b.r2_name, a.r1_seq, b.r2_seq FROM reads a JOIN reads b ON a.file_prefix = b.file_prefix AND a.ord = b.ord")
@@ -45,3 +48,56 @@ def s10_to_fastq_lines(seqs):
 @query("s10_fasta_to_fastq", "seqs", sql="SELECT concat('@', read_id, '_x', chr(10), substr(seq, 3, length(seq) - 5), chr(10), '+', chr(10), repeat('A', length(seq) - 5)) AS value FROM seqs")
 def s10_fasta_to_fastq(seqs):
     return seqs.select(S.fasta_to_fastq(F.concat("read_id", F.lit(" x")), F.col("seq"), 2, 3).alias("value"))
+
+
+@query("s1_read_fastq", "reads", sql="SELECT split_part(r1_name, ' ', 1) AS read_id, substr(r1_name, length(split_part(r1_name, ' ', 1)) + 2) AS comment, r1_seq AS seq, r1_qual AS qual FROM reads")
+def s1_read_fastq(reads):
+    path = scratch(reads.sparkSession)
+    reads.select(S.fastq_lines(F.col("r1_name"), F.col("r1_seq"), F.col("r1_qual")).alias("value")).write.text(path)
+    return S.read_fastq(reads.sparkSession, path).select("read_id", "comment", "seq", "qual")
+
+
+@query("s6_read_key_table", "key_table", sql="SELECT Sample_ID, replace(P7, ' ', '_') AS P7, Inline_Seq, Bacterial_reference, CG_Pairs FROM key_table")
+def s6_read_key_table(key_table):
+    path, columns = scratch(key_table.sparkSession), ("Sample_ID", "P7", "Inline_Seq", "Bacterial_reference", "CG_Pairs")
+    line = F.concat_ws("\t", *columns)
+    remarks = key_table.select(F.concat(F.lit("### remark on "), "Sample_ID"))
+
+    def headed(batches):  # as each file of a sample sheet is
+        yield pd.DataFrame({"value": ["\t".join(columns)]})
+        yield from batches
+
+    key_table.select(line.alias("value")).union(remarks).mapInPandas(headed, "value string").write.text(path)
+    return S.read_key_table(key_table.sparkSession, path)
+
+
+@query("s7_read_barcodes", "lines", "barcodes", sql="SELECT min(concat('B', l_suppkey)) AS bc_name, bc_seq FROM lines JOIN barcodes ON l_suppkey % 25 = bc_no GROUP BY bc_seq")
+def s7_read_barcodes(lines, barcodes):
+    path = scratch(lines.sparkSession)
+    listed = lines.join(F.broadcast(barcodes), F.col("l_suppkey") % 25 == F.col("bc_no"))  # 25 barcodes
+    listed.select(F.concat(F.lit(" B"), "l_suppkey", F.lit("\t "), "bc_seq").alias("value")).write.text(path)
+    return S.read_barcodes(lines.sparkSession, path)
+
+
+@query("s8_read_blast_hits", "lines", sql="SELECT id AS query_seqid, concat('s', l_suppkey) AS sub_seqid, l_partkey - 1 AS query_start, l_orderkey - 1 AS query_end, CAST(l_quantity AS DOUBLE) AS bitscore FROM lines")
+def s8_read_blast_hits(lines):
+    path = scratch(lines.sparkSession)
+    numbers = [F.lit(99.5), F.lit(20), F.lit(0), F.lit(0), F.col("l_partkey"), F.col("l_orderkey"), F.lit(5), F.lit(9), F.lit(1e-9), F.col("l_quantity")]
+    lines.select("id", F.concat(F.lit("s"), "l_suppkey").alias("sub"), *[c.alias(f"c{k}") for k, c in enumerate(numbers)]).write.csv(path)
+    return S.read_blast_hits(lines.sparkSession, path).select("query_seqid", "sub_seqid", F.col("query_start").cast("long").alias("query_start"), F.col("query_end").cast("long").alias("query_end"), "bitscore")
+
+
+@query("s9_write_demux", "reads", sql="SELECT file_prefix, substr(r1_seq, 1, 2) AS barcode, count(*) AS reads, min(r1_name) AS first FROM reads GROUP BY ALL")
+def s9_write_demux(reads):
+    path = scratch(reads.sparkSession)
+    S.write_demux(reads.select("file_prefix", F.substring("r1_seq", 1, 2).alias("barcode"), F.col("r1_name").alias("read_id")), path)
+    back = reads.sparkSession.read.parquet(path).groupBy(F.col("file_prefix").cast("string").alias("file_prefix"), "barcode")
+    return back.agg(F.count(F.lit(1)).alias("reads"), F.min("read_id").alias("first"))
+
+
+@query("s11_write_matrix", "lines", sql=GCOUNTS + "SELECT gene AS Geneid, " + ", ".join(f"CAST(sum(n) FILTER (sample_id = 'S{k}') AS BIGINT) AS S{k}" for k in range(4)) + " FROM gcounts GROUP BY gene")
+def s11_write_matrix(lines):
+    counts, path = gcounts(lines), scratch(lines.sparkSession)
+    order = counts.filter("sample_id = 'S1'").select("gene", F.length("gene").alias("line_no")).distinct()
+    S.write_matrix(counts, path, [f"S{k}" for k in range(4)], order)
+    return lines.sparkSession.read.csv(path, sep="\t", header=True).select("Geneid", *[F.col(f"S{k}").cast("long").alias(f"S{k}") for k in range(4)])

@@ -93,11 +93,26 @@ def n7_contrast_moments(lines):
     return N.contrast_moments(gcounts(lines), A, B).select("gene", *[F.round(c, 6).alias(c) for c in ("mean_a", "mean_b", "lfc")])
 
 
-@query("n7_contrast", "lines")
+ERFC = " + ".join(f"{a!r}::DOUBLE * pow(t, {k})" for k, a in enumerate(N.ERFC, 1))
+TESTED = f""", x AS (SELECT gene, sample_id IN ('S0','S1','S2') AS a, n / factor AS x FROM gcounts JOIN factors USING (sample_id) WHERE sample_id IN ('S0','S1','S2','S3','S4','S5')),
+m AS (SELECT gene, avg(x) FILTER (a) AS mean_a, avg(x) FILTER (NOT a) AS mean_b, coalesce(var_samp(x) FILTER (a), 0) AS var_a, coalesce(var_samp(x) FILTER (NOT a), 0) AS var_b,
+ count(x) FILTER (a) AS n_a, count(x) FILTER (NOT a) AS n_b FROM x GROUP BY gene),
+z AS (SELECT gene, mean_a, mean_b, log2((mean_a + 0.5) / (mean_b + 0.5)) AS lfc,
+ greatest(var_a, mean_a + 0.5) / n_a / ((mean_a + 0.5) * (mean_a + 0.5)) + greatest(var_b, mean_b + 0.5) / n_b / ((mean_b + 0.5) * (mean_b + 0.5)) AS spread FROM m),
+e AS (SELECT *, abs(lfc * ln(2) / sqrt(spread)) / sqrt(2) AS x, 1 / (1 + {N.ERFC_P!r}::DOUBLE * abs(lfc * ln(2) / sqrt(spread)) / sqrt(2)) AS t FROM z),
+p AS (SELECT gene, mean_a, mean_b, lfc, CASE WHEN mean_a + mean_b > 0 THEN ({ERFC}) * exp(-x * x) END AS p FROM e),
+ranked AS (SELECT *, p * count(*) OVER () / row_number() OVER (ORDER BY p, gene) AS up FROM p WHERE p IS NOT NULL),
+tested AS (SELECT gene, mean_a, mean_b, lfc, p, least(1.0, min(up) OVER (ORDER BY p DESC, gene DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS padj FROM ranked
+ UNION ALL SELECT gene, mean_a, mean_b, lfc, p, NULL FROM p WHERE p IS NULL)
+"""
+ROUNDED = ("mean_a", "mean_b", "lfc", "p", "padj")
+
+
+@query("n7_contrast", "lines", sql=FACTORS + TESTED + f"SELECT gene, {', '.join(f'round({c}, 6) AS {c}' for c in ROUNDED)} FROM tested")
 def n7_contrast(lines):
-    return N.contrast(gcounts(lines), A, B)
+    return N.contrast(gcounts(lines), A, B).select("gene", *[F.round(c, 6).alias(c) for c in ROUNDED])
 
 
-@query("n8_de_summary", "lines")
+@query("n8_de_summary", "lines", sql=FACTORS + TESTED + "SELECT count(*) AS genes, count(*) FILTER (padj <= 0.2 AND pow(2, lfc) >= 1.2) AS up, count(*) FILTER (padj <= 0.2 AND pow(2, lfc) <= 1 / 1.2::DOUBLE) AS down FROM tested")
 def n8_de_summary(lines):
     return N.de_summary(N.contrast(gcounts(lines), A, B), 1.2, 0.2)

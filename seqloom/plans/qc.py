@@ -460,7 +460,7 @@ TESTS = "tests AS (SELECT concat('st', l_suppkey) AS strain, concat('NC_', l_par
     "lines",
     sql=TESTS
     + """, means AS (SELECT accession, avg(frac_aligned) AS mean FROM tests GROUP BY 1), overall AS (SELECT accession AS overall, mean AS overall_mean FROM means ORDER BY mean DESC, accession DESC LIMIT 1),
-best AS (SELECT strain, max_by(accession, frac_aligned) AS best, max(frac_aligned) AS best_frac FROM tests GROUP BY 1), ranked AS (SELECT *, rank() OVER (PARTITION BY strain ORDER BY frac_aligned DESC) AS rank FROM tests)
+best AS (SELECT strain, accession AS best, frac_aligned AS best_frac FROM (SELECT *, row_number() OVER (PARTITION BY strain ORDER BY frac_aligned DESC, accession DESC) AS r FROM tests) WHERE r = 1), ranked AS (SELECT *, rank() OVER (PARTITION BY strain ORDER BY frac_aligned DESC) AS rank FROM tests)
 SELECT strain, best, round(best_frac, 6) AS best_frac, overall, round(overall_mean, 6) AS overall_mean, round(frac_aligned, 6) AS frac_on_overall, round(best_frac - frac_aligned, 6) AS gap, CAST(rank AS INT) AS rank FROM best LEFT JOIN (SELECT * FROM ranked JOIN overall ON accession = overall) USING (strain)""",
 )
 def g27_best_reference(lines):

@@ -40,24 +40,33 @@ def m2_sample_fraction(alignments):
 LADDER = "ladder AS (SELECT CAST(j AS INT) AS step, CAST(r AS INT) AS repeat, pow(2, log2(5) + j * (log2(100) - log2(5)) / 4) AS pct FROM (SELECT unnest(range(5)) AS j), (SELECT unnest(range(3)) AS r) WHERE j < 4 OR r = 0)\n"
 
 
-@query("m3_depth_ladder", "region", "supplier", sql=LADDER + "SELECT s_suppkey, step, repeat, round(pct, 9) AS pct FROM supplier, ladder")
-def m3_depth_ladder(region, supplier):
-    rungs = S.ladder_frame(region.sparkSession, S.depth_ladder(5, 100, 5, 3)).withColumn("pct", F.round("pct", 9))
-    return supplier.select("s_suppkey").crossJoin(F.broadcast(rungs))
+@query("m3_depth_ladder", "lines", sql=LADDER + ", sizes AS (SELECT concat('S', l_suppkey % 8) AS sample_id, count(*) AS n FROM lines GROUP BY 1) SELECT sample_id, step, repeat, round(pct, 9) AS pct, CAST(floor(n * round(pct, 9) / 100) AS BIGINT) AS reads FROM sizes, ladder")
+def m3_depth_ladder(lines):
+    sizes = lines.groupBy(F.concat(F.lit("S"), F.col("l_suppkey") % 8).alias("sample_id")).agg(F.count(F.lit(1)).alias("n"))
+    return S.ladder_reads(sizes, [(s, r, round(p, 9)) for s, r, p in S.depth_ladder(5, 100, 5, 3)])
+
+
+TAKEN = LADDER + """, taken AS (SELECT f.*, step, repeat FROM frags f, ladder WHERE ('0x' || substr(md5(concat(name, ':1:', repeat)), 1, 8))::BIGINT < pct / 100 * 4294967296::DOUBLE),
+stacks AS (SELECT sample_id, step, repeat, acc, start_pos, end_pos, strand, count(*) AS n FROM taken WHERE end_pos - start_pos >= 10 GROUP BY ALL),
+hits AS (SELECT s.*, f.name, CAST(least(s.end_pos, f.end_pos) - greatest(s.start_pos, f.start_pos) AS DOUBLE) AS ov FROM stacks s JOIN features f ON s.acc = f.acc AND least(s.end_pos, f.end_pos) > greatest(s.start_pos, f.start_pos)),
+shared AS (SELECT *, ov / sum(ov) OVER (PARTITION BY sample_id, step, repeat, acc, start_pos, end_pos, strand) * n AS share FROM hits)
+"""
 
 
 @query(
     "m4_saturation_curve",
     "frags",
     "features",
-    sql=LADDER
-    + """, taken AS (SELECT f.*, step, repeat FROM frags f, ladder WHERE ('0x' || substr(md5(concat(name, ':1:', repeat)), 1, 8))::BIGINT < pct / 100 * 4294967296::DOUBLE),
-stacks AS (SELECT sample_id, step, repeat, acc, start_pos, end_pos, strand, count(*) AS n FROM taken WHERE end_pos - start_pos >= 10 GROUP BY ALL),
-hits AS (SELECT s.*, f.name, CAST(least(s.end_pos, f.end_pos) - greatest(s.start_pos, f.start_pos) AS DOUBLE) AS ov FROM stacks s JOIN features f ON s.acc = f.acc AND least(s.end_pos, f.end_pos) > greatest(s.start_pos, f.start_pos)),
-shared AS (SELECT *, ov / sum(ov) OVER (PARTITION BY sample_id, step, repeat, acc, start_pos, end_pos, strand) * n AS share FROM hits),
-genes AS (SELECT sample_id, step, repeat, count(*) AS genes FROM (SELECT sample_id, step, repeat, acc, name FROM shared GROUP BY ALL HAVING round(sum(share), 9) >= 0.5) GROUP BY ALL)
+    sql=TAKEN
+    + """, genes AS (SELECT sample_id, step, repeat, count(*) AS genes FROM (SELECT sample_id, step, repeat, acc, name FROM shared GROUP BY ALL HAVING round(sum(share), 9) >= 0.5) GROUP BY ALL)
 SELECT sample_id, step, repeat, frags, coalesce(genes, 0) AS genes FROM (SELECT sample_id, step, repeat, count(*) AS frags FROM taken GROUP BY ALL) LEFT JOIN genes USING (sample_id, step, repeat)""",
 )
 def m4_saturation_curve(frags, features):
     ladder = S.ladder_frame(frags.sparkSession, S.depth_ladder(5, 100, 5, 3))
     return S.saturation_curve(frags, ladder, features)
+
+
+@query("m4_saturation_counts", "frags", "features", sql=TAKEN + "SELECT sample_id, step, repeat, acc, name, round(sum(share), 6) AS n FROM shared GROUP BY ALL")
+def m4_saturation_counts(frags, features):
+    ladder = S.ladder_frame(frags.sparkSession, S.depth_ladder(5, 100, 5, 3))
+    return S.saturation_counts(frags, ladder, features).withColumn("n", F.round("n", 6))

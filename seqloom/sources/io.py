@@ -1,55 +1,94 @@
 """Readers and writers: FASTQ, SAM, GFF3, FASTA, key tables, barcode lists, BLAST tables, matrices.
 
-Text with records of one line is read by Spark's own readers. FASTQ records are four lines: plain
-files are numbered by line, gzip files, which cannot be split, are grouped by one task each.
+Text is read by Spark's own readers, which stream gzip files and split plain ones. FASTQ records are
+four lines, grouped as the lines of a split pass by.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
-_FASTQ = "file string, ord long, read_id string, comment string, seq string, qual string"
+_FASTQ = "file string, ord long, part int, read_id string, comment string, seq string, qual string"
 
 
-def _records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """FASTQ records of whole files (file, content), in pieces of 100,000."""
-    import gzip
+def _records(starts: dict[tuple[str, int], int]):
+    """A function of lines (file, block, value) that groups the lines of each split by four.
 
-    for batch in batches:
-        for file, content in zip(batch["path"], batch["content"], strict=True):
-            raw = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
-            lines = raw.decode("ascii", "replace").splitlines()
-            whole = len(lines) // 4 * 4  # an incomplete last record goes
-            for at in range(0, whole, 400_000):
-                own = lines[at : min(at + 400_000, whole)]
-                head = [h[1:].partition(" ") for h in own[::4]]
-                yield pd.DataFrame({"file": file, "ord": range(at // 4, at // 4 + len(head)), "read_id": [h[0] for h in head], "comment": [h[2] for h in head], "seq": own[1::4], "qual": own[3::4]})
+    starts: the number of each split's first line in its file, if not 0. Lines of records that lie
+    across two splits are given one by one, with their part (0 to 3) and the line as seq.
+    """
+
+    kinds = pa.schema([("file", pa.string()), ("ord", pa.int64()), ("part", pa.int32()), *[(c, pa.string()) for c in ("read_id", "comment", "seq", "qual")]])
+
+    def batch_of(file: str, n: int, **columns: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"file": [file] * n} | {c: columns.get(c, [None] * n) for c in kinds.names[1:]}, kinds)
+
+    def cut(file: str, at: int, lines: list[str], last: bool) -> tuple[list[pa.RecordBatch], list[str]]:
+        """Records and stray lines of ``lines``, of which the first is the file's line ``at``, and the lines that are left."""
+        head = -at % 4
+        whole = max(0, len(lines) - head) // 4 * 4
+        own, n = lines[head : head + whole], whole // 4
+        names = [x[1:].partition(" ") for x in own[::4]]
+        out = [batch_of(file, n, ord=list(range((at + head) // 4, (at + head) // 4 + n)), read_id=[x[0] for x in names], comment=[x[2] for x in names], seq=own[1::4], qual=own[3::4])]
+        stray = [*range(min(head, len(lines))), *(range(head + whole, len(lines)) if last else ())]
+        if stray:
+            out.append(batch_of(file, len(stray), ord=[(at + k) // 4 for k in stray], part=[(at + k) % 4 for k in stray], seq=[lines[k] for k in stray]))
+        return out, [] if last else lines[head + whole :]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, at, held = None, 0, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            file, block, value = (column.to_pylist() for column in batch.columns)
+            bounds = [0, *(k for k in range(1, len(file)) if block[k] != block[k - 1] or file[k] != file[k - 1]), len(file)]
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                if (file[a], block[a]) != split:
+                    if held:
+                        yield from cut(split[0], at, held, True)[0]
+                    split, held = (file[a], block[a]), []
+                    at = starts.get(split, 0)
+                lines = held + value[a:b]
+                if len(lines) < 4 + -at % 4:  # no whole record yet
+                    held = lines
+                    continue
+                out, left = cut(split[0], at, lines, False)
+                yield from out
+                at, held = at + len(lines) - len(left), left
+        if held:
+            yield from cut(split[0], at, held, True)[0]
+
+    return work
 
 
 def read_fastq(spark: SparkSession, *paths: str) -> DataFrame:
     """(file, ord, read_id, comment, seq, qual); ord numbers the reads of a file from 0.
 
-    Files are read whole by one task each, as gzip asks for; a run comes as some hundred files of a
-    lane, which spread. For plain files too large for that, see ``read_fastq_lines``.
+    A gzip file streams through one task; a plain one is split, for which its lines are counted by
+    split first. Only the few records that lie across splits are shuffled. An incomplete last record goes.
     """
-    files = spark.read.format("binaryFile").load(list(paths))
-    return files.select("path", "content").mapInPandas(_records, _FASTQ)
-
-
-def read_fastq_lines(spark: SparkSession, path: str) -> DataFrame:
-    """S1 for one plain file of any size: lines are numbered across its splits, four make a record."""
-    lines = spark.sparkContext.textFile(path).zipWithIndex().toDF("line string, idx long")
-    four = lines.groupBy(F.floor(F.col("idx") / 4).alias("ord")).agg(*[F.max(F.when(F.col("idx") % 4 == k, F.col("line"))).alias(n) for k, n in enumerate(("name", "seq", "plus", "qual"))])
+    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    plain = lines.filter(~F.endswith("file", F.lit(".gz")))
+    starts: dict[tuple[str, int], int] = {}
+    before: dict[str, int] = {}
+    for r in plain.groupBy("file", "block").count().orderBy("file", "block").collect():  # a row for each split
+        starts[r["file"], r["block"]] = before.get(r["file"], 0)
+        before[r["file"]] = before.get(r["file"], 0) + r["count"]
+    found = lines.mapInArrow(_records({k: n for k, n in starts.items() if n}), _FASTQ)
+    whole = found.filter("part is null").drop("part")
+    if not any(n % 4 for n in starts.values()):
+        return whole
+    line = {name: F.max(F.when(F.col("part") == k, F.col("seq"))) for k, name in enumerate(("name", "seq", "plus", "qual"))}
+    four = found.filter("part is not null").groupBy("file", "ord").agg(*[c.alias(n) for n, c in line.items()])
+    four = four.filter("name is not null and seq is not null and plus is not null and qual is not null")
     head = F.substring("name", F.lit(2), F.length("name"))
-    cut = F.instr(head, " ")
-    return four.filter("qual is not null").select(
-        F.lit(path).alias("file"), "ord", F.substring_index(head, " ", 1).alias("read_id"), F.when(cut > 0, head.substr(cut + 1, F.length(head))).otherwise("").alias("comment"), "seq", "qual"
-    )
+    read_id = F.substring_index(head, " ", 1)
+    return whole.unionByName(four.select("file", "ord", read_id.alias("read_id"), head.substr(F.length(read_id) + 2, F.length(head)).alias("comment"), "seq", "qual"))
 
 
 def pair_reads(r1: DataFrame, r2: DataFrame, index: DataFrame | None = None) -> DataFrame:
@@ -160,7 +199,12 @@ def fasta_to_fastq(name: Column, seq: Column, trim5: int = 0, trim3: int = 0) ->
 
 
 def write_matrix(counts: DataFrame, path: str, samples: list[str], order: DataFrame | None = None) -> None:
-    """Genes by samples as tab-separated text with a header, in the order of ``order`` (gene, line_no), else by name."""
+    """Genes by samples as tab-separated text with a header, in the order of ``order`` (gene, line_no), else by name.
+
+    Genes that ``order`` does not list come last, by name.
+    """
     wide = counts.groupBy("gene").pivot("sample_id", samples).agg(F.sum("n"))
-    placed = wide.join(order, "gene").repartitionByRange("line_no").sortWithinPartitions("line_no").drop("line_no") if order is not None else wide.repartitionByRange("gene").sortWithinPartitions("gene")
+    by = ["gene"] if order is None else ["line_no", "gene"]
+    listed = wide if order is None else wide.join(order, "gene", "left").withColumn("line_no", F.coalesce("line_no", F.lit((1 << 63) - 1)))
+    placed = listed.repartitionByRange(*by).sortWithinPartitions(*by).drop("line_no")
     placed.withColumnRenamed("gene", "Geneid").write.csv(path, sep="\t", header=True)

@@ -1,6 +1,7 @@
 import gzip
 
 import pytest
+from pyspark.sql import functions as F
 
 from seqloom.operators import norm as N
 from seqloom.operators import qc
@@ -17,8 +18,24 @@ def test_fastq(spark, tmp_path):
     rows = S.read_fastq(spark, str(plain), str(packed)).collect()
     for f in (plain, packed):
         assert sorted((r["ord"], r["read_id"], r["comment"], r["seq"], r["qual"]) for r in rows if r["file"].endswith(f.name)) == want
-    lines = S.read_fastq_lines(spark, str(plain)).collect()
-    assert sorted((r["ord"], r["read_id"], r["comment"], r["seq"], r["qual"]) for r in lines) == want
+
+
+def test_fastq_across_splits(spark, tmp_path):
+    want = [(i, f"r{i}", "c d" * (i % 2), "ACGT" * (i % 7), "I" * 4 * (i % 7)) for i in range(500)]
+    for name in ("a.fastq", "b.fastq"):
+        (tmp_path / name).write_text("".join(f"@{r}{' ' * bool(c)}{c}\n{s}\n+\n{q}\n" for _, r, c, s, q in want) + "@cut\nAC\n")
+    for size in (37, 200, 4096):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", 0)
+        try:
+            rows = S.read_fastq(spark, str(tmp_path)).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        for name in ("a.fastq", "b.fastq"):
+            assert sorted((r["ord"], r["read_id"], r["comment"], r["seq"], r["qual"]) for r in rows if r["file"].endswith(name)) == want
+        if size == 4096:
+            break
 
 
 def test_text_formats(spark, tmp_path):
@@ -47,6 +64,22 @@ def test_sinks(spark, tmp_path):
     S.write_matrix(counts, str(tmp_path / "m"), ["s1", "s2"], order)
     text = "".join(p.read_text() for p in sorted((tmp_path / "m").glob("part-*")))
     assert [x for x in text.splitlines() if x != "Geneid\ts1\ts2"] == ["g2\t1\t2", "g1\t3\t4"]
+    S.write_matrix(counts, str(tmp_path / "n"), ["s1", "s2"], order.filter("gene = 'g2'"))
+    text = "".join(p.read_text() for p in sorted((tmp_path / "n").glob("part-*")))
+    assert [x for x in text.splitlines() if x != "Geneid\ts1\ts2"] == ["g2\t1\t2", "g1\t3\t4"]  # genes that are not listed come last
+
+
+def test_best_reference_takes_the_later_accession_on_a_tie(spark):
+    tests = spark.createDataFrame([("a", "NC_1", 0.5), ("a", "NC_2", 0.5), ("b", "NC_1", 0.4)], "strain string, accession string, frac_aligned double")
+    assert {r["strain"]: r["best"] for r in qc.best_reference(tests).collect()} == {"a": "NC_2", "b": "NC_1"}
+
+
+def test_two_sided_probability(spark):
+    import math
+
+    z = [0.0, 0.5, -1.96, 3.0, 6.0]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in z], "z double").select(N.two_sided(F.col("z"))).collect()]
+    assert all(abs(p - math.erfc(abs(x) / math.sqrt(2))) < 2e-7 for p, x in zip(got, z, strict=True))
 
 
 def test_matrices_must_agree(spark):
