@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 #: Words as all contracts of this subpackage count them: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Bytes of an Arrow batch of texts, about; a longer text is a batch of its own.
+BATCH_BYTES = 4 << 20
+
 #: Most rows of a side that is broadcast; larger sides are joined by shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -20,6 +23,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_batches(spark: SparkSession) -> None:
+    """Let the session cut Arrow batches at ``BATCH_BYTES``, unless it cuts them smaller, so that a worker's memory
+    does not grow with the length of ten thousand texts."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = re.fullmatch(r"(\d+)b?", spark.conf.get(key, ""))
+    if now and not 0 < int(now[1]) <= BATCH_BYTES:
+        spark.conf.set(key, BATCH_BYTES)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share, from spark.checkpoint.dir.
 

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from seqloom.llm.common import durable, table
+from seqloom.llm.common import durable, table, text_batches
 
 DOCS_PER_CLASS = 1500
 CLASS_BYTES = 16 << 20
@@ -48,7 +48,7 @@ BATCH = 8192
 #: A marker occurs in so many toxic training documents at least, and is so much likelier there.
 MIN_DOCS, MIN_RATIO = 3, 10.0
 #: Words whose emission a Python worker remembers, at most.
-CACHE_WORDS, CACHE_LENGTH = 300_000, 64
+CACHE_WORDS, CACHE_LENGTH = 150_000, 64
 #: Bytes of texts that are tagged together, and tokens whose matrices are in memory at once.
 CHUNK, SEGMENT = 1 << 20, 1 << 18
 SPAN_AT = 0.5
@@ -440,6 +440,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Tagger:
 
 def scorer(tagger: Tagger, spark):
     """A column function: text -> struct(score, spans)."""
+    text_batches(spark)
     shared = spark.sparkContext.broadcast(tagger)
 
     @F.pandas_udf(_SCORED)

@@ -13,13 +13,14 @@ alone: one luminance pixel for each block.
 
 Rules: null text is the empty text, which has one block of zeros; equal texts give equal bytes and
 features; repeated rows are stored each; an empty table gives no rows; other columns are not read.
-Very long texts are worked on in chunks of about ``CHUNK`` bytes.
+Very long texts are written and read back in pieces of about ``CHUNK`` bytes.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -29,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from seqloom.llm.common import table
+from seqloom.llm.common import table, text_batches
 
 CHUNK = 1 << 20
 BLOCK = 64
@@ -231,6 +232,7 @@ def parse(data: bytes) -> Image:
     raise ValueError("no scan")
 
 
+_RESTART = re.compile(rb"\xff[\xd0-\xd7]")
 _lookups: dict[bytes, np.ndarray] = {}
 
 
@@ -263,11 +265,22 @@ def _lanes(scan: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return scan[~gone], starts, images
 
 
-def decode_scan(image: Image, scan: bytes) -> tuple[np.ndarray, np.ndarray]:
+def pieces_of(image: Image, scan: memoryview) -> Iterator[memoryview]:
+    """``scan`` cut at restart markers into pieces of about ``CHUNK`` bytes; whole if there are none."""
+    at = 0
+    while at < len(scan):
+        found = _RESTART.search(scan, at + CHUNK) if image.interval else None
+        end = found.end() if found else len(scan)
+        yield scan[at:end]
+        at = end
+
+
+def decode_scan(image: Image, scan: bytes, before: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Quantised coefficients (blocks, 64) in scan order, and the component of each block.
 
     ``scan`` may hold several scans end to end that share ``image``'s tables and interval; their
-    blocks then follow each other. Without restart intervals an image is one lane.
+    blocks then follow each other. Without restart intervals an image is one lane. A scan may come in
+    pieces that end with a restart interval, ``before`` of which went before.
     """
     units = image.units()
     data, starts, images = _lanes(np.frombuffer(scan, np.uint8))
@@ -276,7 +289,7 @@ def decode_scan(image: Image, scan: bytes) -> tuple[np.ndarray, np.ndarray]:
     if image.interval:
         per_lane = np.full(lanes, image.interval * len(units))
         if len(images) == 2:
-            per_lane[-1] = (wide * high - image.interval * (lanes - 1)) * len(units)
+            per_lane[-1] = (wide * high - image.interval * (before + lanes - 1)) * len(units)
     else:
         per_lane = np.full(lanes, wide * high * len(units))
     d = np.concatenate([data, np.full(8, 255, np.uint8)]).astype(np.uint64)
@@ -332,13 +345,13 @@ def decode_scan(image: Image, scan: bytes) -> tuple[np.ndarray, np.ndarray]:
     return out, component
 
 
-def thumbnail(image: Image, coefficients: np.ndarray, component: np.ndarray) -> np.ndarray:
-    """One luminance pixel for each 8 x 8 block, from the DC coefficients alone."""
+def thumbnail(image: Image, dc: np.ndarray) -> np.ndarray:
+    """One luminance pixel for each 8 x 8 block, from the first component's DC coefficients alone."""
     wide, high = image.mcus()
     _, h, v, q = image.frame[0]
     if len(image.scan) == 1:
         h = v = 1
-    dc = coefficients[component == 0, 0].astype(np.int64) * int(image.quants[q][0])
+    dc = dc.astype(np.int64) * int(image.quants[q][0])
     grid = dc.reshape(high, wide, v, h).transpose(0, 2, 1, 3).reshape(high * v, wide * h)
     return np.clip((grid + 4) // 8 + 128, 0, 255).astype(np.uint8)
 
@@ -356,13 +369,36 @@ def thumbnail_hash(pixels: np.ndarray) -> str:
     return np.packbits(cells * pixels.size > total[-1, -1] * area).tobytes().hex()
 
 
+def _bytes_of(coefficients: np.ndarray) -> bytes:
+    return np.where(coefficients < 0, coefficients + 128, coefficients + 127).astype(np.uint8).tobytes()
+
+
+def _result(image: Image, payload: bytes, dc: np.ndarray) -> tuple[bytes, str]:
+    size = struct.unpack(">Q", image.comment)[0]
+    return payload[:size], f"{image.width}x{image.height}:{thumbnail_hash(thumbnail(image, dc))}"
+
+
+def _read_long(image: Image, media: bytes) -> tuple[bytes, str]:
+    """One image, with the coefficients of one piece of its scan in memory at once."""
+    lanes, payload, dc = 0, bytearray(), []
+    for piece in pieces_of(image, memoryview(media)[image.start :]):
+        c, component = decode_scan(image, piece, lanes)
+        lanes += -(-len(c) // max(1, image.interval * len(image.units())))
+        payload += _bytes_of(c)
+        dc.append(c[component == 0, 0].copy())
+    return _result(image, payload, np.concatenate(dc))
+
+
 def read_back(media: list[bytes]) -> list[tuple[bytes, str]]:
     """(payload, feature) of each stored image, from its bytes alone."""
     images = [parse(m) for m in media]
     groups: dict[tuple, list[int]] = {}
-    for k, im in enumerate(images):  # images of like tables are decoded side by side
-        groups.setdefault((im.interval, im.interval == 1 or (im.width, im.height), tuple(sorted(im.huffman.items())), tuple(im.frame), tuple(im.scan)), []).append(k)
     out: list = [None] * len(media)
+    for k, im in enumerate(images):  # images of like tables are decoded side by side, long ones each by itself
+        if len(media[k]) > CHUNK:
+            out[k] = _read_long(im, media[k])
+            continue
+        groups.setdefault((im.interval, im.interval == 1 or (im.width, im.height), tuple(sorted(im.huffman.items())), tuple(im.frame), tuple(im.scan)), []).append(k)
     for members in groups.values():
         coefficients, component = decode_scan(images[members[0]], b"".join(media[k][images[k].start :] for k in members))
         at = 0
@@ -372,9 +408,7 @@ def read_back(media: list[bytes]) -> list[tuple[bytes, str]]:
             own = slice(at, at + wide * high * len(im.units()))
             at = own.stop
             c = coefficients[own]
-            size = struct.unpack(">Q", im.comment)[0]
-            payload = np.where(c < 0, c + 128, c + 127).astype(np.uint8).tobytes()[:size]
-            out[k] = payload, f"{im.width}x{im.height}:{thumbnail_hash(thumbnail(im, c, component[own]))}"
+            out[k] = _result(im, _bytes_of(c), c[component[own] == 0, 0])
     return out
 
 
@@ -383,6 +417,7 @@ _COLUMNS = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string
 
 def media_columns(docs: DataFrame, keep_media: bool = False) -> DataFrame:
     """The media columns of ``docs`` (doc_id, text); with ``keep_media`` also the images themselves."""
+    text_batches(docs.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.llm import simhash_segments
-from seqloom.llm.common import written, sized_broadcast
+from seqloom.llm.common import sized_broadcast, text_batches, written
 from seqloom.llm.simhash_segments import components
 
 SHINGLE = 5
@@ -126,6 +126,7 @@ def fingerprint(found: np.ndarray) -> int:
 
 def keyed(docs: DataFrame) -> DataFrame:
     """(doc_id, node, n, fp, wide, keys) of each row of ``docs`` (doc_id, text)."""
+    text_batches(docs.sparkSession)
     share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
     sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000) + 1).select("text")
 

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from seqloom.llm.common import durable, sized_broadcast, written
+from seqloom.llm.common import durable, sized_broadcast, text_batches, written
 
 RADIUS = 2
 SHINGLE = 3
@@ -172,6 +172,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, fp (signed long) and component_id."""
+    text_batches(docs.sparkSession)
     base = durable(docs.select("doc_id", fingerprint_udf("text").alias("fp")))
     nodes = durable(base.filter("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node")))
     same_doc = base.filter("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low <> high").select("doc_id")

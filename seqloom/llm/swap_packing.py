@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.llm.common import durable, table
+from seqloom.llm.common import durable, table, text_batches
 
 SEQ = 2048
 END = 0
@@ -35,7 +35,7 @@ GROUP_ROWS = 4096
 #: Bins filled less than this are pooled for the second round.
 POOL_BELOW = 2000
 #: Words whose ids a Python worker remembers, at most.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _known: dict[str, tuple] = {}
@@ -109,6 +109,7 @@ def encoder(path: str):
 def pieces(docs: DataFrame, vocabulary: str | None = None, seq: int = SEQ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every document of ``docs`` (doc_id, text)."""
     path = vocabulary or default_vocabulary()
+    text_batches(docs.sparkSession)
     end = np.array([END], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

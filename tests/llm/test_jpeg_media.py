@@ -1,12 +1,14 @@
 import hashlib
 import struct
+import subprocess
+import sys
 import zlib
 
 import numpy as np
 import pytest
 
 from seqloom.llm import jpeg_media as J
-from tests.llm.conftest import EDGE_ROWS
+from tests.llm.conftest import EDGE_ROWS, prose
 
 
 @pytest.mark.parametrize("n", [1, 2, 5, 65, 300])
@@ -109,7 +111,7 @@ def test_foreign_images_decode(interval, sampling):
     got, component = J.decode_scan(image, media[image.start :])
     assert got.tolist() == [b for m in mcus for _, b in m]
     assert component.tolist() == [c for m in mcus for c, _ in m]
-    pixels = J.thumbnail(image, got, component)
+    pixels = J.thumbnail(image, got[component == 0, 0])
     luma = [b[0] for m in mcus for c, b in m if c == 0]
     assert pixels.ravel().tolist() == [min(255, max(0, (2 * d + 4) // 8 + 128)) for d in luma]
 
@@ -131,3 +133,29 @@ def test_media_columns_of_edge_rows(edge_docs, no_docs):
         assert r["media_bytes"] == len(r["media"]) and r["media_sha256"] == hashlib.sha256(r["media"]).hexdigest()
         assert J.read_back([bytes(r["media"])])[0] == (padded, r["feature"])
     assert J.media_columns(no_docs).count() == 0
+
+
+def test_pieces_of_a_scan_change_nothing(monkeypatch):
+    texts = ["", "x" * 10, prose(1, 400), "\u00ff\u4e2d" * 300]
+    media = J.encode([J.payload_of(t)[1] for t in texts])
+    want = J.read_back(media)
+    monkeypatch.setattr(J, "CHUNK", 128)
+    assert J.read_back(media) == want and [p for p, _ in want] == [J.payload_of(t)[1] for t in texts]
+
+
+PEAK = """
+import resource, sys
+from seqloom.llm import jpeg_media as J
+text = "the quick brown fox jumps over it " * (int(sys.argv[1]) * 31000)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+payload = J.payload_of(text)[1]
+[(back, feature)] = J.read_back(J.encode([payload]))
+assert back == payload
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) >> 10)
+"""
+
+
+@pytest.mark.parametrize("mb, most", [(16, 200), (64, 600)])
+def test_peak_memory_of_long_texts(mb, most):
+    said = subprocess.run([sys.executable, "-c", PEAK, str(mb)], capture_output=True, text=True, check=True)
+    assert int(said.stdout) < most, said.stdout
