@@ -27,9 +27,9 @@ def text_batches(spark: SparkSession) -> None:
     """Let the session cut Arrow batches at ``BATCH_BYTES``, unless it cuts them smaller, so that a worker's memory
     does not grow with the length of ten thousand texts."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = re.fullmatch(r"(\d+)b?", spark.conf.get(key, ""))
+    now = re.fullmatch(r"(\d+)b?", spark.conf.get(key))
     if now and not 0 < int(now[1]) <= BATCH_BYTES:
-        spark.conf.set(key, BATCH_BYTES)
+        spark.conf.set(key, f"{BATCH_BYTES}b")
 
 
 def shared_folder(spark: SparkSession) -> str:
