@@ -2,6 +2,7 @@ import itertools
 import zlib
 
 import numpy as np
+import xxhash
 
 from seqloom.llm import hilbert_shards as H
 from tests.llm.conftest import EDGE_ROWS, make_docs, prose
@@ -60,3 +61,55 @@ def test_files_are_written_by_shard(spark, tmp_path):
     H.write_shards(docs, str(tmp_path / "out"), 4, 2)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == 200 and back.select("shard").distinct().count() == 4
+
+
+def test_rows_without_and_with_the_same_doc_id_are_written_once_each(spark, edge_docs, tmp_path):
+    H.write_shards(edge_docs, str(tmp_path / "out"), 3, 2)
+    back = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((str(r["doc_id"]), str(r["text"]), str(r["source"])) for r in back) == sorted((str(d), str(t), str(s)) for d, t, _, s in EDGE_ROWS)
+
+
+def slow_shards(rows, count):
+    """(doc_id, shard, slot) by the rules, one row after the other."""
+    n, side = len(rows), 1 << H.BITS
+
+    def name_levels(values):
+        ordered = sorted(values, key=lambda v: (v is not None, (v or "").encode()))
+        return {v: ordered.index(v) * side // n for v in set(values)}
+
+    lang, source = name_levels([r[2] for r in rows]), name_levels([r[3] for r in rows])
+    sizes = sorted(len((r[1] or "").encode()) + 1 for r in rows)
+    edges = sorted({sizes[max(0, -(-k * n // side) - 1)] for k in range(1, side)})
+    least = {}
+    for _, t, a, b in rows:
+        least[t or ""] = min(least.get(t or "", (side, side)), (lang[a], source[b]))
+    placed = []
+    for d, t, _, _ in rows:
+        size = len((t or "").encode()) + 1
+        levels = [*least[t or ""], sum(size > e for e in edges)]
+        key = xxhash.xxh64_intdigest((t or "").encode(), 42)
+        placed.append((int(H.hilbert_index(np.array([levels]))[0]), key - (1 << 64) if key >> 63 else key, d, size, t or ""))
+    placed.sort()
+    total, at, starts = sum(sizes), 0, []
+    for row in placed:
+        starts.append(at)
+        at += row[3]
+    cuts = [0]
+    for k in range(1, count):
+        w = total * k // count
+        i = next(j for j, row in enumerate(placed) if starts[j] <= w < starts[j] + row[3])
+        group = [j for j, row in enumerate(placed) if row[4] == placed[i][4]]
+        ends = [(starts[group[0]], group[0]), (starts[group[-1]] + placed[i][3], group[-1] + 1)]
+        near = min(ends, key=lambda e: abs(e[0] - w))
+        own = min([(starts[i], i), (starts[i] + placed[i][3], i + 1)], key=lambda e: abs(e[0] - w))
+        cuts.append((near if abs(near[0] - w) <= H.BALANCE * total / count else own)[1])
+    cuts.sort()
+    return sorted((row[2], sum(j >= c for c in cuts) - 1, j - max(c for c in cuts if c <= j)) for j, row in enumerate(placed))
+
+
+def test_shards_by_brute_force(spark):
+    names = ["common-crawl-a", "common-crawl-b", "common-crawl-c", None, "zz"]
+    rows = [(i, prose(i % 150, 5 + i % 40), [None, "en", "de"][i % 3], names[i % 5]) for i in range(400)]
+    rows += [(1000 + i, "copy of a text", "fr", names[i % 5]) for i in range(150)] + [(2000 + i, None, "en", "s") for i in range(5)]
+    got = H.shards(make_docs(spark, rows), 5).collect()
+    assert sorted((r["doc_id"], r["shard"], r["slot"]) for r in got) == slow_shards(rows, 5)
