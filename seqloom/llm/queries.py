@@ -30,4 +30,4 @@ QUERIES = {
     )
 }
 
-ORACLES = {"op4_source_mixing": mixing.SQL, "op6_licence_digests": licence_digests.SQL}
+ORACLES = {"op4_source_mixing": mixing.SQL, "op6_licence_digests": licence_digests.sql()}
