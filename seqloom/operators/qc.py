@@ -88,6 +88,17 @@ def walkup_metrics(reads: DataFrame) -> DataFrame:
     return sums.withColumn("whole", whole).select("flowcell", "lane", "index", F.round(F.col("reads") / 1e6, 6).alias("mreads"), ratio(F.col("reads"), F.col("whole")).alias("pcnt"))
 
 
+def index_pool_totals(reads: DataFrame, key: DataFrame) -> DataFrame:
+    """(index, pool, reads, pcnt): reads of each index over all flowcells and lanes, with the name of its
+    pool (of several, the first in order; ``-`` if the key has none) and its share of all reads.
+
+    reads (index, n), key (Pool_index, Pool_ID).
+    """
+    pools = key.groupBy(F.col("Pool_index").alias("index")).agg(F.min("Pool_ID").alias("pool"))
+    sums = reads.groupBy("index").agg(F.sum("n").alias("reads")).join(pools, "index", "left")
+    return sums.select("index", F.coalesce("pool", F.lit("-")).alias("pool"), "reads", ratio(F.col("reads"), F.sum("reads").over(Window.partitionBy())).alias("pcnt"))
+
+
 def matched_share(reads: DataFrame) -> DataFrame:
     """Per flowcell the reads with a known index and the rest."""
     known = F.col("index") != "unmatched"

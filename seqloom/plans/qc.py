@@ -125,6 +125,19 @@ def g6_matched_share(reads):
     return Q.matched_share(_walkup(reads))
 
 
+@query(
+    "g6_index_pool_totals",
+    "reads",
+    "key_table",
+    sql="""per AS (SELECT concat('idx', length(r1_seq) % 3 + CASE WHEN substr(index_seq,1,1) IN ('A','C') THEN 0 ELSE 4 END) AS "index", count(*) AS reads FROM reads GROUP BY 1),
+pools AS (SELECT Pool_index, min(Pool_ID) AS pool FROM key_table GROUP BY 1)
+SELECT "index", coalesce(pool, '-') AS pool, reads, round(100.0::DOUBLE * reads / sum(reads) OVER (), 6) AS pcnt FROM per LEFT JOIN pools ON "index" = Pool_index""",
+)
+def g6_index_pool_totals(reads, key_table):
+    number = F.length("r1_seq") % 3 + F.when(F.substring("index_seq", 1, 1).isin("A", "C"), 0).otherwise(4)
+    return Q.index_pool_totals(reads.select(F.concat(F.lit("idx"), number).alias("index"), F.lit(1).alias("n")), key_table)
+
+
 _FILES = [f"lane{i}" for i in range(4)]
 
 
