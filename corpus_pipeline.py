@@ -26,7 +26,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that of the smallest doc_id.
 
-    Near copies are texts whose five-word shingles have a Jaccard similarity of 0.8 or more.
+    Near copies are texts whose five-word shingles have a Jaccard similarity of 0.8 or more. SimHash
+    fingerprints and their segment popcounts propose the first links; as most pairs at that
+    similarity differ in more bits than a fingerprint can be searched for, shared rare shingles propose the
+    rest. All links are verified exactly.
 
     Null, empty and blank texts are copies of each other; rows that repeat a doc_id are one document,
     of which one row stays; rows without doc_id stay.
