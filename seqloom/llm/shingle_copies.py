@@ -14,7 +14,7 @@ the order alone, never the result.
 Sets that share a key are candidates. In a few rounds (``HUBS``), each key's members are compared to
 one of them, chosen by hash so that keys of like members choose the same. Members that are still in
 different components are then compared to each other, in blocks of bounded size: each member first
-to its nearest by sketch, then to twice as many in each round, until none is left. A parity
+to its nearest by sketch, then to eight times as many in each round, until none is left. A parity
 sketch has a bit that flips for each shingle that only one set has, so sketches never differ in more bits
 than the sets differ in shingles; pairs whose sketches allow the similarity are compared exactly.
 
@@ -264,41 +264,45 @@ def links(base: DataFrame, docs: DataFrame) -> DataFrame:
         x, y = sets.select(F.col("node").alias("a"), F.col("held").alias("x")), sets.select(F.col("node").alias("b"), F.col("held").alias("y"))
         return written(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInPandas(_verified, "a long, b long"))
 
-    def split(rows: DataFrame, edges: DataFrame, *by: str) -> DataFrame:
+    def split(rows: DataFrame, roots: DataFrame, *by: str) -> DataFrame:
         """``rows`` (with node) whose group ``by`` lies in more than one component, with root."""
-        placed = rows.join(written(components(edges)), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        placed = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         several = placed.groupBy(*by).agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select(*by)
         return written(placed.join(several, [*by]))
 
     one_fp = written(drawn.groupBy("fp").agg(F.min("node").alias("node")))
     same_fp = drawn.select("fp", F.col("node").alias("b")).join(one_fp.withColumnRenamed("node", "a"), "fp").filter("a <> b").select("a", "b")
     edges = verify(simhash_segments.links(one_fp).unionByName(same_fp))
-    open_keys = met
+    open_keys, roots = met, written(components(edges))
     for k in range(HUBS):
-        open_keys = split(open_keys.select("key", "node"), edges, "key")
+        open_keys = split(open_keys.select("key", "node"), roots, "key")
         hub = open_keys.groupBy("key").agg(F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(k))).alias("hub"))
         stars = open_keys.join(hub, "key").filter("root <> hub.root").select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
         edges = written(edges.unionByName(verify(written(stars.distinct()))))
+        roots = written(components(edges))
 
-    open_keys = split(open_keys.select("key", "node"), edges, "key")
+    open_keys = split(open_keys.select("key", "node"), roots, "key")
     alike = open_keys.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.struct(F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64("node", F.lit(1)))).alias("mark"))
     once = alike.groupBy("members", "mark").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     dealt = open_keys.join(once, "key").select("key", "node", "blocks", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int").alias("h")).withColumn("g", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     groups = written(dealt.select("key", F.least("h", "g").alias("i"), F.greatest("h", "g").alias("j"), "h", "node"))
     tried, most = None, 1
     while True:
-        rows = split(groups, edges, "key", "i", "j").join(drawn.select("node", "n", "wide"), "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
+        rows = split(groups, roots, "key", "i", "j").join(drawn.select("node", "n", "wide"), "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
         found = written(rows.mapInPandas(lambda it, most=most: (nearest_pairs(own, most) for own in _groups(it)), "key long, i int, j int, a long, b long, more boolean"))
         pairs = found.select("a", "b").distinct()
         new = written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-        if not new.limit(1).count():
-            if not found.filter("more").limit(1).count():
-                return edges
-        else:
-            edges = written(edges.unionByName(verify(new)))
+        if new.limit(1).count():
+            near = verify(new)
             tried = new if tried is None else written(tried.unionByName(new))
-        groups = written(groups.join(found.filter("more").select("key", "i", "j").distinct(), ["key", "i", "j"], "left_semi"))
-        most *= 2
+            if near.limit(1).count():
+                edges = written(edges.unionByName(near))
+                roots = written(components(edges))
+        left = written(found.filter("more").select("key", "i", "j").distinct())
+        if not left.limit(1).count():
+            return edges
+        groups = written(groups.join(left, ["key", "i", "j"], "left_semi"))
+        most *= 8
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
