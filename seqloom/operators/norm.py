@@ -96,7 +96,7 @@ def contrast_moments(counts: DataFrame, group_a: list[str], group_b: list[str])
     """Per gene the means of both groups' normalised counts and log2 of A / B (with half a count added)."""
     factors = size_factors(counts)
     side = F.when(F.col("sample_id").isin(group_a), "a").when(F.col("sample_id").isin(group_b), "b")
-    x = counts.join(F.broadcast(factors), "sample_id").select("gene", side.alias("side"), (F.col("n") / F.col("factor")).alias("x")).filter("side is not null")
+    x = counts.join(factors, "sample_id").select("gene", side.alias("side"), (F.col("n") / F.col("factor")).alias("x")).filter("side is not null")
     out = [f(F.when(F.col("side") == s, F.col("x"))).alias(f"{name}_{s}") for s in "ab" for name, f in (("mean", F.avg), ("var", F.var_samp), ("n", F.count))]
     return x.groupBy("gene").agg(*out).withColumn("lfc", F.log2((F.col("mean_a") + 0.5) / (F.col("mean_b") + 0.5)))
 

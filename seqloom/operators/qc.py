@@ -66,7 +66,7 @@ def raw_inline_frequency(reads: DataFrame, barcodes: DataFrame, n: int = 100_000
     head = reads.filter((F.col("ord") < n) & (F.length("r1_seq") >= k)).groupBy("file_prefix", F.substring("r1_seq", 1, k).alias("kmer")).agg(n_rows().alias("n"))
     total = F.sum("n").over(Window.partitionBy("file_prefix"))
     rank = F.row_number().over(Window.partitionBy("file_prefix").orderBy(F.desc("n"), "kmer"))
-    listed = F.broadcast(barcodes.groupBy(F.substring("bc_seq", 1, k).alias("kmer")).agg(F.min("bc_name").alias("bc_name")))
+    listed = barcodes.groupBy(F.substring("bc_seq", 1, k).alias("kmer")).agg(F.min("bc_name").alias("bc_name"))
     ranked = head.withColumns({"pcnt": F.round(100.0 * F.col("n") / total, 6), "rank": rank}).filter(F.col("rank") <= top)
     return ranked.join(listed, "kmer", "left").select("file_prefix", "kmer", "n", "pcnt", "rank", F.coalesce("bc_name", F.lit("-")).alias("bc_name"))
 
