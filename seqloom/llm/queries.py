@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from seqloom.llm import licence_digests, mixing
+from seqloom.llm import licence_digests, mixing, target_resampling
 from seqloom.llm.crf_toxicity import op9_crf_toxicity
 from seqloom.llm.hilbert_shards import op1_hilbert_shards
 from seqloom.llm.jpeg_media import op10_jpeg_media
@@ -12,6 +12,7 @@ from seqloom.llm.mixing import op4_source_mixing
 from seqloom.llm.simhash_segments import op7_simhash_segments
 from seqloom.llm.srs_neighbours import op5_srs_neighbours
 from seqloom.llm.swap_packing import op8_swap_packing
+from seqloom.llm.target_resampling import op13_target_resampling
 from seqloom.llm.url_markov import op2_url_markov
 
 QUERIES = {
@@ -27,7 +28,8 @@ QUERIES = {
         op8_swap_packing,
         op9_crf_toxicity,
         op10_jpeg_media,
+        op13_target_resampling,
     )
 }
 
-ORACLES = {"op4_source_mixing": mixing.SQL, "op6_licence_digests": licence_digests.sql()}
+ORACLES = {"op4_source_mixing": mixing.SQL, "op6_licence_digests": licence_digests.sql(), "op13_target_resampling": target_resampling.SQL}
