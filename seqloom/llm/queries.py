@@ -11,6 +11,7 @@ from seqloom.llm.line_blocks import op3_line_blocks
 from seqloom.llm.mixing import op4_source_mixing
 from seqloom.llm.simhash_segments import op7_simhash_segments
 from seqloom.llm.srs_neighbours import op5_srs_neighbours
+from seqloom.llm.suffix_repeats import op11_suffix_repeats
 from seqloom.llm.swap_packing import op8_swap_packing
 from seqloom.llm.target_resampling import op13_target_resampling
 from seqloom.llm.url_markov import op2_url_markov
@@ -28,6 +29,7 @@ QUERIES = {
         op8_swap_packing,
         op9_crf_toxicity,
         op10_jpeg_media,
+        op11_suffix_repeats,
         op13_target_resampling,
     )
 }

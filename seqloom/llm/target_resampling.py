@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.llm.common import table, text_batches, written
+from seqloom.llm.common import in_order, table, text_batches, written
 
 BUCKETS = 10_000
 SEED = 2024
@@ -43,7 +43,6 @@ REMEMBERED = 500_000
 
 # ASCII digits and letters, lower-cased, and all bytes of other characters stay; the rest parts words
 _WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-_IN_WORD_LAST = 2**33 - 1
 
 
 class _Buckets(dict):
@@ -135,21 +134,9 @@ def scored(docs: DataFrame, target: DataFrame, longest: int = 1, seed: int = SEE
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(work, "doc_id long, n_words long, n_features long, weight long, score long")
 
 
-def in_order(df: DataFrame) -> DataFrame:
-    """``df`` with place (1, 2, 3...) by descending score, then doc_id, then row.
-
-    Rows are dealt by ranges of that order and sorted range by range; the driver sees one count a range.
-    """
-    order = [F.desc("score"), F.asc_nulls_last("doc_id"), F.asc("row")]
-    ranges = written(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
-    part, nth = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit(_IN_WORD_LAST))
-    before, starts = 0, []
-    for r in ranges.groupBy(part.alias("part")).count().orderBy("part").collect():
-        starts.append((r["part"], before))
-        before += r["count"]
-    offsets = df.sparkSession.createDataFrame(starts, "part long, before long")
-    placed = ranges.withColumn("part", part).join(F.broadcast(offsets), "part")
-    return placed.select(*df.columns, (F.col("before") + nth + 1).alias("place"))
+def by_score(rows: DataFrame) -> DataFrame:
+    """``rows`` with their place by descending score, then doc_id, then row."""
+    return in_order(rows, F.desc("score"), F.asc_nulls_last("doc_id"), F.asc("row"))
 
 
 def cutoff(rows: DataFrame, draw: int, total: int, sketch: int = SKETCH) -> tuple[int, int | None, int]:
@@ -164,7 +151,7 @@ def cutoff(rows: DataFrame, draw: int, total: int, sketch: int = SKETCH) -> tupl
         inside = F.col("score").between(low, high)
         n = rows.agg(F.count_if(F.col("score") > high).alias("above"), F.count_if(inside).alias("inside")).first()
         if n["above"] < draw <= n["above"] + n["inside"]:
-            return tuple(in_order(rows.filter(inside)).filter(F.col("place") == draw - n["above"]).select("score", "doc_id", "row").first())
+            return tuple(by_score(rows.filter(inside)).filter(F.col("place") == draw - n["above"]).select("score", "doc_id", "row").first())
         margin *= 4
 
 
@@ -189,7 +176,7 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = PERCENT, least_w
     else:
         first = F.coalesce((F.col("doc_id") < doc_id) | (F.col("doc_id") == doc_id) & (F.col("row") <= row), F.lit(False))
     drawn = able & ((F.col("score") > score) | tie & first)
-    ranked = in_order(rows.filter(drawn)).select(*kept, F.col("place").alias("rank"))
+    ranked = by_score(rows.filter(drawn)).select(*kept, F.col("place").alias("rank"))
     return ranked.unionByName(rows.filter(~drawn).select(*kept, F.lit(None).cast("long").alias("rank")))
 
 
