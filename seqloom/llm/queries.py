@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from seqloom.llm import licence_digests, mixing, target_resampling
+from seqloom.llm import licence_digests, mixing, target_resampling, tree_negatives
 from seqloom.llm.crf_toxicity import op9_crf_toxicity
 from seqloom.llm.hilbert_shards import op1_hilbert_shards
 from seqloom.llm.jpeg_media import op10_jpeg_media
@@ -14,6 +14,7 @@ from seqloom.llm.srs_neighbours import op5_srs_neighbours
 from seqloom.llm.suffix_repeats import op11_suffix_repeats
 from seqloom.llm.swap_packing import op8_swap_packing
 from seqloom.llm.target_resampling import op13_target_resampling
+from seqloom.llm.tree_negatives import op12_tree_negatives
 from seqloom.llm.url_markov import op2_url_markov
 
 QUERIES = {
@@ -30,8 +31,9 @@ QUERIES = {
         op9_crf_toxicity,
         op10_jpeg_media,
         op11_suffix_repeats,
+        op12_tree_negatives,
         op13_target_resampling,
     )
 }
 
-ORACLES = {"op4_source_mixing": mixing.SQL, "op6_licence_digests": licence_digests.sql(), "op13_target_resampling": target_resampling.SQL}
+ORACLES = {"op4_source_mixing": mixing.SQL, "op6_licence_digests": licence_digests.sql(), "op12_tree_negatives": tree_negatives.SQL, "op13_target_resampling": target_resampling.SQL}
