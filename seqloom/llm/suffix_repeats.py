@@ -37,12 +37,12 @@ from pyspark.sql import functions as F
 from seqloom.llm.common import table, text_batches, written
 
 LENGTH = 200
-GRAM = 32
+GRAM = 64
 #: Most different contexts of an anchor that are settled together, and bytes of a batch of groups, about.
 GROUP = 1024
-BATCH = 1 << 20
+BATCH = 1 << 19
 #: Bytes that are hashed at a time.
-PIECE = 1 << 19
+PIECE = 1 << 17
 
 _PLACE = (1 << 20) - 1
 
@@ -84,21 +84,31 @@ def _least(x: np.ndarray, width: int) -> np.ndarray:
     return x
 
 
-def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the anchors of texts that lie at ``starts``..``ends`` of ``data`` (at most 2**20 bytes)."""
-    nothing = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(place, hash, first, last) of the anchors of texts that lie at ``starts``..``ends`` of ``data`` (at most 2**20 bytes).
+
+    The strings of ``length`` bytes that start at first..last are those with this anchor.
+    """
     room = ends - starts - length + 1
     starts, room = starts[room > 0], room[room > 0]
     if not len(starts):
-        return nothing
+        return (*[np.zeros(0, np.int64)] * 2, *[np.zeros(0, np.int64)] * 2)
     hashes = gram_hashes(data, gram)
     ranked = (hashes & ~np.uint64(_PLACE)) | np.arange(len(hashes), dtype=np.uint64)
     least = _least(ranked, length - gram + 1)
-    ends_of = np.cumsum(room)
-    windows = np.arange(ends_of[-1]) + np.repeat(starts - (ends_of - room), room)
-    places = (least[windows] & np.uint64(_PLACE)).astype(np.int64)
-    places = places[np.diff(places, prepend=-1) != 0]
-    return places, hashes[places]
+    edge = np.zeros(len(least) + 1, np.int8)
+    edge[starts] += 1
+    edge[starts + room] -= 1
+    inside = np.cumsum(edge[:-1], dtype=np.int8).view(bool)
+    fresh = np.empty(len(least), bool)
+    fresh[0] = True
+    np.not_equal(least[1:], least[:-1], out=fresh[1:])
+    fresh[starts] = True
+    first = np.flatnonzero(fresh & inside)
+    place = (least[first] & np.uint64(_PLACE)).astype(np.int64)
+    last = np.append(first[1:], len(least)) - 1
+    text_end = (starts + room - 1)[np.searchsorted(starts, first, "right") - 1]
+    return place, hashes[place].view(np.int64), first, np.minimum(last, text_end)
 
 
 def pieces(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, list[tuple[int, int, int, int]]]]:
@@ -120,38 +130,48 @@ def pieces(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, list[t
         yield np.frombuffer(b"".join(held), np.uint8), at
 
 
-def text_anchors(texts: list[bytes], length: int, gram: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(text, place, hash) of all anchors in order, by buffer."""
-    last = (-1, -1)
+def text_anchors(texts: list[bytes], length: int, gram: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(text, hash, place, first, last) of all anchors in order, by buffer; each place where a string may start is in one
+    range first..last. An anchor's range may be cut where buffers meet."""
     for data, at in pieces(texts, length):
         k, begin, start, end = (np.array(x, np.int64) for x in zip(*at, strict=True))
-        places, hashes = anchors(data, start, end, length, gram)
-        part = np.searchsorted(start, places, "right") - 1
-        k, places = k[part], places - start[part] + begin[part]
-        if len(k) and (int(k[0]), int(places[0])) == last:  # of the piece before as well
-            k, places, hashes = k[1:], places[1:], hashes[1:]
-        if len(k):
-            last = (int(k[-1]), int(places[-1]))
-            yield k, places, hashes
+        place, hashes, first, last = anchors(data, start, end, length, gram)
+        if len(place):
+            part = np.searchsorted(start, first, "right") - 1
+            shift = begin[part] - start[part]
+            yield k[part], hashes, place + shift, first + shift, last + shift
 
 
 # --- the Burrows-Wheeler transform and its intervals ---------------------------------------------
 
 
-def sorted_rotations(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """Starts of all rotations in the order of their first ``depth`` symbols (below 512) or more, by prefix doubling."""
-    n, width = len(symbols), 7
+def sorted_rotations(symbols: np.ndarray, bits: int, depth: int) -> np.ndarray:
+    """Starts of all rotations in the order of their first ``depth`` symbols (of so many bits) or more.
+
+    As many symbols as a word holds are looked at first; then the ranks of three rotations in a row make
+    one word, which triples the symbols looked at (two, where three do not fit). A rotation's rank is the place
+    of the first one that is equal as far as looked; only equal ones are sorted on.
+    """
+    n, width = len(symbols), min(63 // bits, depth)
+    times = 3 if n < 1 << 21 else 2
     key = np.zeros(n, np.int64)
     for k in range(width):
-        key = key << 9 | np.roll(symbols, -k)
+        key = key << bits | np.roll(symbols, -k)
+    order, rank, tied = np.arange(n), np.empty(n, np.int64), np.arange(n)
     while True:
-        order = np.argsort(key)
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.diff(key[order], prepend=key[order[0]]) != 0)
-        if width >= depth:
+        by = np.argsort(key)
+        order[tied] = own = order[tied][by]
+        key = key[by]
+        new = np.append(True, key[1:] != key[:-1])
+        rank[own] = np.maximum.accumulate(np.where(new, tied, 0))
+        alone = new & np.append(new[1:], True)
+        tied, own = tied[~alone], own[~alone]
+        if width >= depth or not len(tied):
             return order
-        key = rank * n + np.roll(rank, -width)
-        width *= 2
+        key = rank[own]
+        for k in range(1, times):
+            key = key * n + rank[(own + k * width) % n]
+        width *= times
 
 
 class Wavelet:
@@ -192,16 +212,24 @@ def common_prefix_reached(last: np.ndarray, bits: int, length: int) -> np.ndarra
     shift[symbol] = -base
     counts = np.bincount(last, minlength=1 << bits)
     shift += (np.cumsum(counts) - counts).astype(np.int32)
+    before = np.empty(n, np.int32)  # of each rotation, the place of the one that starts a symbol earlier
+    before[np.argsort(last.astype(np.uint16), kind="stable")] = np.arange(n, dtype=np.int32)
     known = np.zeros(n + 1, bool)
     known[[0, n]] = True
+    single = np.zeros(0, np.int32)  # intervals of one rotation extend to that one
     for _ in range(length):
         symbol, low, high = wavelet.symbols_of(low, high)
         low, high = low + shift[symbol], high + shift[symbol]
         new = ~known[high]
         low, high = low[new], high[new]
-        if not len(high):
+        single = before[single]
+        single = single[~known[single + 1]]
+        if not len(high) and not len(single):
             break
         known[high] = True
+        known[single + 1] = True
+        one = high - low == 1
+        low, high, single = low[~one], high[~one], np.concatenate([single, low[one]])
     return known
 
 
@@ -215,8 +243,9 @@ def repeated_starts(contexts: list[bytes], length: int) -> tuple[np.ndarray, np.
     dense = np.zeros(257, np.int32)
     dense[there] = np.arange(len(there))
     text = dense[text]
-    order = sorted_rotations(text, length)
-    known = common_prefix_reached(text[order - 1], max(1, int(len(there) - 1).bit_length()), length)[:-1]
+    bits = max(1, int(len(there) - 1).bit_length())
+    order = sorted_rotations(text, bits, length)
+    known = common_prefix_reached(text[order - 1], bits, length)[:-1]
     alone = known & np.append(known[1:], True)
     group, order = np.cumsum(known)[~alone], order[~alone]
     context = np.searchsorted(begins, order, "right") - 1
@@ -308,42 +337,51 @@ def _anchor_hashes(length: int, gram: int) -> Callable[[Iterator[pa.RecordBatch]
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _groups(batch, "n_bytes"):
-                for _, _, hashes in text_anchors(_bodies(part.column("body")), length, gram):
-                    yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["anchor"])
+                for _, hashes, *_ in text_anchors(_bodies(part.column("body")), length, gram):
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes)], ["anchor"])
 
     return work
 
 
 def _places(length: int, gram: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(row, n_bytes, body) to (anchor, c1, c2, row, place), c1 and c2 a digest of the context."""
+    """(row, n_bytes, body) to (anchor, c1, c2, row, spot): c1 and c2 are a digest of the context, spot is where it is."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
         for batch in batches:
             for part in _groups(batch, "n_bytes"):
                 rows, texts = part.column("row").to_numpy(), _bodies(part.column("body"))
-                for k, place, hashes in text_anchors(texts, length, gram):
-                    found = b"".join([digest(texts[i][max(0, p - length + gram) : p + length]) for i, p in zip(k.tolist(), place.tolist(), strict=True)])
+                for k, hashes, place, first, last in text_anchors(texts, length, gram):
+                    found = b"".join([digest(texts[i][a:b]) for i, a, b in zip(k.tolist(), first.tolist(), (last + length).tolist(), strict=True)])
                     c = np.frombuffer(found, np.int64).reshape(-1, 2)
-                    yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(c[:, 0]), pa.array(c[:, 1]), pa.array(rows[k]), pa.array(place)], ["anchor", "c1", "c2", "row", "place"])
+                    spot = first << 32 | (place - first) << 16 | last - first
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(c[:, 0]), pa.array(c[:, 1]), pa.array(rows[k]), pa.array(spot)], ["anchor", "c1", "c2", "row", "spot"])
 
     return work
 
 
-def _contexts(length: int, gram: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(row, n_bytes, body, wanted) to (key, kinds, row, at, low, n, bytes): the contexts of the wanted places.
+# what a spot says: where the context's first string starts, and its last one
+FIRST, LAST = "shiftright(spot, 32)", "shiftright(spot, 32) + (spot & 65535)"
+
+
+def _contexts(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(row, n_bytes, body, wanted) to (key, kinds, row, at, low, n, bytes): the contexts at the wanted spots.
 
     A context lies at ``at + low`` of its text; ``at`` is its anchor's place.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["key", "kinds", "row", "at", "low", "n", "bytes"]
         for batch in batches:
             for part in _groups(batch, "n_bytes"):
-                for row, text, wanted in zip(part.column("row").to_pylist(), _bodies(part.column("body")), part.column("wanted").to_pylist(), strict=True):
-                    for begin in range(0, len(wanted), 4096):
-                        out = [(w["anchor"], w["kinds"], row, w["place"], max(0, w["place"] - length + gram) - w["place"], w["n"], text[max(0, w["place"] - length + gram) : w["place"] + length]) for w in wanted[begin : begin + 4096]]
-                        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["key", "kinds", "row", "at", "low", "n", "bytes"])
+                for row, text, wanted in zip(part.column("row").to_pylist(), _bodies(part.column("body")), part.column("wanted"), strict=True):
+                    each = wanted.values
+                    for begin in range(0, len(each), 4096):
+                        own = each.slice(begin, 4096)
+                        spot = own.field("spot").to_numpy()
+                        first, left, count = spot >> 32, spot >> 16 & 65535, spot & 65535
+                        found = [text[a:b] for a, b in zip(first.tolist(), (first + count + length).tolist(), strict=True)]
+                        yield pa.RecordBatch.from_arrays([own.field("anchor"), own.field("kinds"), pa.array(np.full(len(own), row)), pa.array(first + left), pa.array(-left), own.field("n"), pa.array(found, pa.binary())], names)
 
     return work
 
@@ -414,27 +452,29 @@ def halved(todo: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
 def repeats(base: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
     """(row, low, high): ranges of places where a string of ``length`` bytes starts that starts elsewhere too.
 
-    ``base`` (row, n_bytes, body) is a written table. Ranges may overlap and pass the end of the text.
+    ``base`` (row, n_bytes, body) is a written table. Ranges do not overlap, but may touch.
     """
     able = base.filter(F.col("n_bytes") >= length)
     hashes = able.select("n_bytes", "body").mapInArrow(_anchor_hashes(length, gram), "anchor long")
     shared = hashes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
-    found = able.select("row", "n_bytes", "body").mapInArrow(_places(length, gram), "anchor long, c1 long, c2 long, row long, place long")
+    found = able.select("row", "n_bytes", "body").mapInArrow(_places(length, gram), "anchor long, c1 long, c2 long, row long, spot long")
     places = written(found.join(shared, "anchor", "left_semi"))
     what = ["anchor", "c1", "c2"]
-    counts = written(places.groupBy(*what).agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("row"), F.min_by("place", "row").alias("place")))
+    counts = written(places.groupBy(*what).agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("row"), F.min_by("spot", "row").alias("spot")))
     kinds = counts.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
-    wanted = counts.join(kinds, "anchor").groupBy("row").agg(F.collect_list(F.struct("anchor", "kinds", "place", "n")).alias("wanted"))
-    contexts = written(able.select("row", "n_bytes", "body").join(wanted, "row").mapInArrow(_contexts(length, gram), "key long, kinds long, row long, at long, low long, n long, bytes binary"))
+    wanted = counts.join(kinds, "anchor").groupBy("row").agg(F.collect_list(F.struct("anchor", "kinds", "spot", "n")).alias("wanted"))
+    contexts = written(able.select("row", "n_bytes", "body").join(wanted, "row").mapInArrow(_contexts(length), "key long, kinds long, row long, at long, low long, n long, bytes binary"))
     whole = places.join(counts.filter("n > 1").select(*what), what, "left_semi")
-    out = whole.select("row", (F.col("place") - length + gram).alias("low"), F.col("place").alias("high"))
+    out = whole.select("row", F.expr(FIRST).alias("low"), F.expr(LAST).alias("high"))
     small = F.col("kinds") <= group
-    out = out.unionByName(settled(contexts.filter(small), length))
+    fields = ["key", "row", "at", "low", "n", "bytes"]
+    groups = contexts.filter(small).select(*fields)
     todo = contexts.filter(~small).withColumn("a", F.lit(gram - length).cast("long")).withColumn("b", F.lit(0).cast("long"))
     while todo.limit(1).count():
         todo, equal = halved(todo, length)
-        out = out.unionByName(equal).unionByName(settled(todo.filter(small), length))
+        out, groups = out.unionByName(equal), groups.unionByName(todo.filter(small).select(*fields))
         todo = todo.filter(~small & (F.col("a") < F.col("b")))
+    return out.unionByName(settled(groups, length))
     return out
 
 

@@ -63,12 +63,11 @@ def test_anchors_are_the_least_hashes_of_all_windows(gram):
     want = []
     for k, t in enumerate(texts):
         hashes = S.gram_hashes(np.frombuffer(t, np.uint8), gram) >> np.uint64(20)
-        places = sorted({int(np.argmin(hashes[w : w + length - gram + 1])) + w for w in range(len(t) - length + 1)})
-        want += [(k, p) for p in places]
+        want += [(k, w, int(np.argmin(hashes[w : w + length - gram + 1])) + w) for w in range(len(t) - length + 1)]
     for piece in (S.PIECE, 700):
         old, S.PIECE = S.PIECE, piece
         try:
-            got = [x for k, p, _ in S.text_anchors(texts, length, gram) for x in zip(k.tolist(), p.tolist(), strict=True)]
+            got = [(i, w, p) for k, _, place, first, last in S.text_anchors(texts, length, gram) for i, p, a, b in zip(k.tolist(), place.tolist(), first.tolist(), last.tolist(), strict=True) for w in range(a, b + 1)]
         finally:
             S.PIECE = old
         assert got == want
@@ -88,7 +87,7 @@ def test_prefix_boundaries_of_the_transform(seed):
     text[100:180] = text[10:90]
     text[::60] = 0
     depth = 20
-    order = S.sorted_rotations(text, depth)
+    order = S.sorted_rotations(text, 2, depth)
     rotations = [tuple(np.roll(text, -i)[:depth]) for i in order.tolist()]
     assert rotations == sorted(rotations)
     known = S.common_prefix_reached(text[order - 1], 2, depth)
