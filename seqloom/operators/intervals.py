@@ -10,10 +10,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Genome bins of range joins: an interval meets others in the bins that it covers.
+#: Genome bins of coverage.
 BIN = 1 << 14
-#: Parts that a bin of a range join is spread over.
-SALTS = 8
+#: Bins of range joins by level; the last level is one bin, the whole accession.
+LEVELS = (1 << 14, 1 << 18, 1 << 22, 1 << 26)
 
 # Types that win over others at one place, by what they are called there.
 PRIORITY = {"CDS": "CDS", "tRNA": "tRNA", "rRNA": "rRNA", "miscRNA": "ncRNA", "misc_RNA": "ncRNA", "ncRNA": "ncRNA", "tmRNA": "ncRNA"}
@@ -85,23 +85,48 @@ def dedupe_feature_types(gff: DataFrame) -> DataFrame:
     return grouped.select("acc", "start_pos", "end_pos", "strand", folded.alias("type"), F.array_join(F.transform("rows", lambda r: r["tag"]), ";").alias("tag"))
 
 
-def with_bins(df: DataFrame, start: str = "start_pos", end: str = "end_pos", size: int = BIN) -> DataFrame:
-    """One row for each genome bin that the interval touches."""
-    return df.withColumn("bin", F.explode(F.sequence(F.floor(F.col(start) / size), F.floor(F.col(end) / size))))
+def holding_bin(start: str, end: str) -> Column:
+    """(level, bin) of the smallest bin that holds an interval."""
+    out = F.struct(F.lit(len(LEVELS)).alias("level"), F.lit(0).cast("long").alias("bin"))
+    for k, size in reversed(list(enumerate(LEVELS))):
+        low, high = F.floor(F.col(start) / size), F.floor(F.col(end) / size)
+        out = F.when(low == high, F.struct(F.lit(k).alias("level"), low.alias("bin"))).otherwise(out)
+    return out
 
 
-def overlapping(left: DataFrame, right: DataFrame, size: int = BIN, salts: int = SALTS) -> DataFrame:
-    """Pairs of rows of ``left`` (acc, start_pos, end_pos, ...) and ``right`` (acc, f_start, f_end, ...)
-    that overlap, met by equi-join on (acc, bin) and kept in the first bin that they share.
+def bins_above(start: str, own: Column) -> Column:
+    """The bins that hold the interval's own bin, that one included."""
+    every = [F.struct(F.lit(k).alias("level"), F.floor(F.col(start) / size).alias("bin")) for k, size in enumerate(LEVELS)]
+    top = F.struct(F.lit(len(LEVELS)).alias("level"), F.lit(0).cast("long").alias("bin"))
+    return F.filter(F.array(*every, top), lambda x: x["level"] >= own["level"])
+
 
-    Rows of the left side are dealt to ``salts`` parts of each bin, to each of which the right side, an
-    annotation, is sent, so that all samples' piles on one gene do not meet in one task.
+def overlapping(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs of rows of ``left`` (acc, start_pos, end_pos, ...) and ``right`` (acc, f_start, f_end, ...)
+    that overlap.
+
+    Each interval lies in one bin, the smallest of the hierarchy that holds it. Two intervals can overlap
+    only if one's bin is the other's or lies within it, so the pairs are an equi-join of the left side's own and higher
+    bins with the right side's own ones (way 0), and of the left's own with the right's higher ones (way 1).
+    Each pair meets once, and an interval of any length is listed once a level and way at most. Levels of
+    which an accession has no interval on the right side are passed over. Spark sends an annotation
+    to all tasks if it is small; else it may split the bins on which fragments pile up.
     """
-    salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int").alias("_salt")
-    each = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
-    met = with_bins(left.select("*", salt), size=size).join(with_bins(right, "f_start", "f_end", size).select("*", each), ["acc", "bin", "_salt"])
-    first = F.floor(F.greatest("start_pos", "f_start") / size) == F.col("bin")
-    return met.filter(first & (F.least("end_pos", "f_end") >= F.greatest("start_pos", "f_start"))).drop("bin", "_salt")
+    own = F.col("_own")
+    placed = right.withColumn("_own", holding_bin("f_start", "f_end"))
+    used = placed.groupBy("acc").agg(F.collect_set("_own.level").alias("_used"))
+    ways = F.concat(
+        F.array(F.struct(F.lit(0).alias("way"), own["level"].alias("level"), own["bin"].alias("bin"))),
+        F.transform(F.filter(bins_above("f_start", own), lambda x: x["level"] > own["level"]), lambda x: F.struct(F.lit(1).alias("way"), x["level"].alias("level"), x["bin"].alias("bin"))),
+    )
+    listed = placed.withColumn("_at", F.explode(ways)).drop("_own")
+    probes = left.join(used, "acc").withColumn("_own", holding_bin("start_pos", "end_pos"))
+    # nothing on the right lies below the lowest level
+    up = F.transform(F.filter(bins_above("start_pos", own), lambda x: F.array_contains("_used", x["level"])), lambda x: F.struct(F.lit(0).alias("way"), x["level"].alias("level"), x["bin"].alias("bin")))
+    down = F.when(own["level"] > F.array_min("_used"), F.array(F.struct(F.lit(1).alias("way"), own["level"].alias("level"), own["bin"].alias("bin")))).otherwise(F.array())
+    probes = probes.withColumn("_at", F.explode(F.concat(up, down))).drop("_own", "_used")
+    met = probes.join(listed, ["acc", "_at"]).drop("_at")
+    return met.filter(F.least("end_pos", "f_end") >= F.greatest("start_pos", "f_start"))
 
 
 def count_features(frags: DataFrame, features: DataFrame, min_frag_len: int = 10, paired_only: bool = False) -> DataFrame:

@@ -101,12 +101,20 @@ def contrast_moments(counts: DataFrame, group_a: list[str], group_b: list[str])
     return x.groupBy("gene").agg(*out).withColumn("lfc", F.log2((F.col("mean_a") + 0.5) / (F.col("mean_b") + 0.5)))
 
 
-def contrast(counts: DataFrame, group_a: list[str], group_b: list[str]) -> DataFrame:
-    """(gene, mean_a, mean_b, lfc, p, padj), ordered by padj.
+def contrast(counts: DataFrame, group_a: list[str], group_b: list[str], dispersion: str = "shrunken") -> DataFrame:
+    """(gene, mean_a, mean_b, lfc, p, padj), ordered by padj; genes without counts have no p.
 
-    An approximation: dispersions are moment estimates (at least Poisson), p comes from a normal Wald
-    test of the log fold change, and padj is Benjamini-Hochberg's. Genes without counts have no p.
+    ``shrunken`` fits negative binomials with dispersions drawn towards their trend
+    (``negbin.negative_binomial_contrast``, which also gives the dispersions). ``moments`` is a quick
+    approximation: dispersions are moment estimates (at least Poisson), p comes from a normal Wald
+    test of the log fold change. padj is Benjamini-Hochberg's in both.
     """
+    if dispersion == "shrunken":
+        from seqloom.operators.negbin import negative_binomial_contrast
+
+        return negative_binomial_contrast(counts, group_a, group_b).select("gene", "mean_a", "mean_b", "lfc", "p", "padj")
+    if dispersion != "moments":
+        raise ValueError(f"no such dispersion: {dispersion}")
     m = contrast_moments(counts, group_a, group_b)
 
     def spread(s: str) -> Column:

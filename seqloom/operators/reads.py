@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from seqloom.functions import bases
 from seqloom.functions.protocols import Protocol
+from seqloom.operators.matching import containing
 
 AMBIGUOUS, NO_MATCH = "ambiguous", "no_match"
 #: Any base that no barcode has counts as this one: it differs from all of theirs.
@@ -137,12 +138,15 @@ def base_dominance(reads: DataFrame, pct: float = 80.0, most: int | None = None,
 def amplicon_motif_counts(pairs: DataFrame, bc_pairs: DataFrame, motifs: list[str], head: int = 100) -> DataFrame:
     """Per sample and well, the reads and those with any motif.
 
-    ``bc_pairs`` (well, bc1, bc2) is a plate's short list and is broadcast.
+    ``bc_pairs`` is (well, bc1, bc2). The beginnings of first mates are cut into all windows of the shortest
+    first barcode's length, which meet the barcodes that begin so by equi-join; both barcodes are looked for
+    in full after that.
     """
     first, second = F.substring("r1_seq", 1, head), F.substring("r2_seq", 1, head)
     any_motif = F.greatest(F.lit(0), *[F.when(F.contains("r1_seq", F.lit(m)) | F.contains("r2_seq", F.lit(m)), 1).otherwise(0) for m in motifs])
-    met = pairs.join(F.broadcast(bc_pairs), F.contains(first, F.col("bc1")) & F.contains(second, F.col("bc2")))
-    out = met.groupBy("sample_id", "well").agg(F.count(F.lit(1)).alias("reads"), F.sum(any_motif).alias("with_motif"))
+    looked = pairs.select("sample_id", first.alias("_first"), second.alias("_second"), any_motif.alias("_motif"))
+    met = containing(looked, F.array("_first"), bc_pairs, "bc1").filter(F.contains("_second", F.col("bc2")))
+    out = met.groupBy("sample_id", "well").agg(F.count(F.lit(1)).alias("reads"), F.sum("_motif").alias("with_motif"))
     return out.withColumn("pcnt", F.round(100 * F.col("with_motif") / F.col("reads"), 4))
 
 

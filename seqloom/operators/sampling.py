@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from seqloom.operators.intervals import count_features
 
 BLOCK = 1_000_000
+#: Upper bits of a hash whose buckets are counted.
+HASH_BITS = 10
 
 
 def hashed(key: Column, seed: int) -> Column:
@@ -17,22 +19,29 @@ def hashed(key: Column, seed: int) -> Column:
     return F.conv(F.substring(F.md5(F.concat(key.cast("string"), F.lit(f":{seed}"))), 1, 8), 16, 10).cast("long")
 
 
-def sample_exact(reads: DataFrame, counts: DataFrame, seed: int, block: int = BLOCK) -> DataFrame:
+def sample_exact(reads: DataFrame, counts: DataFrame, seed: int, block: int = BLOCK, bits: int = HASH_BITS) -> DataFrame:
     """M1: exactly k reads of each sample (all, if it has fewer), spread evenly over blocks of reads.
 
     reads (sample_id, ord, read_id), counts (sample_id, k). Block b of a sample with n reads gets
-    floor(k * end / n) - floor(k * start / n) of them, so blocks are ranked each on their own.
+    floor(k * end / n) - floor(k * start / n) of them, those of the least hashes. The upper ``bits`` of the hashes
+    are counted by block; the counts say in which bucket the last taken read lies. Reads of lower buckets are
+    taken as they pass, and only those of that bucket are ranked, a block's reads divided by 2**bits.
     """
-    sized = reads.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n")).join(counts, "sample_id").withColumn("k", F.least("k", "n"))
-    blocked = reads.withColumn("block", F.floor(F.col("ord") / block))
-    rows = blocked.groupBy("sample_id", "block").agg(F.count(F.lit(1)).alias("m"))
-    before = F.coalesce(F.sum("m").over(Window.partitionBy("sample_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    shares = rows.withColumn("before", before).join(sized, "sample_id")
+    blocked = reads.withColumns({"block": F.floor(F.col("ord") / block), "_hash": hashed(F.col("read_id"), seed)}).withColumn("_bucket", F.shiftright("_hash", 32 - bits).cast("int"))
+    sized = blocked.groupBy("sample_id", "block", "_bucket").agg(F.count(F.lit(1)).alias("c"))
+    rows = sized.groupBy("sample_id", "block").agg(F.sum("c").alias("m"))
+    in_order = Window.partitionBy("sample_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    whole = rows.groupBy("sample_id").agg(F.sum("m").alias("n")).join(counts, "sample_id").withColumn("k", F.least("k", "n"))
+    shares = rows.withColumn("before", F.coalesce(F.sum("m").over(in_order), F.lit(0))).join(whole, "sample_id")
     quota = F.floor(F.col("k") * (F.col("before") + F.col("m")) / F.col("n")) - F.floor(F.col("k") * F.col("before") / F.col("n"))
     plan = shares.select("sample_id", "block", quota.cast("long").alias("quota"))
-    order = Window.partitionBy("sample_id", "block").orderBy(hashed(F.col("read_id"), seed), "read_id")
-    ranked = blocked.withColumn("r", F.row_number().over(order)).join(plan, ["sample_id", "block"])
-    return ranked.filter("r <= quota").select(*reads.columns)
+    through = Window.partitionBy("sample_id", "block").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    reached = sized.withColumn("upto", F.sum("c").over(through)).join(plan, ["sample_id", "block"]).filter((F.col("upto") >= F.col("quota")) & (F.col("upto") - F.col("c") < F.col("quota")))
+    cuts = reached.select("sample_id", "block", F.col("_bucket").alias("_cut"), (F.col("quota") - F.col("upto") + F.col("c")).alias("_left"))
+    met = blocked.join(cuts, ["sample_id", "block"]).filter("_bucket <= _cut")
+    order = Window.partitionBy("sample_id", "block").orderBy("_hash", "read_id")
+    last = met.filter("_bucket = _cut").withColumn("_r", F.row_number().over(order)).filter("_r <= _left")
+    return met.filter("_bucket < _cut").select(*reads.columns).unionByName(last.select(*reads.columns))
 
 
 def sample_fraction(aln: DataFrame, pct: float, seed: int, block: int = BLOCK) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seqloom.operators import align as A
+from seqloom.operators import umis
 from seqloom.plans.registry import query
 
 MATES = "mated AS (SELECT sample_id, qname, max(CASE WHEN flag & 64 > 0 THEN {'f': flag, 'r': rname} END) AS r1, max(CASE WHEN flag & 128 > 0 THEN {'f': flag, 'r': rname} END) AS r2 FROM alignments GROUP BY ALL)\n"
@@ -211,6 +212,22 @@ def a13_umi_collapse_feature(singles):
     return A.umi_collapse(singles, by="feature", features=F.col("rname"))
 
 
+NETWORK = r"""nodes AS (SELECT sample_id, concat_ws(':', rname, pos, CASE WHEN flag & 16 > 0 THEN '-' ELSE '+' END) AS place, regexp_extract(qname, '^\S+?umi_(\w{6})', 1) AS umi,
+ min(qname) AS qname, count(*) AS reads FROM umi_reads GROUP BY ALL),
+links AS (SELECT a.sample_id, a.place, a.umi AS a, b.umi AS b FROM nodes AS a JOIN nodes AS b ON a.sample_id = b.sample_id AND a.place = b.place AND hamming(a.umi, b.umi) = 1 AND a.reads >= 2 * b.reads - 1),
+reach AS (SELECT sample_id, place, umi AS root, umi FROM nodes UNION SELECT r.sample_id, r.place, r.root, l.b FROM reach AS r JOIN links AS l ON l.sample_id = r.sample_id AND l.place = r.place AND l.a = r.umi),
+tops AS (SELECT r.sample_id, r.place, r.umi, r.root AS top FROM reach AS r JOIN nodes AS n ON n.sample_id = r.sample_id AND n.place = r.place AND n.umi = r.root
+ QUALIFY row_number() OVER (PARTITION BY r.sample_id, r.place, r.umi ORDER BY n.reads DESC, r.root) = 1)
+SELECT t.sample_id, t.place, t.top AS umi, min(n.qname) FILTER (n.umi = t.top) AS qname, count(*) AS umis, CAST(sum(n.reads) AS BIGINT) AS reads
+FROM tops AS t JOIN nodes AS n ON n.sample_id = t.sample_id AND n.place = t.place AND n.umi = t.umi GROUP BY t.sample_id, t.place, t.top
+"""
+
+
+@query("a13_umi_network", "umi_reads", sql=NETWORK, recursive=True)
+def a13_umi_network(umi_reads):
+    return umis.umi_network(umi_reads)
+
+
 BY_REF = r"collapsed AS (SELECT sample_id, count(*) AS reads FROM (SELECT sample_id, rname, substr(regexp_extract(qname, '^\S+?umi_(\w{6})', 1), 1, 3) AS umi FROM singles WHERE flag & 4 = 0) GROUP BY sample_id, rname, umi)" + "\n"
 
 

@@ -80,6 +80,16 @@ SELECT sample_id, qname, CASE WHEN d < 8 THEN 0 WHEN d < 13 THEN 16 ELSE 4 END A
        CASE WHEN d < 13 THEN pos1 ELSE 0 END AS pos, CASE WHEN d < 13 THEN cigar ELSE '*' END AS cigar, seq, qual FROM {pairs}
 """
 
+# reads of a few molecules a place, some more frequent than others; one or two bases of a UMI may be read wrong
+_WRONG = "concat(substr({u},1,{k}), translate(substr({u},{k}+1,1),'ACGT','CGTA'), substr({u},{k}+2,6))"
+_ONCE = _WRONG.format(u="molecule", k="(e % 6)")
+FIXTURES["umi_reads"] = f"""
+SELECT concat(id, ':umi_', CASE WHEN d < 11 THEN molecule WHEN d < 15 THEN {_ONCE} ELSE {_WRONG.format(u=_ONCE, k="((e + 1 + f % 5) % 6)")} END) AS qname,
+  sample_id, CASE WHEN d = 10 THEN 16 ELSE 0 END AS flag, concat('chr', bin % 5) AS rname, CAST(bin * 370 + 1 AS INT) AS pos
+FROM (SELECT *, substr({bases_of("concat('m', least(m, f), sample_id, bin)")},1,6) AS molecule FROM (
+  SELECT id, concat('S', l_suppkey % 8) AS sample_id, CAST(floor(l_partkey / 200) AS BIGINT) AS bin, {digit('g', 1)} AS d, {digit('g', 2)} AS e, {digit('g', 3)} AS f, {digit('g', 4)} AS m FROM {{lines}}) AS drawn) AS placed
+"""
+
 FIXTURES["refs"] = "SELECT DISTINCT concat('chr', p_partkey % 6) AS rname FROM {part}"
 
 FIXTURES["features"] = """

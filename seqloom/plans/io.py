@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from seqloom.plans.qc import GCOUNTS, gcounts
 from seqloom.plans.registry import query
+from seqloom.sources import fastq as Q
 from seqloom.sources import io as S
 from seqloom.sources.scratch import scratch
 
@@ -54,7 +56,22 @@ def s10_fasta_to_fastq(seqs):
 def s1_read_fastq(reads):
     path = scratch(reads.sparkSession)
     reads.select(S.fastq_lines(F.col("r1_name"), F.col("r1_seq"), F.col("r1_qual")).alias("value")).write.text(path)
-    return S.read_fastq(reads.sparkSession, path).select("read_id", "comment", "seq", "qual")
+    return Q.read_fastq(reads.sparkSession, path, split_bytes=1 << 16).select("read_id", "comment", "seq", "qual")
+
+
+@query("s1_number_reads", "reads", sql="SELECT file_prefix, row_number() OVER (PARTITION BY file_prefix ORDER BY r1_name) - 1 AS ord, split_part(r1_name, ' ', 1) AS read_id FROM reads")
+def s1_number_reads(reads):
+    """One plain file a prefix, in order of names, read in many ranges and numbered."""
+    spark, path = reads.sparkSession, scratch(reads.sparkSession)
+    lines = S.fastq_lines(F.col("r1_name"), F.col("r1_seq"), F.col("r1_qual")).alias("value")
+    reads.repartitionByRange("file_prefix", "r1_name").sortWithinPartitions("file_prefix", "r1_name").select("file_prefix", lines).write.partitionBy("file_prefix").text(path)
+    folders = [f"{path}/file_prefix=lane{k}" for k in range(4)]
+    found = Q.number_reads(Q.read_fastq(spark, *folders, split_bytes=1 << 14))
+    # the parts of a prefix are files of their own: their numbers go on in the order of their names
+    part, prefix = F.regexp_extract("file", r"part-(\d+)", 1), F.regexp_extract("file", r"file_prefix=(\w+)", 1)
+    sizes = found.groupBy("file", prefix.alias("file_prefix"), part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file_prefix").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return found.join(sizes.select("file", "file_prefix", before.alias("before")), "file").select("file_prefix", (F.col("ord") + F.col("before")).alias("ord"), "read_id")
 
 
 @query("s6_read_key_table", "key_table", sql="SELECT Sample_ID, replace(P7, ' ', '_') AS P7, Inline_Seq, Bacterial_reference, CG_Pairs FROM key_table")
@@ -87,14 +104,66 @@ def s8_read_blast_hits(lines):
     return S.read_blast_hits(lines.sparkSession, path).select("query_seqid", "sub_seqid", F.col("query_start").cast("long").alias("query_start"), F.col("query_end").cast("long").alias("query_end"), "bitscore")
 
 
-@query("s9_write_demux", "reads", sql="SELECT file_prefix, substr(r1_seq, 1, 2) AS barcode, count(*) AS reads, min(r1_name) AS first FROM reads GROUP BY ALL")
+@query("s9_write_demux", "reads", sql="SELECT file_prefix, substr(r1_seq, 1, 2) AS barcode, r1_name, r1_seq, r1_qual, r2_name, r2_seq FROM reads")
 def s9_write_demux(reads):
+    """Both mates written as FASTQ by bucket, read again and paired by their places in the files."""
+    spark, path = reads.sparkSession, scratch(reads.sparkSession)
+    barcode = F.regexp_replace(F.substring("r1_seq", 1, 2), "^$", "none")
+    ord_ = F.xxhash64("r1_name")
+    Q.write_demux(reads.select("file_prefix", barcode.alias("barcode"), ord_.alias("ord"), "r1_name", "r1_seq", "r1_qual", "r2_name", "r2_seq", F.lit("I").alias("r2_qual")), path, compression="gzip")
+    back = Q.read_fastq(spark, path).select(*[F.regexp_extract("file", r"/([^/_]+)_([^/_]+)_R([12])\.(\d+)\.fastq\.gz$", k).alias(c) for k, c in enumerate(("lane", "barcode", "mate", "task"), 1)], "ord", "read_id", "comment", "seq", "qual")
+    named = back.withColumn("file_prefix", F.concat_ws("/", "lane", "barcode", "task"))
+    pairs = S.pair_reads(named.filter("mate = 1"), named.filter("mate = 2"))
+    parts = F.split("file_prefix", "/")
+    return pairs.select(parts[0].alias("file_prefix"), F.regexp_replace(parts[1], "none", "").alias("barcode"), "r1_name", "r1_seq", "r1_qual", "r2_name", "r2_seq")
+
+
+@query("s9_write_demux_table", "reads", sql="SELECT file_prefix, substr(r1_seq, 1, 2) AS barcode, count(*) AS reads, min(r1_name) AS first FROM reads GROUP BY ALL")
+def s9_write_demux_table(reads):
     path = scratch(reads.sparkSession)
-    S.write_demux(reads.select("file_prefix", F.substring("r1_seq", 1, 2).alias("barcode"), F.col("r1_name").alias("read_id")), path)
+    S.write_demux_table(reads.select("file_prefix", F.substring("r1_seq", 1, 2).alias("barcode"), F.col("r1_name").alias("read_id")), path)
     back = reads.sparkSession.read.parquet(path).groupBy(F.col("file_prefix").cast("string").alias("file_prefix"), "barcode")
     return back.agg(F.count(F.lit(1)).alias("reads"), F.min("read_id").alias("first"))
 
 
+@query("s3_read_sam", "alignments", sql="SELECT qname, flag, rname, pos, cigar, tlen, seq, qual FROM alignments")
+def s3_read_sam(alignments):
+    """Alignments written as SAM text, a header in each file, and read again."""
+    path = scratch(alignments.sparkSession)
+    line = F.concat_ws("\t", "qname", "flag", "rname", "pos", F.lit("60"), "cigar", F.lit("="), F.lit("0"), "tlen", "seq", "qual")
+
+    def headed(batches):
+        yield pd.DataFrame({"value": ["@HD\tVN:1.6\tSO:unsorted", "@SQ\tSN:chr1\tLN:20000"]})
+        yield from batches
+
+    alignments.select(line.alias("value")).mapInPandas(headed, "value string").write.text(path)
+    return S.read_sam(alignments.sparkSession, path).select("qname", "flag", "rname", "pos", "cigar", "tlen", "seq", "qual")
+
+
+@query("s4_read_gff", "features", sql="SELECT acc, type, CAST(start_pos AS BIGINT) AS start_pos, CAST(end_pos AS BIGINT) AS end_pos, strand, name AS id FROM features")
+def s4_read_gff(features):
+    """Features written as GFF3, with a comment, a region and sequence lines in each file, and read again."""
+    path = scratch(features.sparkSession)
+    line = F.concat_ws("\t", "acc", F.lit("src"), "type", "start_pos", "end_pos", F.lit("."), "strand", F.lit("0"), F.concat(F.lit("ID="), "name"))
+
+    def framed(batches):
+        yield pd.DataFrame({"value": ["##gff-version 3", "chr1\tsrc\tregion\t1\t9\t.\t+\t.\tID=r"]})
+        yield from batches
+        yield pd.DataFrame({"value": ["##FASTA", ">chr1", "ACGT"]})
+
+    features.select(line.alias("value")).mapInPandas(framed, "value string").write.text(path)
+    return S.read_gff(features.sparkSession, path).select("acc", "type", "start_pos", "end_pos", "strand", F.col("attrs")["ID"].alias("id"))
+
+
+@query("s5_read_fasta", "seqs", sql="SELECT concat(read_id, ' x') AS name, seq FROM seqs WHERE seq <> ''")
+def s5_read_fasta(seqs):
+    """Sequences written over several lines, and read again."""
+    path = scratch(seqs.sparkSession)
+    lines = F.concat_ws("\n", F.concat(F.lit(">"), "read_id", F.lit(" x")), F.substring("seq", 1, 10), F.col("seq").substr(F.lit(11), F.length("seq")))
+    seqs.filter("seq <> ''").select(lines.alias("value")).write.text(path)
+    return S.read_fasta(seqs.sparkSession, path)
+
+
 @query("s11_write_matrix", "lines", sql=GCOUNTS + "SELECT gene AS Geneid, " + ", ".join(f"CAST(sum(n) FILTER (sample_id = 'S{k}') AS BIGINT) AS S{k}" for k in range(4)) + " FROM gcounts GROUP BY gene")
 def s11_write_matrix(lines):
     counts, path = gcounts(lines), scratch(lines.sparkSession)

@@ -12,11 +12,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, *fixtures: str, sql: str | None = None):
+def query(name: str, *fixtures: str, sql: str | None = None, recursive: bool = False):
     """Register a function of the named fixtures' DataFrames, with the SQL that it is held against.
 
     ``sql`` may start with further common table expressions (``name AS (...), ... SELECT``), which
-    join the WITH clause of the fixtures.
+    join the WITH clause of the fixtures; ``recursive`` lets them refer to themselves.
     """
 
     def register(f):
@@ -26,7 +26,8 @@ def query(name: str, *fixtures: str, sql: str | None = None):
             parts = [with_fixtures(*shared)] if shared else []
             if not body.upper().startswith("SELECT"):
                 body = f"{', ' if shared else 'WITH '}{body}"
-            ORACLES[name] = "\n".join([*parts, body])
+            text = "\n".join([*parts, body])
+            ORACLES[name] = text.replace("WITH ", "WITH RECURSIVE ", 1) if recursive else text
         return f
 
     return register

@@ -1,102 +1,29 @@
-"""Readers and writers: FASTQ, SAM, GFF3, FASTA, key tables, barcode lists, BLAST tables, matrices.
+"""Readers and writers: SAM, GFF3, FASTA, key tables, barcode lists, BLAST tables, matrices.
 
-Text is read by Spark's own readers, which stream gzip files and split plain ones. FASTQ records are
-four lines, grouped as the lines of a split pass by.
+Text is read by Spark's own readers, which stream gzip files and split plain ones; FASTQ has a data
+source of its own (``seqloom.sources.fastq``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
-_FASTQ = "file string, ord long, part int, read_id string, comment string, seq string, qual string"
-
+from seqloom.sources.fastq import PLACE_BITS
 
-def _records(starts: dict[tuple[str, int], int]):
-    """A function of lines (file, block, value) that groups the lines of each split by four.
-
-    starts: the number of each split's first line in its file, if not 0. Lines of records that lie
-    across two splits are given one by one, with their part (0 to 3) and the line as seq.
-    """
+def pair_reads(r1: DataFrame, r2: DataFrame, index: DataFrame | None = None) -> DataFrame:
+    """Mates (and index reads) of a file prefix by their place in the file.
 
-    kinds = pa.schema([("file", pa.string()), ("ord", pa.int64()), ("part", pa.int32()), *[(c, pa.string()) for c in ("read_id", "comment", "seq", "qual")]])
-
-    def batch_of(file: str, n: int, **columns: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"file": [file] * n} | {c: columns.get(c, [None] * n) for c in kinds.names[1:]}, kinds)
-
-    def cut(file: str, at: int, lines: list[str], last: bool) -> tuple[list[pa.RecordBatch], list[str]]:
-        """Records and stray lines of ``lines``, of which the first is the file's line ``at``, and the lines that are left."""
-        head = -at % 4
-        whole = max(0, len(lines) - head) // 4 * 4
-        own, n = lines[head : head + whole], whole // 4
-        names = [x[1:].partition(" ") for x in own[::4]]
-        out = [batch_of(file, n, ord=list(range((at + head) // 4, (at + head) // 4 + n)), read_id=[x[0] for x in names], comment=[x[2] for x in names], seq=own[1::4], qual=own[3::4])]
-        stray = [*range(min(head, len(lines))), *(range(head + whole, len(lines)) if last else ())]
-        if stray:
-            out.append(batch_of(file, len(stray), ord=[(at + k) // 4 for k in stray], part=[(at + k) % 4 for k in stray], seq=[lines[k] for k in stray]))
-        return out, [] if last else lines[head + whole :]
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, at, held = None, 0, []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            file, block, value = (column.to_pylist() for column in batch.columns)
-            bounds = [0, *(k for k in range(1, len(file)) if block[k] != block[k - 1] or file[k] != file[k - 1]), len(file)]
-            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                if (file[a], block[a]) != split:
-                    if held:
-                        yield from cut(split[0], at, held, True)[0]
-                    split, held = (file[a], block[a]), []
-                    at = starts.get(split, 0)
-                lines = held + value[a:b]
-                if len(lines) < 4 + -at % 4:  # no whole record yet
-                    held = lines
-                    continue
-                out, left = cut(split[0], at, lines, False)
-                yield from out
-                at, held = at + len(lines) - len(left), left
-        if held:
-            yield from cut(split[0], at, held, True)[0]
-
-    return work
-
-
-def read_fastq(spark: SparkSession, *paths: str) -> DataFrame:
-    """(file, ord, read_id, comment, seq, qual); ord numbers the reads of a file from 0.
-
-    A gzip file streams through one task; a plain one is split, for which its lines are counted by
-    split first. Only the few records that lie across splits are shuffled. An incomplete last record goes.
+    ord has to count the reads of a file without gaps (``fastq.number_reads``); the query fails on
+    reads of a plain file in several ranges that were not numbered.
     """
-    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
-    plain = lines.filter(~F.endswith("file", F.lit(".gz")))
-    starts: dict[tuple[str, int], int] = {}
-    before: dict[str, int] = {}
-    for r in plain.groupBy("file", "block").count().orderBy("file", "block").collect():  # a row for each split
-        starts[r["file"], r["block"]] = before.get(r["file"], 0)
-        before[r["file"]] = before.get(r["file"], 0) + r["count"]
-    found = lines.mapInArrow(_records({k: n for k, n in starts.items() if n}), _FASTQ)
-    whole = found.filter("part is null").drop("part")
-    if not any(n % 4 for n in starts.values()):
-        return whole
-    line = {name: F.max(F.when(F.col("part") == k, F.col("seq"))) for k, name in enumerate(("name", "seq", "plus", "qual"))}
-    four = found.filter("part is not null").groupBy("file", "ord").agg(*[c.alias(n) for n, c in line.items()])
-    four = four.filter("name is not null and seq is not null and plus is not null and qual is not null")
-    head = F.substring("name", F.lit(2), F.length("name"))
-    read_id = F.substring_index(head, " ", 1)
-    return whole.unionByName(four.select("file", "ord", read_id.alias("read_id"), head.substr(F.length(read_id) + 2, F.length(head)).alias("comment"), "seq", "qual"))
-
-
-def pair_reads(r1: DataFrame, r2: DataFrame, index: DataFrame | None = None) -> DataFrame:
-    """Mates (and index reads) of a file prefix by their place in the file."""
+    far = F.col("ord") >= 1 << PLACE_BITS
+    place = F.when(far, F.raise_error(F.lit("number_reads has to number the reads of a file in several ranges before they are paired"))).otherwise(F.col("ord"))
 
     def named(df: DataFrame, tag: str) -> DataFrame:
         name = F.concat_ws(" ", "read_id", F.when(F.col("comment") != "", F.col("comment")))
-        return df.select("file_prefix", "ord", name.alias(f"{tag}_name"), F.col("seq").alias(f"{tag}_seq"), F.col("qual").alias(f"{tag}_qual"))
+        return df.select("file_prefix", place.cast("long").alias("ord"), name.alias(f"{tag}_name"), F.col("seq").alias(f"{tag}_seq"), F.col("qual").alias(f"{tag}_qual"))
 
     out = named(r1, "r1").join(named(r2, "r2"), ["file_prefix", "ord"])
     return out.join(named(index, "index"), ["file_prefix", "ord"]) if index is not None else out
@@ -175,8 +102,9 @@ def read_blast_hits(spark: SparkSession, *paths: str) -> DataFrame:
     return hits.withColumns({c: F.col(c) - 1 for c in ("query_start", "query_end", "sub_start", "sub_end")})
 
 
-def write_demux(reads: DataFrame, path: str, files: int = 8) -> None:
-    """Parquet by prefix and barcode; each bucket is spread over ``files`` tasks by a hash of the read, so that unmatched reads do not gather."""
+def write_demux_table(reads: DataFrame, path: str, files: int = 8) -> None:
+    """S9 as Parquet by prefix and barcode, for further jobs (``fastq.write_demux`` writes FASTQ); each bucket is spread over
+    ``files`` tasks by a hash of the read, so that unmatched reads do not gather."""
     n = int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salted = reads.withColumn("_salt", F.pmod(F.xxhash64("read_id"), F.lit(files)))
     salted.repartition(n, "file_prefix", "barcode", "_salt").drop("_salt").write.partitionBy("file_prefix", "barcode").parquet(path)

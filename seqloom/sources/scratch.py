@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession) -> str:
@@ -21,3 +21,20 @@ def scratch(spark: SparkSession) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-")
     return f"{named}/{uuid.uuid4().hex}"
+
+
+class Table:
+    """A DataFrame, written to a new path of the shared folder and read again, which cuts its lineage.
+
+    For loops, whose tables are dropped once their successors are written.
+    """
+
+    def __init__(self, df: DataFrame):
+        self.path = scratch(df.sparkSession)
+        df.write.parquet(self.path)
+        self.df = df.sparkSession.read.schema(df.schema).parquet(self.path)
+
+    def drop(self) -> None:
+        sc = self.df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
