@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from seqloom.functions.bases import cigar_ref_len, extract_umi, has_bit
+from seqloom.sources.scratch import Table
 
 KEYS = ("sample_id", "qname")
+#: Most bytes of the names of references whose zeros are filled in.
+REFERENCE_BYTES = 64 << 20
 
 
 def primary(aln: DataFrame) -> DataFrame:
@@ -50,15 +53,30 @@ def classify_pairs(aln: DataFrame) -> DataFrame:
     return mates(aln, "rname").select(*KEYS, kind.alias("class"), has_bit(f1, 2).alias("proper"), F.col("r1.rname").alias("ref1"), F.col("r2.rname").alias("ref2"))
 
 
+def every_reference(samples: DataFrame, references: DataFrame, column: str) -> DataFrame:
+    """(sample_id, column): each sample with all names of ``references`` (column).
+
+    The names are one list, a sub-query of the plan, unrolled where the samples are; the query fails if they come to over
+    ``REFERENCE_BYTES``.
+    """
+    fits = F.sum(F.octet_length(column)) <= REFERENCE_BYTES
+    names = F.when(F.coalesce(fits, F.lit(True)), F.collect_set(column)).otherwise(F.raise_error(F.lit(f"the names of references take over {REFERENCE_BYTES} bytes")))
+    return samples.select("sample_id").distinct().withColumn(column, F.explode(references.select(names).scalar()))
+
+
+def with_zeros(counts: DataFrame, references: DataFrame, column: str) -> DataFrame:
+    """Counts (sample_id, column, numbers...) of all references in each of their samples, zeros where there are none, and of no other."""
+    numbers = [c for c in counts.columns if c not in ("sample_id", column)]
+    zeros = every_reference(counts, references, column).select("sample_id", column, *[F.lit(0).cast("long").alias(c) for c in numbers], F.lit(True).alias("_listed"))
+    both = counts.select("sample_id", column, *[F.col(c).cast("long").alias(c) for c in numbers], F.lit(False).alias("_listed")).unionByName(zeros)
+    return both.groupBy("sample_id", column).agg(*[F.sum(c).alias(c) for c in numbers], F.max("_listed").alias("_listed")).filter("_listed").drop("_listed")
+
+
 def _counted(hits: DataFrame, references: DataFrame | None, *extra: str) -> DataFrame:
     """Sums of (sample_id, transcript, *extra, sense, reads) by strand; zeros for references not hit."""
     sums = [F.sum(F.when(F.col("sense") == s, F.col(c)).otherwise(0)).alias(n) for s, c, n in ((True, "reads", "s_read"), (False, "reads", "as_read"), (True, "frags", "s_frag"), (False, "frags", "as_frag"))]
     out = hits.groupBy("sample_id", "transcript", *extra).agg(*sums)
-    if references is None:
-        return out
-    grid = hits.select("sample_id").distinct().crossJoin(F.broadcast(references.select(F.col("rname").alias("transcript"))))
-    names = [c for c in out.columns if c.endswith(("_read", "_frag"))]
-    return grid.join(out, ["sample_id", "transcript"], "left").select("sample_id", "transcript", *[F.coalesce(c, F.lit(0)).alias(c) for c in names])
+    return out if references is None else with_zeros(out, references.select(F.col("rname").alias("transcript")), "transcript")
 
 
 def count_transcripts(classified: DataFrame, references: DataFrame | None = None) -> DataFrame:
@@ -144,9 +162,9 @@ def gene_counts(tcounts: DataFrame, tmap: DataFrame) -> DataFrame:
     The transcript map is an annotation's size and joined as Spark sees fit; unmapped transcripts go.
     """
     summed = tcounts.join(tmap, "transcript").groupBy("sample_id", "gene").agg(F.sum("s_frag").alias("s"), F.sum("as_frag").alias("a"))
-    grid = tcounts.select("sample_id").distinct().crossJoin(tmap.select("gene").distinct())
-    every = grid.join(summed, ["sample_id", "gene"], "left")
-    rows = F.array(F.struct(F.col("gene").alias("Geneid"), F.coalesce("s", F.lit(0)).alias("n")), F.struct(F.concat(F.lit("AS:"), "gene").alias("Geneid"), F.coalesce("a", F.lit(0)).alias("n")))
+    seen = tcounts.select("sample_id").distinct().select("sample_id", F.lit(None).cast("string").alias("gene"), F.lit(0).cast("long").alias("s"), F.lit(0).cast("long").alias("a"))
+    every = with_zeros(summed.unionByName(seen), tmap.select("gene"), "gene")  # samples without a mapped transcript too
+    rows = F.array(F.struct(F.col("gene").alias("Geneid"), F.col("s").alias("n")), F.struct(F.concat(F.lit("AS:"), "gene").alias("Geneid"), F.col("a").alias("n")))
     return every.select("sample_id", F.explode(rows).alias("r")).select("sample_id", "r.Geneid", F.col("r.n").cast("long").alias("Fragcount"))
 
 
@@ -216,35 +234,27 @@ def fragments(aln: DataFrame, strand_rev: bool = False, min_len: int = 0, ref_fi
 
     A properly paired couple is one fragment from the smaller start, placed by its second mate; any
     other mapped read is one of its own. Ends are starts plus the reference length of the alignment.
-    The input is read once, and sorted once by read name.
+    Only properly paired reads are shuffled, once; the others pass as they are read.
     """
     kept = primary(aln).filter(F.length("qual") >= min_len)
     if ref_filter is not None:
         kept = kept.filter(F.col("rname") == ref_filter)
-    placed = kept.withColumn("start_pos", F.col("pos").cast("long")).withColumn("end_pos", F.col("start_pos") + cigar_ref_len(F.col("cigar")))
-    proper, flag = has_bit(F.col("flag"), 2), F.col("flag")
-    rows = placed.filter(proper | ~has_bit(flag, 4)).select(*KEYS, "flag", "rname", "start_pos", "end_pos", proper.alias("proper"))
-    couple = Window.partitionBy(*KEYS, "proper").orderBy("flag")
-    mate = F.when(F.col("proper"), F.struct("flag", "rname", "start_pos", "end_pos"))
-    whole = couple.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    r1, r2 = (F.max(F.when(has_bit(flag, bit), mate)).over(whole) for bit in (64, 128))
-    met = rows.withColumn("r1", r1).withColumn("r2", r2).withColumn("nth", F.row_number().over(couple))
-    met = met.filter("not proper or nth = 1 and r2 is not null")
-    before = F.coalesce(F.col("r1.start_pos") <= F.col("r2.start_pos"), F.lit(True))
-
-    def either(alone: Column, together: Column) -> Column:
-        return F.when(F.col("proper"), together).otherwise(alone)
-
-    first = F.when(F.col("r1.start_pos") <= F.col("r2.start_pos"), F.col("r1.start_pos")).otherwise(F.col("r2.start_pos"))
-    return met.select(
+    flag = F.col("flag")
+    proper, start = has_bit(flag, 2), F.col("pos").cast("long")
+    placed = kept.select(*KEYS, "flag", "rname", start.alias("start_pos"), (start + cigar_ref_len(F.col("cigar"))).alias("end_pos"))
+    alone = placed.filter(~proper & ~has_bit(flag, 4)).select("sample_id", F.col("rname").alias("acc"), "start_pos", "end_pos", strand_of(flag, strand_rev).alias("strand"), F.lit(False).alias("paired"), F.col("qname").alias("name"))
+    couples = mates(placed.filter(proper), "rname", "start_pos", "end_pos").filter("r2 is not null")
+    first_starts = F.col("r1.start_pos") <= F.col("r2.start_pos")
+    both = couples.select(
         "sample_id",
-        either(F.col("rname"), F.col("r2.rname")).alias("acc"),
-        either(F.col("start_pos"), first).alias("start_pos"),
-        either(F.col("end_pos"), F.when(before, F.col("r2.end_pos")).otherwise(F.col("r1.end_pos"))).alias("end_pos"),
-        strand_of(either(flag, F.col("r2.flag")), strand_rev).alias("strand"),
-        F.col("proper").alias("paired"),
+        F.col("r2.rname").alias("acc"),
+        F.when(first_starts, F.col("r1.start_pos")).otherwise(F.col("r2.start_pos")).alias("start_pos"),
+        F.when(F.coalesce(first_starts, F.lit(True)), F.col("r2.end_pos")).otherwise(F.col("r1.end_pos")).alias("end_pos"),
+        strand_of(F.col("r2.flag"), strand_rev).alias("strand"),
+        F.lit(True).alias("paired"),
         F.col("qname").alias("name"),
     )
+    return alone.unionByName(both)
 
 
 def alignment_summary(aln: DataFrame, min_len: int = 0) -> DataFrame:
@@ -259,10 +269,9 @@ def alignment_summary(aln: DataFrame, min_len: int = 0) -> DataFrame:
 
 
 def reads_per_accession(aln: DataFrame, references: DataFrame) -> DataFrame:
-    """A10: mapped reads of every (sample, accession), zeros included; references are broadcast (one row each)."""
-    hits = aln.filter(~has_bit(F.col("flag"), 4)).groupBy("sample_id", "rname").agg(F.count(F.lit(1)).alias("reads"))
-    grid = aln.select("sample_id").distinct().crossJoin(F.broadcast(references.select("rname")))
-    return grid.join(hits, ["sample_id", "rname"], "left").select("sample_id", "rname", F.coalesce("reads", F.lit(0)).alias("reads"))
+    """A10: mapped reads of every (sample, accession), zeros included."""
+    hits = aln.groupBy("sample_id", "rname").agg(F.count_if(~has_bit(F.col("flag"), 4)).alias("reads"))
+    return with_zeros(hits, references.select("rname"), "rname")
 
 
 def distinct_fragments(frags: DataFrame) -> DataFrame:
@@ -287,21 +296,28 @@ def mark_duplicates(aln: DataFrame, salts: int = 32) -> DataFrame:
     """(sample_id, qname, duplicate) of pairs with both mates mapped.
 
     Pairs of one sample with the same 5' positions and orientations of both mates are copies; all
-    but the one with the best sum of base qualities (then the first name) are duplicates. The best
-    of each place with more than one pair is a grouped minimum, joined back in ``salts`` parts of the
+    but the one with the best sum of base qualities (then the first name) are duplicates. Pairs are
+    made once and written, with their place as two 64-bit hashes. Places of one pair, which most are, go no further; the
+    best pair of the others is a grouped minimum, joined back in ``salts`` parts of the
     place, so piled-up places neither are sorted nor meet in one task.
     """
     mapped = primary(aln).filter(~has_bit(F.col("flag"), 4))
     rev = has_bit(F.col("flag"), 16)
     five = F.when(rev, F.col("pos") + cigar_ref_len(F.col("cigar"))).otherwise(F.col("pos").cast("long"))
-    sized = mapped.select(*KEYS, "flag", F.struct("rname", five.alias("at"), rev.alias("rev")).alias("end"), quality_sum(F.col("qual")).alias("q"))
-    pairs = mates(sized, "end", "q").filter("r1 is not null and r2 is not null")
-    place = ["sample_id", "e1", "e2"]
-    keyed = pairs.select(*KEYS, F.col("r1.end").alias("e1"), F.col("r2.end").alias("e2"), (F.col("r1.q") + F.col("r2.q")).alias("q"))
-    best = keyed.groupBy(*place).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct((-F.col("q")).alias("q"), "qname"))["qname"].alias("best")).filter("n > 1")
-    spread = best.select(*place, "best", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    salted = keyed.select(*KEYS, "e1", "e2", F.pmod(F.xxhash64("qname"), F.lit(salts)).cast("int").alias("salt"))
-    return salted.join(spread, [*place, "salt"], "left").select(*KEYS, F.coalesce(F.col("qname") != F.col("best"), F.lit(False)).alias("duplicate"))
+    end = [F.xxhash64(F.lit(k), "rname", five, rev).alias(f"e{k}") for k in (1, 2)]
+    sized = mapped.select(*KEYS, "flag", *end, quality_sum(F.col("qual")).alias("q"))
+    pairs = mates(sized, "e1", "e2", "q").filter("r1 is not null and r2 is not null")
+    place = [F.xxhash64("sample_id", f"r1.e{k}", f"r2.e{k}").alias(f"p{k}") for k in (1, 2)]
+    keyed = Table(pairs.select(*KEYS, *place, (F.col("r1.q") + F.col("r2.q")).alias("q"))).df
+    best = keyed.groupBy("p1", "p2").agg(F.count(F.lit(1)).alias("n"), F.max("q").alias("best")).filter("n > 1")
+    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
+    spread = best.select("p1", "p2", "best", every)
+    salted = keyed.withColumn("salt", F.pmod(F.xxhash64("qname"), F.lit(salts)).cast("int"))
+    met = Table(salted.join(spread, ["p1", "p2", "salt"], "left")).df
+    # of the best of a place, often one, the first name stays
+    first = met.filter("q = best").groupBy("p1", "p2").agg(F.min("qname").alias("first")).select("p1", "p2", "first", every)
+    tied = met.filter("q = best").join(first, ["p1", "p2", "salt"]).select(*KEYS, (F.col("qname") != F.col("first")).alias("duplicate"))
+    return met.filter("best is null or q < best").select(*KEYS, F.col("best").isNotNull().alias("duplicate")).unionByName(tied)
 
 
 def umi_collapse(aln: DataFrame, by: str = "coordinate", features: Column | None = None) -> DataFrame:

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Samples and genes of a tile of correlations.
+TILE_SAMPLES = 128
+TILE_GENES = 2048
+
 
 def fpkmo(counts: DataFrame, fixed: bool = False) -> DataFrame:
     """N / (CDS total in millions + 1) / (length + 0.001), the length being the name's last part but
@@ -22,29 +25,46 @@ def fpkmo(counts: DataFrame, fixed: bool = False) -> DataFrame:
     return counts.select("gene", "sample_id", (F.col("n") / (cds + 1) / by).alias("value"))
 
 
-def sample_correlation(values: DataFrame, log: bool = True) -> DataFrame:
+def sample_correlation(values: DataFrame, log: bool = True, tile_samples: int = TILE_SAMPLES, tile_genes: int = TILE_GENES) -> DataFrame:
     """Pearson correlation of every pair of samples in name order, of log10(x + 1) or as they are.
 
-    Each batch of genes becomes a matrix of genes by samples, of which only the sums of products of
-    every two samples leave the task; a pair counts the genes that both samples have.
+    Samples and genes are dealt to tiles by hashes. A task has a tile of genes and two tiles of samples
+    as two small matrices, of which only the sums of products of every two samples leave it; no row or
+    task holds all samples, or all values of a gene. A pair counts the genes that both samples have.
     """
     x = F.log10(F.col("value") + 1) if log else F.col("value").cast("double")
-    genes = values.filter("value is not null").groupBy("gene").agg(F.collect_list(F.struct("sample_id", x.alias("x"))).alias("own"))
-
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            cells = [(k, c["sample_id"], c["x"]) for k, own in enumerate(batch["own"]) for c in own]
-            if not cells:
-                continue
-            row, sample, v = zip(*cells, strict=True)
-            names, column = np.unique(np.array(sample, object), return_inverse=True)
-            m, there = (np.zeros((len(batch), len(names))) for _ in range(2))
-            m[row, column], there[row, column] = v, 1.0
-            a, b = np.triu_indices(len(names))
-            parts = {"n": there.T @ there, "sx": m.T @ there, "sy": there.T @ m, "sxx": (m * m).T @ there, "syy": there.T @ (m * m), "sxy": m.T @ m}
-            yield pd.DataFrame({"sample_a": names[a], "sample_b": names[b], **{k: p[a, b] for k, p in parts.items()}})
-
-    each = genes.select("own").mapInPandas(sums, "sample_a string, sample_b string, n double, sx double, sy double, sxx double, syy double, sxy double")
+    known = values.filter("value is not null")
+
+    def tile(column: str, size: int) -> Column:
+        parts = F.greatest(F.lit(1).cast("long"), F.ceil(known.select(F.count_distinct(column)).scalar() / size))
+        return F.pmod(F.xxhash64(column), parts)
+
+    cells = known.select("gene", "sample_id", x.alias("x"), tile("gene", tile_genes).alias("part"), tile("sample_id", tile_samples).alias("own"))
+    last = F.greatest(F.lit(1).cast("long"), F.ceil(known.select(F.count_distinct("sample_id")).scalar() / tile_samples)) - 1
+    pairs = cells.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    pairs = pairs.select("gene", "sample_id", "x", "own", "part", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+
+    def sums(cells: pa.Table) -> pa.Table:
+        low, high = cells["low"][0].as_py(), cells["high"][0].as_py()
+        gene, row = np.unique(cells["gene"].to_numpy(), return_inverse=True)
+        own, sample, v = cells["own"].to_numpy(), cells["sample_id"].to_numpy(), cells["x"].to_numpy()
+
+        def matrix(which: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            names, column = np.unique(sample[own == which], return_inverse=True)
+            m, there = (np.zeros((len(gene), len(names))) for _ in range(2))
+            m[row[own == which], column], there[row[own == which], column] = v[own == which], 1.0
+            return names, m, there
+
+        (names_a, a, in_a), (names_b, b, in_b) = matrix(low), matrix(high)
+        i, j = np.triu_indices(len(names_a)) if low == high else (k.ravel() for k in np.indices((len(names_a), len(names_b))))
+        parts = {"n": in_a.T @ in_b, "sx": a.T @ in_b, "sy": in_a.T @ b, "sxx": (a * a).T @ in_b, "syy": in_a.T @ (b * b), "sxy": a.T @ b}
+        out = {"sample_a": names_a[i], "sample_b": names_b[j]} | {k: p[i, j] for k, p in parts.items()}
+        turned = out["sample_a"] > out["sample_b"]
+        for one, two in (("sample_a", "sample_b"), ("sx", "sy"), ("sxx", "syy")):
+            out[one], out[two] = np.where(turned, out[two], out[one]), np.where(turned, out[one], out[two])
+        return pa.table({k: pa.array(x, pa.string() if k.startswith("sample") else pa.float64()) for k, x in out.items()})
+
+    each = pairs.groupBy("part", "low", "high").applyInArrow(sums, "sample_a string, sample_b string, n double, sx double, sy double, sxx double, syy double, sxy double")
     total = each.groupBy("sample_a", "sample_b").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")]).filter("n > 0")
     n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
     spread = F.sqrt((n * F.col("sxx") - sx * sx) * (n * F.col("syy") - sy * sy))

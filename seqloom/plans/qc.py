@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from seqloom.operators import qc as Q
 from seqloom.plans.reads import ASSIGNED, assigned
 from seqloom.plans.registry import query
+from seqloom.sources import sparse
+from seqloom.sources.scratch import scratch
 
 REPORT = ASSIGNED + """, report AS (SELECT l.barcode, count(a.read_id) AS reads, count(*) FILTER (a.distance = 0) AS zero, count(*) FILTER (a.distance = 1) AS one
  FROM (SELECT bc_name AS barcode FROM barcodes UNION ALL SELECT 'ambiguous' UNION ALL SELECT 'no_match') l LEFT JOIN assigned a ON a.barcode = l.barcode GROUP BY l.barcode)
@@ -233,6 +235,36 @@ def g12_gene_matrix(lines):
     return Q.gene_matrix(gcounts(lines), SAMPLES)
 
 
+def _cell_counts(lines):
+    """Counts of genes by cells, as many as there are orders."""
+    return lines.select(F.concat(F.lit("g"), F.col("l_partkey") % 1000).alias("gene"), F.concat(F.lit("cell"), "l_orderkey").alias("sample_id"), F.col("l_quantity").cast("long").alias("n"))
+
+
+CELLS = "cells AS (SELECT concat('g', l_partkey % 1000) AS gene, concat('cell', l_orderkey) AS sample_id, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS n FROM lines GROUP BY ALL)\n"
+
+
+@query(
+    "g12_sparse_matrix",
+    "lines",
+    sql=CELLS + """, r AS (SELECT gene, row_number() OVER (ORDER BY gene) - 1 AS row FROM (SELECT DISTINCT gene FROM cells)), c AS (SELECT sample_id, row_number() OVER (ORDER BY sample_id) - 1 AS "column" FROM (SELECT DISTINCT sample_id FROM cells))
+SELECT row, "column", gene, sample_id, n FROM cells JOIN r USING (gene) JOIN c USING (sample_id) WHERE n <> 0""",
+)
+def g12_sparse_matrix(lines):
+    """The index tables and coordinates of a matrix of thousands of cells, as they were written."""
+    spark, path = lines.sparkSession, scratch(lines.sparkSession)
+    sparse.write_sparse_matrix(_cell_counts(lines), path)
+    rows, columns, entries = (spark.read.parquet(f"{path}/{t}") for t in ("rows", "columns", "entries"))
+    return entries.join(rows, "row").join(columns, "column").select("row", "column", "gene", "sample_id", "n")
+
+
+@query("s11_sparse_matrix", "lines", sql=GCOUNTS + "SELECT gene, " + ", ".join(f"CAST(sum(n) FILTER (sample_id = '{s}') AS BIGINT) AS {s}" for s in ("S1", "S4")) + " FROM gcounts GROUP BY gene")
+def s11_sparse_matrix(lines):
+    """Two columns of a written matrix."""
+    spark, path = lines.sparkSession, scratch(lines.sparkSession)
+    sparse.write_sparse_matrix(gcounts(lines), path, block_rows=64, block_columns=2)
+    return sparse.matrix_columns(spark, path, ["S1", "S4"])
+
+
 @query("g13_metrics_matrix", "lines", sql="SELECT concat('S', l_suppkey % 8) AS sample_id, count(*) AS reads, count(DISTINCT l_partkey) AS genes FROM lines GROUP BY 1")
 def g13_metrics_matrix(lines):
     wide = lines.groupBy(F.concat(F.lit("S"), F.col("l_suppkey") % 8).alias("sample_id")).agg(F.count(F.lit(1)).alias("reads"), F.countDistinct("l_partkey").alias("genes"))
