@@ -85,48 +85,49 @@ def dedupe_feature_types(gff: DataFrame) -> DataFrame:
     return grouped.select("acc", "start_pos", "end_pos", "strand", folded.alias("type"), F.array_join(F.transform("rows", lambda r: r["tag"]), ";").alias("tag"))
 
 
-def holding_bin(start: str, end: str) -> Column:
-    """(level, bin) of the smallest bin that holds an interval."""
-    out = F.struct(F.lit(len(LEVELS)).alias("level"), F.lit(0).cast("long").alias("bin"))
+def bin_level(start: str, end: str) -> Column:
+    """The first level whose bins are as long as the interval, which so touches one or two of them."""
+    out = F.lit(len(LEVELS))
     for k, size in reversed(list(enumerate(LEVELS))):
-        low, high = F.floor(F.col(start) / size), F.floor(F.col(end) / size)
-        out = F.when(low == high, F.struct(F.lit(k).alias("level"), low.alias("bin"))).otherwise(out)
+        out = F.when(F.col(end) - F.col(start) < size, F.lit(k)).otherwise(out)
     return out
 
 
-def bins_above(start: str, own: Column) -> Column:
-    """The bins that hold the interval's own bin, that one included."""
-    every = [F.struct(F.lit(k).alias("level"), F.floor(F.col(start) / size).alias("bin")) for k, size in enumerate(LEVELS)]
-    top = F.struct(F.lit(len(LEVELS)).alias("level"), F.lit(0).cast("long").alias("bin"))
-    return F.filter(F.array(*every, top), lambda x: x["level"] >= own["level"])
+def _bins(start: str, end: str, wanted: Column, way: int) -> Column:
+    """The bins that an interval touches on the levels that ``wanted`` is true of, as (way, level, bin); ``wanted`` takes a level."""
+    at = [(k, F.floor(F.col(start) / size), F.floor(F.greatest(start, end) / size)) for k, size in enumerate(LEVELS)] + [(len(LEVELS), F.lit(0).cast("long"), F.lit(0).cast("long"))]
+    none = F.array().cast("array<struct<way:int,level:int,bin:bigint>>")
+
+    def of(k: int, low: Column, high: Column) -> Column:
+        return F.transform(F.sequence(low, high), lambda b: F.struct(F.lit(way).alias("way"), F.lit(k).alias("level"), b.alias("bin")))
+
+    return F.concat(*[F.when(wanted(F.lit(k)), of(k, low, high)).otherwise(none) for k, low, high in at])
 
 
 def overlapping(left: DataFrame, right: DataFrame) -> DataFrame:
     """Pairs of rows of ``left`` (acc, start_pos, end_pos, ...) and ``right`` (acc, f_start, f_end, ...)
     that overlap.
 
-    Each interval lies in one bin, the smallest of the hierarchy that holds it. Two intervals can overlap
-    only if one's bin is the other's or lies within it, so the pairs are an equi-join of the left side's own and higher
-    bins with the right side's own ones (way 0), and of the left's own with the right's higher ones (way 1).
-    Each pair meets once, and an interval of any length is listed once a level and way at most. Levels of
-    which an accession has no interval on the right side are passed over. Spark sends an annotation
-    to all tasks if it is small; else it may split the bins on which fragments pile up.
+    Bins are of five lengths, up to the whole accession. An interval's own level is the first whose bins are as long as it
+    is; two intervals meet on the higher of their own levels, by equi-join on the bins that they
+    touch: way 0, where that is the right one's level, way 1, where it is the left one's and higher. They are
+    paired in the first bin that they share. An interval of any length is so listed twice a level and
+    way at most. Levels of which an accession has no interval on the right side are passed over, so
+    that fragments over usual genes are listed once or twice in all. Spark sends an annotation to all
+    tasks if it is small; else it may split the bins on which fragments pile up.
     """
     own = F.col("_own")
-    placed = right.withColumn("_own", holding_bin("f_start", "f_end"))
-    used = placed.groupBy("acc").agg(F.collect_set("_own.level").alias("_used"))
-    ways = F.concat(
-        F.array(F.struct(F.lit(0).alias("way"), own["level"].alias("level"), own["bin"].alias("bin"))),
-        F.transform(F.filter(bins_above("f_start", own), lambda x: x["level"] > own["level"]), lambda x: F.struct(F.lit(1).alias("way"), x["level"].alias("level"), x["bin"].alias("bin"))),
-    )
-    listed = placed.withColumn("_at", F.explode(ways)).drop("_own")
-    probes = left.join(used, "acc").withColumn("_own", holding_bin("start_pos", "end_pos"))
-    # nothing on the right lies below the lowest level
-    up = F.transform(F.filter(bins_above("start_pos", own), lambda x: F.array_contains("_used", x["level"])), lambda x: F.struct(F.lit(0).alias("way"), x["level"].alias("level"), x["bin"].alias("bin")))
-    down = F.when(own["level"] > F.array_min("_used"), F.array(F.struct(F.lit(1).alias("way"), own["level"].alias("level"), own["bin"].alias("bin")))).otherwise(F.array())
-    probes = probes.withColumn("_at", F.explode(F.concat(up, down))).drop("_own", "_used")
-    met = probes.join(listed, ["acc", "_at"]).drop("_at")
-    return met.filter(F.least("end_pos", "f_end") >= F.greatest("start_pos", "f_start"))
+    placed = right.withColumn("_own", bin_level("f_start", "f_end"))
+    used = placed.groupBy("acc").agg(F.collect_set("_own").alias("_used"))
+    listed = placed.withColumn("_at", F.explode(F.concat(_bins("f_start", "f_end", lambda k: k == own, 0), _bins("f_start", "f_end", lambda k: k > own, 1)))).drop("_own")
+    probes = left.join(used, "acc").withColumn("_own", bin_level("start_pos", "end_pos"))
+    ways = F.concat(_bins("start_pos", "end_pos", lambda k: (k >= own) & F.array_contains("_used", k), 0), _bins("start_pos", "end_pos", lambda k: (k == own) & (own > F.array_min("_used")), 1))
+    met = probes.withColumn("_at", F.explode(ways)).drop("_own", "_used").join(listed, ["acc", "_at"])
+    begin = F.greatest("start_pos", "f_start")
+    first = F.lit(0).cast("long")
+    for k, size in enumerate(LEVELS):
+        first = F.when(F.col("_at.level") == k, F.floor(begin / size)).otherwise(first)
+    return met.filter((F.col("_at.bin") == first) & (F.least("end_pos", "f_end") >= begin)).drop("_at")
 
 
 def count_features(frags: DataFrame, features: DataFrame, min_frag_len: int = 10, paired_only: bool = False) -> DataFrame:

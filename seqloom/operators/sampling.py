@@ -29,15 +29,21 @@ def sample_exact(reads: DataFrame, counts: DataFrame, seed: int, block: int = BL
     """
     blocked = reads.withColumns({"block": F.floor(F.col("ord") / block), "_hash": hashed(F.col("read_id"), seed)}).withColumn("_bucket", F.shiftright("_hash", 32 - bits).cast("int"))
     sized = blocked.groupBy("sample_id", "block", "_bucket").agg(F.count(F.lit(1)).alias("c"))
-    rows = sized.groupBy("sample_id", "block").agg(F.sum("c").alias("m"))
-    in_order = Window.partitionBy("sample_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    whole = rows.groupBy("sample_id").agg(F.sum("m").alias("n")).join(counts, "sample_id").withColumn("k", F.least("k", "n"))
-    shares = rows.withColumn("before", F.coalesce(F.sum("m").over(in_order), F.lit(0))).join(whole, "sample_id")
+    rows = sized.groupBy("sample_id", "block").agg(F.sum("c").alias("m"), F.array_sort(F.collect_list(F.struct("_bucket", "c"))).alias("buckets"))
+    sample = Window.partitionBy("sample_id")
+    before = F.coalesce(F.sum("m").over(sample.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shares = rows.select("sample_id", "block", "m", before.alias("before"), F.sum("m").over(sample).alias("n")).join(counts, "sample_id").withColumn("k", F.least("k", "n"))
     quota = F.floor(F.col("k") * (F.col("before") + F.col("m")) / F.col("n")) - F.floor(F.col("k") * F.col("before") / F.col("n"))
-    plan = shares.select("sample_id", "block", quota.cast("long").alias("quota"))
-    through = Window.partitionBy("sample_id", "block").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    reached = sized.withColumn("upto", F.sum("c").over(through)).join(plan, ["sample_id", "block"]).filter((F.col("upto") >= F.col("quota")) & (F.col("upto") - F.col("c") < F.col("quota")))
-    cuts = reached.select("sample_id", "block", F.col("_bucket").alias("_cut"), (F.col("quota") - F.col("upto") + F.col("c")).alias("_left"))
+    quotas = shares.select("sample_id", "block", quota.cast("long").alias("quota")).filter("quota > 0")
+    # the bucket in which a block's quota is reached, and how many it still takes of it
+    start = F.struct(F.lit(None).cast("int").alias("cut"), F.col("quota").alias("left"))
+
+    def step(state: Column, x: Column) -> Column:
+        ended = state["cut"].isNotNull() | (state["left"] <= x["c"])
+        return F.struct(F.when(state["cut"].isNotNull(), state["cut"]).when(ended, x["_bucket"]).alias("cut"), F.when(ended, state["left"]).otherwise(state["left"] - x["c"]).alias("left"))
+
+    at = rows.join(quotas, ["sample_id", "block"]).select("sample_id", "block", F.aggregate("buckets", start, step).alias("at"))
+    cuts = at.select("sample_id", "block", F.col("at.cut").alias("_cut"), F.col("at.left").alias("_left"))
     met = blocked.join(cuts, ["sample_id", "block"]).filter("_bucket <= _cut")
     order = Window.partitionBy("sample_id", "block").orderBy("_hash", "read_id")
     last = met.filter("_bucket = _cut").withColumn("_r", F.row_number().over(order)).filter("_r <= _left")

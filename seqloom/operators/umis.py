@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +13,9 @@ from seqloom.operators.align import umi_collapse
 from seqloom.sources.scratch import Table
 
 PLACE = ("sample_id", "place")
+#: Most links of a place that one task settles, and links that it settles at a time, about.
+LARGE_PLACE = 20_000
+BATCH_LINKS = 20_000
 
 
 def umi_links(nodes: DataFrame) -> DataFrame:
@@ -27,35 +34,83 @@ def umi_links(nodes: DataFrame) -> DataFrame:
     return pairs.filter("a.umi <> b.umi and a.reads >= 2 * b.reads - 1").select(*PLACE, F.col("a.umi").alias("a"), F.col("b.umi").alias("b"), F.col("a.reads").alias("reads_a"), F.col("b.reads").alias("reads_b"))
 
 
-def umi_tops(links: DataFrame) -> DataFrame:
+def tops_of(links: list[tuple]) -> dict[tuple, str]:
+    """(sample_id, place, umi) -> top of all ends of links (sample_id, place, a, b, reads_a, reads_b) of whole places.
+
+    Strengths pass along all links at once, and on to what their owners lead to, until nothing changes.
+    """
+    reads: dict[tuple, int] = {}
+    for sample, place, a, b, n_a, n_b in links:
+        reads[sample, place, a], reads[sample, place, b] = n_a, n_b
+    nodes = sorted(reads, key=lambda u: (-reads[u], u[2]))
+    rank = {u: k for k, u in enumerate(nodes)}
+    a, b = (np.array([rank[x[0], x[1], x[k]] for x in links], np.int64) for k in (2, 3))
+    top = np.arange(len(nodes))
+    while True:
+        now = top.copy()
+        np.minimum.at(now, b, top[a])
+        now = np.minimum(now, now[now])
+        if (now == top).all():
+            return {u: nodes[t][2] for u, t in zip(nodes, top.tolist(), strict=True)}
+        top = now
+
+
+def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of whole places, one place after another, to (sample_id, place, umi, top)."""
+
+    def solve(held: list[tuple]) -> pa.RecordBatch:
+        found = tops_of(held)
+        return pa.RecordBatch.from_arrays([*map(pa.array, zip(*found, strict=True)), pa.array(found.values())], [*PLACE, "umi", "top"])
+
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in (*PLACE, "a", "b", "reads_a", "reads_b")), strict=True):
+            if len(held) >= BATCH_LINKS and row[:2] != held[-1][:2]:
+                yield solve(held)
+                held = []
+            held.append(row)
+    if held:
+        yield solve(held)
+
+
+def umi_tops(links: DataFrame, large: int = LARGE_PLACE) -> DataFrame:
     """(sample_id, place, umi, top): for each linked UMI the strongest one that leads to it, itself included.
 
-    Stronger is more reads, then the first in order. All places are worked on at once: in each round
-    a UMI takes the best of its own top, its top's top and the tops of those that lead to it, so paths shorten by half
-    or more. The rounds end when nothing changes; each is a table that replaces the one before.
+    Stronger is more reads, then the first in order. Places of up to ``large`` links are settled in
+    numpy, many at a time; larger ones by rounds of joins, so that none gathers in one task.
     """
-    spark = links.sparkSession
+    links = Table(links).df
+    over = Table(links.groupBy(*PLACE).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > large).select(*PLACE)).df
+    small = links.join(over, list(PLACE), "left_anti").repartition(*PLACE).sortWithinPartitions(*PLACE)
+    out = small.select(*PLACE, "a", "b", "reads_a", "reads_b").mapInArrow(_settled, "sample_id string, place string, umi string, top string")
+    return out.unionByName(tops_by_rounds(links.join(over, list(PLACE), "left_semi"))) if over.limit(1).count() else out
+
+
+def tops_by_rounds(links: DataFrame) -> DataFrame:
+    """``umi_tops`` of all places at once: in each round a UMI takes the best of its own top, its top's top and the tops
+    of those that lead to it, so paths shorten by half or more. The rounds end when nothing changes;
+    each is a table that replaces the one before."""
 
     def strength(reads: str, umi: str) -> Column:
         return F.struct((-F.col(reads)).alias("n"), F.col(umi).alias("umi"))
 
-    links = Table(links)
-    ends = [links.df.select(*PLACE, F.col(u).alias("umi"), strength(n, u).alias("top")) for u, n in (("a", "reads_a"), ("b", "reads_b"))]
+    kept = Table(links)
+    ends = [kept.df.select(*PLACE, F.col(u).alias("umi"), strength(n, u).alias("top")) for u, n in (("a", "reads_a"), ("b", "reads_b"))]
     tops = Table(ends[0].unionByName(ends[1]).distinct().withColumn("was", F.lit(None).cast("struct<n:bigint,umi:string>")))
     while tops.df.filter("was is null or top <> was").limit(1).count():
         now = tops.df.select(*PLACE, "umi", "top")
         above = now.select(*PLACE, F.col("umi").alias("a"), "top")
-        led = links.df.select(*PLACE, "a", F.col("b").alias("umi")).join(above, [*PLACE, "a"]).select(*PLACE, "umi", "top")
+        led = kept.df.select(*PLACE, "a", F.col("b").alias("umi")).join(above, [*PLACE, "a"]).select(*PLACE, "umi", "top")
         jumped = now.select(*PLACE, "umi", F.col("top.umi").alias("a")).join(above, [*PLACE, "a"]).select(*PLACE, "umi", "top")
         every = now.withColumn("was", F.col("top")).unionByName(led.unionByName(jumped), allowMissingColumns=True)
         after = Table(every.groupBy(*PLACE, "umi").agg(F.min("top").alias("top"), F.max("was").alias("was")))
         tops.drop()
         tops = after
-    links.drop()
+    kept.drop()
     return tops.df.select(*PLACE, "umi", F.col("top.umi").alias("top"))
 
 
-def umi_network(aln: DataFrame, by: str = "coordinate", features: Column | None = None) -> DataFrame:
+def umi_network(aln: DataFrame, by: str = "coordinate", features: Column | None = None, large: int = LARGE_PLACE) -> DataFrame:
     """One read per (sample, place, network of UMIs): (sample_id, place, umi, qname, umis, reads).
 
     UMIs of a place are joined by the directional rule: a leads to b if they differ in one base and a
@@ -64,7 +119,7 @@ def umi_network(aln: DataFrame, by: str = "coordinate", features: Column | None
     Reads without a UMI are a group of their own. ``by`` and ``features`` as in ``umi_collapse``.
     """
     nodes = Table(umi_collapse(aln, by, features)).df
-    tops = umi_tops(umi_links(nodes))
+    tops = umi_tops(umi_links(nodes), large)
     named = nodes.join(tops, [*PLACE, "umi"], "left").withColumn("top", F.coalesce("top", "umi"))
     out = named.groupBy(*PLACE, "top").agg(F.min(F.when(F.col("umi").eqNullSafe(F.col("top")), F.col("qname"))).alias("qname"), F.count(F.lit(1)).alias("umis"), F.sum("reads").alias("reads"))
     return out.withColumnRenamed("top", "umi")

@@ -48,11 +48,13 @@ def want(places):
     return out
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_networks_as_by_the_sequential_rule(spark, seed):
+@pytest.mark.parametrize("large", [0, 30, 20_000])
+@pytest.mark.parametrize("seed", range(3))
+def test_networks_as_by_the_sequential_rule(spark, seed, large, monkeypatch):
+    monkeypatch.setattr(umis, "BATCH_LINKS", 25)
     r = random.Random(seed)
     places = {(f"s{k % 3}", k): {"".join(r.choice("ACGTN"[: 2 + seed]) for _ in range(6)): r.choice([1, 1, 1, 2, 3, 5, 9, 30]) for _ in range(r.randint(1, 40))} for k in range(12)}
-    assert Counter(map(tuple, umis.umi_network(reads_of(spark, places)).select("sample_id", "place", "umi", "qname", "umis", "reads").collect())) == want(places)
+    assert Counter(map(tuple, umis.umi_network(reads_of(spark, places), large=large).select("sample_id", "place", "umi", "qname", "umis", "reads").collect())) == want(places)
 
 
 def test_chains_and_steps(spark):
@@ -69,8 +71,8 @@ def test_chains_and_steps(spark):
 def test_a_place_with_thousands_of_umis(spark):
     r = random.Random(9)
     counts = {"".join(r.choice("ACGT") for _ in range(6)): r.choice([1, 1, 1, 1, 4]) for _ in range(6000)}
-    places = {("s", 1): counts}
-    assert Counter(map(tuple, umis.umi_network(reads_of(spark, places)).select("sample_id", "place", "umi", "qname", "umis", "reads").collect())) == want(places)
+    places = {("s", 1): counts, ("s", 2): {"AAAAAA": 3, "AAAAAC": 1}}
+    assert Counter(map(tuple, umis.umi_network(reads_of(spark, places), large=5000).select("sample_id", "place", "umi", "qname", "umis", "reads").collect())) == want(places)
 
 
 def test_no_list_grows_with_a_place(spark):
