@@ -4,15 +4,18 @@ Markup is stripped so that every block element is a line: scripts, styles, comme
 vanish, block tags and ``br`` end a line, other tags leave no trace, character references are
 decoded, and white space inside a line becomes one space. Markup then weighs the lines: those of page
 furniture (menus, headers, footers, sidebars, notices, adverts, forms and reader comments, told by
-element, role, class or id, or by being almost all links) and, where a page names its article
-(``article``, ``main`` or an articleBody), those outside of it count nothing; others count their length.
+element, role, or a class or id that says nothing else, or by being almost all links) count nothing; others count their length.
 
-On every page the weights of ``WINDOW`` lines in a row are summed. A stretch of lines runs from where
+Where a page does not name its article, the weights of ``WINDOW`` lines in a row are summed. A stretch of lines runs from where
 the sums leave zero to where they dive back to it. It surges if one of its sums is more than ``SURGE``
 of the page's largest, and the lines of stretches that surge are the text. A stretch that does not surge
 is kept only between kept ones, or where it has a line in the same container as one (the innermost block
 that is not itself a kind of paragraph); so short paragraphs stay and stray lines go.
 
+Where a page does name it (``article``, ``main`` or an articleBody), the lines outside count nothing and no stretch
+within is given up: a closing remark after an aside is as much of the article as its longest paragraph,
+and line lengths cannot tell it from furniture.
+
 Rules: null and empty pages give an empty text; unclosed and stray tags are put up with; text of any
 length is worked through once, from start to end; repeated rows are extracted each; an empty table
 gives no rows; other columns are not read.
@@ -28,7 +31,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from seqloom.llm.common import table
+from seqloom.llm.common import table, text_batches
 
 WINDOW = 3
 #: A stretch surges above this part of the page's largest sum.
@@ -53,7 +56,11 @@ FURNITURE_WORDS = (
 )
 
 _HIDDEN, _FURNITURE, _ARTICLE, _BLOCKS, _VOID, _ROLES = (frozenset(x.split()) for x in (HIDDEN, FURNITURE, ARTICLE, BLOCKS, VOID, ROLES))
+# Words that say where something is or how it is laid out, and so nothing against the others of its name.
+LAYOUT_WORDS = "area bar block body bottom box buttons column container content footer form global group header icons inner item items left links list main module outer page panel primary right secondary section site small text top widget wrap wrapper"
+
 _WORDS = frozenset(FURNITURE_WORDS.split())
+_LAYOUT = frozenset(LAYOUT_WORDS.split())
 _CONTAINERS = _BLOCKS - frozenset(PARAGRAPHS.split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'=]+|=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|[=\"'])*)>?", re.S)
 _ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|itemprop|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
@@ -61,6 +68,13 @@ _SPACE = re.compile(r"\s+")
 _RAW_ENDS = {name: re.compile(rf"</{name}[\s/>]", re.I) for name in ("script", "style", "noscript", "template", "iframe", "textarea", "title", "svg", "math", "object", "canvas", "select")}
 
 
+def _furniture_name(name: str, within: bool) -> bool:
+    """Whether a class or id names furniture: one of its words does, and the others only say where or how."""
+    words = [x for x in re.split(r"[^a-z]+", name) if x]
+    marking = _WORDS - {"header"} if within else _WORDS
+    return any(x in marking for x in words) and all(x in marking or x in _LAYOUT for x in words)
+
+
 def _marks(attributes: str, within: bool) -> tuple[bool, bool]:
     """Whether attributes mark furniture, and whether they mark the article (``within`` it, headers are its own)."""
     furniture = article = False
@@ -68,7 +82,7 @@ def _marks(attributes: str, within: bool) -> tuple[bool, bool]:
         value = value.strip("\"'").lower()
         name = name.lower()
         if name in ("class", "id"):
-            furniture |= not (_WORDS - {"header"} if within else _WORDS).isdisjoint(re.split(r"[^a-z]+", value))
+            furniture |= any(_furniture_name(x, within) for x in value.split())
         elif name == "role":
             furniture |= value in _ROLES
             article |= value in ("main", "article")
@@ -185,11 +199,11 @@ def kept_stretches(size: Sequence[int], containers: Sequence[int]) -> list[tuple
 
 
 def main_text(page: str | None) -> str:
-    """The page's lines between surges and dives of the line-block distribution."""
+    """The article's lines where the page names it, else those between surges and dives of the line-block distribution."""
     lines = lines_of(page or "")
     named = any(a and not f for _, _, f, a, _ in lines)
     size = [0 if furniture or (not article if named else linked > LINKED * len(text)) else len(text) for text, linked, furniture, article, _ in lines]
-    kept = kept_stretches(size, [line[4] for line in lines])
+    kept = [(0, len(lines))] if named else kept_stretches(size, [line[4] for line in lines])
     return " ".join(lines[k][0] for a, b in kept for k in range(a, b) if size[k])
 
 
@@ -201,6 +215,7 @@ def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def extracted(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for each row of ``pages`` (page_id, url, html)."""
+    text_batches(pages.sparkSession)
     return pages.select("page_id", "url", "html").mapInPandas(_extract, "page_id long, url string, text string, n_chars long")
 
 

@@ -81,9 +81,9 @@ def test_stretches_and_choice_by_brute_force(size, data):
     assert kept_stretches(size, containers) == ([r[:2] for r in want[near[0] : near[-1] + 1]] if near else [])
 
 
-def test_window_and_surge_decide_on_pages_that_name_their_article(monkeypatch):
+def test_window_and_surge_decide_where_no_article_is_named(monkeypatch):
     advert = "<div class=ad>Buy</div>"
-    near, far = (f"<article><p>{LONG}</p>{advert * n}<div><p>End.</p></div></article>" for n in (2, 3))
+    near, far = (f"<div><p>{LONG}</p></div>{advert * n}<div><p>End.</p></div>" for n in (2, 3))
     assert main_text(near) == f"{LONG} End."
     assert main_text(far) == LONG  # the sums dive, and do not surge again
     monkeypatch.setattr(line_blocks, "WINDOW", 2)
@@ -93,3 +93,24 @@ def test_window_and_surge_decide_on_pages_that_name_their_article(monkeypatch):
     monkeypatch.setattr(line_blocks, "WINDOW", 3)
     monkeypatch.setattr(line_blocks, "SURGE", 0.01)
     assert main_text(far) == f"{LONG} End."
+
+
+def test_no_stretch_of_a_named_article_is_lost():
+    aside = f"<aside>{LONG}</aside>" * 3
+    long = "word " * 300
+    assert main_text(f"<article><div><p>{long}</p></div>{aside}<div><p>The closing remark.</p></div></article>") == f"{long.strip()} The closing remark."
+    assert main_text(f"<main><p>A.</p>{aside}<div><p>{long}</p></div></main><p>{LONG}</p>") == f"A. {long.strip()}"
+
+
+def test_names_count_as_wholes():
+    kept = ["comments-on-history", "advertising-in-japan", "share-of-wealth", "news-headernote", "search-for-meaning", "navalbattles"]
+    gone = ["comments", "comment-list", "site-footer", "cookie-notice", "left-sidebar", "ad_box", "share-buttons", "header-nav", "post x sidebar"]
+    for name in kept:
+        assert main_text(f"<article><p>One.</p><section id='{name}'><p>Two.</p></section></article>") == "One. Two.", name
+    for name in gone:
+        assert main_text(f"<article><p>One.</p><section class='{name}'><p>Two.</p></section></article>") == "One.", name
+
+
+def test_batches_of_pages_are_bounded(spark):
+    extracted(spark.createDataFrame([(1, "u", "<p>x</p>")], "page_id long, url string, html string")).collect()
+    assert 0 < int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) <= 4 << 20
