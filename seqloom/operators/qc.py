@@ -22,12 +22,12 @@ def demux_report(assigned: DataFrame, barcodes: DataFrame, used: list[str] | Non
     """G1: one row for each barcode of the list and for ambiguous and unmatched reads: reads, their
     share of all, and the shares with no and one mismatch. Used barcodes are shown with ``-*``.
 
-    The list is a kit's and is broadcast; reads are counted in each task first.
+    The list is a kit's; reads are read once and counted in each task first, and the total is that of their counts.
     """
     counts = assigned.groupBy("barcode").agg(n_rows().alias("reads"), F.count_if(F.col("distance") == 0).alias("zero"), F.count_if(F.col("distance") == 1).alias("one"))
-    total = assigned.agg(n_rows().alias("total"))
     listed = barcodes.select(F.col("bc_name").alias("barcode")).distinct().unionByName(assigned.sparkSession.createDataFrame([(AMBIGUOUS,), (NO_MATCH,)], "barcode string"))
-    every = listed.join(counts, "barcode", "left").crossJoin(F.broadcast(total)).fillna(0, ["reads", "zero", "one"])
+    both = listed.withColumn("listed", F.lit(True)).join(counts, "barcode", "full").withColumn("total", F.coalesce(F.sum("reads").over(Window.partitionBy()), F.lit(0)))
+    every = both.filter("listed").fillna(0, ["reads", "zero", "one"])
     name = F.when(F.col("barcode").isin(used), F.concat("barcode", F.lit("-*"))).otherwise(F.col("barcode")) if used else F.col("barcode")
     return every.select(name.alias("barcode"), "reads", ratio(F.col("reads"), F.col("total")).alias("pcnt_of_total"), ratio(F.col("zero"), F.col("reads")).alias("pcnt_zero_mismatch"), ratio(F.col("one"), F.col("reads")).alias("pcnt_one_mismatch"))
 
@@ -179,13 +179,20 @@ class GeneMismatch(ValueError):
     """Samples of one matrix list different genes."""
 
 
+def mismatched_genes(counts: DataFrame, samples: list[str]) -> DataFrame:
+    """(gene, n, rows): genes that are not in each of ``samples`` exactly once, for callers that check before they build."""
+    listed = counts.groupBy("gene").agg(F.countDistinct("sample_id").alias("n"), n_rows().alias("rows"))
+    return listed.filter((F.col("n") != len(samples)) | (F.col("rows") != len(samples)))
+
+
 def gene_matrix(counts: DataFrame, samples: list[str], check: bool = True) -> DataFrame:
-    """Genes by samples; all samples must list the same genes, each once."""
-    if check:
-        odd = counts.groupBy("gene").agg(F.countDistinct("sample_id").alias("n"), n_rows().alias("rows")).filter((F.col("n") != len(samples)) | (F.col("rows") != len(samples)))
-        wrong = odd.limit(1).collect()
-        if wrong:
-            raise GeneMismatch(f"gene {wrong[0]['gene']!r} is in {wrong[0]['n']} of {len(samples)} samples, {wrong[0]['rows']} times")
+    """Genes by samples; all samples must list the same genes, each once, which ``check`` makes sure of at once.
+
+    For up to some thousand samples; ``seqloom.sources.sparse`` writes matrices of any number of cells.
+    """
+    wrong = mismatched_genes(counts, samples).limit(1).collect() if check else None
+    if wrong:
+        raise GeneMismatch(f"gene {wrong[0]['gene']!r} is in {wrong[0]['n']} of {len(samples)} samples, {wrong[0]['rows']} times")
     return counts.groupBy("gene").pivot("sample_id", samples).agg(F.sum("n"))
 
 

@@ -27,16 +27,22 @@ def _neighbours(seq: str, alphabet: str, distance: int) -> dict[str, int]:
     return found
 
 
-def barcode_neighbourhood(barcodes: DataFrame, p: Protocol, max_mismatch: int = 1, keep_last: bool = False, most: int = 2_000_000) -> DataFrame:
+def barcode_list(barcodes: DataFrame) -> dict[str, str]:
+    """Sequence -> name of a kit's barcodes, collected once; of names that share a sequence the first in order."""
+    return {r["bc_seq"]: r["bc_name"] for r in barcodes.groupBy("bc_seq").agg(F.min("bc_name").alias("bc_name")).collect()}
+
+
+def barcode_neighbourhood(barcodes: DataFrame, p: Protocol, max_mismatch: int = 1, keep_last: bool = False, most: int = 2_000_000, known: dict[str, str] | None = None) -> DataFrame:
     """(slice, barcode, distance) for every slice within reach of a barcode: the unique nearest one,
     or ``ambiguous`` where several are nearest.
 
-    The barcode list is small by nature; the table's size is checked against ``most`` before use.
+    The barcode list is small by nature; the table's size is checked against ``most`` before use. ``known`` is
+    the list as ``barcode_list`` gives it, if the caller has it.
     """
     width = p.size - (p.ignores_last and not keep_last)
-    listed = {r["bc_seq"][:width]: [] for r in barcodes.select("bc_seq").distinct().collect()}
-    for r in barcodes.dropDuplicates(["bc_seq"]).select("bc_name", "bc_seq").collect():
-        listed[r["bc_seq"][:width]].append(r["bc_name"])
+    listed: dict[str, list[str]] = {}
+    for seq, name in (barcode_list(barcodes) if known is None else known).items():
+        listed.setdefault(seq[:width], []).append(name)
     alphabet = "".join(sorted({b for s in listed for b in s})) + OTHER
     reach = sum((width * len(alphabet)) ** d for d in range(max_mismatch + 1)) * len(listed)
     if reach > most:
@@ -64,8 +70,9 @@ def assign_barcode(reads: DataFrame, barcodes: DataFrame, p: Protocol, max_misma
     The barcodes' neighbourhood is broadcast and met by an equi-join on the slice, so reads are
     neither compared one by one nor shuffled. A read that is too short has no match.
     """
-    known = "".join(sorted({b for r in barcodes.select("bc_seq").distinct().collect() for b in r["bc_seq"]}))
-    table = barcode_neighbourhood(barcodes, p, max_mismatch, keep_last)
+    listed = barcode_list(barcodes)
+    known = "".join(sorted({b for seq in listed for b in seq}))
+    table = barcode_neighbourhood(barcodes, p, max_mismatch, keep_last, known=listed)
     keyed = reads.withColumn("slice", normalised_slice(F.col(seq), p, known, keep_last))
     joined = keyed.join(F.broadcast(table), "slice", "left").drop("slice")
     return joined.withColumn("barcode", F.coalesce("barcode", F.lit(NO_MATCH)))
