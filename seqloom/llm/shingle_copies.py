@@ -11,7 +11,10 @@ similarity is missed. The order puts shingles first that are rare in a sample of
 (``SAMPLE_DOCS``), so that passages that many documents share are keys of few; the sample changes
 the order alone, never the result.
 
-Sets that share a key are candidates. In a few rounds (``HUBS``), each key's members are compared to
+Sets that share a key are candidates, if by the places of their first common key in that order enough shingles can follow it:
+sets of n and m shingles have 4/9 (n + m) in common, and none before it. So the smaller set has it among its
+first ninth, and a key that only stands further back (as a template's, behind each document's own words) joins nobody.
+In a few rounds (``HUBS``), each key's members are compared to
 one of them, chosen by hash so that keys of like members choose the same. Members that are still in
 different components are then compared to each other, in blocks of bounded size: each member first
 to its nearest by sketch, then to eight times as many in each round, until none is left. A parity
@@ -33,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.llm import simhash_segments
-from seqloom.llm.common import sized_broadcast, text_batches, written
+from seqloom.llm.common import discard, sized_broadcast, text_batches, written
 from seqloom.llm.simhash_segments import components
 
 SHINGLE = 5
@@ -246,10 +249,15 @@ def links(base: DataFrame, docs: DataFrame) -> DataFrame:
 
     ``base`` has (doc_id, node, n, fp, wide, keys) of ``docs`` (doc_id, text); node names a set.
     """
-    of_key = base.select("node", F.explode("keys").alias("key"))
+    of_key = base.select("node", F.col("n").cast("long").alias("n"), F.posexplode("keys").alias("p", "key"))
     half = F.shiftright("node", 32).cast("int")  # enough to tell that a key's sets differ
-    shared = written(of_key.groupBy("key").agg(F.min(half).alias("low"), F.max(half).alias("high")).filter("low <> high").select("key"))
-    met = written(of_key.join(sized_broadcast(shared), "key").distinct())
+    # at place p of n, n - p shingles can be common at most; least: the smallest set that can be the smaller of a pair by this key
+    top, bottom = SIMILARITY
+    room = (bottom + top) * (F.col("n") - F.col("p"))
+    least = F.min(F.when(room >= 2 * top * F.col("n"), F.col("n"))).alias("least")
+    shared = written(of_key.groupBy("key").agg(F.min(half).alias("low"), F.max(half).alias("high"), least).filter("low <> high and least is not null").select("key", "least"))
+    met = written(of_key.join(sized_broadcast(shared), "key").filter(room >= top * (F.col("n") + F.col("least"))).select("node", "key").distinct())
+    discard(shared)
     used = written(met.select("node").distinct())
     drawn = written(base.join(sized_broadcast(used), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("wide").alias("wide")))
 
@@ -262,7 +270,9 @@ def links(base: DataFrame, docs: DataFrame) -> DataFrame:
         sets = docs.join(sized_broadcast(holders), "doc_id").select("node", "text").mapInPandas(_sets, "node long, held array<long>").dropDuplicates(["node"])
         sets = written(sets)
         x, y = sets.select(F.col("node").alias("a"), F.col("held").alias("x")), sets.select(F.col("node").alias("b"), F.col("held").alias("y"))
-        return written(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInPandas(_verified, "a long, b long"))
+        near = written(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInPandas(_verified, "a long, b long"))
+        discard(pairs, ends, holders, sets)
+        return near
 
     def split(rows: DataFrame, roots: DataFrame, *by: str) -> DataFrame:
         """``rows`` (with node) whose group ``by`` lies in more than one component, with root."""
@@ -294,14 +304,19 @@ def links(base: DataFrame, docs: DataFrame) -> DataFrame:
         new = written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
         if new.limit(1).count():
             near = verify(new)
-            tried = new if tried is None else written(tried.unionByName(new))
+            before, tried = tried, new if tried is None else written(tried.unionByName(new))
+            if before is not None:
+                discard(before, new)
             if near.limit(1).count():
-                edges = written(edges.unionByName(near))
+                old, edges = (edges, roots), written(edges.unionByName(near))
                 roots = written(components(edges))
+                discard(near, *old)
         left = written(found.filter("more").select("key", "i", "j").distinct())
+        discard(found)
         if not left.limit(1).count():
             return edges
-        groups = written(groups.join(left, ["key", "i", "j"], "left_semi"))
+        before, groups = groups, written(groups.join(left, ["key", "i", "j"], "left_semi"))
+        discard(before, left)
         most *= 8
 
 
