@@ -242,7 +242,9 @@ def fragments(aln: DataFrame, strand_rev: bool = False, min_len: int = 0, ref_fi
     flag = F.col("flag")
     proper, start = has_bit(flag, 2), F.col("pos").cast("long")
     placed = kept.select(*KEYS, "flag", "rname", start.alias("start_pos"), (start + cigar_ref_len(F.col("cigar"))).alias("end_pos"))
-    alone = placed.filter(~proper & ~has_bit(flag, 4)).select("sample_id", F.col("rname").alias("acc"), "start_pos", "end_pos", strand_of(flag, strand_rev).alias("strand"), F.lit(False).alias("paired"), F.col("qname").alias("name"))
+    alone = placed.filter(~proper & ~has_bit(flag, 4)).select(
+        "sample_id", F.col("rname").alias("acc"), "start_pos", "end_pos", strand_of(flag, strand_rev).alias("strand"), F.lit(False).alias("paired"), F.col("qname").alias("name")
+    )
     couples = mates(placed.filter(proper), "rname", "start_pos", "end_pos").filter("r2 is not null")
     first_starts = F.col("r1.start_pos") <= F.col("r2.start_pos")
     both = couples.select(

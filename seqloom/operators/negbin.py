@@ -203,5 +203,7 @@ def negative_binomial_contrast(counts: DataFrame, group_a: list[str], group_b: l
     kinds = "gene string, at array<int>, n array<double>, " + ", ".join(f"{c} double" for c in ("base_mean", "dispersion_gene", "dispersion_trend", "dispersion", "mean_a", "mean_b", "lfc", "z"))
     columns = ["gene", "base_mean", "mean_a", "mean_b", "lfc", "dispersion_gene", "dispersion_trend", "dispersion"]
     tested = fitted.mapInArrow(_fits(samples, s, wald), kinds).select(*columns, two_sided(F.col("z")).alias("p"))
-    silent = counts.filter(F.col("sample_id").isin(samples)).groupBy("gene").agg(F.sum("n").alias("n")).filter("n = 0").select("gene", *[F.lit(0.0).alias(c) for c in columns[1:5]], *[F.lit(None).cast("double").alias(c) for c in [*columns[5:], "p"]])
+    totals = counts.filter(F.col("sample_id").isin(samples)).groupBy("gene").agg(F.sum("n").alias("n"))
+    none = [F.lit(None).cast("double").alias(c) for c in [*columns[5:], "p"]]
+    silent = totals.filter("n = 0").select("gene", *[F.lit(0.0).alias(c) for c in columns[1:5]], *none)
     return adjusted(Table(tested.unionByName(silent)).df).orderBy(F.asc_nulls_last("padj"), F.asc_nulls_last("p"), "gene")

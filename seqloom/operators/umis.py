@@ -31,7 +31,8 @@ def umi_links(nodes: DataFrame) -> DataFrame:
     met = nodes.filter(F.length(umi) > 0).select(*PLACE, F.struct("umi", "reads").alias("own"), F.explode(masked).alias("masked"))
     met = met.groupBy(*PLACE, "masked").agg(F.collect_list("own").alias("all")).filter(F.size("all") > 1)
     pairs = met.select(*PLACE, "all", F.explode("all").alias("a")).select(*PLACE, "a", F.explode("all").alias("b"))
-    return pairs.filter("a.umi <> b.umi and a.reads >= 2 * b.reads - 1").select(*PLACE, F.col("a.umi").alias("a"), F.col("b.umi").alias("b"), F.col("a.reads").alias("reads_a"), F.col("b.reads").alias("reads_b"))
+    led = pairs.filter("a.umi <> b.umi and a.reads >= 2 * b.reads - 1")
+    return led.select(*PLACE, F.col("a.umi").alias("a"), F.col("b.umi").alias("b"), F.col("a.reads").alias("reads_a"), F.col("b.reads").alias("reads_b"))
 
 
 def tops_of(links: list[tuple]) -> dict[tuple, str]:

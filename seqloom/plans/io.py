@@ -111,7 +111,8 @@ def s9_write_demux(reads):
     barcode = F.regexp_replace(F.substring("r1_seq", 1, 2), "^$", "none")
     ord_ = F.xxhash64("r1_name")
     Q.write_demux(reads.select("file_prefix", barcode.alias("barcode"), ord_.alias("ord"), "r1_name", "r1_seq", "r1_qual", "r2_name", "r2_seq", F.lit("I").alias("r2_qual")), path, compression="gzip")
-    back = Q.read_fastq(spark, path).select(*[F.regexp_extract("file", r"/([^/_]+)_([^/_]+)_R([12])\.(\d+)\.fastq\.gz$", k).alias(c) for k, c in enumerate(("lane", "barcode", "mate", "task"), 1)], "ord", "read_id", "comment", "seq", "qual")
+    parts = [F.regexp_extract("file", r"/([^/_]+)_([^/_]+)_R([12])\.(\d+)\.fastq\.gz$", k).alias(c) for k, c in enumerate(("lane", "barcode", "mate", "task"), 1)]
+    back = Q.read_fastq(spark, path).select(*parts, "ord", "read_id", "comment", "seq", "qual")
     named = back.withColumn("file_prefix", F.concat_ws("/", "lane", "barcode", "task"))
     pairs = S.pair_reads(named.filter("mate = 1"), named.filter("mate = 2"))
     parts = F.split("file_prefix", "/")
