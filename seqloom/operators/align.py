@@ -333,14 +333,16 @@ def umi_collapse(aln: DataFrame, by: str = "coordinate", features: Column | None
 
 
 def collapse_stats(sizes: DataFrame) -> DataFrame:
-    """Per sample min, median and max of reads per collapse, % singletons of all and of those up to 100, and reads before / after."""
+    """Per sample min, median and max of reads per collapse, % singletons of all and of those up to 100 (null if
+    there are none so small), and reads before / after."""
     n = F.col("reads")
+    small = F.count_if(n <= 100)
     return sizes.groupBy("sample_id").agg(
         F.min(n).alias("min"),
         F.percentile(n, 0.5).alias("median"),
         F.max(n).alias("max"),
         F.round(100.0 * F.count_if(n == 1) / F.count(F.lit(1)), 4).alias("pcnt_single"),
-        F.round(100.0 * F.count_if(n == 1) / F.count_if(n <= 100), 4).alias("pcnt_single_100"),
+        F.round(F.try_divide(100.0 * F.count_if(n == 1), small), 4).alias("pcnt_single_100"),
         F.round(F.sum(n) / F.count(F.lit(1)), 4).alias("compression"),
     )
 

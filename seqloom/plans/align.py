@@ -246,7 +246,7 @@ def _by_ref(singles):
 round(100.0::DOUBLE * count(*) FILTER (reads = 1) / count(*) FILTER (reads <= 100), 4) AS pcnt_single_100, round(sum(reads)::DOUBLE / count(*), 4) AS compression FROM collapsed GROUP BY sample_id""",
 )
 def a14_collapse_stats(singles):
-    return A.collapse_stats(_by_ref(singles))
+    return A.collapse_stats(_by_ref(singles)).fillna(float("nan"), ["pcnt_single_100"])  # 0 of 0 in SQL
 
 
 @query("a14_collapse_histogram", "singles", sql=BY_REF + "SELECT sample_id, least(reads, 101) AS size, count(*) AS n FROM collapsed GROUP BY ALL")

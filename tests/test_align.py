@@ -110,3 +110,10 @@ def test_zero_denominators(spark):
     km = km.withColumn("IGR_pcnt_of_counted", F.lit(0.0))
     (r,) = qc.pool_metrics(km).collect()
     assert all(v in (0, 0.0, "p") for v in r)
+
+
+def test_collapse_stats_without_small_collapses(spark):
+    sizes = spark.createDataFrame([("a", 150), ("a", 250), ("b", 1), ("b", 3), ("b", 500)], "sample_id string, reads long")
+    got = {r["sample_id"]: r for r in A.collapse_stats(sizes).collect()}
+    assert (got["a"]["min"], got["a"]["median"], got["a"]["pcnt_single"], got["a"]["pcnt_single_100"]) == (150, 200.0, 0.0, None)
+    assert (got["b"]["pcnt_single"], got["b"]["pcnt_single_100"]) == (33.3333, 50.0)
