@@ -113,8 +113,9 @@ def overlapping(left: DataFrame, right: DataFrame) -> DataFrame:
     touch: way 0, where that is the right one's level, way 1, where it is the left one's and higher. They are
     paired in the first bin that they share. An interval of any length is so listed twice a level and
     way at most. Levels of which an accession has no interval on the right side are passed over, so
-    that fragments over usual genes are listed once or twice in all. Spark sends an annotation to all
-    tasks if it is small; else it may split the bins on which fragments pile up.
+    that fragments over usual genes are listed once or twice in all. Both sides are shuffled by bins, also
+    a short annotation: a file of few bytes a row is listed in some hundred bytes a row and level, which Spark's size
+    check does not see, and the driver would hold the list. Spark may split the bins on which fragments pile up.
     """
     own = F.col("_own")
     placed = right.withColumn("_own", bin_level("f_start", "f_end"))
@@ -122,7 +123,7 @@ def overlapping(left: DataFrame, right: DataFrame) -> DataFrame:
     listed = placed.withColumn("_at", F.explode(F.concat(_bins("f_start", "f_end", lambda k: k == own, 0), _bins("f_start", "f_end", lambda k: k > own, 1)))).drop("_own")
     probes = left.join(used, "acc").withColumn("_own", bin_level("start_pos", "end_pos"))
     ways = F.concat(_bins("start_pos", "end_pos", lambda k: (k >= own) & F.array_contains("_used", k), 0), _bins("start_pos", "end_pos", lambda k: (k == own) & (own > F.array_min("_used")), 1))
-    met = probes.withColumn("_at", F.explode(ways)).drop("_own", "_used").join(listed, ["acc", "_at"])
+    met = probes.withColumn("_at", F.explode(ways)).drop("_own", "_used").join(listed.hint("merge"), ["acc", "_at"])
     begin = F.greatest("start_pos", "f_start")
     first = F.lit(0).cast("long")
     for k, size in enumerate(LEVELS):

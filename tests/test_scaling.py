@@ -62,6 +62,18 @@ def test_a_feature_over_a_chromosome_is_listed_a_few_times(spark):
     assert got == Counter({(p, "whole"): 1 for p in (5, 100_500, 16_380, 200_000_000, 248_956_400)} | {(100_500, "gene"): 1, (16_380, "edge"): 1})
 
 
+def test_long_annotations_are_not_sent_to_the_driver(spark, tmp_path):
+    """A file of a few bytes a row, which Spark takes for short, lists some hundred bytes a row and level."""
+    spark.range(200_000).selectExpr("id % 5 as c", "id * 41 + 1 as f_start", "id % 2 as f").write.parquet(str(tmp_path / "features"))
+    features = spark.read.parquet(str(tmp_path / "features")).selectExpr("concat('c', c) as acc", "f_start", "f_start + 600 as f_end", "concat('F', f_start) as name")
+    frags = spark.range(1000).selectExpr("concat('c', id % 5) as acc", "id * 37 as start_pos", "id * 37 + 100 as end_pos")
+    out = I.overlapping(frags, features)
+    plan = plan_of(out)
+    joins = [x for x in plan.splitlines() if "Join" in x and "_at" in x]
+    assert joins and all("SortMergeJoin" in x for x in joins)
+    assert out.count() > 1000
+
+
 # --- texts that contain patterns
 
 
