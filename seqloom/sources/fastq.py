@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import BinaryIO
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
@@ -30,6 +31,8 @@ PLACE_BITS = 33
 #: Bytes of a file that are read at a time, and of a split.
 BLOCK = 4 << 20
 SPLIT = 128 << 20
+#: Least bytes that are read at a time.
+TAIL = 1 << 14
 
 
 def file_system(path: str) -> tuple[pafs.FileSystem, str]:
@@ -60,12 +63,17 @@ def listed(path: str) -> list[tuple[str, int]]:
 
 @dataclass
 class Split(InputPartition):
-    """Reads that start in the bytes start..end of a file; a packed file is one split."""
+    """Reads that start in the bytes start..end of a file; a packed file is one split.
+
+    The bytes are ``ranges`` ranges of ``step`` bytes, counted from ``number``, which are read in one go.
+    """
 
     path: str
     number: int
     start: int
     end: int
+    step: int = 1 << 62
+    ranges: int = 1
 
     def __post_init__(self) -> None:
         self.value = self.number
@@ -83,13 +91,16 @@ def opened(path: str) -> BinaryIO:
     return gzip.GzipFile(fileobj=stream) if path.endswith(".gz") else bz2.BZ2File(stream)
 
 
-def line_blocks(stream: BinaryIO, start: int) -> Iterator[tuple[int, list[bytes]]]:
-    """(offset, lines) of the lines that start at ``start`` or later, in blocks; each line with its end, a last one without."""
+def line_blocks(stream: BinaryIO, start: int, end: int = 1 << 62) -> Iterator[tuple[int, list[bytes]]]:
+    """(offset, lines) of the lines that start at ``start`` or later, in blocks; each line with its end, a last one without.
+
+    Blocks get shorter at ``end``, past which a reader needs no more than a record.
+    """
     at = max(0, start - 1)
     if at:
         stream.seek(at)
     skip, rest = start > 0, b""
-    while block := stream.read(BLOCK):
+    while block := stream.read(min(BLOCK, max(TAIL, end - at - len(rest)))):
         data = rest + block
         if skip:  # the line that holds byte start - 1 belongs to the split before
             cut = data.find(b"\n")
@@ -119,10 +130,19 @@ def record_start(lines: list[bytes]) -> int | None:
 
 def split_records(split: Split) -> Iterator[pa.RecordBatch]:
     """The reads of a split, in order; a record that the file ends within is left out."""
+    last, nth = -1, 0  # the range of the last read, and how many reads of it have passed
+
+    def placed(starts: np.ndarray, lines: list[bytes]) -> pa.RecordBatch:
+        nonlocal last, nth
+        number = split.number + np.minimum((starts - split.start) // split.step, split.ranges - 1)
+        place = np.arange(len(starts)) - np.searchsorted(number, number) + np.where(number == last, nth, 0)
+        last, nth = int(number[-1]), int(place[-1]) + 1
+        return records(split, (number << PLACE_BITS) + place, lines)
+
     with opened(split.path) as stream:
         held: list[bytes] = []
-        at, nth, known = split.start, 0, split.start == 0
-        for offset, lines in line_blocks(stream, split.start):
+        at, known = split.start, split.start == 0
+        for offset, lines in line_blocks(stream, split.start, split.end):
             if not held:
                 at = offset
             held += lines
@@ -134,45 +154,52 @@ def split_records(split: Split) -> Iterator[pa.RecordBatch]:
                 at += sum(map(len, held[:first]))
                 held, known = held[first:], True
             whole = len(held) // 4 * 4
-            own, starts = held[:whole], []
-            for k in range(0, whole, 4):
-                if at >= split.end:
-                    own = own[:k]
-                    break
-                starts.append(at)
-                at += len(own[k]) + len(own[k + 1]) + len(own[k + 2]) + len(own[k + 3])
-            held = held[whole:]
+            ends = at + np.cumsum(np.fromiter(map(len, held[:whole]), np.int64, whole))[3::4]
+            starts = np.concatenate([[at], ends])
+            own = int(np.searchsorted(starts[:-1], split.end))
             if own:
-                yield records(split, nth, own)
-            nth += len(starts)
+                yield placed(starts[:own], held[: 4 * own])
+            at, held = int(starts[own]), held[whole:]
             if at >= split.end:
                 return
         if known and len(held) == 4 and at < split.end:  # the last line has no end
-            yield records(split, nth, held)
+            yield placed(np.array([at]), held)
+
 
+def _texts(lines: list[bytes]) -> pa.Array:
+    try:
+        return pa.array(lines, pa.string())
+    except pa.ArrowInvalid:  # not UTF-8
+        return pa.array([x.decode("utf-8", "replace") for x in lines], pa.string())
 
-def records(split: Split, nth: int, lines: list[bytes]) -> pa.RecordBatch:
-    text = [x.rstrip(b"\r\n").decode("utf-8", "replace") for x in lines]
-    names = [x[1:].partition(" ") for x in text[::4]]
-    first = (split.number << PLACE_BITS) + nth
-    columns = [[split.path] * len(names), range(first, first + len(names)), [x[0] for x in names], [x[2] for x in names], text[1::4], text[3::4]]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, READS.types, strict=True)], schema=READS)
+
+def records(split: Split, ords: np.ndarray, lines: list[bytes]) -> pa.RecordBatch:
+    head, seq, qual = ([x.rstrip(b"\r\n") for x in lines[k::4]] for k in (0, 1, 3))
+    names = [x[1:].partition(b" ") for x in head]
+    columns = [pa.repeat(split.path, len(names)), pa.array(ords, pa.int64()), *map(_texts, ([x[0] for x in names], [x[2] for x in names], seq, qual))]
+    return pa.RecordBatch.from_arrays(columns, schema=READS)
 
 
 class FastqReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.paths = [options[k] for k in sorted((k for k in options if re.fullmatch(r"path\d+", k)), key=lambda k: int(k[4:]))] or [options["path"]]
         self.size = int(options.get("splitbytes", SPLIT))
+        self.tasks = int(options.get("tasks", 0))
 
     def partitions(self) -> list[Split]:
+        files = [f for path in self.paths for f in listed(path)]
+        # ranges that a task reads in one go: as many as give each of the wanted tasks its part, up to the usual bytes of a split
+        part = min(SPLIT, sum(size for _, size in files) // self.tasks) if self.tasks else 0
+        ranges = max(1, part // self.size)
         out = []
-        for path in self.paths:
-            for name, size in listed(path):
-                step = max(1, size) if packed(name) else self.size
-                out += [Split(name, k, start, start + step if packed(name) or start + step < size else 1 << 62) for k, start in enumerate(range(0, max(1, size), step))]
-        for s in out:
-            if packed(s.path):
-                s.end = 1 << 62
+        for name, size in files:
+            if packed(name):
+                out.append(Split(name, 0, 0, 1 << 62))
+                continue
+            count = max(1, -(-size // self.size))
+            for k in range(0, count, ranges):
+                n = min(ranges, count - k)
+                out.append(Split(name, k, k * self.size, (k + n) * self.size if k + n < count else 1 << 62, self.size, n))
         return out
 
     def read(self, partition: Split) -> Iterator[pa.RecordBatch]:
@@ -280,13 +307,13 @@ class FastqSource(DataSource):
 def read_fastq(spark: SparkSession, *paths: str, split_bytes: int = SPLIT) -> DataFrame:
     """(file, ord, read_id, comment, seq, qual) of plain, gzip or bzip2 files, folders and patterns.
 
-    A packed file streams through one task; a plain one is read in byte ranges, each of which finds its first record
-    by itself, so all files are read once. ord is unique in a file and in the order of its reads:
+    A packed file streams through one task; a plain one is read in byte ranges, of which a task takes several after one
+    another if they are short; each task finds its first record by itself, so all files are read once. ord is unique in a file and in the order of its reads:
     0, 1, 2... in a file of one range; further ranges begin at multiples of 2**33 (``number_reads``
     closes the gaps). An incomplete last record is left out.
     """
     spark.dataSource.register(FastqSource)
-    return spark.read.format(FastqSource.name()).options(**{f"path{k}": p for k, p in enumerate(paths)}, splitbytes=split_bytes).load()
+    return spark.read.format(FastqSource.name()).options(**{f"path{k}": p for k, p in enumerate(paths)}, splitbytes=split_bytes, tasks=4 * spark.sparkContext.defaultParallelism).load()
 
 
 def number_reads(reads: DataFrame) -> DataFrame:
@@ -298,7 +325,7 @@ def number_reads(reads: DataFrame) -> DataFrame:
     from pyspark.sql import Window
 
     split = F.shiftright("ord", PLACE_BITS)
-    counts = reads.groupBy("file", split.alias("_split")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = reads.select("file", split.alias("_split")).groupBy("file", "_split").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.partitionBy("file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1))
     starts = counts.select("file", "_split", F.coalesce(before, F.lit(0)).alias("_before"))
     numbered = reads.withColumn("_split", split).join(starts, ["file", "_split"])

@@ -61,6 +61,47 @@ def test_ranges_find_their_first_record(spark, tmp_path, size):
         assert not any("mapIn" in x for x in df._jdf.queryExecution().executedPlan().toString().splitlines())
 
 
+@pytest.mark.parametrize("size", [1, 37, 200])
+def test_short_ranges_are_read_in_one_go(tmp_path, size):
+    reads = tricky(300, size)
+    (tmp_path / "a.fastq").write_text("".join(f"@{i}{' ' * bool(c)}{c}\n{s}\n+\n{q}\n" for i, c, s, q in reads)[:-1])
+    options = {"path0": str(tmp_path / "a.fastq"), "splitbytes": str(size)}
+    alone = Q.FastqReader(options).partitions()
+    for tasks in (1, 5, 10**9):
+        splits = Q.FastqReader(options | {"tasks": str(tasks)}).partitions()
+        assert len(splits) <= 2 * tasks and sum(s.ranges for s in splits) == len(alone)
+        assert [r for s in splits for b in Q.split_records(s) for r in b.to_pylist()] == [r for s in alone for b in Q.split_records(s) for r in b.to_pylist()]
+
+
+def test_a_short_range_reads_few_bytes(tmp_path, monkeypatch):
+    (tmp_path / "a.fastq").write_text("@r\nACGT\n+\nIIII\n" * 100_000)
+    read, opened = [], Q.opened
+
+    def counted(path):
+        stream = opened(path)
+        plain = stream.read
+
+        class Counted:
+            seek = staticmethod(stream.seek)
+
+            def __enter__(self):
+                return self
+
+            def __exit__(self, *_):
+                stream.close()
+
+            def read(self, n):
+                read.append(n)
+                return plain(n)
+
+        return Counted()
+
+    monkeypatch.setattr(Q, "opened", counted)
+    for split in Q.FastqReader({"path": str(tmp_path / "a.fastq"), "splitbytes": "16384"}).partitions()[:20]:
+        assert list(Q.split_records(split))
+    assert sum(read) < 20 * 4 * 16384
+
+
 def test_blocks_smaller_than_records(tmp_path, monkeypatch):
     reads = tricky(60, 3)
     (tmp_path / "a.fastq").write_text("".join(f"@{i}{' ' * bool(c)}{c}\n{s}\n+\n{q}\n" for i, c, s, q in reads))
