@@ -157,23 +157,30 @@ def amplicon_motif_counts(pairs: DataFrame, bc_pairs: DataFrame, motifs: list[st
     return out.withColumn("pcnt", F.round(100 * F.col("with_motif") / F.col("reads"), 4))
 
 
-def split_pairs(aln: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:
-    """Alignments of pairs to keep and the rest, by (sample_id, qname).
+def mark_pairs(aln: DataFrame, mode: str) -> DataFrame:
+    """Alignments with a column ``keep``, the same for the mates of a pair (sample_id, qname).
 
     concordant: both mates or neither are mapped; any_mapped: at least one is; nondup: neither has
-    the duplicate bit.
+    the duplicate bit. Alignments are read, shuffled and sorted once; those without a sample or name go.
     """
-    flag = F.col("flag")
-    keys = ["sample_id", "qname"]
-    facts = aln.groupBy(*keys).agg(F.max(bases.has_bit(flag, 4)).alias("any_off"), F.min(bases.has_bit(flag, 4)).alias("all_off"), F.max(bases.has_bit(flag, 1024)).alias("dup"))
-    keep = {"concordant": F.col("any_off") == F.col("all_off"), "any_mapped": ~F.col("all_off"), "nondup": ~F.col("dup")}[mode]
-    marked = aln.join(facts.select(*keys, keep.alias("keep")), keys)
+    from pyspark.sql import Window
+
+    flag, keys = F.col("flag"), ["sample_id", "qname"]
+    pair = Window.partitionBy(*keys)
+    any_off, all_off = (f(bases.has_bit(flag, 4)).over(pair) for f in (F.max, F.min))
+    keep = {"concordant": any_off == all_off, "any_mapped": ~all_off, "nondup": ~F.max(bases.has_bit(flag, 1024)).over(pair)}[mode]
+    return aln.dropna(subset=keys).withColumn("keep", keep).filter("keep is not null")
+
+
+def split_pairs(aln: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:
+    """Alignments of pairs to keep and the rest, by ``mark_pairs``."""
+    marked = mark_pairs(aln, mode)
     return marked.filter("keep").drop("keep"), marked.filter("not keep").drop("keep")
 
 
 def unmap_broken_pairs(aln: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All pairs, those with one mate mapped rewritten as unmapped; and the originals of these."""
-    kept, broken = split_pairs(aln, "concordant")
+    marked = mark_pairs(aln, "concordant")
     first = bases.has_bit(F.col("flag"), 64)
     as_off = {
         "flag": F.when(first, 77).otherwise(141),
@@ -185,8 +192,8 @@ def unmap_broken_pairs(aln: DataFrame) -> tuple[DataFrame, DataFrame]:
         "pnext": F.lit(0),
         "tlen": F.lit(0),
     }
-    off = broken.withColumns({c: v.cast(broken.schema[c].dataType) for c, v in as_off.items() if c in broken.columns})
-    return kept.unionByName(off), broken
+    every = marked.withColumns({c: F.when(F.col("keep"), F.col(c)).otherwise(v.cast(aln.schema[c].dataType)) for c, v in as_off.items() if c in aln.columns})
+    return every.drop("keep"), marked.filter("not keep").drop("keep")
 
 
 def unaligned_reads(aln: DataFrame, n: int) -> DataFrame:

@@ -98,9 +98,7 @@ FACTS = "facts AS (SELECT sample_id, qname, max((flag & 4)::INT) > 0 AS any_off,
 def _split_pairs(mode: str, keep: str):
     @query(f"p12_split_pairs_{mode}", "alignments", sql=FACTS + f"SELECT sample_id, qname, flag, {keep} AS kept FROM alignments JOIN facts USING (sample_id, qname)")
     def split(alignments):
-        kept, rest = R.split_pairs(alignments, mode)
-        out = kept.withColumn("kept", F.lit(True)).unionByName(rest.withColumn("kept", F.lit(False)))
-        return out.select("sample_id", "qname", "flag", "kept")
+        return R.mark_pairs(alignments.select("sample_id", "qname", "flag"), mode).withColumnRenamed("keep", "kept")
 
 
 for _mode, _keep in (("concordant", "any_off = all_off"), ("any_mapped", "NOT all_off"), ("nondup", "NOT dup")):
@@ -115,7 +113,7 @@ for _mode, _keep in (("concordant", "any_off = all_off"), ("any_mapped", "NOT al
 CASE WHEN any_off = all_off THEN pos ELSE 0 END AS pos, CASE WHEN any_off = all_off THEN cigar ELSE '*' END AS cigar FROM alignments JOIN facts USING (sample_id, qname)""",
 )
 def p13_unmap_broken_pairs(alignments):
-    return R.unmap_broken_pairs(alignments)[0].select("sample_id", "qname", "flag", "rname", "pos", "cigar")
+    return R.unmap_broken_pairs(alignments.select("sample_id", "qname", "flag", "rname", "pos", "cigar"))[0]
 
 
 @query(

@@ -16,8 +16,11 @@ from seqloom.operators import norm as N
 from seqloom.operators import reads as R
 from seqloom.operators import sampling as M
 from seqloom.operators.matching import containing
+from seqloom.plans import fixtures, registry
 from seqloom.sources import sparse
 
+registry.load()
+
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
@@ -206,3 +209,32 @@ def test_order_zeros_and_odd_names(spark, tmp_path):
 def test_genes_that_samples_do_not_share(spark):
     counts = spark.createDataFrame([("g1", "s1", 1), ("g1", "s2", 1), ("g2", "s1", 1), ("g3", "s1", 1), ("g3", "s1", 1)], "gene string, sample_id string, n long")
     assert sorted(map(tuple, sparse.uneven_genes(counts).collect())) == [("g2", 1, 1), ("g3", 1, 2)]
+
+
+# --- one pass over what is read
+
+
+def scans(df):
+    return plan_of(df).count("FileScan")
+
+
+def test_mates_are_made_from_one_pass_over_pairs(spark):
+    sf = "/root/testdata/sf0.001"
+    got = fixtures.frame(spark, sf, "alignments")
+    want = spark.sql(fixtures.FIXTURES["alignments"], pairs=fixtures.frame(spark, sf, "pairs"))
+    assert got.dtypes == want.dtypes and scans(got) == 1
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+@pytest.mark.parametrize("name", ["p12_split_pairs_concordant", "p12_split_pairs_any_mapped", "p12_split_pairs_nondup", "p13_unmap_broken_pairs"])
+def test_pairs_are_split_in_one_shuffle(spark, name):
+    plan = plan_of(registry.QUERIES[name](spark, "/root/testdata/sf0.001"))
+    assert plan.count("FileScan") == 1 and plan.count("Exchange ") == 1
+
+
+def test_marked_pairs_without_names_go(spark):
+    rows = [("s", "a", 99), ("s", "a", 4), ("s", "b", 1024), ("s", "b", 0), ("s", None, 0), (None, "c", 0), ("s", "d", None)]
+    aln = spark.createDataFrame(rows, "sample_id string, qname string, flag int")
+    got = {m: sorted((r["qname"], r["flag"], r["keep"]) for r in R.mark_pairs(aln, m).collect()) for m in ("concordant", "nondup")}
+    assert got["concordant"] == [("a", 4, False), ("a", 99, False), ("b", 0, True), ("b", 1024, True)]
+    assert got["nondup"] == [("a", 4, True), ("a", 99, True), ("b", 0, False), ("b", 1024, False)]
