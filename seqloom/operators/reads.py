@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from seqloom.functions import bases
 from seqloom.functions.protocols import Protocol
-from seqloom.operators.matching import containing
+from seqloom.operators.matching import text_containing
 
 AMBIGUOUS, NO_MATCH = "ambiguous", "no_match"
 #: Any base that no barcode has counts as this one: it differs from all of theirs.
@@ -152,7 +152,7 @@ def amplicon_motif_counts(pairs: DataFrame, bc_pairs: DataFrame, motifs: list[st
     first, second = F.substring("r1_seq", 1, head), F.substring("r2_seq", 1, head)
     any_motif = F.greatest(F.lit(0), *[F.when(F.contains("r1_seq", F.lit(m)) | F.contains("r2_seq", F.lit(m)), 1).otherwise(0) for m in motifs])
     looked = pairs.select("sample_id", first.alias("_first"), second.alias("_second"), any_motif.alias("_motif"))
-    met = containing(looked, F.array("_first"), bc_pairs, "bc1").filter(F.contains("_second", F.col("bc2")))
+    met = text_containing(looked, "_first", bc_pairs, "bc1").filter(F.contains("_second", F.col("bc2")))
     out = met.groupBy("sample_id", "well").agg(F.count(F.lit(1)).alias("reads"), F.sum("_motif").alias("with_motif"))
     return out.withColumn("pcnt", F.round(100 * F.col("with_motif") / F.col("reads"), 4))
 

@@ -15,7 +15,7 @@ from seqloom.operators import keys as K
 from seqloom.operators import norm as N
 from seqloom.operators import reads as R
 from seqloom.operators import sampling as M
-from seqloom.operators.matching import containing
+from seqloom.operators.matching import containing, text_containing
 from seqloom.plans import fixtures, registry
 from seqloom.sources import sparse
 
@@ -238,3 +238,17 @@ def test_marked_pairs_without_names_go(spark):
     got = {m: sorted((r["qname"], r["flag"], r["keep"]) for r in R.mark_pairs(aln, m).collect()) for m in ("concordant", "nondup")}
     assert got["concordant"] == [("a", 4, False), ("a", 99, False), ("b", 0, True), ("b", 1024, True)]
     assert got["nondup"] == [("a", 4, True), ("a", 99, True), ("b", 0, False), ("b", 1024, False)]
+
+
+
+def test_one_text_a_row_is_cut_without_lists(spark):
+    r = random.Random(5)
+    word = lambda n: "".join(r.choice("AC") for _ in range(n))
+    df = spark.createDataFrame([(k, word(r.randint(0, 30))) for k in range(80)] + [(98, None), (99, "")], "k int, text string")
+    patterns = spark.createDataFrame([(f"p{k}", word(r.randint(3, 8))) for k in range(30)] + [("null", None)], "name string, pattern string")
+    found = text_containing(df, "text", patterns, "pattern")
+    rows = lambda d: Counter((x["k"], x["name"]) for x in d.collect())
+    assert rows(found) == rows(containing(df, F.array("text"), patterns, "pattern")) and found.count()
+    assert found.columns == ["k", "text", "name", "pattern"]
+    plan = plan_of(registry.QUERIES["p15_amplicon_motif_counts"](spark, "/root/testdata/sf0.001"))
+    assert "array_distinct" not in plan and "lambda" not in plan
