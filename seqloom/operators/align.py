@@ -294,32 +294,29 @@ def quality_sum(qual: Column) -> Column:
     return total(qual)
 
 
-def mark_duplicates(aln: DataFrame, salts: int = 32) -> DataFrame:
+def mark_duplicates(aln: DataFrame, piled: int = 100_000) -> DataFrame:
     """(sample_id, qname, duplicate) of pairs with both mates mapped.
 
     Pairs of one sample with the same 5' positions and orientations of both mates are copies; all
     but the one with the best sum of base qualities (then the first name) are duplicates. Pairs are
-    made once and written, with their place as two 64-bit hashes. Places of one pair, which most are, go no further; the
-    best pair of the others is a grouped minimum, joined back in ``salts`` parts of the
-    place, so piled-up places neither are sorted nor meet in one task.
+    made once and written, with their place as two 64-bit hashes, and sorted by place. Places of more than ``piled``
+    pairs, which are few, are neither sorted nor met in one task: the best pair of each is a grouped maximum, sent to all tasks.
     """
     mapped = primary(aln).filter(~has_bit(F.col("flag"), 4))
-    rev = has_bit(F.col("flag"), 16)
-    five = F.when(rev, F.col("pos") + cigar_ref_len(F.col("cigar"))).otherwise(F.col("pos").cast("long"))
-    end = [F.xxhash64(F.lit(k), "rname", five, rev).alias(f"e{k}") for k in (1, 2)]
-    sized = mapped.select(*KEYS, "flag", *end, quality_sum(F.col("qual")).alias("q"))
-    pairs = mates(sized, "e1", "e2", "q").filter("r1 is not null and r2 is not null")
-    place = [F.xxhash64("sample_id", f"r1.e{k}", f"r2.e{k}").alias(f"p{k}") for k in (1, 2)]
+    five = F.when(has_bit(F.col("flag"), 16), F.col("pos") + cigar_ref_len(F.col("cigar"))).otherwise(F.col("pos").cast("long"))
+    sized = mapped.select(*KEYS, "flag", "rname", five.alias("five"), quality_sum(F.col("qual")).alias("q"))
+    pairs = mates(sized, "rname", "five", "q").filter("r1 is not null and r2 is not null")
+    ends = [c for r in ("r1", "r2") for c in (F.coalesce(f"{r}.rname", F.lit("")), F.coalesce(f"{r}.five", F.lit(-1)), has_bit(F.col(f"{r}.flag"), 16))]
+    place = [F.xxhash64(F.lit(k), F.col("sample_id"), *ends).alias(f"p{k}") for k in (1, 2)]
     keyed = Table(pairs.select(*KEYS, *place, (F.col("r1.q") + F.col("r2.q")).alias("q"))).df
-    best = keyed.groupBy("p1", "p2").agg(F.count(F.lit(1)).alias("n"), F.max("q").alias("best")).filter("n > 1")
-    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
-    spread = best.select("p1", "p2", "best", every)
-    salted = keyed.withColumn("salt", F.pmod(F.xxhash64("qname"), F.lit(salts)).cast("int"))
-    met = Table(salted.join(spread, ["p1", "p2", "salt"], "left")).df
-    # of the best of a place, often one, the first name stays
-    first = met.filter("q = best").groupBy("p1", "p2").agg(F.min("qname").alias("first")).select("p1", "p2", "first", every)
-    tied = met.filter("q = best").join(first, ["p1", "p2", "salt"]).select(*KEYS, (F.col("qname") != F.col("first")).alias("duplicate"))
-    return met.filter("best is null or q < best").select(*KEYS, F.col("best").isNotNull().alias("duplicate")).unionByName(tied)
+    piles = F.broadcast(keyed.groupBy("p1").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > piled).select("p1"))
+    order = Window.partitionBy("p1", "p2").orderBy(F.desc("q"), "qname")
+    usual = keyed.join(piles, "p1", "left_anti").select(*KEYS, (F.row_number().over(order) > 1).alias("duplicate"))
+    many = keyed.join(piles, "p1", "left_semi")
+    best = F.broadcast(many.groupBy("p1", "p2").agg(F.max("q").alias("best")))
+    first = F.broadcast(many.join(best, ["p1", "p2"]).filter("q = best").groupBy("p1", "p2").agg(F.max("best").alias("best"), F.min("qname").alias("first")))
+    copies = many.join(first, ["p1", "p2"]).select(*KEYS, ((F.col("q") < F.col("best")) | (F.col("qname") != F.col("first"))).alias("duplicate"))
+    return usual.unionByName(copies)
 
 
 def umi_collapse(aln: DataFrame, by: str = "coordinate", features: Column | None = None) -> DataFrame:

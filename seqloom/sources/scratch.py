@@ -31,7 +31,7 @@ class Table:
 
     def __init__(self, df: DataFrame):
         self.path = scratch(df.sparkSession)
-        df.write.parquet(self.path)
+        df.write.parquet(self.path, compression="zstd")
         self.df = df.sparkSession.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:

@@ -240,6 +240,20 @@ def test_marked_pairs_without_names_go(spark):
     assert got["nondup"] == [("a", 4, True), ("a", 99, True), ("b", 0, False), ("b", 1024, False)]
 
 
+def test_duplicates_of_piled_and_usual_places(spark):
+    r = random.Random(4)
+    rows, pairs = [], {}
+    for k in range(300):
+        sample, pos, rev, quals = r.choice("st"), r.choice([5, 5, 5, 9, 30 + k]), r.choice([0, 16]), ["".join(r.choice("#5I") for _ in range(2)) for _ in "12"]
+        rows += [(sample, f"q{k:03}", 65 + rev, "c", pos, "4M", 0, "ACGT", quals[0]), (sample, f"q{k:03}", 129, "c", pos + 9, "4M", 0, "ACGT", quals[1])]
+        pairs.setdefault((sample, pos, rev), []).append((-sum(map(ord, "".join(quals))), f"q{k:03}"))
+    want = {q: q != min(own)[1] for own in pairs.values() for _, q in own}
+    aln = spark.createDataFrame(rows, "sample_id string, qname string, flag int, rname string, pos int, cigar string, tlen int, seq string, qual string")
+    for piled in (0, 20, 100_000):
+        out = A.mark_duplicates(aln, piled=piled)
+        assert {x["qname"]: x["duplicate"] for x in out.collect()} == want
+        assert plan_of(out).count("SortMergeJoin") == 0
+
 
 def test_one_text_a_row_is_cut_without_lists(spark):
     r = random.Random(5)
