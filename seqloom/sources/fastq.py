@@ -221,6 +221,25 @@ def _named(part: str | None) -> str:
     return re.sub(r"[^\w+=,-]", "_", part) if part else "none"
 
 
+class _Packed(gzip.GzipFile):
+    """A gzip stream that closes the file below it; at level 1, as bases and qualities leave little to longer searches."""
+
+    def __init__(self, below: pa.NativeFile):
+        super().__init__(fileobj=below, mode="wb", compresslevel=1, mtime=0)
+        self.below = below
+
+    def close(self) -> None:
+        try:
+            super().close()
+        finally:
+            self.below.close()
+
+
+def _written(fs: pafs.FileSystem, path: str, pack: bool) -> BinaryIO:
+    stream = fs.open_output_stream(path, compression=None)
+    return _Packed(stream) if pack else stream
+
+
 class FastqWriter(DataSourceArrowWriter):
     """Rows (file_prefix, barcode, mate, name, seq, qual), those of one bucket after one another, to files.
 
@@ -253,7 +272,7 @@ class FastqWriter(DataSourceArrowWriter):
                         fs.create_dir(here, recursive=True)
                         final = f"{_named(bucket[0])}_{_named(bucket[1])}_R{bucket[2]}.{task:05d}.fastq{'.gz' if self.packed else ''}"
                         out.files.append((f"{here}/{final}", f"{root}/{final}"))
-                        stream = fs.open_output_stream(f"{here}/{final}", compression="gzip" if self.packed else None)
+                        stream = _written(fs, f"{here}/{final}", self.packed)
                     stream.write("".join([f"@{n or ''}\n{s or ''}\n+\n{q or ''}\n" for n, s, q in zip(name[begin:end], seq[begin:end], qual[begin:end], strict=True)]).encode())
                     begin = end
             if stream is not None:

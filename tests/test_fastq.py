@@ -192,3 +192,12 @@ def test_writing_over_a_folder_is_refused(spark, tmp_path):
     (tmp_path / "out").mkdir()
     with pytest.raises(Exception, match="out"):
         Q.write_demux(demuxed(spark), str(tmp_path / "out"))
+
+
+def test_packed_files_take_the_quick_level(spark, tmp_path):
+    reads = spark.createDataFrame([("l", "AC", 0, "r0", "ACGT" * 9, "I" * 36)], "file_prefix string, barcode string, ord long, name string, seq string, qual string")
+    Q.write_demux(reads, str(tmp_path / "out"), compression="gzip")
+    (file,) = (tmp_path / "out").glob("*.gz")
+    packed = file.read_bytes()
+    assert packed[8] == 4  # made for speed, says the header
+    assert gzip.decompress(packed).decode() == f"@r0\n{'ACGT' * 9}\n+\n{'I' * 36}\n"
