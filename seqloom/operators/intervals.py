@@ -6,7 +6,7 @@ Intervals are (acc, start_pos, end_pos) with inclusive ends, 1-based.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -174,7 +174,8 @@ def coverage(frags: DataFrame, size: int = BIN) -> DataFrame:
     ends = F.array(F.struct(F.col("start_pos").alias("p"), F.lit(1).alias("d")), F.struct((F.col("end_pos") + 1).alias("p"), F.lit(-1).alias("d")))
     own = frags.filter("start_pos > 0 and end_pos > 0 and strand in ('+', '-')").select("sample_id", "acc", plus.alias("x"), minus.alias("y"), F.explode(ends).alias("e"))
     events = own.groupBy("sample_id", "acc", F.col("e.p").cast("long").alias("pos")).agg(F.sum(F.col("e.d") * F.col("x")).alias("dx"), F.sum(F.col("e.d") * F.col("y")).alias("dy"))
-    events = events.withColumn("bin", F.floor(F.col("pos") / size))
+    # without nulls on either side of the join, so that Spark adds no condition to one side only and reads and shuffles both as one
+    events = events.dropna(subset=["sample_id", "acc", "pos"]).withColumn("bin", F.coalesce(F.floor(F.col("pos") / size), F.lit(0)))
     bins = events.groupBy("sample_id", "acc", "bin").agg(F.sum("dx").alias("bx"), F.sum("dy").alias("by"), F.min("pos").alias("first"))
     over = Window.partitionBy("sample_id", "acc").orderBy("bin")
     before = over.rowsBetween(Window.unboundedPreceding, -1)
@@ -202,8 +203,8 @@ def smoothed_coverage(runs: DataFrame, window: int, stranded: bool = True, size:
     half = window // 2
     before, after = (half, half - 1) if window > 1 else (0, 0)  # positions in reach of each
 
-    def smooth(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
-        sample, acc, at = key
+    def smooth(key: tuple, own: pa.Table) -> pa.Table:
+        sample, acc, at = key[0], key[1], key[2].as_py()
         low = at * size - before
         places = size + before + after
         a, b = np.clip(own["start_pos"].to_numpy() - low, 0, places), np.clip(own["end_pos"].to_numpy() + 1 - low, 0, places)
@@ -216,11 +217,12 @@ def smoothed_coverage(runs: DataFrame, window: int, stranded: bool = True, size:
             return sums[before + after + 1 :] - sums[: len(sums) - before - after - 1]
 
         reached = np.nonzero(around(np.ones(len(own), np.int64)))[0]
-        means = {c: around(own[c].to_numpy(np.int64))[reached] / (before + after + 1) for c in ("plus", "minus")}
-        return pd.DataFrame({"sample_id": sample, "acc": acc, "pos": at * size + reached, **means})
+        means = [around(own[c].to_numpy().astype(np.int64))[reached] / (before + after + 1) for c in ("plus", "minus")]
+        named = [pa.repeat(x, len(reached)) for x in (sample, acc)]  # strings that numpy never sees
+        return pa.table([*named, pa.array(at * size + reached), *map(pa.array, means)], ["sample_id", "acc", "pos", "plus", "minus"])
 
     reach = F.explode(F.sequence(F.floor((F.col("start_pos") - after) / size), F.floor((F.col("end_pos") + before) / size))).alias("bin")
-    mean = runs.select("sample_id", "acc", "start_pos", "end_pos", "plus", "minus", reach).groupBy("sample_id", "acc", "bin").applyInPandas(smooth, "sample_id string, acc string, pos long, plus double, minus double")
+    mean = runs.select("sample_id", "acc", "start_pos", "end_pos", "plus", "minus", reach).groupBy("sample_id", "acc", "bin").applyInArrow(smooth, "sample_id string, acc string, pos long, plus double, minus double")
     if stranded:
         return mean.select("sample_id", "acc", "pos", "plus", (0 - F.col("minus")).alias("minus"))
     return mean.select("sample_id", "acc", "pos", (F.col("plus") + F.col("minus")).alias("depth"))

@@ -107,8 +107,7 @@ near AS (SELECT sample_id, acc, pos + k AS pos, plus, minus FROM dense, (SELECT
 SELECT sample_id, acc, pos, round(sum(plus) / 10, 6) AS plus, round(-sum(minus) / 10, 6) AS minus FROM near GROUP BY ALL""",
 )
 def i8_smoothed_coverage(frags):
-    out = I.smoothed_coverage(I.coverage(frags), 10)
-    return out.withColumns({c: F.round(c, 6) for c in ("plus", "minus")})
+    return I.smoothed_coverage(I.coverage(frags), 10)  # whole numbers by ten, which rounding leaves as they are
 
 
 BODY = EVENTS + """, dense AS (SELECT sample_id, acc, unnest(range(start_pos, end_pos + 1)) AS pos, plus, minus FROM covered),

@@ -266,3 +266,14 @@ def test_one_text_a_row_is_cut_without_lists(spark):
     assert found.columns == ["k", "text", "name", "pattern"]
     plan = plan_of(registry.QUERIES["p15_amplicon_motif_counts"](spark, "/root/testdata/sf0.001"))
     assert "array_distinct" not in plan and "lambda" not in plan
+
+
+def test_smoothing_hands_over_no_pandas_frames(spark):
+    plan = plan_of(registry.QUERIES["i8_smoothed_coverage"](spark, "/root/testdata/sf0.001"))
+    assert "FlatMapGroupsInArrow" in plan and "round(" not in plan[: plan.index("FlatMapGroupsInArrow")]
+
+
+def test_coverage_reads_fragments_once(spark):
+    out = I.coverage(fixtures.frame(spark, "/root/testdata/sf0.001", "frags"))
+    assert out.collect()
+    assert "ReusedExchange" in plan_of(out).partition("Initial Plan")[0]
