@@ -326,7 +326,10 @@ def umi_collapse(aln: DataFrame, by: str = "coordinate", features: Column | None
     """
     mapped = primary(aln).filter(~has_bit(F.col("flag"), 4))
     place = F.concat_ws(":", "rname", "pos", F.when(has_bit(F.col("flag"), 16), "-").otherwise("+")) if by == "coordinate" else features
-    return mapped.select("sample_id", "qname", extract_umi(F.col("qname")).alias("umi"), place.alias("place")).groupBy("sample_id", "place", "umi").agg(F.min("qname").alias("qname"), F.count(F.lit(1)).alias("reads"))
+    keyed = mapped.select("sample_id", "qname", extract_umi(F.col("qname")).alias("umi"), place.alias("place"))
+    # a minimum of names makes Spark sort, which a leading number does by radix in place of comparing texts
+    lead = F.xxhash64("sample_id", "place", "umi").alias("_lead")
+    return keyed.groupBy(lead, "sample_id", "place", "umi").agg(F.min("qname").alias("qname"), F.count(F.lit(1)).alias("reads")).drop("_lead")
 
 
 def collapse_stats(sizes: DataFrame) -> DataFrame:

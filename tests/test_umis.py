@@ -90,3 +90,29 @@ def test_reads_without_a_umi_and_unmapped_ones(spark):
     got = {tuple(r) for r in umis.umi_network(spark.createDataFrame(rows, READS)).select("place", "umi", "qname", "umis", "reads").collect()}
     assert got == {("c:1:+", None, "plain", 1, 2), ("c:1:+", "AAAAAA", "y:umi_AAAAAA", 1, 1)}
     assert umis.umi_network(spark.createDataFrame([], READS)).collect() == []
+
+
+def test_small_places_are_settled_after_one_shuffle(spark):
+    """Neither links nor tops of places that fit a task are joined or shuffled by masking."""
+    places = {("s", k): {"AAAAAA": 3, "AAAAAC": 1, "GGGGGG": 1} for k in range(5)}
+    plan = umis.umi_network(reads_of(spark, places))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
+
+
+def test_batches_cut_places_nowhere(spark, monkeypatch):
+    monkeypatch.setattr(umis, "BATCH_LINKS", 3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        counts = [("AAAAAA", 9), ("AAAAAC", 4), ("AAAACC", 1), ("GGGGGG", 1), ("GGGGGT", 1)]
+        places = {("s", k): dict(counts[: k + 1]) for k in range(5)}
+        assert Counter(map(tuple, umis.umi_network(reads_of(spark, places)).select("sample_id", "place", "umi", "qname", "umis", "reads").collect())) == want(places)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_reads_without_a_place_are_linked_with_none(spark):
+    from pyspark.sql import functions as F
+
+    rows = [("s", f"r{k}:umi_{u}", 0, None, 1) for u, n in (("AAAAAA", 3), ("AAAAAC", 1)) for k in range(n)]
+    got = {tuple(r) for r in umis.umi_network(spark.createDataFrame(rows, READS), "feature", F.col("rname")).select("place", "umi", "umis", "reads").collect()}
+    assert got == {(None, "AAAAAA", 1, 3), (None, "AAAAAC", 1, 1)}
