@@ -12,15 +12,17 @@ import gzip
 import posixpath
 import re
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
@@ -33,6 +35,8 @@ BLOCK = 4 << 20
 SPLIT = 128 << 20
 #: Least bytes that are read at a time.
 TAIL = 1 << 14
+#: Buckets of a task whose files are open at a time.
+OPEN = 256
 
 
 def file_system(path: str) -> tuple[pafs.FileSystem, str]:
@@ -206,6 +210,118 @@ class FastqReader(DataSourceReader):
         return split_records(partition)
 
 
+# --- pairs of files ---------------------------------------------------------------------------------
+
+PAIRS_SCHEMA = "file string, ord long, " + ", ".join(f"r{k}_{c} string" for k in (1, 2) for c in ("name", "seq", "qual"))
+PAIRS = pa.schema([("file", pa.string()), ("ord", pa.int64()), *[(f"r{k}_{c}", pa.string()) for k in (1, 2) for c in ("name", "seq", "qual")]])
+
+
+def mate_of(path: str) -> str | None:
+    """The path of the second mates of a file of first ones, whose name holds ``_R1`` before a dot, ``_`` or its end; else None."""
+    folder, name = posixpath.split(path)
+    at = [m.start() for m in re.finditer(r"_R[12](?=[._]|$)", name)]
+    return f"{folder}/{name[: at[-1]]}_R2{name[at[-1] + 3 :]}" if at and name[at[-1] + 2] == "1" else None
+
+
+def _cut_lines(data: bytes) -> tuple[list[pa.Array], bytes]:
+    """Name, seq and qual of the whole records at the start of ``data``, which ends with a line, and the lines that are left.
+
+    Columns are gathered by Arrow from places that numpy finds, without a Python object a line.
+    """
+    if not data.isascii():
+        data = data.decode("utf-8", "replace").encode()
+    text = np.frombuffer(data, np.uint8)
+    ends = np.flatnonzero(text == 10)
+    ends = ends[: len(ends) // 4 * 4]
+    if not len(ends):
+        return [pa.array([], pa.string())] * 3, data
+    after = int(ends[-1]) + 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    while (returns := (ends > starts) & (text[ends - 1] == 13)).any():
+        ends = ends - returns
+    starts[::4] = np.minimum(starts[::4] + 1, ends[::4])  # without the @
+    cuts = np.stack([starts.reshape(-1, 4), ends.reshape(-1, 4)], axis=2)[:, [0, 1, 3]].astype(np.int32).ravel()
+    pieces = pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(data))
+    return [pieces.take(pa.array(np.arange(k, len(cuts), 6))) for k in (0, 2, 4)], data[after:]
+
+
+def whole_records(path: str) -> Iterator[pa.RecordBatch]:
+    """(name, seq, qual) of the reads of a file, in order; a record that the file ends within is left out."""
+    with opened(path) as stream:
+        rest = b""
+        while block := stream.read(BLOCK):
+            data = rest + block
+            whole = data.rfind(b"\n") + 1  # a character may go on in the next block, no line that has ended does
+            columns, lines = _cut_lines(data[:whole])
+            rest = lines + data[whole:]
+            if len(columns[0]):
+                yield pa.RecordBatch.from_arrays(columns, ["name", "seq", "qual"])
+        columns, _ = _cut_lines(rest + b"\n") if rest and not rest.endswith(b"\n") else _cut_lines(b"")
+        if len(columns[0]):
+            yield pa.RecordBatch.from_arrays(columns, ["name", "seq", "qual"])
+
+
+def split_pairs(one: str, two: str) -> Iterator[pa.RecordBatch]:
+    """The reads of two files, read in step and put side by side."""
+    sides, held, nth = [whole_records(one), whole_records(two)], [None, None], 0
+    while True:
+        held = [b if b is not None and b.num_rows else next(side, None) for b, side in zip(held, sides, strict=True)]
+        if None in held:
+            if held != [None, None]:
+                raise ValueError(f"{one} and {two} hold different numbers of reads")
+            return
+        n = min(b.num_rows for b in held)
+        columns = [c for b in held for c in b.slice(0, n).columns]
+        yield pa.RecordBatch.from_arrays([pa.repeat(one, n), pa.array(np.arange(nth, nth + n)), *columns], schema=PAIRS)
+        held, nth = [b.slice(n) for b in held], nth + n
+
+
+@dataclass
+class PairSplit(InputPartition):
+    """Pairs of files that a task reads after one another."""
+
+    pairs: list[tuple[str, str]]
+
+    def __post_init__(self) -> None:
+        self.value = self.pairs[0][0]
+
+
+class FastqPairsReader(DataSourceReader):
+    def __init__(self, options: dict[str, str]):
+        self.path, self.tasks = options["path"], int(options.get("tasks", 1))
+
+    def partitions(self) -> list[PairSplit]:
+        sizes = dict(listed(self.path))
+        twos = {name: two for name in sizes if (two := mate_of(name))}
+        if lost := sorted(set(sizes) ^ (set(twos) | set(twos.values()))):
+            raise FileNotFoundError(f"{lost[0]}: not one of a pair of files _R1 and _R2, or one of the two is missing")
+        part, out, held = min(SPLIT, sum(sizes.values()) // self.tasks), [], 0
+        for one, two in twos.items():
+            if not out or held >= part:
+                out.append(PairSplit([(one, two)]))
+                held = 0
+            else:
+                out[-1].pairs.append((one, two))
+            held += sizes[one] + sizes[two]
+        return out
+
+    def read(self, partition: PairSplit) -> Iterator[pa.RecordBatch]:
+        for one, two in partition.pairs:
+            yield from split_pairs(one, two)
+
+
+class FastqPairsSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "fastq_pairs"
+
+    def schema(self) -> str:
+        return PAIRS_SCHEMA
+
+    def reader(self, schema) -> FastqPairsReader:
+        return FastqPairsReader(self.options)
+
+
 # --- writing ----------------------------------------------------------------------------------------
 
 
@@ -240,10 +356,19 @@ def _written(fs: pafs.FileSystem, path: str, pack: bool) -> BinaryIO:
     return _Packed(stream) if pack else stream
 
 
+def _record_text(batch: pa.RecordBatch, tag: str) -> pa.Array:
+    """The FASTQ text of each row of a batch."""
+    name, seq, qual = (pc.fill_null(batch.column(tag + c).cast(pa.large_binary()), b"") for c in ("name", "seq", "qual"))
+    at, end, plus, none = (pa.scalar(x, pa.large_binary()) for x in (b"@", b"\n", b"\n+\n", b""))
+    return pc.binary_join_element_wise(at, name, end, seq, plus, qual, end, none)
+
+
 class FastqWriter(DataSourceArrowWriter):
-    """Rows (file_prefix, barcode, mate, name, seq, qual), those of one bucket after one another, to files.
+    """Rows (file_prefix, barcode, mate, name, seq, qual), or (file_prefix, barcode, r1_name ... r2_qual) for pairs, to a file
+    for each bucket and mate; the mates of pairs go to two files in the same order.
 
-    A task writes to a folder of its own attempt under ``_temporary``. The job's commit moves the
+    Rows of a bucket keep their order and need not follow one another. Up to ``OPEN`` buckets have their files open; where a task has more, the one that
+    was written longest ago is closed and goes on in a further file. A task writes to a folder of its own attempt under ``_temporary``. The job's commit moves the
     files of the committed attempts to their places; its abort, or commit, removes the rest.
     """
 
@@ -255,31 +380,55 @@ class FastqWriter(DataSourceArrowWriter):
         task, attempt = context.partitionId(), context.taskAttemptId()
         fs, root = file_system(self.path)
         here = f"{root}/_temporary/{self.job}/{task}-{attempt}"
-        out, bucket, stream = Written(), None, None
+        out, streams, parts = Written(), {}, Counter()
+
+        def close(bucket: tuple) -> None:
+            for stream in streams.pop(bucket):
+                stream.close()
+
+        def streams_of(bucket: tuple, mates: list[int]) -> list[BinaryIO]:
+            if bucket in streams:
+                streams[bucket] = streams.pop(bucket)  # the latest
+                return streams[bucket]
+            if len(streams) >= OPEN:
+                close(next(iter(streams)))
+            fs.create_dir(here, recursive=True)
+            streams[bucket], part = [], f"-{parts[bucket]}" if parts[bucket] else ""
+            parts[bucket] += 1
+            for mate in mates:
+                final = f"{bucket[0]}_{bucket[1]}_R{mate}.{task:05d}{part}.fastq{'.gz' if self.packed else ''}"
+                out.files.append((f"{here}/{final}", f"{root}/{final}"))
+                streams[bucket].append(_written(fs, f"{here}/{final}", self.packed))
+            return streams[bucket]
+
         try:
             for batch in iterator:
-                prefix, barcode, mate, name, seq, qual = (batch.column(c).to_pylist() for c in ("file_prefix", "barcode", "mate", "name", "seq", "qual"))
-                keys = list(zip(prefix, barcode, mate, strict=True))
+                if not batch.num_rows:
+                    continue
+                tags = [t for t in ("r1_", "r2_") if f"{t}seq" in batch.schema.names] or [""]
+                keys, codes = [], np.zeros(batch.num_rows, np.int64)
+                for c in (c for c in ("file_prefix", "barcode", "mate") if c in batch.schema.names):
+                    own = batch.column(c).dictionary_encode(null_encoding="encode")
+                    called = [x if c == "mate" else _named(x) for x in own.dictionary.to_pylist()]
+                    nth = {x: k for k, x in enumerate(dict.fromkeys(called))}
+                    at = np.array([nth[x] for x in called])[own.indices.to_numpy()]
+                    keys.append((list(nth), at))
+                    codes = codes * len(nth) + at
+                order = np.argsort(codes, kind="stable")
+                ends = np.append(np.flatnonzero(np.diff(codes[order])) + 1, len(order))
+                texts = [_record_text(batch, t).take(pa.array(order)) for t in tags]
+                places = [np.frombuffer(x.buffers()[1], np.int64) for x in texts]
                 begin = 0
-                while begin < len(keys):
-                    end = begin + 1
-                    while end < len(keys) and keys[end] == keys[begin]:
-                        end += 1
-                    if keys[begin] != bucket:
-                        if stream is not None:
-                            stream.close()
-                        bucket = keys[begin]
-                        fs.create_dir(here, recursive=True)
-                        final = f"{_named(bucket[0])}_{_named(bucket[1])}_R{bucket[2]}.{task:05d}.fastq{'.gz' if self.packed else ''}"
-                        out.files.append((f"{here}/{final}", f"{root}/{final}"))
-                        stream = _written(fs, f"{here}/{final}", self.packed)
-                    stream.write("".join([f"@{n or ''}\n{s or ''}\n+\n{q or ''}\n" for n, s, q in zip(name[begin:end], seq[begin:end], qual[begin:end], strict=True)]).encode())
+                for end in ends:
+                    bucket = tuple(called[at[order[begin]]] for called, at in keys)
+                    for stream, text, at in zip(streams_of(bucket, [*bucket[2:]] or [*range(1, len(tags) + 1)]), texts, places, strict=True):
+                        stream.write(memoryview(text.buffers()[2])[at[begin] : at[end]])
                     begin = end
-            if stream is not None:
-                stream.close()
+            for bucket in list(streams):
+                close(bucket)
         except BaseException:
-            if stream is not None:
-                stream.close()
+            for bucket in list(streams):
+                close(bucket)
             if fs.get_file_info(here).type == pafs.FileType.Directory:
                 fs.delete_dir(here)
             raise
@@ -351,23 +500,40 @@ def number_reads(reads: DataFrame) -> DataFrame:
     return numbered.withColumn("ord", F.col("ord").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)) + F.col("_before")).select(*reads.columns)
 
 
-def write_demux(reads: DataFrame, path: str, files: int = 8, compression: str | None = None) -> None:
+def read_fastq_pairs(spark: SparkSession, path: str) -> DataFrame:
+    """(file, ord, r1_name, r1_seq, r1_qual, r2_name, r2_seq, r2_qual) of the pairs of files ``..._R1...`` and ``..._R2...``
+    of a folder or pattern, whose mates are in the same order.
+
+    A task reads both files of a pair in step, so mates meet without a shuffle, and further pairs if they are short; files are not read in ranges. ord counts the pairs of a
+    file from 0. A file without its mate is an error, as are two files of different numbers of reads.
+    """
+    spark.dataSource.register(FastqPairsSource)
+    return spark.read.format(FastqPairsSource.name()).option("tasks", 4 * spark.sparkContext.defaultParallelism).load(path)
+
+
+def _clean(part: str) -> Column:
+    """``_named`` as a column, so that buckets of one file name are one bucket."""
+    return F.when(F.coalesce(F.col(part), F.lit("")) == "", "none").otherwise(F.regexp_replace(part, r"(?U)[^\w+=,-]", "_"))
+
+
+def write_demux(reads: DataFrame, path: str, files: int = 8, compression: str | None = None, dealt: bool = True) -> None:
     """FASTQ files ``<prefix>_<barcode>_R<mate>.<task>.fastq`` of a new folder.
 
     ``reads`` has file_prefix, barcode, ord, and name, seq and qual for single reads or r1_name ... r2_qual
     for pairs, whose files hold the mates in the same order. A bucket is spread over up to
-    ``files`` tasks by a hash of ord, so that unmatched reads do not gather, and is sorted by ord within each. Nulls
+    ``files`` tasks by a hash of ord, so that unmatched reads do not gather, and is sorted by ord within each.
+    If not ``dealt``, reads are neither shuffled nor sorted: each task writes its own, in the order in which they come, which is that of ord where they come from
+    ``read_fastq``; there are then as many files as tasks and buckets, so this is for few buckets or large tasks. Nulls
     are written as empty, a null prefix or barcode as ``none``. All files appear when the job has
     succeeded; a failed one leaves none.
     """
     spark = reads.sparkSession
     spark.dataSource.register(FastqSource)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tags = [t for t in ("r1", "r2") if f"{t}_seq" in reads.columns]
-    fields = ("name", "seq", "qual")
-    mates = [F.struct(F.lit(k).alias("mate"), *[F.col(f"{t}_{c}").alias(c) for c in fields]) for k, t in enumerate(tags, 1)] or [F.struct(F.lit(1).alias("mate"), *fields)]
-    place = ("file_prefix", "barcode")
-    rows = reads.select(*place, "ord", F.pmod(F.xxhash64("ord"), F.lit(files)).alias("_salt"), F.explode(F.array(*mates)).alias("_m")).select(*place, "ord", "_salt", "_m.*")
-    dealt = rows.repartition(n, *place, "_salt").sortWithinPartitions(*place, "mate", "ord")
-    write = dealt.select(*place, "mate", *fields).write.format(FastqSource.name()).mode("append").option("path", path)
+    tags = [t for t in ("r1_", "r2_") if f"{t}seq" in reads.columns] or [""]
+    place, fields = ("file_prefix", "barcode"), [f"{t}{c}" for t in tags for c in ("name", "seq", "qual")]
+    if dealt:  # pairs as one row; buckets of one file name as one bucket
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = reads.select(*[_clean(c).alias(c) for c in place], "ord", *fields)
+        reads = rows.repartition(n, *place, F.pmod(F.xxhash64("ord"), F.lit(files))).sortWithinPartitions(*place, "ord")
+    write = reads.select(*place, *fields).write.format(FastqSource.name()).mode("append").option("path", path)
     (write.option("compression", compression) if compression else write).save()

@@ -201,3 +201,70 @@ def test_packed_files_take_the_quick_level(spark, tmp_path):
     packed = file.read_bytes()
     assert packed[8] == 4  # made for speed, says the header
     assert gzip.decompress(packed).decode() == f"@r0\n{'ACGT' * 9}\n+\n{'I' * 36}\n"
+
+
+@pytest.mark.parametrize("block", [7, 64, 1 << 20])
+def test_pairs_of_files_are_read_in_step(spark, tmp_path, monkeypatch, block):
+    monkeypatch.setattr(Q, "BLOCK", block)
+    one = [(f"r{i} 1", "AC" * (i % 4), "I#" * (i % 4)) for i in range(50)] + [("café 1", "GG", "@+")]
+    two = [(f"r{i} 2", "G", "J" * (i % 3)) for i in range(50)] + [("", "T", "I")]
+    (tmp_path / "l_R1.0.fastq").write_bytes("".join(f"@{n}\r\n{s}\r\n+{n}\r\n{q}\r\n" for n, s, q in one)[:-2].encode())  # the last line has no end
+    (tmp_path / "l_R2.0.fastq").write_text("".join(f"@{n}\n{s}\n+\n{q}\n" for n, s, q in two) + "@cut\nAC\n")
+    got = [r for b in Q.split_pairs(*(str(tmp_path / f"l_R{k}.0.fastq") for k in (1, 2))) for r in b.to_pylist()]
+    assert [(r["r1_name"], r["r1_seq"], r["r1_qual"]) for r in got] == one and [(r["r2_name"], r["r2_seq"], r["r2_qual"]) for r in got] == two
+    assert [r["ord"] for r in got] == list(range(51))
+
+
+def test_bytes_that_are_no_text_are_read_in_pairs(tmp_path):
+    for k in (1, 2):
+        (tmp_path / f"x_R{k}.fastq").write_bytes(b"@n\xff\nAC\n+\n\xe9I\n")
+    (batch,) = Q.split_pairs(str(tmp_path / "x_R1.fastq"), str(tmp_path / "x_R2.fastq"))
+    assert batch.to_pylist()[0] | {"file": ""} == {"file": "", "ord": 0} | {f"r{k}_{c}": x for k in (1, 2) for c, x in (("name", "n�"), ("seq", "AC"), ("qual", "�I"))}
+
+
+def test_files_that_are_no_pairs_are_refused(spark, tmp_path):
+    (tmp_path / "a_R1_x.fastq").write_text("@r\nA\n+\nI\n" * 3)
+    with pytest.raises(Exception, match="a_R"):
+        Q.read_fastq_pairs(spark, str(tmp_path)).collect()
+    (tmp_path / "a_R2_x.fastq").write_text("@r\nA\n+\nI\n" * 2)
+    with pytest.raises(Exception, match="different numbers of reads"):
+        Q.read_fastq_pairs(spark, str(tmp_path)).collect()
+    (tmp_path / "other.fastq").write_text("")
+    with pytest.raises(Exception, match="other"):
+        Q.read_fastq_pairs(spark, str(tmp_path)).collect()
+    assert Q.mate_of("/x/p_R1_R1.0.fastq") == "/x/p_R1_R2.0.fastq" and Q.mate_of("/x/p_R1_R2.0.fastq") is None and Q.mate_of("/x_R1/p.fastq") is None
+
+
+@pytest.mark.parametrize("dealt", [True, False])
+def test_buckets_of_one_file_name_are_kept(spark, tmp_path, dealt):
+    barcodes = [None, "none", "", "a/b", "a_b", "a0"]
+    rows = [("l", barcodes[i % 6], i, f"r{i} 1", "AC", "I#", f"r{i} 2", "G", "J") for i in range(120)]
+    reads = spark.createDataFrame(rows, "file_prefix string, barcode string, ord long, r1_name string, r1_seq string, r1_qual string, r2_name string, r2_seq string, r2_qual string")
+    Q.write_demux(reads.coalesce(2), str(tmp_path / "out"), files=1, compression="gzip", dealt=dealt)
+    back = Q.read_fastq_pairs(spark, str(tmp_path / "out")).collect()
+    assert sorted((r["r1_name"], r["r2_name"]) for r in back) == sorted((f"r{i} 1", f"r{i} 2") for i in range(120))
+    assert {r["file"].split("/")[-1].split("_R1")[0] for r in back} == {"l_none", "l_a_b", "l_a0"}
+    for own in {r["file"] for r in back}:  # in order
+        numbers = [int(r["r1_name"][1:-2]) for r in sorted((r for r in back if r["file"] == own), key=lambda r: r["ord"])]
+        assert numbers == sorted(numbers)
+
+
+def test_a_writer_of_many_buckets_has_few_files_open(tmp_path, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(Q, "OPEN", 2)
+    monkeypatch.setattr(Q.TaskContext, "get", staticmethod(lambda: type("Context", (), {"partitionId": lambda self: 0, "taskAttemptId": lambda self: 0})()))
+    reads = [{"file_prefix": "p", "barcode": f"b{i % 3}", "mate": 1, "name": f"r{i}", "seq": "A", "qual": None} for i in range(30)]
+    writer = Q.FastqWriter({"path": str(tmp_path / "out")})
+    writer.commit([writer.write(pa.RecordBatch.from_pylist(reads[k : k + 5]) for k in range(0, 30, 5))])
+    texts = {f.name: f.read_text() for f in (tmp_path / "out").glob("*.fastq")}
+    assert len(texts) > 3 and "".join(texts.values()).count("@") == 30
+    assert {x for name, text in texts.items() for x in text.split("\n") if x[:1] == "@" and int(x[2:]) % 3 != int(name[3])} == set()
+
+
+def test_mates_meet_without_a_shuffle(spark):
+    from seqloom.plans import registry
+
+    registry.load()
+    plan = registry.QUERIES["s9_write_demux"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
