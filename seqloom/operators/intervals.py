@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 BIN = 1 << 14
 #: Bins of range joins by level; the last level is one bin, the whole accession.
 LEVELS = (1 << 14, 1 << 18, 1 << 22, 1 << 26)
+#: Least bits of the bins in which a fragment finds all its features.
+NEAR_BITS = 10
 
 # Types that win over others at one place, by what they are called there.
 PRIORITY = {"CDS": "CDS", "tRNA": "tRNA", "rRNA": "rRNA", "miscRNA": "ncRNA", "misc_RNA": "ncRNA", "ncRNA": "ncRNA", "tmRNA": "ncRNA"}
@@ -152,6 +154,56 @@ def count_features(frags: DataFrame, features: DataFrame, min_frag_len: int = 10
     return sums
 
 
+def near_bits(features: DataFrame) -> DataFrame:
+    """(acc, _bits): the bits of the bins of an accession, which are as long as its ``features`` (acc, f_start, f_end) on average and 1,024 at least."""
+    bits = F.greatest(F.lit(NEAR_BITS), F.ceil(F.log2(F.avg(F.col("f_end") - F.col("f_start")))))
+    return features.groupBy("acc").agg(bits.cast("int").alias("_bits"))
+
+
+def feature_shares(frags: DataFrame, features: DataFrame, min_frag_len: int = 10, whole: bool = False) -> DataFrame:
+    """``frags`` (acc, start_pos, end_pos, ...), once for each feature that they overlap, with its ``name`` and ``share``, as
+    ``count_features`` takes it; rows of equal fragments may be put together and their shares added.
+    With ``whole``, each fragment also has a row of share 1 whose acc and name are null, also those that are too short, and a column ``whole`` says which these are.
+
+    A fragment goes to the bin in which it starts, where all features that it may overlap are listed, so one shuffle of
+    fragments brings both together. Bins of an accession are as long as its features are on average, and 1,024 at
+    least: a feature is listed some three times or less on average, and a list is no longer than what lies in three
+    bins, or some four times as long as what fragments overlap on average. Fragments that are longer than a bin meet features by ``overlapping``.
+    """
+    own = frags.columns
+    right = features.select("acc", F.col("start_pos").cast("long").alias("f_start"), F.col("end_pos").cast("long").alias("f_end"), "name").filter("f_end > f_start")
+    bins = F.broadcast(near_bits(right))  # one row per reference
+    at = F.explode(F.expr("sequence(shiftright(f_start, _bits) - 1, shiftright(f_end, _bits))"))
+    listed = right.join(bins, "acc").withColumn("_bin", at).groupBy("acc", "_bin").agg(F.collect_list(F.struct("f_start", "f_end", "name")).alias("_near"))
+    length = F.col("end_pos") - F.col("start_pos")
+    long_ = F.expr("end_pos - start_pos >= shiftleft(1L, _bits)")
+    kept = frags if whole else frags.filter(length >= min_frag_len)
+    placed = kept.join(bins, "acc", "left" if whole else "inner").withColumn("_bin", F.expr(f"shiftright(cast(start_pos as bigint), coalesce(_bits, {NEAR_BITS}))"))
+    placed = (placed if whole else placed.filter(~long_)).withColumn("_found", (length >= min_frag_len) & ~long_).drop("_bits")
+    met = placed.join(listed.hint("shuffle_hash"), ["acc", "_bin"], "left" if whole else "inner")
+
+    def overlap(start: Column, end: Column) -> Column:
+        return F.least(F.col("end_pos"), end) - F.greatest(F.col("start_pos"), start)
+
+    total = F.aggregate("_near", F.lit(0).cast("long"), lambda sum_, x: sum_ + F.greatest(overlap(x["f_start"], x["f_end"]), F.lit(0)))
+    ov, nothing = overlap(F.col("f_start"), F.col("f_end")), F.array().cast(listed.schema["_near"].dataType)
+    if whole:
+        mark = F.array(F.struct(F.lit(None).cast("long").alias("f_start"), F.lit(None).cast("long").alias("f_end"), F.lit(None).cast(features.schema["name"].dataType).alias("name")))
+        near = F.concat(mark, F.coalesce(F.when(F.col("_found"), F.col("_near")), nothing))
+        hits = met.withColumn("_total", total).select(*own, "_total", F.inline(near)).withColumn("whole", F.col("f_start").isNull()).filter((ov > 0) | F.col("whole"))
+        acc, share = F.when(~F.col("whole"), F.col("acc")).alias("acc"), F.when(F.col("whole"), 1.0).otherwise(ov.cast("double") / F.col("_total"))
+    else:
+        hits = met.withColumn("_total", total).select(*own, "_total", F.inline("_near")).filter(ov > 0)
+        acc, share = F.col("acc"), ov.cast("double") / F.col("_total")
+    flag = ["whole"] if whole else []
+    near_hits = hits.select(*[acc if c == "acc" else F.col(c) for c in own], "name", share.alias("share"), *flag)
+    # few or none: asked of the fragments alone first, before all that was worked out for them
+    far = frags.filter((length >= 1 << NEAR_BITS) & (length >= min_frag_len)).join(bins, "acc").filter(long_).groupBy(*own).agg(F.count(F.lit(1)).alias("_n"))
+    far_met = overlapping(far, right).withColumn("ov", ov.cast("double")).filter("ov > 0")
+    far_share = F.col("ov") / F.sum("ov").over(Window.partitionBy(*own)) * F.col("_n")
+    return near_hits.unionByName(far_met.select(*own, "name", far_share.alias("share"), *[F.lit(False).alias(c) for c in flag]))
+
+
 def feature_counts_output(counts: DataFrame) -> DataFrame:
     """Rounded counts by ``tag:acc``, antisense ones under ``AS_``."""
     rows = F.array(F.struct(F.concat_ws(":", "name", "acc").alias("feature"), F.bround("sense").cast("long").alias("n")), F.struct(F.concat(F.lit("AS_"), F.concat_ws(":", "name", "acc")).alias("feature"), F.bround("antisense").cast("long").alias("n")))

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqloom.operators.intervals import count_features
+from seqloom.operators.intervals import feature_shares
 
 BLOCK = 1_000_000
 #: Upper bits of a hash whose buckets are counted.
@@ -86,49 +86,48 @@ def ladder_reads(sizes: DataFrame, rungs: list[tuple[int, int, float]]) -> DataF
     return out.select("sample_id", "step", "repeat", "pct", F.floor(F.col("n") * F.col("pct") / 100).cast("long").alias("reads"))
 
 
-def _first_rungs(frags: DataFrame, ladder: list, seed: int) -> tuple[DataFrame, DataFrame]:
-    """Fragments once for each repeat, with the lowest rung that takes them, and the rungs at or above each rung.
+def _first_rungs(frags: DataFrame, ladder: list, seed: int) -> tuple[DataFrame, list[tuple[int, int, Column]]]:
+    """Fragments that any rung takes, once, with the lowest rung that takes them in each repeat, and (step, repeat, taken) of all rungs.
 
-    A repeat's rungs are nested: a fragment is in each whose threshold is above its hash.
+    A repeat's rungs are nested: a fragment is in each whose threshold is above its hash. Thresholds are compared as hex digits, and each hash is worked out once.
     """
     cuts: dict[int, list[tuple[float, int]]] = {}
     for r in ladder:
         cuts.setdefault(r["repeat"], []).append((r["pct"] / 100 * float(1 << 32), r["step"]))
-    firsts, reach = [], []
-    for repeat, own in cuts.items():
-        draw = F.conv(F.substring(F.md5(F.concat("name", F.lit(f":{seed}:{repeat}"))), 1, 8), 16, 10).cast("long")
-        first = None
-        for edge, step in sorted(own):
-            first = F.when(draw < edge, step) if first is None else first.when(draw < edge, step)
-        firsts.append(F.when(first.isNotNull(), F.concat(F.lit(f"|{repeat}|"), first.cast("string"))))
-        reach += [(repeat, low, step) for edge, low in own for above, step in own if above >= edge]
-    taken = frags.withColumn("_at", F.explode(F.array(*firsts))).filter("_at is not null")
-    taken = taken.withColumn("rung", F.concat("sample_id", "_at")).drop("_at")
-    return taken, frags.sparkSession.createDataFrame(reach, "repeat int, low int, step int")
-
-
-def _at_rungs(sums: DataFrame, reach: DataFrame) -> DataFrame:
-    """``sums`` by rung (``sample|repeat|lowest step``), on each step at or above it."""
-    parts = F.split("rung", r"\|")
-    named = sums.select("*", parts[0].alias("of_sample"), parts[1].cast("int").alias("repeat"), parts[2].cast("int").alias("low"))
-    return named.join(F.broadcast(reach), ["repeat", "low"])  # a ladder's handful of rungs
+    draws, firsts, rungs = [], [], []
+    for k, (repeat, own) in enumerate(cuts.items()):
+        draws.append(F.substring(F.md5(F.concat("name", F.lit(f":{seed}:{repeat}"))), 1, 8).alias(f"_d{k}"))
+        draw, first = F.col(f"_drawn._d{k}"), F.lit(None).cast("tinyint")
+        for nth, (edge, step) in reversed(list(enumerate(sorted(own)))):
+            above = math.ceil(edge)
+            first = F.when(draw < f"{max(above, 0):08x}" if above < 1 << 32 else draw.isNotNull(), F.lit(nth).cast("tinyint")).otherwise(first)
+            rungs.append((step, repeat, F.col(f"_r{k}") <= nth))
+        firsts.append(first.alias(f"_r{k}"))
+    drawn = frags.select("sample_id", "acc", "start_pos", "end_pos", F.explode(F.array(F.struct(*draws))).alias("_drawn"))
+    taken = drawn.select("sample_id", "acc", "start_pos", "end_pos", *firsts)
+    return taken.filter(F.coalesce(*[f"_r{k}" for k in range(len(firsts))]).isNotNull()), rungs
 
 
 def saturation_counts(frags: DataFrame, ladder: DataFrame, features: DataFrame, seed: int = 1) -> DataFrame:
     """M4: (sample_id, step, repeat, acc, name, n): fragments of each gene at each rung of the ladder.
 
-    Each fragment is counted at the lowest rung that takes it, and those counts are added up along
-    the ladder; each repeat has a seed of its own.
+    Each fragment meets its genes once, and its shares are added up side by side for all rungs; each repeat has a
+    seed of its own.
     """
-    taken, reach = _first_rungs(frags, ladder.collect(), seed)
-    counts = count_features(taken.drop("sample_id").withColumnRenamed("rung", "sample_id"), features).withColumnRenamed("sample_id", "rung")
-    return _at_rungs(counts, reach).groupBy(F.col("of_sample").alias("sample_id"), "step", "repeat", "acc", "name").agg(F.sum(F.col("sense") + F.col("antisense")).alias("n"))
+    taken, rungs = _first_rungs(frags, ladder.collect(), seed)
+    sums = feature_shares(taken, features).groupBy("sample_id", "acc", "name").agg(*[F.sum(F.when(t, F.col("share"))).alias(f"_n{k}") for k, (_, _, t) in enumerate(rungs)])
+    rows = F.array(*[F.struct(F.lit(step).alias("step"), F.lit(repeat).alias("repeat"), F.col(f"_n{k}").alias("n")) for k, (step, repeat, _) in enumerate(rungs)])
+    return sums.select("sample_id", "acc", "name", F.inline(rows)).filter("n is not null").select("sample_id", "step", "repeat", "acc", "name", "n")
 
 
 def saturation_curve(frags: DataFrame, ladder: DataFrame, features: DataFrame, seed: int = 1, min_count: float = 0.5) -> DataFrame:
     """M4: (sample_id, step, repeat, frags, genes): fragments taken at each rung of the ladder and the genes that they show."""
-    taken, reach = _first_rungs(frags, ladder.collect(), seed)
-    key = ["sample_id", "step", "repeat"]
-    sizes = _at_rungs(taken.groupBy("rung").agg(F.count(F.lit(1)).alias("n")), reach).groupBy(F.col("of_sample").alias("sample_id"), "step", "repeat").agg(F.sum("n").alias("frags"))
-    counts = saturation_counts(frags, ladder, features, seed).filter(F.round("n", 9) >= min_count)
-    return sizes.join(counts.groupBy(*key).agg(F.count(F.lit(1)).alias("genes")), key, "left").select(*key, "frags", F.coalesce("genes", F.lit(0)).alias("genes"))
+    taken, rungs = _first_rungs(frags, ladder.collect(), seed)
+    shares = feature_shares(taken, features, whole=True)
+    sums = shares.groupBy("sample_id", "acc", "name", "whole").agg(*[F.sum(F.when(t, F.col("share"))).alias(f"_n{k}") for k, (_, _, t) in enumerate(rungs)])
+    each = [f"_n{k}" for k in range(len(rungs))]
+    frags_of = [F.sum(F.when(F.col("whole"), F.col(n))).cast("long").alias(f"_f{n}") for n in each]
+    genes_of = [F.count_if(~F.col("whole") & (F.round(n, 9) >= min_count)).alias(f"_g{n}") for n in each]
+    sizes = sums.groupBy("sample_id").agg(*frags_of, *genes_of)
+    rows = F.array(*[F.struct(F.lit(step).alias("step"), F.lit(repeat).alias("repeat"), F.col(f"_f{n}").alias("frags"), F.col(f"_g{n}").alias("genes")) for n, (step, repeat, _) in zip(each, rungs, strict=True)])
+    return sizes.select("sample_id", F.inline(rows)).filter("frags is not null")
